@@ -16,7 +16,7 @@ from trailmetrics.functions import dates, numbers, strings  # noqa: E402
 from trailmetrics.operators import categories, pages, products, sampling, sessions  # noqa: E402
 from trailmetrics.params import TaskParams  # noqa: E402
 from trailmetrics.plans import page_job, product_job, session_job  # noqa: E402
-from trailmetrics.runtime import new_folder  # noqa: E402
+from trailmetrics.runtime import materialize, new_folder  # noqa: E402
 from trailmetrics.sources import star, tables, text  # noqa: E402
 from trailmetrics.streaming import ad_clicks  # noqa: E402
 
@@ -140,7 +140,13 @@ def active_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_counts_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions = _matched(spark, sf_dir)
+    # Four results read the matched actions, so they are written once.
+    actions = materialize(
+        _matched(spark, sf_dir).select(
+            "click_category_id", "order_category_ids", "pay_category_ids"
+        ),
+        "matched-categories",
+    )
     return categories.category_counts_joined(
         categories.active_categories(actions),
         categories.category_click_count(actions),
@@ -166,7 +172,8 @@ def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top10_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _session_category_counts(spark, sf_dir)
+    # The top categories and their sessions read the same counts.
+    counts = materialize(_session_category_counts(spark, sf_dir), "session-category-counts")
     return session_job.top_sessions(
         counts, session_job.top_categories(categories.total_counts(counts))
     )

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmetrics.schemas import NO_CLICK
 
 
-def id_list(text: Column) -> Column:
-    """``"1,2"`` as ARRAY<BIGINT>; pieces that are no number are left out."""
-    numbers = F.transform(F.split(text, ","), lambda piece: piece.try_cast("bigint"))
-    return F.filter(numbers, lambda number: number.isNotNull())
+def explode_ids(df: DataFrame, column: str, name: str) -> DataFrame:
+    """One row per id of the comma list ``column``, in place of that column.
+
+    Pieces that are no number are left out, as are rows without a list.
+    """
+    others = [other for other in df.columns if other != column]
+    pieces = df.where(F.col(column).isNotNull()).select(
+        *others, F.explode(F.split(column, ",")).alias(name)
+    )
+    return pieces.withColumn(name, F.col(name).try_cast("bigint")).where(F.col(name).isNotNull())
 
 
 def is_click(identifier: Column) -> Column:

@@ -27,8 +27,7 @@ def category_click_count(actions: DataFrame, keep_sentinel: bool = False) -> Dat
 
 def _list_count(actions: DataFrame, column: str, name: str) -> DataFrame:
     return (
-        actions.where(F.col(column).isNotNull())
-        .select(F.explode(ids.id_list(F.col(column))).alias("category_id"))
+        ids.explode_ids(actions.select(column), column, "category_id")
         .groupBy("category_id")
         .agg(F.count("*").alias(name))
     )
@@ -43,25 +42,21 @@ def category_pay_count(actions: DataFrame) -> DataFrame:
 
 
 def _activities(actions: DataFrame, *keep: str, keep_sentinel: bool = False) -> DataFrame:
-    """One row per category that an action clicks, orders or pays, in one scan."""
-
-    def of_kind(categories: Column, kind: str) -> Column:
-        return F.transform(
-            F.coalesce(categories, F.array().cast("array<bigint>")),
-            lambda c: F.struct(c.alias("category_id"), F.lit(kind).alias("kind")),
-        )
-
-    clicked = F.when(_clicked(keep_sentinel), F.array("click_category_id"))
-    return actions.select(
+    """One row per category that an action clicks, orders or pays, from one scan."""
+    clicked = F.when(_clicked(keep_sentinel), F.col("click_category_id").cast("string"))
+    lists = actions.select(
         *keep,
-        F.inline(
-            F.concat(
-                of_kind(clicked, "click"),
-                of_kind(ids.id_list(F.col("order_category_ids")), "order"),
-                of_kind(ids.id_list(F.col("pay_category_ids")), "pay"),
-            )
-        ),
+        F.stack(
+            F.lit(3),
+            F.lit("click"),
+            clicked,
+            F.lit("order"),
+            F.col("order_category_ids"),
+            F.lit("pay"),
+            F.col("pay_category_ids"),
+        ).alias("kind", "ids"),
     )
+    return ids.explode_ids(lists, "ids", "category_id")
 
 
 def active_categories(actions: DataFrame, keep_sentinel: bool = False) -> DataFrame:

@@ -152,23 +152,20 @@ def _flag_names(params: TaskParams) -> list[str]:
 
 
 def with_lists(sessions: DataFrame, actions: DataFrame, few: bool = True) -> DataFrame:
-    """Add the keyword and category lists to a choice of sessions.
+    """Add the keyword and category lists to a choice of the actions' sessions.
 
     ``few`` says that it is the sample (its size plus one row per hour): it is
     broadcast, so the actions are reduced to the sample's before anything is
     shuffled. For any larger choice pass ``few=False``; Spark then picks the join
     by size.
     """
-    chosen = sessions.select("session_id")
-    if few:
-        chosen = F.broadcast(chosen)
-    lists = (
+    chosen = F.broadcast(sessions) if few else sessions
+    return (
         actions.select("session_id", "search_keyword", "click_category_id")
-        .join(chosen, "session_id", "left_semi")
-        .groupBy("session_id")
+        .join(chosen, "session_id")
+        .groupBy(*sessions.columns)
         .agg(_keywords().alias("search_keywords"), _categories().alias("click_category_ids"))
     )
-    return sessions.join(lists, "session_id", "left")
 
 
 def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ def session_sample(found: DataFrame, actions: DataFrame, seed: int = 0, **sizes)
     """The sampled sessions with start time, keywords and categories."""
     quotas = sampling.session_extract_quota(sampling.session_hour_count(found), **sizes)
     sample = sampling.session_random_extract(found, quotas, seed, **sizes)
-    return _extract_columns(sessions.with_lists(sample, actions))
+    chosen = sample.select("session_id", "start_time")
+    return _extract_columns(sessions.with_lists(chosen, actions))
 
 
 def _extract_columns(sample: DataFrame) -> DataFrame:

@@ -77,7 +77,9 @@ def read_products(spark: SparkSession, name: str = "product_info") -> DataFrame:
 
 
 def city_info(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CITIES, schemas.CITY_INFO)
+    """The fixed cities as an inline table, whose size Spark knows when it plans joins."""
+    rows = ", ".join(f"({city_id}L, '{name}', '{area}')" for city_id, name, area in CITIES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS city_info(city_id, city_name, area)")
 
 
 def click_scan(actions: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
