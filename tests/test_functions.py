@@ -1,0 +1,150 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from trailmetrics.functions import dates, ids, numbers, strings
+from trailmetrics.functions.register import register_functions
+
+
+@pytest.fixture
+def value(spark):
+    def get(column):
+        return spark.range(1).select(column.alias("v")).collect()[0].v
+
+    return get
+
+
+def time(text):
+    return dates.parse_time(F.lit(text))
+
+
+@pytest.mark.parametrize("text", ["2021-10-12 9:05:07", "2021-10-12 09:05:07"])
+def test_times_with_one_or_two_hour_digits(value, text):
+    assert value(time(text)) == dt.datetime(2021, 10, 12, 9, 5, 7)
+    assert value(dates.date_hour(time(text))) == "2021-10-12_09"
+    assert value(dates.format_time(time(text))) == "2021-10-12 09:05:07"
+    assert value(dates.format_date(time(text))) == "2021-10-12"
+    assert value(dates.format_date_key(time(text))) == "20211012"
+    assert value(dates.format_time_minute(time(text))) == "202110120905"
+
+
+def test_comparisons_and_difference(value):
+    early, late = time("2021-10-12 9:05:07"), time("2021-10-13 9:05:06")
+    assert value(dates.before(early, late)) is True
+    assert value(dates.before(early, early)) is False
+    assert value(dates.after(late, early)) is True
+    assert value(dates.after(early, early)) is False
+    assert value(dates.minus(late, early)) == 86_399
+    assert value(dates.minus(early, late)) == -86_399
+
+
+def test_date_keys_and_current_dates(value):
+    assert value(dates.parse_date_key(F.lit("20211012"))) == dt.date(2021, 10, 12)
+    today, yesterday = value(F.struct(dates.today(), dates.yesterday()))
+    gap = dt.date.fromisoformat(today) - dt.date.fromisoformat(yesterday)
+    assert gap == dt.timedelta(days=1)
+
+
+@pytest.mark.parametrize(
+    ("number", "scale", "expected"),
+    [(57 / 200, 2, 0.29), (1 / 8, 2, 0.13), (-0.125, 2, -0.13), (0.1249, 2, 0.12), (2.5, 0, 3.0)],
+)
+def test_format_double(value, number, scale, expected):
+    assert value(numbers.format_double(F.lit(number), scale)) == expected
+
+
+def test_ratio_of_nothing(value):
+    assert value(numbers.ratio(F.lit(1), F.lit(0))) is None
+
+
+@pytest.mark.parametrize(
+    ("text", "empty", "trimmed", "padded"),
+    [
+        (None, True, None, None),
+        ("", True, "", "0"),
+        ("7", False, "7", "07"),
+        ("12", False, "12", "12"),
+        ("123", False, "123", "0123"),
+        (",a,b,", False, "a,b", "0,a,b,"),
+        (",,a", False, ",a", "0,,a"),
+    ],
+)
+def test_strings(value, text, empty, trimmed, padded):
+    column = F.lit(text).cast("string")
+    assert value(strings.is_empty(column)) is empty
+    assert value(strings.is_not_empty(column)) is not empty
+    assert value(strings.trim_comma(column)) == trimmed
+    assert value(strings.pad_two(column)) == padded
+
+
+@pytest.mark.parametrize(
+    ("record", "expected"),
+    [
+        ("age=30|city=c1", "30"),
+        ("city=c1|age=30", "30"),
+        ("age=|city=c1", None),
+        ("age=1|age=2", "1"),
+        ("age=|age=2", "2"),
+        ("age=1=2", None),
+        ("age=30=", "30"),
+        ("age=30==|x=1", "30"),
+        ("page=30", None),
+        ("age", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_get_field(value, record, expected):
+    assert value(strings.get_field(F.lit(record).cast("string"), "|", "age")) == expected
+
+
+def test_get_field_with_another_delimiter(value):
+    assert value(strings.get_field(F.lit("a=1&&age=5"), "&&", "age")) == "5"
+
+
+@pytest.mark.parametrize(
+    ("record", "expected"),
+    [
+        ("age=30|city=c1", "age=9|city=c1"),
+        ("city=c1|age=", "city=c1|age=9"),
+        ("city=c1|page=2", "city=c1|page=2"),
+        ("age=1|age=2", "age=9|age=9"),
+    ],
+)
+def test_set_field(value, record, expected):
+    assert value(strings.set_field(F.lit(record), "|", "age", F.lit("9"))) == expected
+
+
+def test_id_lists_explode_to_numbers(spark):
+    df = spark.createDataFrame(
+        [(1, "1,2"), (2, ""), (3, "1,,x, 4"), (4, None)], "k int, ids string"
+    )
+    found = ids.explode_ids(df, "ids", "id").collect()
+    assert sorted((r.k, r.id) for r in found) == [(1, 1), (1, 2), (3, 1), (3, 4)]
+
+
+def test_labels_and_distinct_concatenation(spark, value):
+    assert value(strings.concat_long_string(F.lit(7), F.lit("x"))) == "7:x"
+    assert value(strings.pair_label(F.lit(1), F.lit(2))) == "1_2"
+    df = spark.createDataFrame([("b",), ("ab",), ("b",), ("a",), (None,)], "v string")
+    assert df.agg(strings.group_concat_distinct(df.v)).collect()[0][0] == "a,ab,b"
+
+
+def test_sql_functions(spark):
+    assert "concat_long_string" in register_functions(spark)
+    row = spark.sql(
+        """
+        SELECT concat_long_string(7, 'x', ':') AS label,
+               json_field('{"product_status": 0}', 'product_status') AS status,
+               date_hour(timestamp_ntz'2024-01-05 09:00:00') AS hour,
+               trim_comma(',a,') AS trimmed,
+               pad_two('5') AS padded
+        """
+    ).collect()[0]
+    assert tuple(row) == ("7:x", "0", "2024-01-05_09", "a", "05")
+    joined = spark.sql(
+        "SELECT array_join(array_sort(collect_set(concat_long_string(id % 3, 'c', ':'))), ',')"
+        " AS v FROM range(9)"
+    )
+    assert joined.collect()[0].v == "0:c,1:c,2:c"

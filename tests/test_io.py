@@ -1,0 +1,162 @@
+"""Sources and sinks."""
+
+import datetime as dt
+import os
+
+import pytest
+from conftest import at, rows
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
+
+from trailmetrics import schemas, sinks
+from trailmetrics.runtime import materialize, shared_dir
+from trailmetrics.sources import kafka, tables, text
+
+START, END = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+
+
+def stored_as_text(actions):
+    """Dates and times as text, with an unpadded hour."""
+    return actions.withColumns(
+        {
+            "date": F.col("date").cast("string"),
+            "action_time": F.date_format("action_time", "yyyy-MM-dd H:mm:ss"),
+        }
+    )
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_actions_from_a_partitioned_table(spark, actions_of, tmp_path, as_text):
+    actions = actions_of([{"action_time": at(d * 86_400, day=1, hour=9)} for d in range(5)])
+    if as_text:
+        actions = stored_as_text(actions)
+    path = str(tmp_path / "actions")
+    actions.write.partitionBy("date").parquet(path)
+    found = tables.read_actions(spark, path, START, END)
+    assert [f.dataType for f in found.schema] == [f.dataType for f in schemas.USER_VISIT_ACTION]
+    assert [r["action_time"] for r in rows(found)] == [
+        dt.datetime(2024, 1, 2, 9),
+        dt.datetime(2024, 1, 3, 9),
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "date" in pruned
+
+
+def test_text_dates_are_compared_as_text_in_the_scan(spark, actions_of, tmp_path):
+    path = str(tmp_path / "actions")
+    stored_as_text(actions_of([{}])).write.parquet(path)
+    found = tables.read_actions(spark, path, START, END).select("user_id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2024-01-02)" in plan
+    assert "ReadSchema: struct<date:string,user_id:bigint>" in plan
+
+
+def test_users_and_products_from_tables(spark, users_of, tmp_path):
+    path = str(tmp_path / "users")
+    users_of([{"age": 5}]).withColumn("age", F.col("age").cast("long")).write.parquet(path)
+    assert tables.read_users(spark, path).schema["age"].dataType.typeName() == "integer"
+    products = spark.createDataFrame([(1, "one", "{}")], schemas.PRODUCT_INFO)
+    sinks.replace_table(products, "product_info")
+    assert rows(tables.read_products(spark)) == rows(products)
+
+
+def test_replace_table(spark):
+    sinks.replace_table(spark.range(3), "replaced")
+    sinks.replace_table(spark.range(2).withColumn("more", F.lit("x")), "replaced")
+    assert spark.table("replaced").columns == ["id", "more"]
+    assert spark.table("replaced").count() == 2
+
+
+def test_record_lines(spark, tmp_path):
+    path = tmp_path / "lines.txt"
+    path.write_text("1\tage=30|sex=male\n2\tage=|sex=female\nno record\n3\tsex=male|age=7\n")
+    records = text.record_lines(text.read_lines(spark, str(path)))
+    assert records.count() == 3
+    assert rows(text.record_field(records, "age")) == [
+        {"id": "1", "age": "30"},
+        {"id": "3", "age": "7"},
+    ]
+
+
+def test_kafka_options():
+    options = kafka.kafka_options("a:9092,b:9092", ["t1", "t2"])
+    assert options["kafka.bootstrap.servers"] == "a:9092,b:9092"
+    assert options["subscribe"] == "t1,t2"
+    assert options["startingOffsets"] == "latest"
+    assert not any("commit" in key for key in options)
+
+
+def test_result_table_columns(spark):
+    df = spark.createDataFrame(
+        [(5, 1, 2, 3)], "payCount int, categoryid int, clickCount int, orderCount int"
+    )
+    table = sinks.result_table(df, "top10_category", "task-1")
+    assert table.columns == ["taskid", "categoryid", "clickCount", "orderCount", "payCount"]
+    assert tuple(table.collect()[0]) == ("task-1", 1, 2, 3, 5)
+
+
+@pytest.fixture
+def recorded_save(monkeypatch):
+    """What a JDBC write would send, without a database."""
+    calls = []
+
+    def record(name):
+        real = getattr(DataFrameWriter, name)
+
+        def method(self, *args, **kwargs):
+            calls.append((name, args, kwargs))
+            return self if name == "save" else real(self, *args, **kwargs)
+
+        return method
+
+    for name in ("format", "mode", "option", "options", "save"):
+        monkeypatch.setattr(DataFrameWriter, name, record(name))
+    return calls
+
+
+def test_jdbc_write(spark, recorded_save):
+    options = {"url": "jdbc:mysql://host/db", "user": "u", "password": "p", "batchsize": "5000"}
+    sinks.result_sink(options)(spark.range(1), "top10_category")
+    assert ("format", ("jdbc",), {}) in recorded_save
+    assert ("mode", ("append",), {}) in recorded_save
+    assert ("options", (), options) in recorded_save
+    assert ("option", ("dbtable", "top10_category"), {}) in recorded_save
+    assert recorded_save[-1][0] == "save"
+
+
+def test_file_and_table_writes_append(spark, tmp_path):
+    for _ in range(2):
+        sinks.write_result(spark.range(2), "numbers", {"path": str(tmp_path)}, "parquet")
+        sinks.write_result(spark.range(2), "numbers_table", {}, "table")
+    assert spark.read.parquet(str(tmp_path / "numbers")).count() == 4
+    assert spark.table("numbers_table").count() == 4
+
+
+def test_materialized_rows_are_in_the_shared_folder(spark):
+    kept = materialize(spark.range(5), "numbers")
+    assert f"{shared_dir(spark)}/numbers-" in kept.inputFiles()[0]
+    assert kept.count() == 5
+
+
+class Session:
+    """A session with nothing but settings."""
+
+    def __init__(self, **settings):
+        self.conf = settings
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        shared_dir(Session(**{"spark.master": "yarn"}))
+
+
+def test_a_local_session_has_a_folder_of_its_own():
+    session = Session(**{"spark.master": "local[2]", "spark.app.id": "app-1"})
+    assert shared_dir(session) == shared_dir(session)
+    assert os.path.isdir(shared_dir(session))
+
+
+def test_the_set_folder_is_used():
+    session = Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"})
+    assert shared_dir(session) == "hdfs:///shared"

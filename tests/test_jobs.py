@@ -1,0 +1,111 @@
+"""The jobs end to end, and the shape of the plans."""
+
+import pytest
+from conftest import SF_DIR, rows
+
+import __spark_entry__ as entry_point
+from trailmetrics import sinks
+from trailmetrics.plans import page_job, product_job, session_job
+from trailmetrics.schemas import RESULT_COLUMNS
+from trailmetrics.sources import star, tables
+
+PARAMS = entry_point.PARAMS
+
+
+@pytest.fixture
+def written(spark, tmp_path):
+    """A parquet sink, and a reader of what went to it."""
+    sink = sinks.result_sink({"path": str(tmp_path)}, "parquet")
+    return sink, lambda name: spark.read.parquet(str(tmp_path / name))
+
+
+def check(df, name, *queries):
+    assert df.columns == ["taskid", *RESULT_COLUMNS[name]]
+    assert {r["taskid"] for r in df.select("taskid").distinct().collect()} == {"t1"}
+    expected = queries[0]
+    for query in queries[1:]:
+        expected = expected.unionByName(query)
+    columns = RESULT_COLUMNS[name]
+    assert rows(df.select(columns)) == rows(expected.select(columns))
+
+
+def test_session_job(spark, written):
+    sink, read = written
+    actions = star.actions_between(spark, SF_DIR, PARAMS.start_date, PARAMS.end_date)
+    session_job.run_session_job(
+        actions, star.user_info(spark, SF_DIR), PARAMS, "t1", sink, seed=entry_point.SEED
+    )
+    queries = {name: query(spark, SF_DIR) for name, query in entry_point.queries().items()
+               if name.startswith(("session_aggr_stat", "session_random", "top10"))}
+    for name in ("session_aggr_stat", "session_random_extract", "top10_category", "top10_session"):
+        check(read(name), name, queries[name])
+    check(
+        read("session_detail"),
+        "session_detail",
+        queries["session_random_extract_detail"],
+        queries["top10_session_detail"],
+    )
+
+
+def test_page_job(spark, written):
+    sink, read = written
+    actions = star.actions_between(spark, SF_DIR, PARAMS.start_date, PARAMS.end_date)
+    page_job.run_page_job(actions, PARAMS, "t1", sink)
+    check(
+        read("page_split_convert_rate"),
+        "page_split_convert_rate",
+        entry_point.page_convert_rate_string(spark, SF_DIR),
+    )
+
+
+def test_product_job(spark, written):
+    sink, read = written
+    product_job.run_product_job(
+        star.user_visit_action(spark, SF_DIR),
+        tables.city_info(spark),
+        star.product_info(spark, SF_DIR),
+        PARAMS,
+        "t1",
+        sink,
+    )
+    name = "area_top3_product"
+    check(read(name), name, entry_point.area_top3_product(spark, SF_DIR))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", [n for n in entry_point.queries() if not n.startswith("ad_")])
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(entry_point.queries()[name](spark, SF_DIR))
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
+        assert node not in text
+
+
+@pytest.mark.parametrize(
+    ("name", "nodes"),
+    [
+        ("area_top3_product", ["WindowGroupLimit", "BroadcastHashJoin [city_id"]),
+        ("top10_session", ["WindowGroupLimit", "BroadcastHashJoin [category_id"]),
+        ("top10_category", ["TakeOrderedAndProject"]),
+        ("session_random_extract", ["WindowGroupLimit", "BroadcastHashJoin [date"]),
+        ("click_product_basic", ["BroadcastHashJoin [city_id"]),
+        ("action_scan", ["PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-05"]),
+    ],
+)
+def test_plan_shapes(spark, name, nodes):
+    text = plan(entry_point.queries()[name](spark, SF_DIR))
+    for node in nodes:
+        assert node in text
+
+
+def test_details_do_not_shuffle_the_actions(spark):
+    actions = star.actions_between(spark, SF_DIR, PARAMS.start_date, PARAMS.end_date)
+    chosen = spark.createDataFrame([("1-20240105",)], "sessionid string")
+    assert "hashpartitioning" not in plan(session_job.sample_detail(actions, chosen))
+
+
+def test_scans_read_only_the_needed_columns(spark):
+    text = plan(entry_point.start_page_pv(spark, SF_DIR))
+    assert "ReadSchema: struct<ts:timestamp_ntz,props:string>" in text

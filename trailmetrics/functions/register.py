@@ -27,7 +27,7 @@ def register_functions(spark: SparkSession) -> list[str]:
     """Create the temporary SQL functions and return their names.
 
     The distinct string aggregate needs none: in SQL it is
-    ``listagg(DISTINCT x, ',') WITHIN GROUP (ORDER BY x)``.
+    ``array_join(array_sort(collect_set(x)), ',')``.
     """
     for signature, body in _SQL_FUNCTIONS.items():
         spark.sql(

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_folder(app_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"trailmetrics-{app_id}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
@@ -19,9 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="trailmetrics-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.conf.get("spark.app.id"))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
