@@ -155,12 +155,8 @@ def category_counts_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _session_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.session_category_counts(_actions(spark, sf_dir), _sessions(spark, sf_dir))
-
-
 def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.total_counts(_session_category_counts(spark, sf_dir))
+    return session_job.matched_counts(_actions(spark, sf_dir), _sessions(spark, sf_dir))
 
 
 def category_session_click_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,11 +168,11 @@ def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top10_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The top categories and their sessions read the same counts.
-    counts = materialize(_session_category_counts(spark, sf_dir), "session-category-counts")
-    return session_job.top_sessions(
-        counts, session_job.top_categories(categories.total_counts(counts))
-    )
+    # The top categories and their sessions read the same sessions.
+    actions = _actions(spark, sf_dir)
+    found = materialize(_sessions(spark, sf_dir), "sessions")
+    top = session_job.top_categories(session_job.matched_counts(actions, found))
+    return session_job.top_sessions(actions, found, top)
 
 
 def top10_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:

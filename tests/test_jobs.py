@@ -87,7 +87,7 @@ def test_no_python_and_no_cross_join(spark, name):
     ("name", "nodes"),
     [
         ("area_top3_product", ["WindowGroupLimit", "BroadcastHashJoin [city_id"]),
-        ("top10_session", ["WindowGroupLimit", "BroadcastHashJoin [category_id"]),
+        ("top10_session", ["WindowGroupLimit", "BroadcastHashJoin [click_category_id"]),
         ("top10_category", ["TakeOrderedAndProject"]),
         ("session_random_extract", ["WindowGroupLimit", "BroadcastHashJoin [date"]),
         ("click_product_basic", ["BroadcastHashJoin [city_id"]),

@@ -2,8 +2,10 @@ import datetime as dt
 from collections import Counter
 
 from conftest import at, rows
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from trailmetrics.operators import pages
 from trailmetrics.plans import page_job
@@ -30,18 +32,23 @@ def brute_force(items, flow):
     return found
 
 
-def pairs(actions, flow):
+def pairs(actions, flow, crowded=()):
+    spark = actions.sparkSession
+    large = spark.createDataFrame([(session,) for session in crowded], "session_id string")
     return {
         (r["session_id"], r["action_time"], r["page_split"]): r["pairs"]
-        for r in pages.page_split_pairs(actions, flow)
+        for r in pages.page_split_pairs(actions, flow, large)
         .groupBy("session_id", "action_time", "page_split")
-        .sum("pairs")
-        .withColumnRenamed("sum(pairs)", "pairs")
+        .agg(F.sum("pairs").alias("pairs"))
         .collect()
     }
 
 
-def test_steps_cross_midnight_and_whole_days(actions_of):
+CROWDED = pytest.mark.parametrize("crowded", [[], ["s1"], ["s1", "s2"]])
+
+
+@CROWDED
+def test_steps_cross_midnight_and_whole_days(actions_of, crowded):
     midnight = dt.datetime(2024, 1, 6)
     items = clicks(
         (midnight - dt.timedelta(seconds=1), 1),
@@ -51,35 +58,39 @@ def test_steps_cross_midnight_and_whole_days(actions_of):
         (midnight + dt.timedelta(days=9), 2),
     )
     flow = [1, 2, 3]
-    assert pairs(actions_of(items), flow) == dict(brute_force(items, flow))
+    assert pairs(actions_of(items), flow, crowded) == dict(brute_force(items, flow))
     assert pages.page_split_pv(pages.page_split_pairs(actions_of(items), flow)).count() == 1
 
 
-def test_times_before_1970(actions_of):
+@CROWDED
+def test_times_before_1970(actions_of, crowded):
     epoch = dt.datetime(1970, 1, 1)
     items = clicks(*[(epoch + dt.timedelta(hours=h), 1 + h % 3) for h in range(-60, 60, 7)])
     flow = [1, 2, 3, 1]
-    assert pairs(actions_of(items), flow) == dict(brute_force(items, flow))
+    assert pairs(actions_of(items), flow, crowded) == dict(brute_force(items, flow))
 
 
-def test_same_second_orders_by_page(actions_of):
+@CROWDED
+def test_same_second_orders_by_page(actions_of, crowded):
     items = clicks((at(0), 2), (at(0), 1), (at(1), 5), (at(1), 3), (at(1), 4))
-    assert set(pairs(actions_of(items), [1, 2, 3])) == {
+    assert set(pairs(actions_of(items), [1, 2, 3], crowded)) == {
         ("s1", at(0), "1_2"),
         ("s1", at(0), "2_3"),
     }
 
 
-def test_pages_off_the_flow_break_a_step(actions_of):
+@CROWDED
+def test_pages_off_the_flow_break_a_step(actions_of, crowded):
     items = clicks((at(0), 1), (at(1), 99), (at(2), 2)) + clicks(
         (at(0), 1), (at(0), 0), (at(0), 2), session="s2"
     )
-    assert set(pairs(actions_of(items), [1, 2])) == {("s2", at(0), "1_2")}
+    assert set(pairs(actions_of(items), [1, 2], crowded)) == {("s2", at(0), "1_2")}
 
 
-def test_page_without_id_breaks_a_step(actions_of):
+@CROWDED
+def test_page_without_id_breaks_a_step(actions_of, crowded):
     items = clicks((at(0), 1), (at(1), None), (at(2), 2))
-    assert pairs(actions_of(items), [1, 2]) == {}
+    assert pairs(actions_of(items), [1, 2], crowded) == {}
 
 
 @settings(
@@ -98,14 +109,15 @@ def test_page_without_id_breaks_a_step(actions_of):
         max_size=60,
     ),
     flow=st.lists(st.integers(0, 6), min_size=2, max_size=6),
+    crowded=st.sets(st.sampled_from(["s1", "s2"])),
 )
-def test_random_views_match_brute_force(actions_of, views, flow):
+def test_random_views_match_brute_force(actions_of, views, flow, crowded):
     items = [
         {"session_id": s, "page_id": page, "action_time": at(second * 9000, day=5 + day)}
         for s, second, page, day in views
     ]
     expected = brute_force(items, flow)
-    assert pairs(actions_of(items), flow) == dict(expected)
+    assert pairs(actions_of(items), flow, crowded) == dict(expected)
     by_step = Counter()
     for (_, _, label), n in expected.items():
         by_step[label] += n
@@ -156,11 +168,10 @@ def test_rates_do_not_depend_on_row_order(actions_of):
     assert rows(page_job.convert_rates(actions_of(items[::-1]).repartition(7), flow)) == first
 
 
-def test_crowded_session_is_spread_over_tasks(spark):
-    """One session with nearly all rows is cut by visit, and then by day."""
-    from pyspark.sql import functions as F
-
-    actions = spark.range(200_000).select(
+@pytest.fixture(scope="module")
+def crowd(spark):
+    """One session with nearly all rows, over 16 days."""
+    return spark.range(200_000).select(
         F.when(F.col("id") % 10 == 0, F.concat(F.lit("s"), F.col("id") % 97))
         .otherwise("hot")
         .alias("session_id"),
@@ -170,18 +181,31 @@ def test_crowded_session_is_spread_over_tasks(spark):
             " + make_dt_interval(cast(id % 16 AS int), 0, 0, cast(id % 1000 AS int))"
         ).alias("action_time"),
     )
-    flow = [1, 2, 3]
-    visits = pages._visits(actions, flow)
-    distinct = visits.where("session_id = 'hot'").count()
-    assert distinct <= 16 * 1000 * 7
-    per_task = (
-        visits.select(
-            "session_id", F.expr(f"visit div {pages._DAY_MICROS * 7}").alias("day"), "visit"
-        )
-        .repartition("session_id", "day")
-        .where("session_id = 'hot'")
-        .groupBy("day")
+
+
+def test_a_sample_finds_the_crowded_session(crowd):
+    found = pages.crowded_sessions(crowd, limit=20_000)
+    assert [r.session_id for r in found.collect()] == ["hot"]
+    assert pages.crowded_sessions(crowd).count() == 0
+
+
+def test_crowded_session_gives_the_same_steps(crowd):
+    flow = [1, 2, 3, 3, 7]
+    steps = [
+        rows(pages.page_split_pv(pages.page_split_pairs(crowd, flow, found)))
+        for found in (crowd.select("session_id").limit(0), pages.crowded_sessions(crowd, 20_000))
+    ]
+    assert steps[0] == steps[1]
+    assert steps[0]
+
+
+def test_crowded_session_is_combined_and_cut_into_days(crowd):
+    visits = pages._visits(crowd, [1, 2, 3])
+    days = (
+        visits.where("session_id = 'hot'")
+        .groupBy(F.expr(f"visit div {pages._DAY_MICROS * 7}").alias("day"))
         .count()
+        .collect()
     )
-    assert per_task.count() == 16
-    assert max(r["count"] for r in per_task.collect()) <= 1000 * 7
+    assert len(days) == 16
+    assert max(r["count"] for r in days) <= 1000 * 7

@@ -96,26 +96,15 @@ def category_counts(actions: DataFrame, keep_sentinel: bool = False) -> DataFram
     )
 
 
-def session_category_counts(
-    actions: DataFrame, sessions: DataFrame, keep_sentinel: bool = False
-) -> DataFrame:
-    """The three counts per category and session, of the given sessions only.
-
-    Counting comes before the join: a session that holds a large part of all
-    actions is one row per category and task when it is shuffled.
-    """
-    counts = (
-        _activities(actions, "session_id", keep_sentinel=keep_sentinel)
-        .groupBy("session_id", "category_id")
-        .agg(*_kind_counts())
+def with_activity(actions: DataFrame, keep_sentinel: bool = False) -> DataFrame:
+    """Actions that click, order or pay something, with what the counts need."""
+    active = (
+        _clicked(keep_sentinel)
+        | F.col("order_category_ids").isNotNull()
+        | F.col("pay_category_ids").isNotNull()
     )
-    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
-
-
-def total_counts(session_counts: DataFrame) -> DataFrame:
-    """The three counts per category, summed over the sessions."""
-    return session_counts.groupBy("category_id").agg(
-        *[F.sum(name).alias(name) for name in ("click_count", "order_count", "pay_count")]
+    return actions.where(active).select(
+        "session_id", "click_category_id", "order_category_ids", "pay_category_ids"
     )
 
 
@@ -136,20 +125,33 @@ def category_session_click_count(actions: DataFrame, keep_sentinel: bool = False
     )
 
 
-def top10_session(
-    session_clicks: DataFrame, top_categories: DataFrame, n: int = TOP_SESSIONS
+def top_category_clicks(
+    actions: DataFrame,
+    sessions: DataFrame,
+    top_categories: DataFrame,
+    keep_sentinel: bool = False,
 ) -> DataFrame:
-    """The sessions with the most clicks in each of the top categories.
+    """Clicks per top category and session, of the given sessions only.
 
-    ``top_categories`` has at most TOP_CATEGORIES rows, so it is broadcast.
+    The actions are first reduced to the top categories, which are few enough to
+    broadcast, and counted. A session that holds a large part of all clicks is then
+    one row per top category and task when it is shuffled.
     """
+    wanted = F.broadcast(top_categories.select(F.col("category_id").alias("click_category_id")))
+    clicks = actions.select("session_id", "click_category_id").join(
+        wanted, "click_category_id", "left_semi"
+    )
+    counts = category_session_click_count(clicks, keep_sentinel)
+    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
+
+
+def top10_session(session_clicks: DataFrame, n: int = TOP_SESSIONS) -> DataFrame:
+    """The sessions with the most clicks in each category."""
     most_clicks = Window.partitionBy("category_id").orderBy(
         F.desc("click_count"), F.asc("session_id")
     )
     return (
-        session_clicks.select("category_id", "session_id", "click_count")
-        .join(F.broadcast(top_categories.select("category_id")), "category_id", "left_semi")
-        .withColumn("rank", F.row_number().over(most_clicks))
+        session_clicks.withColumn("rank", F.row_number().over(most_clicks))
         .where(F.col("rank") <= n)
-        .drop("rank")
+        .select("category_id", "session_id", "click_count")
     )

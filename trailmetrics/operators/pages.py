@@ -1,6 +1,8 @@
 """Page steps within sessions and the conversion rates of a target page flow.
 
-A session may hold a large part of all actions, so it is never sorted as a whole:
+Most sessions are short: their views are sorted in a window per session. A session
+may also hold a large part of all actions, and such a *crowded* session is never
+sorted as a whole:
 
 1. Pages are reduced to *page classes*: each page of the flow, and each gap
    between two of them. Pages off the flow only break a chain, and which of them
@@ -13,18 +15,24 @@ A session may hold a large part of all actions, so it is never sorted as a whole
    (session, day), which sees at most 86,400 x (2K + 1) visits, action times being
    whole seconds. Steps from one day to the next come from each day's first and
    last visit, one row per session and day.
+
+Both ways are exact; which sessions take which only decides how fast it is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmetrics.functions import numbers
+from trailmetrics.runtime import materialize
 
+# A session of more actions than this is crowded; shorter ones fit one task's sort.
+CROWDED = 1_000_000
+_SAMPLE = 0.01
 _DAY_MICROS = 86_400 * 1_000_000
 
 
@@ -94,12 +102,16 @@ def _repeats(visits: DataFrame, flow: Sequence[int]) -> DataFrame:
     )
 
 
-def page_split_pairs(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """Consecutive page views of a session that are a step of the target flow.
+def _label(steps: Sequence[tuple[int, int]], is_step: Callable[[int, int], Column]) -> Column:
+    """The label of the step that a row is, or null."""
+    label = F.lit(None).cast("string")
+    for a, b in dict.fromkeys(steps):
+        label = F.when(is_step(a, b), step_label((a, b))).otherwise(label)
+    return label
 
-    ``pairs`` says how often the step starts at that time in that session. Views at
-    the same time count in the order of their page id.
-    """
+
+def _pairs_by_day(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """The steps of crowded sessions."""
     n = _class_count(flow)
     steps = flow_steps(flow)
     visits = _visits(actions, flow)
@@ -107,13 +119,10 @@ def page_split_pairs(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     if any(a == b for a, b in steps):
         moves = moves.unionAll(_repeats(visits, flow))
 
-    codes = {_class_of(flow, a) * n + _class_of(flow, b): step_label((a, b)) for a, b in steps}
-    code = F.expr(f"pmod(visit, {n}) * {n} + pmod(following, {n})").cast("int")
+    codes = F.expr(f"pmod(visit, {n}) * {n} + pmod(following, {n})")
+    label = _label(steps, lambda a, b: codes == _class_of(flow, a) * n + _class_of(flow, b))
     time = F.expr(f"timestamp_micros((visit - pmod(visit, {n})) div {n})")
-    label = F.lit(None).cast("string")
-    for number, text in codes.items():
-        label = F.when(code == number, text).otherwise(label)
-    return moves.where(code.isin(list(codes))).select(
+    return moves.select(
         "session_id",
         time.cast("timestamp_ntz").alias("action_time"),
         label.alias("page_split"),
@@ -121,6 +130,59 @@ def page_split_pairs(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     )
 
 
+def _pairs_by_session(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """The steps of sessions that one task can sort."""
+    in_time = Window.partitionBy("session_id").orderBy("action_time", "page_id")
+    page, following = F.col("page_id"), F.col("following")
+    label = _label(flow_steps(flow), lambda a, b: (page == a) & (following == b))
+    return (
+        actions.select("session_id", "action_time", "page_id")
+        .withColumn("following", F.lead("page_id").over(in_time))
+        .select(
+            "session_id",
+            "action_time",
+            label.alias("page_split"),
+            F.lit(1).cast("bigint").alias("pairs"),
+        )
+    )
+
+
+def crowded_sessions(
+    actions: DataFrame, limit: int = CROWDED, fraction: float = _SAMPLE
+) -> DataFrame:
+    """The sessions of more than about ``limit`` actions, judged by a sample.
+
+    They are at most one per ``limit`` actions, so they can be broadcast. They are
+    written down, so that every reader of a plan sees the same ones.
+    """
+    found = (
+        actions.select("session_id")
+        .sample(fraction, seed=0)
+        .groupBy("session_id")
+        .agg(F.count("*").alias("sampled"))
+        .where(F.col("sampled") > limit * fraction)
+        .select("session_id")
+    )
+    return materialize(found, "crowded-sessions")
+
+
+def page_split_pairs(
+    actions: DataFrame, flow: Sequence[int], crowded: DataFrame | None = None
+) -> DataFrame:
+    """Consecutive page views of a session that are a step of the target flow.
+
+    ``pairs`` says for how many such views a row stands. Views at the same time
+    count in the order of their page id. ``crowded`` names the sessions to cut into
+    days; by default a sample finds them.
+    """
+    views = actions.select("session_id", "action_time", "page_id")
+    large = F.broadcast(crowded_sessions(actions) if crowded is None else crowded)
+    short = views.join(large, "session_id", "left_anti")
+    long = views.join(large, "session_id", "left_semi")
+    pairs = _pairs_by_session(short, flow).unionAll(_pairs_by_day(long, flow))
+    return pairs.where(F.col("page_split").isNotNull())
+
+
 def page_split_pv(pairs: DataFrame) -> DataFrame:
     """How often each step was taken."""
     return pairs.groupBy("page_split").agg(F.sum("pairs").alias("pv"))

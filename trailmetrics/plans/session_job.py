@@ -40,24 +40,32 @@ def top_categories(counts: DataFrame) -> DataFrame:
     )
 
 
-def _session_columns(top: DataFrame) -> DataFrame:
-    return top.select(
+def matched_counts(
+    actions: DataFrame, found: DataFrame, keep_sentinel: bool = False
+) -> DataFrame:
+    """Click, order and payment counts per category, of the given sessions.
+
+    Only actions with a category are shuffled to meet their session, and only the
+    columns that are counted. A session with a large part of them is a skewed
+    partition of that join, which adaptive execution splits.
+    """
+    active = categories.with_activity(actions, keep_sentinel)
+    return categories.category_counts(sessions.filtered_actions(active, found), keep_sentinel)
+
+
+def top_sessions(
+    actions: DataFrame, found: DataFrame, top: DataFrame, keep_sentinel: bool = False
+) -> DataFrame:
+    """Top sessions of the top categories."""
+    top_categories = top.select(F.col("categoryid").alias("category_id"))
+    clicks = categories.top_category_clicks(actions, found, top_categories, keep_sentinel)
+    return categories.top10_session(clicks).select(
         F.col("category_id").alias("categoryid"),
         F.col("session_id").alias("sessionid"),
         F.col("click_count").alias("clickCount"),
     )
 
 
-def _category_ids(top: DataFrame) -> DataFrame:
-    return top.select(F.col("categoryid").alias("category_id"))
-
-
-def top_sessions(session_counts: DataFrame, top: DataFrame) -> DataFrame:
-    """Top sessions of the top categories, from counts per session and category."""
-    clicked = session_counts.where(F.col("click_count") > 0)
-    return _session_columns(categories.top10_session(clicked, _category_ids(top)))
-
-
 def _session_ids(df: DataFrame) -> DataFrame:
     return df.select(F.col("sessionid").alias("session_id"))
 
@@ -82,11 +90,11 @@ def run_session_job(
 ) -> None:
     """Write the five result tables.
 
-    What several results read is written once to the shared folder: the sessions
-    (one short row each), the counts per session and category, and the two small
-    lists. The raw actions are scanned four times and not shuffled as a whole: the
-    session roll-up and the counts combine them in each task, and the details take
-    them by broadcast.
+    The sessions, one short row each, are written once to the shared folder and
+    read by all results, as are the sample and the two top lists. The actions are
+    scanned for each result with the columns that it needs: the roll-up and the
+    click counts combine them in each task, the category counts shuffle those with
+    a category, and the details take theirs by broadcast.
     """
     found = materialize(sessions.filtered_sessions(actions, users, params), "sessions")
     sink(
@@ -100,13 +108,10 @@ def run_session_job(
         result_table(sample_detail(actions, sample), "session_detail", task_id), "session_detail"
     )
 
-    counts = materialize(
-        categories.session_category_counts(actions, found), "session-category-counts"
-    )
-    top = materialize(top_categories(categories.total_counts(counts)), "top-categories")
+    top = materialize(top_categories(matched_counts(actions, found)), "top-categories")
     sink(result_table(top, "top10_category", task_id), "top10_category")
 
-    top_list = materialize(top_sessions(counts, top), "top-sessions")
+    top_list = materialize(top_sessions(actions, found, top), "top-sessions")
     sink(result_table(top_list, "top10_session", task_id), "top10_session")
     sink(
         result_table(top_session_detail(actions, top_list), "session_detail", task_id),

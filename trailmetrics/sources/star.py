@@ -68,8 +68,22 @@ FROM {events}
 """
 
 
+# Stated, so that no job has to look into the files before a query is planned.
+_SCHEMAS = {
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_size int",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +133,8 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file, read as a stream, as ad log lines."""
-    schema = _read(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    return ad_lines(spark, events)
+    events = spark.readStream.schema(_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
+    return ad_lines(spark, events.parquet(sf_dir))
 
 
 def ad_lines(spark: SparkSession, events: DataFrame) -> DataFrame:
