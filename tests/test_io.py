@@ -68,6 +68,14 @@ def test_replace_table(spark):
     assert spark.table("replaced").count() == 2
 
 
+def test_replace_table_by_day(spark, actions_of):
+    actions = actions_of([{"action_time": at(d * 86_400, day=1)} for d in range(4)])
+    sinks.replace_table(actions, "user_visit_action", "date")
+    assert rows(tables.read_actions(spark, "user_visit_action", START, END)) == rows(
+        tables.action_scan(actions, START, END)
+    )
+
+
 def test_record_lines(spark, tmp_path):
     path = tmp_path / "lines.txt"
     path.write_text("1\tage=30|sex=male\n2\tage=|sex=female\nno record\n3\tsex=male|age=7\n")

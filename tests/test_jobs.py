@@ -109,3 +109,32 @@ def test_details_do_not_shuffle_the_actions(spark):
 def test_scans_read_only_the_needed_columns(spark):
     text = plan(entry_point.start_page_pv(spark, SF_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,props:string>" in text
+
+
+def test_crowded_session_is_split_in_the_session_join(spark):
+    """Adaptive execution cuts the skewed partition of the category counts' join."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    actions = spark.range(0, 200_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('s', id % 5000)) AS session_id",
+        "id * 7919 % 100003 AS click_category_id",
+        "cast(null AS string) AS order_category_ids",
+        "cast(null AS string) AS pay_category_ids",
+    )
+    found = actions.select("session_id").distinct()
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        counts = session_job.matched_counts(actions, found).groupBy().sum("click_count")
+        assert counts.collect()[0][0] == 200_000
+        text = plan(counts).split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in text
+    assert "and skewed" in text

@@ -125,6 +125,13 @@ def test_random_views_match_brute_force(actions_of, views, flow, crowded):
     assert {r["page_split"]: r["pv"] for r in split_pv.collect()} == by_step
 
 
+@pytest.mark.parametrize("crowded", [[], [None]])
+def test_views_without_a_session_id_are_one_session(actions_of, crowded):
+    items = clicks((at(0), 1), (at(1), 2), session=None) + clicks((at(0), 1), (at(2), 2))
+    found = pairs(actions_of(items), [1, 2], crowded)
+    assert found == {(None, at(0), "1_2"): 1, ("s1", at(0), "1_2"): 1}
+
+
 def rates(actions, flow):
     return [
         (r["step"], r["page_split"], r["pv"], r["convert_rate"])

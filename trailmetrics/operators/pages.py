@@ -176,9 +176,12 @@ def page_split_pairs(
     days; by default a sample finds them.
     """
     views = actions.select("session_id", "action_time", "page_id")
-    large = F.broadcast(crowded_sessions(actions) if crowded is None else crowded)
-    short = views.join(large, "session_id", "left_anti")
-    long = views.join(large, "session_id", "left_semi")
+    found = crowded_sessions(actions) if crowded is None else crowded
+    large = F.broadcast(found.select(F.col("session_id").alias("large_id")))
+    # Actions without a session id are a session like any other.
+    is_large = F.col("session_id").eqNullSafe(F.col("large_id"))
+    short = views.join(large, is_large, "left_anti")
+    long = views.join(large, is_large, "left_semi")
     pairs = _pairs_by_session(short, flow).unionAll(_pairs_by_day(long, flow))
     return pairs.where(F.col("page_split").isNotNull())
 

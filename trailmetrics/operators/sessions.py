@@ -169,8 +169,15 @@ def with_lists(sessions: DataFrame, actions: DataFrame, few: bool = True) -> Dat
 
 
 def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """The actions of the given sessions."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    """The actions of the given sessions; actions without a session id are one session.
+
+    The null-safe key also makes Spark shuffle both sides for this join alone, even
+    if the sessions are still partitioned by their roll-up. Only then can adaptive
+    execution split the partition of a session that holds a large part of all
+    actions.
+    """
+    given = sessions.select(F.col("session_id").alias("given_id"))
+    return actions.join(given, F.col("session_id").eqNullSafe(F.col("given_id")), "left_semi")
 
 
 def _class_count(measure: str, low: int, high: int | None) -> Column:

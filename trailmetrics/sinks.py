@@ -41,9 +41,12 @@ def result_sink(options: Mapping[str, str], fmt: str = "jdbc") -> Sink:
     return lambda df, table: write_result(df, table, options, fmt)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Replace a managed table, if there is one, by the rows."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, *partition_by: str) -> None:
+    """Replace a managed table, if there is one, by the rows.
+
+    Partition the actions by ``date``: a job then reads only the days it is for.
+    """
+    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -59,7 +59,7 @@ FROM {part}
 
 _AD_LINES = """
 SELECT concat_ws(' ',
-         unix_millis(cast(ts AS timestamp)),
+         timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts),
          concat('P', user_id % 5),
          concat('C', event_id % 10),
          user_id,
