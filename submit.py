@@ -43,7 +43,7 @@ def arguments(values=None) -> argparse.Namespace:
     ads.add_argument("--blacklist", required=True)
     ads.add_argument("--output", required=True)
     ads.add_argument("--checkpoint", required=True)
-    ads.add_argument("--partitions", type=int, default=400)
+    ads.add_argument("--partitions", type=int, default=None, help="tasks per batch")
     return parser.parse_args(values)
 
 

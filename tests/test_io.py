@@ -9,7 +9,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from trailmetrics import schemas, sinks
-from trailmetrics.runtime import materialize, shared_dir
+from trailmetrics.runtime import materialize, scratch, shared_dir
 from trailmetrics.sources import kafka, tables, text
 
 START, END = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
@@ -147,6 +147,16 @@ def test_materialized_rows_are_in_the_shared_folder(spark):
     assert kept.count() == 5
 
 
+def test_scratch_is_deleted_also_after_an_error(spark):
+    with pytest.raises(KeyError), scratch(spark, "job") as keep:
+        kept = keep(spark.range(5), "numbers")
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+        assert kept.count() == 5
+        assert os.path.isdir(folder)
+        raise KeyError
+    assert not os.path.exists(folder)
+
+
 class Session:
     """A session with nothing but settings."""
 

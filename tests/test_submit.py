@@ -66,6 +66,7 @@ def test_stored_tables_give_the_same_top_products(spark, stored, tmp_path):
 
 def test_stream_arguments():
     args = submit.arguments(
-        "ads --brokers h:9092 --topics t --blacklist b --output o --checkpoint c".split()
+        "ads --brokers h:9092 --topics t --blacklist b --output o --checkpoint c"
+        " --partitions 400".split()
     )
     assert (args.job, args.partitions) == ("ads", 400)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trailmetrics.functions import dates, strings
 from trailmetrics.operators import categories, details, sampling, sessions
 from trailmetrics.params import TaskParams
-from trailmetrics.runtime import materialize
+from trailmetrics.runtime import scratch
 from trailmetrics.sinks import Sink, result_table
 
 
@@ -93,27 +93,26 @@ def run_session_job(
     The sessions, one short row each, are written once to the shared folder and
     read by all results, as are the sample and the two top lists. The actions are
     scanned for each result with the columns that it needs: the roll-up and the
-    click counts combine them in each task, the category counts shuffle those with
-    a category, and the details take theirs by broadcast.
+    click counts combine them in each task, and the category counts shuffle those
+    with a category. Their details, all columns wide, are read in one scan for the
+    sample and the top sessions together, and take the sessions by broadcast.
     """
-    found = materialize(sessions.filtered_sessions(actions, users, params), "sessions")
-    sink(
-        result_table(sessions.session_aggr_stat(found), "session_aggr_stat", task_id),
-        "session_aggr_stat",
-    )
+    with scratch(actions.sparkSession, "session-job") as keep:
 
-    sample = materialize(session_sample(found, actions, seed), "sample")
-    sink(result_table(sample, "session_random_extract", task_id), "session_random_extract")
-    sink(
-        result_table(sample_detail(actions, sample), "session_detail", task_id), "session_detail"
-    )
+        def write(df: DataFrame, name: str) -> None:
+            sink(result_table(df, name, task_id), name)
 
-    top = materialize(top_categories(matched_counts(actions, found)), "top-categories")
-    sink(result_table(top, "top10_category", task_id), "top10_category")
+        found = keep(sessions.filtered_sessions(actions, users, params), "sessions")
+        write(sessions.session_aggr_stat(found), "session_aggr_stat")
 
-    top_list = materialize(top_sessions(actions, found, top), "top-sessions")
-    sink(result_table(top_list, "top10_session", task_id), "top10_session")
-    sink(
-        result_table(top_session_detail(actions, top_list), "session_detail", task_id),
-        "session_detail",
-    )
+        sample = keep(session_sample(found, actions, seed), "sample")
+        write(sample, "session_random_extract")
+
+        top = keep(top_categories(matched_counts(actions, found)), "top-categories")
+        write(top, "top10_category")
+
+        top_list = keep(top_sessions(actions, found, top), "top-sessions")
+        write(top_list, "top10_session")
+
+        chosen = sample.select("sessionid").unionAll(top_list.select("sessionid"))
+        write(top_session_detail(actions, chosen), "session_detail")
