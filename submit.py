@@ -77,6 +77,11 @@ def run_ads(spark: SparkSession, args: argparse.Namespace) -> None:
 
 if __name__ == "__main__":
     parsed = arguments()
-    session = SparkSession.builder.appName(f"trailmetrics-{parsed.job}").getOrCreate()
+    # Sort nothing for a join whose smaller side fits a hash table in each task.
+    session = (
+        SparkSession.builder.appName(f"trailmetrics-{parsed.job}")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128MB")
+        .getOrCreate()
+    )
     (run_ads if parsed.job == "ads" else run_batch)(session, parsed)
     session.stop()

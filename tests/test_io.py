@@ -92,7 +92,8 @@ def test_kafka_options():
     assert options["kafka.bootstrap.servers"] == "a:9092,b:9092"
     assert options["subscribe"] == "t1,t2"
     assert options["startingOffsets"] == "latest"
-    assert not any("commit" in key for key in options)
+    assert not any("commit" in key or "group" in key for key in options)
+    assert kafka.kafka_options("a:9092", "t", "readers")["kafka.group.id"] == "readers"
 
 
 def test_result_table_columns(spark):

@@ -5,6 +5,7 @@ from conftest import SF_DIR, rows
 
 import __spark_entry__ as entry_point
 from trailmetrics import sinks
+from trailmetrics.operators import sessions
 from trailmetrics.plans import page_job, product_job, session_job
 from trailmetrics.schemas import RESULT_COLUMNS
 from trailmetrics.sources import star, tables
@@ -111,30 +112,50 @@ def test_scans_read_only_the_needed_columns(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,props:string>" in text
 
 
-def test_crowded_session_is_split_in_the_session_join(spark):
-    """Adaptive execution cuts the skewed partition of the category counts' join."""
-    small = {
+@pytest.fixture
+def tiny_skew(spark):
+    """Settings under which small partitions count as skewed and nothing is broadcast."""
+    settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
-    before = {key: spark.conf.get(key) for key in small}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def executed(df):
+    df.collect()
+    return plan(df).split("Initial Plan")[0]
+
+
+def test_crowded_session_is_split_in_the_session_join(spark, tiny_skew):
     actions = spark.range(0, 200_000, 1, 8).selectExpr(
         "if(id % 3 = 0, 'hot', concat('s', id % 5000)) AS session_id",
         "id * 7919 % 100003 AS click_category_id",
         "cast(null AS string) AS order_category_ids",
         "cast(null AS string) AS pay_category_ids",
     )
-    found = actions.select("session_id").distinct()
-    try:
-        for key, value in small.items():
-            spark.conf.set(key, value)
-        counts = session_job.matched_counts(actions, found).groupBy().sum("click_count")
-        assert counts.collect()[0][0] == 200_000
-        text = plan(counts).split("Initial Plan")[0]
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-    assert "SortMergeJoin(skew=true)" in text
-    assert "and skewed" in text
+    counts = session_job.matched_counts(actions, actions.select("session_id").distinct())
+    counts = counts.groupBy().sum("click_count")
+    assert counts.collect()[0][0] == 200_000
+    assert "SortMergeJoin(skew=true)" in executed(counts)
+
+
+def test_busy_user_is_split_in_the_user_join(spark, users_of, tiny_skew):
+    actions = spark.range(0, 200_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 7, 100 + id % 999) AS user_id",
+        "md5(cast(id AS string)) AS session_id",
+        "timestamp_ntz'2024-01-05 10:00:00' AS action_time",
+        "cast(null AS string) AS search_keyword",
+        "-1L AS click_category_id",
+    )
+    users = users_of([{"user_id": u} for u in [7, *range(100, 1099)]])
+    stat = sessions.session_aggr_stat(sessions.filtered_sessions(actions, users, PARAMS))
+    assert stat.collect()[0].session_count == 200_000
+    assert "SortMergeJoin(skew=true)" in executed(stat)

@@ -104,9 +104,9 @@ def _repeats(visits: DataFrame, flow: Sequence[int]) -> DataFrame:
 
 def _label(steps: Sequence[tuple[int, int]], is_step: Callable[[int, int], Column]) -> Column:
     """The label of the step that a row is, or null."""
-    label = F.lit(None).cast("string")
+    label = F.when(F.lit(False), "")
     for a, b in dict.fromkeys(steps):
-        label = F.when(is_step(a, b), step_label((a, b))).otherwise(label)
+        label = label.when(is_step(a, b), step_label((a, b)))
     return label
 
 

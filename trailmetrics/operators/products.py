@@ -66,10 +66,10 @@ def area_full_product_click_count(counts: DataFrame, products: DataFrame) -> Dat
 
 
 def area_level(area: Column) -> Column:
-    level = F.lit(OTHER_LEVEL)
+    level = F.when(F.lit(False), OTHER_LEVEL)
     for name, areas in AREA_LEVELS.items():
-        level = F.when(area.isin(areas), name).otherwise(level)
-    return level
+        level = level.when(area.isin(areas), name)
+    return level.otherwise(OTHER_LEVEL)
 
 
 def area_top3_product(

@@ -12,12 +12,23 @@ from trailmetrics.runtime import scratch
 from trailmetrics.sinks import Sink, result_table
 
 
-def session_sample(found: DataFrame, actions: DataFrame, seed: int = 0, **sizes) -> DataFrame:
+# A sample of up to this size is broadcast to find its actions.
+FEW = 100_000
+
+
+def session_sample(
+    found: DataFrame,
+    actions: DataFrame,
+    seed: int = 0,
+    sample_size: int = sampling.SAMPLE_SIZE,
+    extra: int = 1,
+) -> DataFrame:
     """The sampled sessions with start time, keywords and categories."""
-    quotas = sampling.session_extract_quota(sampling.session_hour_count(found), **sizes)
-    sample = sampling.session_random_extract(found, quotas, seed, **sizes)
+    hours = sampling.session_hour_count(found)
+    quotas = sampling.session_extract_quota(hours, sample_size, extra)
+    sample = sampling.session_random_extract(found, quotas, seed, sample_size, extra)
     chosen = sample.select("session_id", "start_time")
-    return _extract_columns(sessions.with_lists(chosen, actions))
+    return _extract_columns(sessions.with_lists(chosen, actions, sample_size <= FEW))
 
 
 def _extract_columns(sample: DataFrame) -> DataFrame:
