@@ -135,18 +135,19 @@ def category_pay_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return categories.category_pay_count(_matched(spark, sf_dir))
 
 
+def _active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.filtered_actions(
+        categories.with_activity(_actions(spark, sf_dir)), _sessions(spark, sf_dir)
+    )
+
+
 def active_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.active_categories(_matched(spark, sf_dir))
+    return categories.active_categories(_active(spark, sf_dir))
 
 
 def category_counts_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Four results read the matched actions, so they are written once.
-    actions = materialize(
-        _matched(spark, sf_dir).select(
-            "click_category_id", "order_category_ids", "pay_category_ids"
-        ),
-        "matched-categories",
-    )
+    actions = materialize(_active(spark, sf_dir), "active-actions")
     return categories.category_counts_joined(
         categories.active_categories(actions),
         categories.category_click_count(actions),

@@ -73,6 +73,21 @@ def test_product_job(spark, written):
     check(read(name), name, entry_point.area_top3_product(spark, SF_DIR))
 
 
+def test_jobs_without_any_action(spark, written, actions_of, users_of):
+    sink, read = written
+    nothing = actions_of([])
+    session_job.run_session_job(nothing, users_of([{}]), PARAMS, "t1", sink)
+    page_job.run_page_job(nothing, PARAMS, "t1", sink)
+    product_job.run_product_job(
+        nothing, tables.city_info(spark), star.product_info(spark, SF_DIR), PARAMS, "t1", sink
+    )
+    assert [r["session_count"] for r in rows(read("session_aggr_stat"))] == [0]
+    assert rows(read("page_split_convert_rate"))[0]["convertRate"].startswith("1_2=|2_3=|")
+    for name in ("session_random_extract", "session_detail", "top10_category", "top10_session"):
+        assert rows(read(name)) == []
+    assert rows(read("area_top3_product")) == []
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
