@@ -161,6 +161,21 @@ def test_filters(actions_of, users_of, values, expected):
     assert sorted(r["user_id"] for r in rows(full)) == expected
 
 
+def test_keyword_that_is_the_no_value_mark(actions_of, users_of):
+    items = [
+        {"session_id": "only", "search_keyword": "-1"},
+        {"session_id": "only", "search_keyword": ""},
+        {"session_id": "with another", "search_keyword": "-1"},
+        {"session_id": "with another", "search_keyword": "a"},
+        {"session_id": "without", "search_keyword": "a"},
+    ]
+    actions, users, wanted = actions_of(items), users_of([{}]), params(keywords="-1")
+    lean = sessions.filtered_sessions(actions, users, wanted)
+    full = sessions.session_filter(sessions.session_aggregate(actions, users), wanted)
+    assert [r["session_id"] for r in rows(lean)] == ["with another"]
+    assert [r["session_id"] for r in rows(full)] == ["with another"]
+
+
 def starts(spark, counts):
     """Sessions per (day, hour), as the filter returns them."""
     items = [

@@ -115,8 +115,7 @@ def session_filter(sessions: DataFrame, params: TaskParams) -> DataFrame:
     predicates = _user_predicates(params)
     if params.keywords:
         # Items of a keyword that itself holds commas count one by one.
-        words = F.split(F.array_join("search_keywords", ","), ",")
-        predicates.append(ids.any_in(words, params.keywords))
+        predicates.append(ids.text_in(F.array_join("search_keywords", ","), params.keywords))
     if params.category_ids:
         predicates.append(ids.any_in(F.col("click_category_ids"), params.category_ids))
     return sessions.where(_all_of(predicates))
@@ -130,8 +129,12 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
     """
     flags = []
     if params.keywords:
-        hit = ids.text_in(F.col("search_keyword"), params.keywords)
-        flags.append(F.max(hit).alias("keyword_hit"))
+        word = F.col("search_keyword")
+        hit = F.max(ids.any_in(F.split(word, ","), params.keywords))
+        if str(NO_CLICK) in params.keywords:
+            # A session whose only keyword is the no-value mark has none.
+            hit = hit & F.max(F.coalesce(~word.isin("", str(NO_CLICK)), F.lit(False)))
+        flags.append(hit.alias("keyword_hit"))
     if params.category_ids:
         hit = F.coalesce(F.col("click_category_id").isin(*params.category_ids), F.lit(False))
         flags.append(F.max(hit & ids.is_click(F.col("click_category_id"))).alias("category_hit"))
