@@ -20,6 +20,15 @@ from trailmetrics.runtime import materialize, new_folder  # noqa: E402
 from trailmetrics.sources import star, tables, text  # noqa: E402
 from trailmetrics.streaming import ad_clicks  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from trailmetrics.llm import queries as corpus_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    # The corpus operators may be left out; a fault inside them is not hidden.
+    if missing.name not in {"corpus_pipeline", "trailmetrics.llm"}:
+        raise
+    corpus_pipeline = corpus_queries = None
+
 SEED = 7
 PARAMS = TaskParams.from_dict(
     {
@@ -314,7 +323,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name; each takes (spark, sf_dir)."""
-    return {
+    found = {
         "action_scan": action_scan,
         "click_scan": click_scan,
         "session_aggregate": session_aggregate,
@@ -352,11 +361,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kv_fields": kv_fields,
         "kv_set": kv_set,
     }
+    if corpus_queries is not None:
+        found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results in DuckDB SQL, for each key of `queries()`."""
-    return oracle_queries.build(
+    """The same results in DuckDB SQL, by the keys of `queries()`."""
+    found = oracle_queries.build(
         start=PARAMS.start_date.isoformat(),
         end=PARAMS.end_date.isoformat(),
         scan=(SCAN_PARAMS.start_date.isoformat(), SCAN_PARAMS.end_date.isoformat()),
@@ -365,3 +377,8 @@ def oracle_sql() -> dict[str, str]:
         flow=FLOW,
         seed=SEED,
     )
+    if corpus_queries is not None:
+        found |= corpus_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

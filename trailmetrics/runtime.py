@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,3 +56,48 @@ def scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str
     finally:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Scratch:
+    """Intermediate tables of one run, in a database of their own.
+
+    The database lies in the folder that the cluster names in
+    ``spark.checkpoint.dir``, or in the session's warehouse where that setting
+    is missing; every executor can read either. Later steps start from files
+    that outlive any executor, see their true size when a join is planned, and
+    read only the columns they need. `close` deletes the whole folder; it runs
+    at the end of the program at the latest.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self._spark = spark
+        self._name = f"scratch_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        place = f" LOCATION '{shared.rstrip('/')}/{self._name}'" if shared else ""
+        spark.sql(f"CREATE DATABASE {self._name}{place}")
+        atexit.register(self.close)
+
+    @property
+    def folder(self) -> str:
+        """The folder of the database, for a stream's files."""
+        return self._spark.catalog.getDatabase(self._name).locationUri
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write the rows as a table and read them back."""
+        table = f"{self._name}.{name.replace('-', '_')}"
+        df.write.mode("overwrite").saveAsTable(table)
+        return self._spark.table(table)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later step reads."""
+        for name in names:
+            self._spark.sql(f"DROP TABLE IF EXISTS {self._name}.{name.replace('-', '_')}")
+
+    def close(self) -> None:
+        """Delete every table and the folder; a stopped session leaves them."""
+        atexit.unregister(self.close)
+        try:
+            self._spark.sql(f"DROP DATABASE IF EXISTS {self._name} CASCADE")
+        except (PySparkException, OSError, AttributeError):
+            # The session has ended, and its catalog with it.
+            return
