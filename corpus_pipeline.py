@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmetrics.llm import decontaminate, line_dedup, mixing
+from trailmetrics.llm import decontaminate, line_dedup, minhash, mixing
 from trailmetrics.runtime import Scratch
 
 
@@ -13,6 +13,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return line_dedup.dedup_lines(docs, Scratch(spark, "line_dedup"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates."""
+    return minhash.drop_near_duplicates(docs, Scratch(spark, "minhash"))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that are not contaminated by benchmark items."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -26,6 +31,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_contaminated),
     ("mixing sources", mix_sources),
 ]

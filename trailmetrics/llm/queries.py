@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmetrics.llm import decontaminate, line_dedup, mixing, oracle
+from trailmetrics.llm import decontaminate, line_dedup, minhash, mixing, oracle
 from trailmetrics.runtime import Scratch
 
 
@@ -36,6 +36,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near-duplicates of each document."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark, "minhash"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document shares with benchmark items."""
     judged = decontaminate.contamination(
@@ -57,6 +62,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
+    "op3_minhash": op3_minhash,
     "op7_decontamination": op7_decontamination,
 }
 
