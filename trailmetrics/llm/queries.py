@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmetrics.llm import decontaminate, line_dedup, minhash, mixing, oracle
+from trailmetrics.llm import decontaminate, line_dedup, minhash, mixing, oracle, substrings
 from trailmetrics.runtime import Scratch
 
 
@@ -41,6 +41,13 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark, "minhash"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without passages of earlier ones."""
+    return substrings.dedup_passages(
+        _table(spark, sf_dir, "documents"), Scratch(spark, "substrings")
+    ).drop("kept")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document shares with benchmark items."""
     judged = decontaminate.contamination(
@@ -63,6 +70,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
 }
 
