@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmetrics.llm import decontaminate, line_dedup, minhash, mixing, oracle, substrings
+from trailmetrics.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    lm_score,
+    minhash,
+    mixing,
+    oracle,
+    substrings,
+)
 from trailmetrics.runtime import Scratch
 
 
@@ -66,12 +75,31 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How near each document is to those that are labelled good."""
+    labels = _table(spark, sf_dir, "labels")
+    good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
+    return lm_score.score(_table(spark, sf_dir, "documents"), good)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, learned from three quarters of them."""
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    model = language_id.fit(documents.where(~held_out), Scratch(spark, "language_id"))
+    return language_id.predict(documents, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL = {
