@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmetrics.llm.common import ALNUM_WORD, ID, TEXT_HASH, lower_ascii, with_row_key
+from trailmetrics.llm.common import (
+    ALNUM_WORD,
+    ALNUM_WORD_ANY_CASE,
+    ID,
+    TEXT_HASH,
+    lower_ascii,
+    with_row_key,
+)
 from trailmetrics.runtime import Scratch
 
 _WORDS, _ANCHOR, _OFFSET, _LENGTH = "__llm_words", "__llm_anchor", "__llm_offset", "__llm_length"
@@ -120,7 +127,7 @@ def contamination(
         with_row_key(documents)
         .withColumn(
             "__llm_n_words",
-            F.coalesce(F.size(words(F.col("text"))), F.lit(0)).cast("long"),
+            F.coalesce(F.regexp_count("text", F.lit(ALNUM_WORD_ANY_CASE)), F.lit(0)).cast("long"),
         )
         .join(covered.join(items, row, "left"), row, "left")
         .drop(*row)
