@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmetrics.llm import decontaminate, line_dedup, minhash, mixing
+from trailmetrics.llm import decontaminate, line_dedup, minhash, mixing, toxicity
 from trailmetrics.runtime import Scratch
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the severity model does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.drop_toxic(docs, labels, Scratch(spark, "toxicity"))
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take lines that many documents repeat out of the texts."""
     return line_dedup.dedup_lines(docs, Scratch(spark, "line_dedup"))
@@ -30,13 +36,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line dedup", drop_repeated_lines),
     ("MinHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_contaminated),
     ("mixing sources", mix_sources),
 ]
 
-# Newton's method and the near-duplicate stage have no form in SQL.
+# The severity model, the sketches and Newton's method have no form in SQL.
 ORACLE_SQL = None
 
 

@@ -14,6 +14,7 @@ from trailmetrics.llm import (
     mixing,
     oracle,
     substrings,
+    toxicity,
 )
 from trailmetrics.runtime import Scratch
 
@@ -50,6 +51,13 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark, "minhash"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of toxic language in each document."""
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, _table(spark, sf_dir, "labels"), Scratch(spark, "toxicity"))
+    return toxicity.score(documents, model)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without passages of earlier ones."""
     return substrings.dedup_passages(
@@ -96,6 +104,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
+    "op4_toxicity": op4_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
