@@ -15,6 +15,7 @@ from trailmetrics.llm import (
     oracle,
     substrings,
     toxicity,
+    url_filter,
 )
 from trailmetrics.runtime import Scratch
 
@@ -83,6 +84,24 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Host, path and verdict of each rule.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, verdict string")
+    return url_filter.filter_urls(
+        _table(spark, sf_dir, "pages"), rules, Scratch(spark, "url_filter")
+    ).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How near each document is to those that are labelled good."""
     labels = _table(spark, sf_dir, "labels")
@@ -107,6 +126,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_url_filter": op8_url_filter,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
 }
