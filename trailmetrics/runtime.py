@@ -71,7 +71,9 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self._spark = spark
-        self._name = f"scratch_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+        self._name = f"scratch_{name}_{uuid.uuid4().hex}"
+        self._tables: dict[str, str] = {}
+        self._written = 0
         shared = spark.conf.get("spark.checkpoint.dir", None)
         place = f" LOCATION '{shared.rstrip('/')}/{self._name}'" if shared else ""
         spark.sql(f"CREATE DATABASE {self._name}{place}")
@@ -83,15 +85,17 @@ class Scratch:
         return self._spark.catalog.getDatabase(self._name).locationUri
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write the rows as a table and read them back."""
-        table = f"{self._name}.{name.replace('-', '_')}"
-        df.write.mode("overwrite").saveAsTable(table)
+        """Write the rows as a table of its own and read them back."""
+        self._written += 1
+        table = f"{self._name}.{name}_{self._written}"
+        df.write.saveAsTable(table)
+        self._tables[name] = table
         return self._spark.table(table)
 
-    def drop(self, *names: str) -> None:
-        """Delete tables that no later step reads."""
-        for name in names:
-            self._spark.sql(f"DROP TABLE IF EXISTS {self._name}.{name.replace('-', '_')}")
+    def drop(self, name: str) -> None:
+        """Delete the last table of this name, once no later step reads it."""
+        if name in self._tables:
+            self._spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop(name)}")
 
     def close(self) -> None:
         """Delete every table and the folder; a stopped session leaves them."""
