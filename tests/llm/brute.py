@@ -1,0 +1,168 @@
+"""Plain versions of the corpus operators, for small inputs."""
+
+import hashlib
+import re
+import string
+from collections import Counter, defaultdict
+
+import numpy as np
+
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+_SPACE = "[ \t-\r]"
+
+
+def lower(text):
+    return (text or "").translate(_LOWER)
+
+
+def spaced(text):
+    return re.findall(r"[^ \t-\r]+", text or "")
+
+
+def alnum(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+
+
+def sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+class Union:
+    def __init__(self, items):
+        self.up = {item: item for item in items}
+
+    def find(self, item):
+        while self.up[item] != item:
+            item = self.up[item]
+        return item
+
+    def join(self, a, b):
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+def line_dedup(rows, length=40, documents=5):
+    """rows: (doc_id, text); gives (doc_id, lines, dropped, text)."""
+
+    def key(line):
+        return lower(re.sub(rf"^{_SPACE}+|{_SPACE}+$", "", line))
+
+    holders = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= length:
+                holders[key(line)].add(doc_id)
+    result = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [
+            line
+            for line in lines
+            if len(holders.get(key(line), ())) < documents or doc_id == max(holders[key(line)])
+        ]
+        result.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return result
+
+
+def shingles(text, size=5):
+    words = spaced(lower(text))
+    if not words:
+        return frozenset()
+    size = min(size, len(words))
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def near_duplicates(rows):
+    """rows: (doc_id, text) with ids that differ; gives (doc_id, size, component)."""
+    sets = {doc_id: shingles(text) for doc_id, text in rows}
+    union, ids = Union(sets), sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                union.join(a, b)
+    return [(doc_id, len(sets[doc_id]), union.find(doc_id)) for doc_id in ids]
+
+
+def passages(rows, window=50):
+    """rows: (doc_id, text) with ids that differ; gives (doc_id, words, removed, text)."""
+    seen, result = set(), []
+    for doc_id, text in sorted(rows):
+        words = spaced(text)
+        windows = [tuple(words[i : i + window]) for i in range(len(words) - window + 1)]
+        covered = {i + k for i, w in enumerate(windows) if w in seen for k in range(window)}
+        seen |= set(windows)
+        kept = " ".join(word for i, word in enumerate(words) if i not in covered)
+        result.append((doc_id, len(words), len(covered), kept))
+    return result
+
+
+def contamination(rows, items, size=13):
+    """rows: (doc_id, text); items: (item_id, text); gives (doc_id, words, hit, items)."""
+    windows = defaultdict(set)
+    for item_id, text in items:
+        words = alnum(text)
+        n = min(size, len(words))
+        for i in range(len(words) - n + 1 if n else 0):
+            windows[tuple(words[i : i + n])].add(str(item_id))
+    result = []
+    for doc_id, text in rows:
+        words, hit, found = alnum(text), set(), set()
+        for n in {len(window) for window in windows}:
+            for i in range(len(words) - n + 1):
+                if tuple(words[i : i + n]) in windows:
+                    hit |= set(range(i, i + n))
+                    found |= windows[tuple(words[i : i + n])]
+        result.append((doc_id, len(words), len(hit), sorted(found)))
+    return result
+
+
+def contaminated(row):
+    return row[2] > 0 and 20 * row[2] >= row[1]
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5):
+    """sizes: words by source; gives the target of each source."""
+    order = sorted(sizes, key=lambda source: (source is None, source or ""))
+    weight = {source: weights[i % len(weights)] for i, source in enumerate(order)}
+    left, full = share * sum(sizes.values()), set()
+    while len(full) < len(order):
+        open_weight = sum(weight[s] for s in order if s not in full)
+        level = (left - sum(2 * sizes[s] for s in full)) / open_weight
+        over = {s for s in order if s not in full and weight[s] * level > 2 * sizes[s]}
+        if not over:
+            break
+        full |= over
+    return {s: 2 * sizes[s] if s in full else weight[s] * level for s in order}
+
+
+def cosine_links(rows, threshold=0.98):
+    """rows: (vec_id, vector, label) that can be linked; gives (vec_id, links, component)."""
+    by_label = defaultdict(list)
+    for vec_id, vector, label in rows:
+        by_label[label, len(vector)].append((vec_id, np.array(vector, float)))
+    union, links = Union([row[0] for row in rows]), Counter()
+    for members in by_label.values():
+        matrix = np.array([vector / np.linalg.norm(vector) for _, vector in members])
+        for a, b in zip(*np.nonzero(matrix @ matrix.T >= threshold)):
+            if a != b:
+                links[members[a][0]] += 1
+                union.join(members[a][0], members[b][0])
+    return [(row[0], links[row[0]], union.find(row[0])) for row in rows]
+
+
+def url_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1], re.S).groups()
+    return lower(host), path
+
+
+def url_rule(host, path, rules):
+    """The longest rule that fits, and its verdict."""
+    fitting = [
+        (-len(h + p), h + p, verdict)
+        for h, p, verdict in rules
+        if (host == h or host.endswith(f".{h}")) and path.startswith(p)
+    ]
+    return min(fitting)[1:] if fitting else (None, None)
