@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trailmetrics.llm import (
     decontaminate,
+    embeddings,
     language_id,
     line_dedup,
     lm_score,
@@ -59,6 +60,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model)
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links and the group of each embedding."""
+    return embeddings.near_duplicates(
+        _table(spark, sf_dir, "embeddings"), Scratch(spark, "embeddings")
+    )
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without passages of earlier ones."""
     return substrings.dedup_passages(
@@ -124,6 +132,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
     "op4_toxicity": op4_toxicity,
+    "op5_embeddings": op5_embeddings,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_url_filter": op8_url_filter,
