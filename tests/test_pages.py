@@ -5,6 +5,7 @@ from conftest import at, rows
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trailmetrics.operators import pages
@@ -32,23 +33,17 @@ def brute_force(items, flow):
     return found
 
 
-def pairs(actions, flow, crowded=()):
-    spark = actions.sparkSession
-    large = spark.createDataFrame([(session,) for session in crowded], "session_id string")
+def pairs(actions, flow):
     return {
         (r["session_id"], r["action_time"], r["page_split"]): r["pairs"]
-        for r in pages.page_split_pairs(actions, flow, large)
+        for r in pages.page_split_pairs(actions, flow)
         .groupBy("session_id", "action_time", "page_split")
         .agg(F.sum("pairs").alias("pairs"))
         .collect()
     }
 
 
-CROWDED = pytest.mark.parametrize("crowded", [[], ["s1"], ["s1", "s2"]])
-
-
-@CROWDED
-def test_steps_cross_midnight_and_whole_days(actions_of, crowded):
+def test_steps_cross_midnight_and_whole_days(actions_of):
     midnight = dt.datetime(2024, 1, 6)
     items = clicks(
         (midnight - dt.timedelta(seconds=1), 1),
@@ -58,39 +53,35 @@ def test_steps_cross_midnight_and_whole_days(actions_of, crowded):
         (midnight + dt.timedelta(days=9), 2),
     )
     flow = [1, 2, 3]
-    assert pairs(actions_of(items), flow, crowded) == dict(brute_force(items, flow))
+    assert pairs(actions_of(items), flow) == dict(brute_force(items, flow))
     assert pages.page_split_pv(pages.page_split_pairs(actions_of(items), flow)).count() == 1
 
 
-@CROWDED
-def test_times_before_1970(actions_of, crowded):
+def test_times_before_1970(actions_of):
     epoch = dt.datetime(1970, 1, 1)
     items = clicks(*[(epoch + dt.timedelta(hours=h), 1 + h % 3) for h in range(-60, 60, 7)])
     flow = [1, 2, 3, 1]
-    assert pairs(actions_of(items), flow, crowded) == dict(brute_force(items, flow))
+    assert pairs(actions_of(items), flow) == dict(brute_force(items, flow))
 
 
-@CROWDED
-def test_same_second_orders_by_page(actions_of, crowded):
+def test_same_second_orders_by_page(actions_of):
     items = clicks((at(0), 2), (at(0), 1), (at(1), 5), (at(1), 3), (at(1), 4))
-    assert set(pairs(actions_of(items), [1, 2, 3], crowded)) == {
+    assert set(pairs(actions_of(items), [1, 2, 3])) == {
         ("s1", at(0), "1_2"),
         ("s1", at(0), "2_3"),
     }
 
 
-@CROWDED
-def test_pages_off_the_flow_break_a_step(actions_of, crowded):
+def test_pages_off_the_flow_break_a_step(actions_of):
     items = clicks((at(0), 1), (at(1), 99), (at(2), 2)) + clicks(
         (at(0), 1), (at(0), 0), (at(0), 2), session="s2"
     )
-    assert set(pairs(actions_of(items), [1, 2], crowded)) == {("s2", at(0), "1_2")}
+    assert set(pairs(actions_of(items), [1, 2])) == {("s2", at(0), "1_2")}
 
 
-@CROWDED
-def test_page_without_id_breaks_a_step(actions_of, crowded):
+def test_page_without_id_breaks_a_step(actions_of):
     items = clicks((at(0), 1), (at(1), None), (at(2), 2))
-    assert pairs(actions_of(items), [1, 2], crowded) == {}
+    assert pairs(actions_of(items), [1, 2]) == {}
 
 
 @settings(
@@ -109,15 +100,14 @@ def test_page_without_id_breaks_a_step(actions_of, crowded):
         max_size=60,
     ),
     flow=st.lists(st.integers(0, 6), min_size=2, max_size=6),
-    crowded=st.sets(st.sampled_from(["s1", "s2"])),
 )
-def test_random_views_match_brute_force(actions_of, views, flow, crowded):
+def test_random_views_match_brute_force(actions_of, views, flow):
     items = [
         {"session_id": s, "page_id": page, "action_time": at(second * 9000, day=5 + day)}
         for s, second, page, day in views
     ]
     expected = brute_force(items, flow)
-    assert pairs(actions_of(items), flow, crowded) == dict(expected)
+    assert pairs(actions_of(items), flow) == dict(expected)
     by_step = Counter()
     for (_, _, label), n in expected.items():
         by_step[label] += n
@@ -125,10 +115,9 @@ def test_random_views_match_brute_force(actions_of, views, flow, crowded):
     assert {r["page_split"]: r["pv"] for r in split_pv.collect()} == by_step
 
 
-@pytest.mark.parametrize("crowded", [[], [None]])
-def test_views_without_a_session_id_are_one_session(actions_of, crowded):
+def test_views_without_a_session_id_are_one_session(actions_of):
     items = clicks((at(0), 1), (at(1), 2), session=None) + clicks((at(0), 1), (at(2), 2))
-    found = pairs(actions_of(items), [1, 2], crowded)
+    found = pairs(actions_of(items), [1, 2])
     assert found == {(None, at(0), "1_2"): 1, ("s1", at(0), "1_2"): 1}
 
 
@@ -175,44 +164,95 @@ def test_rates_do_not_depend_on_row_order(actions_of):
     assert rows(page_job.convert_rates(actions_of(items[::-1]).repartition(7), flow)) == first
 
 
+def test_actions_without_a_time_come_first(actions_of):
+    times = [(at(1), 2), (at(2), 3)]
+    actions = actions_of(clicks((at(0), 1), (at(0), 5), *times)).withColumn(
+        "action_time",
+        F.when(F.col("page_id").isin(1, 5), F.lit(None)).otherwise(F.col("action_time")),
+    )
+    assert pairs(actions, [5, 2, 3]) == {("s1", None, "5_2"): 1, ("s1", at(1), "2_3"): 1}
+    assert pairs(actions, [1, 5]) == {("s1", None, "1_5"): 1}
+
+
+def test_times_have_no_zone(spark, actions_of):
+    # New York has no 02:30 on this day.
+    views = [(dt.datetime(2024, 3, 10, 2, 30), 1), (dt.datetime(2024, 3, 10, 3, 10), 2)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert pairs(actions_of(clicks(*views)), [1, 2]) == {("s1", views[0][0], "1_2"): 1}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_times_of_milliseconds(actions_of):
+    start = dt.datetime(2024, 1, 5, 10, 59, 59, 990_000)
+    items = clicks(*[(start + dt.timedelta(milliseconds=i), i % 3) for i in range(60)])
+    assert pairs(actions_of(items), [0, 1, 2]) == dict(brute_force(items, [0, 1, 2]))
+
+
 @pytest.fixture(scope="module")
 def crowd(spark):
-    """One session with nearly all rows, over 16 days."""
-    return spark.range(200_000).select(
-        F.when(F.col("id") % 10 == 0, F.concat(F.lit("s"), F.col("id") % 97))
-        .otherwise("hot")
-        .alias("session_id"),
-        (F.col("id") % 13).alias("page_id"),
-        F.expr(
-            "timestamp_ntz'2024-01-05 00:00:00'"
-            " + make_dt_interval(cast(id % 16 AS int), 0, 0, cast(id % 1000 AS int))"
-        ).alias("action_time"),
+    """One session with a third of all rows in one day, others over 16 days."""
+    hot = F.col("id") % 3 == 0
+    seconds = F.when(hot, F.col("id") % 80_000).otherwise(F.col("id") % 1000)
+    return spark.range(60_000).select(
+        F.when(hot, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 97)).alias("session_id"),
+        (F.col("id") * 7 % 13).alias("page_id"),
+        F.timestamp_add(
+            "SECOND",
+            seconds,
+            F.expr("timestamp_ntz'2024-01-05 00:00:00' + make_dt_interval(cast(id % 16 AS int))"),
+        )
+        .cast("timestamp_ntz")
+        .alias("action_time"),
     )
 
 
-def test_a_sample_finds_the_crowded_session(crowd):
-    found = pages.crowded_sessions(crowd, limit=20_000)
-    assert [r.session_id for r in found.collect()] == ["hot"]
-    assert pages.crowded_sessions(crowd).count() == 0
+def test_a_crowded_session_gives_the_same_steps(crowd):
+    flow = [1, 2, 3, 3, 7]
+    in_time = Window.partitionBy("session_id").orderBy("action_time", "page_id")
+    moves = crowd.withColumn("following", F.lead("page_id").over(in_time))
+    wanted = moves.select(F.concat_ws("_", "page_id", "following").alias("page_split"))
+    labels = [pages.step_label(step) for step in pages.flow_steps(flow)]
+    expected = wanted.where(F.col("page_split").isin(labels)).groupBy("page_split").count()
+    found = pages.page_split_pv(pages.page_split_pairs(crowd, flow))
+    assert rows(found) == rows(expected.withColumnRenamed("count", "pv"))
+    assert expected.count() >= 3
 
 
-def test_crowded_session_gives_the_same_steps(crowd):
-    flow = [1, 2, 3, 3, 7]
-    steps = [
-        rows(pages.page_split_pv(pages.page_split_pairs(crowd, flow, found)))
-        for found in (crowd.select("session_id").limit(0), pages.crowded_sessions(crowd, 20_000))
-    ]
-    assert steps[0] == steps[1]
-    assert steps[0]
+def test_no_window_sorts_the_visits_of_a_whole_session(crowd):
+    text = pages.flow_views(crowd, [1, 2])._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in text.splitlines() if " Window [" in line]
+    # Visits within an hour, hours within a day, days within a session.
+    assert len(windows) == 3
+    assert [line for line in windows if "action_time" in line and "hour" in line] == windows[2:]
 
 
-def test_crowded_session_is_combined_and_cut_into_days(crowd):
-    visits = pages._visits(crowd, [1, 2, 3])
-    days = (
-        visits.where("session_id = 'hot'")
-        .groupBy(F.expr(f"visit div {pages._DAY_MICROS * 7}").alias("day"))
-        .count()
-        .collect()
+def test_counts_agree_with_the_pairs(crowd):
+    flow = [1, 2, 3, 3, 7]
+    pairs_pv = pages.page_split_pv(pages.page_split_pairs(crowd, flow))
+    start_pv = pages.start_page_pv(crowd, flow)
+    assert rows(page_job.convert_rates(crowd, flow)) == rows(
+        pages.page_convert_rate(pairs_pv, start_pv, flow)
+    )
+    assert rows(page_job.convert_rates_text(crowd, flow)) == rows(
+        pages.page_convert_rate_string(pairs_pv, start_pv, flow)
     )
-    assert len(days) == 16
-    assert max(r["count"] for r in days) <= 1000 * 7
+
+
+def test_planning_runs_no_job_and_writes_nothing(spark, crowd, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        page_job.convert_rates(crowd, [1, 2, 3])
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_steps_and_start_page_share_one_scan(crowd):
+    result = page_job.convert_rates(crowd, [1, 2, 3])
+    result.collect()
+    text = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert text.count("Range (") == 1

@@ -1,22 +1,19 @@
 """Page steps within sessions and the conversion rates of a target page flow.
 
-Most sessions are short: their views are sorted in a window per session. A session
-may also hold a large part of all actions, and such a *crowded* session is never
-sorted as a whole:
+A session may hold a large part of all actions, so none is sorted as a whole:
 
 1. Pages are reduced to *page classes*: each page of the flow, and each gap
    between two of them. Pages off the flow only break a chain, and which of them
    it is does not matter beyond its place in the order. A flow of K pages has
    2K + 1 classes.
 2. Equal (session, time, class) rows become one *visit*, combined on the map side.
-   A visit is one number, ``time * classes + class``, so visits sort by time and
-   then by page id.
-3. Each session is cut into days. Steps inside a day come from a window over
-   (session, day), which sees at most 86,400 x (2K + 1) visits, action times being
-   whole seconds. Steps from one day to the next come from each day's first and
-   last visit, one row per session and day.
-
-Both ways are exact; which sessions take which only decides how fast it is.
+3. Each session is cut into the hours of the clock. Steps inside an hour come from
+   a window over (session, hour); steps from one hour to the next, and from one day
+   to the next, come from the first and last visit of each hour and day, which are
+   a row each.
+
+Times are taken as they stand, without a time zone. Actions without a time come
+before all others of their session, as an hour of their own.
 """
 
 from __future__ import annotations
@@ -28,12 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmetrics.functions import numbers
-from trailmetrics.runtime import materialize
 
-# A session of more actions than this is crowded; shorter ones fit one task's sort.
-CROWDED = 1_000_000
-_SAMPLE = 0.01
-_DAY_MICROS = 86_400 * 1_000_000
+_HOUR = ["session_id", "day", "hour"]
 
 
 def flow_steps(flow: Sequence[int]) -> list[tuple[int, int]]:
@@ -48,10 +41,6 @@ def _flow_pages(flow: Sequence[int]) -> list[int]:
     return sorted(set(flow))
 
 
-def _class_count(flow: Sequence[int]) -> int:
-    return 2 * len(set(flow)) + 1
-
-
 def _class_of(flow: Sequence[int], page: int) -> int:
     return 2 * _flow_pages(flow).index(page) + 1
 
@@ -66,39 +55,19 @@ def _page_class(flow: Sequence[int]) -> Column:
     return F.coalesce(*reversed(at_or_after), F.lit(0))
 
 
-def _visits(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """Actions per session and visit."""
-    micros = F.unix_micros(F.col("action_time").cast("timestamp"))
-    visit = micros * _class_count(flow) + _page_class(flow)
-    return actions.groupBy("session_id", visit.alias("visit")).agg(F.count("*").alias("views"))
-
-
-def _steps_between(visits: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """Each visit that has a following one in its session, with that one."""
-    day = F.expr(f"visit div {_DAY_MICROS * _class_count(flow)}")
-    by_day = visits.select("session_id", day.alias("day"), "visit").repartition(
-        "session_id", "day"
-    )
-
-    within = Window.partitionBy("session_id", "day").orderBy("visit")
-    inside = by_day.select("session_id", "visit", F.lead("visit").over(within).alias("following"))
-
-    across = Window.partitionBy("session_id").orderBy("day")
-    edges = by_day.groupBy("session_id", "day").agg(
-        F.min("visit").alias("first"), F.max("visit").alias("last")
-    )
-    overnight = edges.select(
-        "session_id", F.col("last").alias("visit"), F.lead("first").over(across).alias("following")
-    )
-    return inside.unionAll(overnight).where(F.col("following").isNotNull())
-
-
-def _repeats(visits: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """Steps from a page to itself in the same second, where the flow has such steps."""
-    classes = sorted({_class_of(flow, a) for a, b in flow_steps(flow) if a == b})
-    on_page = F.expr(f"pmod(visit, {_class_count(flow)})").isin(classes)
-    return visits.where(on_page & (F.col("views") > 1)).select(
-        "session_id", "visit", F.col("visit").alias("following"), (F.col("views") - 1).alias("pairs")
+def visits(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """Views per session, time and page class, with the hour that they fall into."""
+    time = F.col("action_time")
+    return (
+        actions.select(
+            "session_id",
+            time.cast("date").alias("day"),
+            F.hour(time).alias("hour"),
+            "action_time",
+            _page_class(flow).alias("page_class"),
+        )
+        .groupBy(*_HOUR, "action_time", "page_class")
+        .agg(F.count("*").alias("views"))
     )
 
 
@@ -110,80 +79,87 @@ def _label(steps: Sequence[tuple[int, int]], is_step: Callable[[int, int], Colum
     return label
 
 
-def _pairs_by_day(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """The steps of crowded sessions."""
-    n = _class_count(flow)
-    steps = flow_steps(flow)
-    visits = _visits(actions, flow)
-    moves = _steps_between(visits, flow).withColumn("pairs", F.lit(1).cast("bigint"))
-    if any(a == b for a, b in steps):
-        moves = moves.unionAll(_repeats(visits, flow))
+def _neighbours(df: DataFrame, keys: list[str], order: list[str], opens: str) -> DataFrame:
+    """Add the class that comes next, and whether a row is the first of its group."""
+    in_order = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumns(
+        {"following": F.lead(opens).over(in_order), "before": F.lag(opens).over(in_order)}
+    )
 
-    codes = F.expr(f"pmod(visit, {n}) * {n} + pmod(following, {n})")
-    label = _label(steps, lambda a, b: codes == _class_of(flow, a) * n + _class_of(flow, b))
-    time = F.expr(f"timestamp_micros((visit - pmod(visit, {n})) div {n})")
-    return moves.select(
-        "session_id",
-        time.cast("timestamp_ntz").alias("action_time"),
-        label.alias("page_split"),
-        "pairs",
+
+def _ends(df: DataFrame, keys: list[str], opens: str, closes: str, *more: Column) -> DataFrame:
+    """The first and the last class of each group, and other measures."""
+    return df.groupBy(*keys).agg(
+        F.max(F.when(F.col("before").isNull(), F.col(opens))).alias("first_class"),
+        F.max(F.when(F.col("following").isNull(), F.col(closes))).alias("last_class"),
+        *more,
     )
 
 
-def _pairs_by_session(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """The steps of sessions that one task can sort."""
-    in_time = Window.partitionBy("session_id").orderBy("action_time", "page_id")
-    page, following = F.col("page_id"), F.col("following")
-    label = _label(flow_steps(flow), lambda a, b: (page == a) & (following == b))
-    return (
-        actions.select("session_id", "action_time", "page_id")
-        .withColumn("following", F.lead("page_id").over(in_time))
-        .select(
-            "session_id",
-            "action_time",
-            label.alias("page_split"),
-            F.lit(1).cast("bigint").alias("pairs"),
+def _by_hour(seen: DataFrame) -> DataFrame:
+    return _neighbours(seen, _HOUR, ["action_time", "page_class"], "page_class")
+
+
+def _next_hour(hours: DataFrame) -> DataFrame:
+    return _neighbours(hours, ["session_id", "day"], ["hour"], "first_class")
+
+
+def _next_day(days: DataFrame) -> DataFrame:
+    return _neighbours(days, ["session_id"], ["day"], "first_class")
+
+
+def _moves(seen: DataFrame) -> DataFrame:
+    """Each visit that has a following one in its session, with that one's class."""
+    last_time = F.max("action_time").alias("action_time")
+    by_hour = _by_hour(seen)
+    hours = _next_hour(_ends(by_hour, _HOUR, "page_class", "page_class", last_time))
+    days = _next_day(_ends(hours, ["session_id", "day"], "first_class", "last_class", last_time))
+    edges = [
+        part.select(
+            "session_id", "action_time", F.col("last_class").alias("page_class"), "following"
         )
-    )
+        for part in (hours, days)
+    ]
+    inside = by_hour.select("session_id", "action_time", "page_class", "following")
+    moves = inside.unionAll(edges[0]).unionAll(edges[1])
+    return moves.where(F.col("following").isNotNull())
 
 
-def crowded_sessions(
-    actions: DataFrame, limit: int = CROWDED, fraction: float = _SAMPLE
-) -> DataFrame:
-    """The sessions of more than about ``limit`` actions, judged by a sample.
+def _repeats(seen: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """Steps from a page to itself at the same time, where the flow has such steps."""
+    classes = sorted({_class_of(flow, a) for a, b in flow_steps(flow) if a == b})
+    return seen.where(F.col("page_class").isin(classes) & (F.col("views") > 1)).select(
+        "session_id",
+        "action_time",
+        "page_class",
+        F.col("page_class").alias("following"),
+        (F.col("views") - 1).alias("pairs"),
+    )
 
-    They are at most one per ``limit`` actions, so they can be broadcast. They are
-    written down, so that every reader of a plan sees the same ones.
-    """
-    found = (
-        actions.select("session_id")
-        .sample(fraction, seed=0)
-        .groupBy("session_id")
-        .agg(F.count("*").alias("sampled"))
-        .where(F.col("sampled") > limit * fraction)
-        .select("session_id")
+
+def split_pairs(seen: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """The steps of the flow among visits."""
+    steps = flow_steps(flow)
+    moves = _moves(seen).withColumn("pairs", F.lit(1).cast("bigint"))
+    if any(a == b for a, b in steps):
+        moves = moves.unionAll(_repeats(seen, flow))
+    label = _label(
+        steps,
+        lambda a, b: (F.col("page_class") == _class_of(flow, a))
+        & (F.col("following") == _class_of(flow, b)),
     )
-    return materialize(found, "crowded-sessions")
+    return moves.select(
+        "session_id", "action_time", label.alias("page_split"), "pairs"
+    ).where(F.col("page_split").isNotNull())
 
 
-def page_split_pairs(
-    actions: DataFrame, flow: Sequence[int], crowded: DataFrame | None = None
-) -> DataFrame:
+def page_split_pairs(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     """Consecutive page views of a session that are a step of the target flow.
 
     ``pairs`` says for how many such views a row stands. Views at the same time
-    count in the order of their page id. ``crowded`` names the sessions to cut into
-    days; by default a sample finds them.
+    count in the order of their page id.
     """
-    views = actions.select("session_id", "action_time", "page_id")
-    found = crowded_sessions(actions) if crowded is None else crowded
-    large = F.broadcast(found.select(F.col("session_id").alias("large_id")))
-    # Actions without a session id are a session like any other.
-    is_large = F.col("session_id").eqNullSafe(F.col("large_id"))
-    short = views.join(large, is_large, "left_anti")
-    long = views.join(large, is_large, "left_semi")
-    pairs = _pairs_by_session(short, flow).unionAll(_pairs_by_day(long, flow))
-    return pairs.where(F.col("page_split").isNotNull())
+    return split_pairs(visits(actions, flow), flow)
 
 
 def page_split_pv(pairs: DataFrame) -> DataFrame:
@@ -196,29 +172,75 @@ def start_page_pv(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     return actions.where(F.col("page_id") == flow[0]).agg(F.count("*").alias("pv"))
 
 
-def _rates(split_pv: DataFrame, start_pv: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """One row with an array of the flow's steps and their rates.
+def _distinct_steps(flow: Sequence[int]) -> list[tuple[int, int]]:
+    return list(dict.fromkeys(flow_steps(flow)))
 
-    There is at most one count per step, so the rates are plain arithmetic between
-    the columns of a single row.
+
+def flow_views(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """One row: views of the start page and of each step of the flow.
+
+    What `page_split_pv` and `start_page_pv` count, from one scan: each hour, then
+    each day, then each session is a row of counts with its first and last class.
     """
-    labels = [step_label(step) for step in flow_steps(flow)]
+    steps = _distinct_steps(flow)
+    names = ["pv_start", *[f"pv_{step_label(step)}" for step in steps]]
+
+    def is_step(closes: str, step: tuple[int, int]) -> Column:
+        a, b = (_class_of(flow, page) for page in step)
+        return (F.col(closes) == a) & (F.col("following") == b)
+
+    def on(page: int) -> Column:
+        return F.col("page_class") == _class_of(flow, page)
+
+    inside = [F.sum(F.when(on(flow[0]), F.col("views")).otherwise(0)).alias(names[0])]
+    for name, step in zip(names[1:], steps):
+        count = F.count_if(is_step("page_class", step))
+        if step[0] == step[1]:
+            # Views of one page at the same time are one visit.
+            count += F.sum(F.when(on(step[0]), F.col("views") - 1).otherwise(0))
+        inside.append(count.alias(name))
+    between = [
+        F.sum(names[0]).alias(names[0]),
+        *[
+            (F.sum(name) + F.count_if(is_step("last_class", step))).alias(name)
+            for name, step in zip(names[1:], steps)
+        ],
+    ]
+    hours = _ends(_by_hour(visits(actions, flow)), _HOUR, "page_class", "page_class", *inside)
+    days = _ends(
+        _next_hour(hours), ["session_id", "day"], "first_class", "last_class", *between
+    )
+    return _next_day(days).agg(*between).na.fill(0)
+
+
+def _row_of(split_pv: DataFrame, start_pv: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """The same row from the counts of each step and of the start page."""
     counts = split_pv.select("page_split", "pv").unionAll(
         start_pv.select(F.lit("start").alias("page_split"), "pv")
     )
-    names = {label: f"pv_{i}" for i, label in enumerate(["start", *dict.fromkeys(labels)])}
-    row = counts.agg(
+    labels = ["start", *[step_label(step) for step in _distinct_steps(flow)]]
+    return counts.agg(
         *[
-            F.coalesce(F.sum(F.when(F.col("page_split") == label, F.col("pv"))), F.lit(0)).alias(name)
-            for label, name in names.items()
+            F.coalesce(F.sum(F.when(F.col("page_split") == label, F.col("pv"))), F.lit(0)).alias(
+                f"pv_{label}"
+            )
+            for label in labels
         ]
     )
+
+
+def _rates(row: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """One row with an array of the flow's steps and their rates.
+
+    The rates are plain arithmetic between the columns of a single row.
+    """
+    labels = [step_label(step) for step in flow_steps(flow)]
     steps = [
         F.struct(
             F.lit(position).alias("step"),
             F.lit(label).alias("page_split"),
-            F.col(names[label]).alias("pv"),
-            numbers.ratio(F.col(names[label]), F.col(names[previous])).alias("convert_rate"),
+            F.col(f"pv_{label}").alias("pv"),
+            numbers.ratio(F.col(f"pv_{label}"), F.col(f"pv_{previous}")).alias("convert_rate"),
         )
         for position, (previous, label) in enumerate(pairwise(["start", *labels]), start=1)
     ]
@@ -226,19 +248,22 @@ def _rates(split_pv: DataFrame, start_pv: DataFrame, flow: Sequence[int]) -> Dat
     return row.select(F.array(*steps).cast(schema).alias("steps"))
 
 
-def page_convert_rate(
-    split_pv: DataFrame, start_pv: DataFrame, flow: Sequence[int]
-) -> DataFrame:
+def flow_rates(row: DataFrame, flow: Sequence[int]) -> DataFrame:
     """Rate of each step: its views over the previous step's, or the start page's.
 
     A step that was never taken has rate 0; after it the rate is null.
     """
-    return _rates(split_pv, start_pv, flow).select(F.inline("steps"))
+    return _rates(row, flow).select(F.inline("steps"))
 
 
-def page_convert_rate_string(
+def page_convert_rate(
     split_pv: DataFrame, start_pv: DataFrame, flow: Sequence[int]
 ) -> DataFrame:
+    """`flow_rates` of counts that are there already."""
+    return flow_rates(_row_of(split_pv, start_pv, flow), flow)
+
+
+def flow_rates_string(row: DataFrame, flow: Sequence[int]) -> DataFrame:
     """The rates as one text, ``1_2=0.1|2_3=0.25``; a null rate is left empty."""
     pieces = F.transform(
         F.col("steps"),
@@ -248,4 +273,11 @@ def page_convert_rate_string(
             F.coalesce(s["convert_rate"].cast("string"), F.lit("")),
         ),
     )
-    return _rates(split_pv, start_pv, flow).select(F.array_join(pieces, "|").alias("convertRate"))
+    return _rates(row, flow).select(F.array_join(pieces, "|").alias("convertRate"))
+
+
+def page_convert_rate_string(
+    split_pv: DataFrame, start_pv: DataFrame, flow: Sequence[int]
+) -> DataFrame:
+    """`flow_rates_string` of counts that are there already."""
+    return flow_rates_string(_row_of(split_pv, start_pv, flow), flow)

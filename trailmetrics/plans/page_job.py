@@ -11,17 +11,12 @@ from trailmetrics.params import TaskParams
 from trailmetrics.sinks import Sink, result_table
 
 
-def _counts(actions: DataFrame, flow: Sequence[int]) -> tuple[DataFrame, DataFrame]:
-    split_pv = pages.page_split_pv(pages.page_split_pairs(actions, flow))
-    return split_pv, pages.start_page_pv(actions, flow)
-
-
 def convert_rates(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    return pages.page_convert_rate(*_counts(actions, flow), flow)
+    return pages.flow_rates(pages.flow_views(actions, flow), flow)
 
 
 def convert_rates_text(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    return pages.page_convert_rate_string(*_counts(actions, flow), flow)
+    return pages.flow_rates_string(pages.flow_views(actions, flow), flow)
 
 
 def run_page_job(actions: DataFrame, params: TaskParams, task_id: str, sink: Sink) -> None:
