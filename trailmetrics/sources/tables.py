@@ -50,8 +50,15 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def _in_range(df: DataFrame, start: dt.date, end: dt.date) -> Column:
     """Inclusive range on ``date``, in the stored type so that it prunes the scan."""
-    if isinstance(df.schema["date"].dataType, T.StringType):
+    stored = df.schema["date"].dataType
+    if isinstance(stored, T.StringType):
         return F.col("date").between(start.isoformat(), end.isoformat())
+    if isinstance(stored, T.TimestampType | T.TimestampNTZType):
+        # The last day counts up to its end.
+        after = end + dt.timedelta(days=1)
+        return (F.col("date") >= F.lit(start).cast(stored)) & (
+            F.col("date") < F.lit(after).cast(stored)
+        )
     return F.col("date").between(F.lit(start), F.lit(end))
 
 
