@@ -68,7 +68,7 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> str:
 def run_ads(spark: SparkSession, args: argparse.Namespace) -> None:
     ad_clicks.write_filtered_stream(
         kafka.read_kafka(spark, args.brokers, args.topics),
-        lambda: tables.read_table(spark, args.blacklist),
+        lambda: ad_clicks.fresh_table(spark, args.blacklist),
         args.output,
         args.checkpoint,
         args.partitions,

@@ -104,8 +104,54 @@ def test_blacklist_is_read_again_for_each_batch(spark, folder):
 
     run(LINES[:2], "a.txt")
     run(LINES[:2], "b.txt")
-    found = spark.read.parquet(str(folder / "out"))
-    assert sorted((r.batch_id, r.userid) for r in found.collect()) == [(0, 6), (1, 5)]
+    found = ad_clicks.read_written(spark, str(folder / "out"))
+    assert found.columns == [name for name, _ in ad_clicks.AD_FIELDS]
+    assert sorted(r.userid for r in found.collect()) == [5, 6]
+
+
+def test_a_catalog_blacklist_is_fresh_in_each_batch(spark, folder):
+    spark.sql("DROP TABLE IF EXISTS banned")
+    blacklist(spark, 5).write.option("path", str(folder / "banned")).saveAsTable("banned")
+
+    def run(name):
+        add_file(folder, name, LINES[:2])
+        ad_clicks.write_filtered_stream(
+            stream(spark, folder),
+            lambda: ad_clicks.fresh_table(spark, "banned"),
+            str(folder / "out"),
+            str(folder / "checkpoint"),
+            available_now=True,
+        ).awaitTermination()
+        return [r.userid for r in ad_clicks.read_written(spark, str(folder / "out")).collect()]
+
+    assert spark.table("banned").count() == 1
+    assert run("a.txt") == [6]
+    # Another writer adds a file behind the catalog's back.
+    blacklist(spark, 6).write.mode("append").parquet(str(folder / "banned"))
+    assert run("b.txt") == [6]
+    spark.sql("DROP TABLE banned")
+
+
+def test_a_finished_block_becomes_one_folder(spark, folder, scratch, monkeypatch):
+    monkeypatch.setattr(ad_clicks, "BLOCK", 2)
+    out = str(folder / "out")
+    for number in range(5):
+        add_file(folder, f"{number}.txt", [f"170000000000{number} P1 C1 {number} 9"])
+    ad_clicks.write_filtered_stream(
+        stream(spark, folder),
+        lambda: blacklist(spark, 3),
+        out,
+        str(folder / "checkpoint"),
+        available_now=True,
+    ).awaitTermination()
+    before = keys(ad_clicks.read_written(spark, out))
+    assert [user for _, user in before] == [0, 1, 2, 4]
+    for block in (0, 1):
+        ad_clicks.merge_block(spark, out, block, scratch)
+    assert keys(ad_clicks.read_written(spark, out)) == before
+    first = folder / "out" / "block-000000"
+    assert len(list(first.glob("*.parquet"))) == 1
+    assert not [f for f in first.iterdir() if f.is_dir()]
 
 
 def test_default_trigger_is_five_seconds():

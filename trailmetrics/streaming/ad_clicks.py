@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trailmetrics.runtime import Scratch
+from trailmetrics.sources import tables
+
 # The fields of an ad log line, in order, separated by one space, and
 # the micro-batch interval.
 AD_FIELDS = [
@@ -22,6 +25,8 @@ AD_FIELDS = [
     ("adid", "bigint"),
 ]
 BATCH_INTERVAL = "5 seconds"
+# Batches whose folders lie in one block: half a day of 5-second batches.
+BLOCK = 8640
 
 
 def spread(lines: DataFrame, partitions: int | None) -> DataFrame:
@@ -82,6 +87,39 @@ def write_stream(
     )
 
 
+def block_path(path: str, block: int) -> str:
+    return f"{path}/block-{block:06d}"
+
+
+def read_written(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that `write_filtered_stream` wrote, whether merged or not."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in AD_FIELDS)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+
+def merge_block(
+    spark: SparkSession, path: str, block: int, scratch: Scratch, files: int = 1
+) -> None:
+    """Replace the batch folders of a finished block by `files` files.
+
+    Run it for blocks before the current one, while nobody reads them. The rows
+    are kept in a scratch table until the new files are written.
+    """
+    kept = scratch.write(read_written(spark, block_path(path, block)), "merged")
+    kept.coalesce(files).write.mode("overwrite").parquet(block_path(path, block))
+
+
+def fresh_table(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table or parquet path as it stands now.
+
+    Spark keeps the list of a table's files, so files that another writer added
+    are only seen after a refresh.
+    """
+    if "/" not in name:
+        spark.catalog.refreshTable(name)
+    return tables.read_table(spark, name)
+
+
 def write_filtered_stream(
     lines: DataFrame,
     load_blacklist: Callable[[], DataFrame],
@@ -93,12 +131,13 @@ def write_filtered_stream(
     """Filter each micro-batch by the blacklist as it stands at that time.
 
     Each batch has a folder of its own, which a repeated batch replaces, so rows
-    are neither lost nor doubled after a restart.
+    are neither lost nor doubled after a restart. Folders lie in blocks of `BLOCK`
+    batches; `merge_block` makes one folder of a block that is done.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         kept = ad_click_filter(batch, load_blacklist(), partitions)
-        kept.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        kept.write.mode("overwrite").parquet(f"{block_path(path, batch_id // BLOCK)}/{batch_id}")
 
     return (
         lines.writeStream.foreachBatch(write_batch)
