@@ -16,7 +16,8 @@ from trailmetrics.functions import dates, numbers, strings  # noqa: E402
 from trailmetrics.operators import categories, pages, products, sampling, sessions  # noqa: E402
 from trailmetrics.params import TaskParams  # noqa: E402
 from trailmetrics.plans import page_job, product_job, session_job  # noqa: E402
-from trailmetrics.runtime import materialize, new_folder  # noqa: E402
+from trailmetrics.runtime import Scratch  # noqa: E402
+from trailmetrics.sinks import replace_table  # noqa: E402
 from trailmetrics.sources import star, tables, text  # noqa: E402
 from trailmetrics.streaming import ad_clicks  # noqa: E402
 
@@ -48,6 +49,22 @@ FILTER_PARAMS = TaskParams.from_dict(
         "keywords": "kw1,kw2,kw3",
     }
 )
+# All six session filters, each of which leaves sessions out.
+ALL_FILTERS = TaskParams.from_dict(
+    {
+        "startDate": "2024-01-01",
+        "endDate": "2024-01-31",
+        "startAge": 5,
+        "endAge": 55,
+        "professionals": "BUILDING,MACHINERY,FURNITURE,AUTOMOBILE",
+        "cities": ",".join(f"NATION_{i}" for i in range(1, 21)),
+        "sex": "male",
+        "keywords": "kw0,kw1,kw2,kw3,kw4,kw5,kw6",
+        "categoryIds": "0,1,2,3,4,5,6,7,8,9,10,11,12,13",
+    }
+)
+# Large enough that an hour's share of the sample is more than the added session.
+LARGE_SAMPLE = 2000
 # The scans are about their date filter, so they leave days out at both ends.
 SCAN_PARAMS = TaskParams.from_dict({"startDate": "2024-01-05", "endDate": "2024-01-24"})
 FLOW = PARAMS.target_page_flow
@@ -103,8 +120,22 @@ def session_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_text(
+        sessions.filtered_records(
+            _actions(spark, sf_dir), star.user_info(spark, sf_dir), FILTER_PARAMS
+        )
+    )
+
+
+def session_filter_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = sessions.session_aggregate(_actions(spark, sf_dir), star.user_info(spark, sf_dir))
-    return _as_text(sessions.session_filter(records, FILTER_PARAMS))
+    return _as_text(sessions.session_filter(records, ALL_FILTERS))
+
+
+def filtered_sessions_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.filtered_sessions(
+        _actions(spark, sf_dir), star.user_info(spark, sf_dir), ALL_FILTERS
+    )
 
 
 def session_aggr_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,17 +150,42 @@ def session_extract_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.session_extract_quota(session_hour_count(spark, sf_dir))
 
 
+def session_extract_quota_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.session_extract_quota(session_hour_count(spark, sf_dir), LARGE_SAMPLE)
+
+
+def _sample(spark: SparkSession, sf_dir: str, sample_size: int) -> DataFrame:
+    return session_job.session_sample(
+        _sessions(spark, sf_dir),
+        _actions(spark, sf_dir),
+        Scratch(spark, "session_sample"),
+        SEED,
+        sample_size,
+    )
+
+
+def _sample_detail(spark: SparkSession, sf_dir: str, sample_size: int) -> DataFrame:
+    drawn = sampling.session_random_extract(_sessions(spark, sf_dir), SEED, sample_size)
+    chosen = Scratch(spark, "sample_detail").write(
+        drawn.select(F.col("session_id").alias("sessionid")), "chosen"
+    )
+    return session_job.sample_detail(_actions(spark, sf_dir), chosen)
+
+
 def session_random_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return session_job.session_sample(_sessions(spark, sf_dir), _actions(spark, sf_dir), SEED)
+    return _sample(spark, sf_dir, sampling.SAMPLE_SIZE)
+
+
+def session_random_extract_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(spark, sf_dir, LARGE_SAMPLE)
 
 
 def session_random_extract_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _sessions(spark, sf_dir)
-    quotas = sampling.session_extract_quota(sampling.session_hour_count(found))
-    sample = sampling.session_random_extract(found, quotas, SEED)
-    return session_job.sample_detail(
-        _actions(spark, sf_dir), sample.withColumnRenamed("session_id", "sessionid")
-    )
+    return _sample_detail(spark, sf_dir, sampling.SAMPLE_SIZE)
+
+
+def session_random_extract_large_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample_detail(spark, sf_dir, LARGE_SAMPLE)
 
 
 def category_click_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,13 +211,13 @@ def active_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_counts_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Four results read the matched actions, so they are written once.
-    actions = materialize(_active(spark, sf_dir), "active-actions")
+    # Four results read the counts, at most three rows per category.
+    counts = Scratch(spark, "category_counts").write(
+        categories.kind_counts(_active(spark, sf_dir)), "counts"
+    )
     return categories.category_counts_joined(
-        categories.active_categories(actions),
-        categories.category_click_count(actions),
-        categories.category_order_count(actions),
-        categories.category_pay_count(actions),
+        counts.select("category_id").distinct(),
+        *[categories.of_kind(counts, kind) for kind in ("click", "order", "pay")],
     )
 
 
@@ -180,13 +236,15 @@ def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top10_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The top categories and their sessions read the same sessions.
     actions = _actions(spark, sf_dir)
-    found = materialize(_sessions(spark, sf_dir), "sessions")
+    scratch = Scratch(spark, "top_session")
+    found = scratch.write(_sessions(spark, sf_dir), "sessions")
     top = session_job.top_categories(session_job.matched_counts(actions, found))
-    return session_job.top_sessions(actions, found, top)
+    return session_job.top_sessions(actions, found, scratch.write(top, "top_categories"))
 
 
 def top10_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return session_job.top_session_detail(_actions(spark, sf_dir), top10_session(spark, sf_dir))
+    chosen = Scratch(spark, "top_detail").write(top10_session(spark, sf_dir), "chosen")
+    return session_job.top_session_detail(_actions(spark, sf_dir), chosen)
 
 
 def page_split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +288,7 @@ def area_top3_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_stream(spark: SparkSession, clicks: DataFrame, name: str) -> DataFrame:
     """Run a stream over all there is and read back what it wrote."""
-    path = new_folder(spark, name)
+    path = Scratch(spark, name).folder
     query = ad_clicks.write_stream(clicks, f"{path}/rows", f"{path}/checkpoint", True)
     query.awaitTermination()
     return spark.read.schema(clicks.schema).parquet(f"{path}/rows")
@@ -238,14 +296,29 @@ def _run_stream(spark: SparkSession, clicks: DataFrame, name: str) -> DataFrame:
 
 def ad_click_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = star.ad_lines_stream(spark, sf_dir)
-    return _run_stream(spark, ad_clicks.ad_click_parse(lines), "ad-click-parse")
+    return _run_stream(spark, ad_clicks.ad_click_parse(lines), "ad_click_parse")
 
 
 def ad_click_blacklist_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = ad_clicks.ad_click_filter(
         star.ad_lines_stream(spark, sf_dir), star.blacklist(spark, sf_dir)
     )
-    return _run_stream(spark, kept, "ad-click-filter")
+    return _run_stream(spark, kept, "ad_click_filter")
+
+
+def ad_click_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream in two runs from one checkpoint; lines arrive between the runs."""
+    path = Scratch(spark, "ad_click_restarted").folder
+    lines = star.ad_lines(spark, star.events(spark, sf_dir))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part in (0, 1):
+        lines.where(half == part).write.mode("append").text(f"{path}/lines")
+        arriving = spark.readStream.schema("value string").text(f"{path}/lines")
+        kept = ad_clicks.ad_click_filter(arriving, star.blacklist(spark, sf_dir), partitions=4)
+        ad_clicks.write_stream(
+            kept, f"{path}/rows", f"{path}/checkpoint", available_now=True
+        ).awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{path}/rows")
 
 
 def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,24 +389,62 @@ def kv_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One field of the record lines of a text file."""
+    path = f"{Scratch(spark, 'text_scan').folder}/lines"
+    star.record_lines(spark, sf_dir).write.text(path)
+    return text.record_field(text.record_lines(text.read_lines(spark, path)), "age")
+
+
+def replaced_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of a table that was replaced, stored by day."""
+    name = Scratch(spark, "replaced_actions").table("user_visit_action")
+    actions = star.user_visit_action(spark, sf_dir)
+    replace_table(actions.limit(0), name)
+    replace_table(actions, name, "date")
+    return tables.read_actions(spark, name, SCAN_PARAMS.start_date, SCAN_PARAMS.end_date)
+
+
+def product_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products of each area, from the job's views by SQL."""
+    product_job.register_views(
+        star.user_visit_action(spark, sf_dir),
+        tables.city_info(spark),
+        star.product_info(spark, sf_dir),
+        PARAMS,
+    )
+    return spark.sql(
+        f"""
+        SELECT area, concat_long_string(product_id, product_name, ':') AS product,
+               click_count, product_status
+        FROM {product_job.FULL_VIEW}
+        """
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The top products per sales area on the smallest tables."""
     return area_top3_product(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Every query by name; each takes (spark, sf_dir)."""
-    found = {
+def shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The clickstream queries by name; each takes (spark, sf_dir)."""
+    return {
         "action_scan": action_scan,
         "click_scan": click_scan,
         "session_aggregate": session_aggregate,
         "session_filter": session_filter,
+        "session_filter_all": session_filter_all,
+        "filtered_sessions_all": filtered_sessions_all,
         "session_aggr_stat": session_aggr_stat,
         "session_filtered_actions": _matched,
         "session_hour_count": session_hour_count,
         "session_extract_quota": session_extract_quota,
+        "session_extract_quota_large": session_extract_quota_large,
         "session_random_extract": session_random_extract,
+        "session_random_extract_large": session_random_extract_large,
         "session_random_extract_detail": session_random_extract_detail,
+        "session_random_extract_large_detail": session_random_extract_large_detail,
         "category_click_count": category_click_count,
         "category_order_count": category_order_count,
         "category_pay_count": category_pay_count,
@@ -354,21 +465,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "area_full_product_click_count": area_full_product_click_count,
         "area_top3_product": area_top3_product,
         "ad_click_parse": ad_click_parse,
+        "product_views": product_views,
+        "replaced_actions": replaced_actions,
         "ad_click_blacklist_filter": ad_click_blacklist_filter,
+        "ad_click_restarted": ad_click_restarted,
         "scalar_dates": scalar_dates,
         "scalar_strings": scalar_strings,
         "scalar_math": scalar_math,
         "kv_fields": kv_fields,
         "kv_set": kv_set,
+        "text_scan": text_scan,
     }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every query by name; each takes (spark, sf_dir)."""
+    found = shop_queries()
     if corpus_queries is not None:
         found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return found
 
 
-def oracle_sql() -> dict[str, str]:
-    """The same results in DuckDB SQL, by the keys of `queries()`."""
-    found = oracle_queries.build(
+def shop_oracles() -> dict[str, str]:
+    """The same results in DuckDB SQL, for each key of `shop_queries()`."""
+    return oracle_queries.build(
         start=PARAMS.start_date.isoformat(),
         end=PARAMS.end_date.isoformat(),
         scan=(SCAN_PARAMS.start_date.isoformat(), SCAN_PARAMS.end_date.isoformat()),
@@ -376,7 +496,14 @@ def oracle_sql() -> dict[str, str]:
         keywords=FILTER_PARAMS.keywords,
         flow=FLOW,
         seed=SEED,
+        large_sample=LARGE_SAMPLE,
+        filters=ALL_FILTERS,
     )
+
+
+def oracle_sql() -> dict[str, str]:
+    """Results in DuckDB SQL, by the keys of `queries()`."""
+    found = shop_oracles()
     if corpus_queries is not None:
         found |= corpus_queries.ORACLE_SQL
         if corpus_pipeline.ORACLE_SQL is not None:

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-# The clickstream tables as views of the star schema.
+from trailmetrics.params import TaskParams
+
+# The clickstream tables as views of the star schema, with the fixed values of the
+# cities and, further down, of the sales areas' levels.
 _VIEWS = """
 uva AS (
   SELECT d AS date, user_id,
@@ -121,7 +124,7 @@ topses AS (
 )"""
 
 
-def _sample(seed: int) -> str:
+def _sample(seed: int, size: int = 100) -> str:
     return f"""
 hours AS (
   SELECT cast(start_time AS date) AS date, cast(hour(start_time) AS int) AS hour,
@@ -131,7 +134,7 @@ hours AS (
 quotas AS (
   SELECT h.date, hour, session_count, day_count,
          least(session_count,
-               session_count * (100 // (SELECT count(DISTINCT date) FROM hours)) // day_count + 1)
+               session_count * ({size} // (SELECT count(DISTINCT date) FROM hours)) // day_count + 1)
            AS quota
   FROM hours h
   JOIN (SELECT date, cast(sum(session_count) AS bigint) AS day_count FROM hours GROUP BY date) d
@@ -204,6 +207,25 @@ _DETAIL = """
   order_category_ids AS orderCategoryIds, order_product_ids AS orderProductIds,
   pay_category_ids AS payCategoryIds, pay_product_ids AS payProductIds"""
 
+_EXTRACT = """
+SELECT session_id AS sessionid, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS startTime,
+       nullif(search_keywords, '') AS searchKeywords,
+       nullif(click_category_ids, '') AS clickCategoryIds
+FROM sample"""
+
+
+def _all_filters(filters: TaskParams) -> str:
+    def texts(values: Sequence) -> str:
+        return ", ".join(f"'{value}'" for value in values)
+
+    return f"""age BETWEEN {filters.start_age} AND {filters.end_age}
+        AND professional IN ({texts(filters.professionals)})
+        AND city IN ({texts(filters.cities)}) AND sex = '{filters.sex}'
+        AND list_has_any(kws, [{texts(filters.keywords)}])
+        AND list_has_any(string_split(click_category_ids, ','), [{texts(filters.category_ids)}])"""
+
+
+# The classes of visit duration and depth.
 _VISIT = [("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30),
           ("30s_60s", 31, 60), ("1m_3m", 61, 180), ("3m_10m", 181, 600),
           ("10m_30m", 601, 1800), ("30m", 1801, 10**12)]
@@ -228,6 +250,8 @@ def build(
     keywords: Sequence[str],
     flow: Sequence[int],
     seed: int,
+    large_sample: int = 100,
+    filters: TaskParams | None = None,
 ) -> dict[str, str]:
     """The SQL per query, for a date range, filters, a page flow and a sample seed."""
     views = f"WITH {_VIEWS}"
@@ -241,6 +265,10 @@ def build(
        nullif(click_category_ids, '') AS click_category_ids, visit_length, step_length,
        start_time, age, professional, city, sex"""
     words = ", ".join(f"'{word}'" for word in keywords)
+    large = f"{sessions},{_sample(seed, large_sample)}"
+    all_filters = "true" if filters is None else _all_filters(filters)
+    filtered_ads = """SELECT * FROM ad
+            WHERE userid NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"""
     noon = "(cast(date AS timestamp) + INTERVAL 12 HOUR)"
     midnight_seconds = "date_diff('second', cast(date AS timestamp), action_time)"
     return {
@@ -250,19 +278,22 @@ def build(
         "session_aggregate": f"{sessions} SELECT {record} FROM agg",
         "session_filter": f"""{sessions} SELECT {record} FROM ses
             WHERE list_has_any(kws, [{words}])""",
+        "session_filter_all": f"{sessions} SELECT {record} FROM agg WHERE {all_filters}",
+        "filtered_sessions_all": f"""{sessions} SELECT session_id, user_id, start_time,
+            visit_length, step_length FROM agg WHERE {all_filters}""",
         "session_aggr_stat": f"{sessions} {_stat()}",
         "session_filtered_actions": f"{sessions} SELECT * FROM det",
         "session_hour_count": f"{sample} SELECT date, hour, session_count FROM hours",
         "session_extract_quota": f"""{sample}
             SELECT date, hour, session_count, day_count, quota FROM quotas""",
-        "session_random_extract": f"""{sample}
-            SELECT session_id AS sessionid,
-                   strftime(start_time, '%Y-%m-%d %H:%M:%S') AS startTime,
-                   nullif(search_keywords, '') AS searchKeywords,
-                   nullif(click_category_ids, '') AS clickCategoryIds
-            FROM sample""",
+        "session_extract_quota_large": f"""{large}
+            SELECT date, hour, session_count, day_count, quota FROM quotas""",
+        "session_random_extract": f"{sample} {_EXTRACT}",
+        "session_random_extract_large": f"{large} {_EXTRACT}",
         "session_random_extract_detail": f"""{sample} SELECT {_DETAIL} FROM det
             WHERE session_id IN (SELECT session_id FROM sample)""",
+        "session_random_extract_large_detail": f"""{large} SELECT {_DETAIL} FROM det
+            WHERE session_id IN (SELECT session_id FROM sample)""",
         "category_click_count": f"""{category} SELECT category_id, click_count FROM cat
             WHERE click_count > 0""",
         "category_order_count": f"""{category} SELECT category_id, order_count FROM cat
@@ -302,8 +333,12 @@ def build(
                     ORDER BY click_count DESC, product_id) AS rn FROM full_counts)
             WHERE rn <= 3""",
         "ad_click_parse": f"{views} SELECT * FROM ad",
-        "ad_click_blacklist_filter": f"""{views} SELECT * FROM ad
-            WHERE userid NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+        "product_views": f"""{areas} SELECT area,
+            concat(product_id, ':', product_name) AS product, click_count, product_status
+            FROM full_counts""",
+        "replaced_actions": f"{views} SELECT * FROM uva WHERE {scanned}",
+        "ad_click_blacklist_filter": f"{views} {filtered_ads}",
+        "ad_click_restarted": f"{views} {filtered_ads}",
         "scalar_dates": f"""{views} SELECT session_id, page_id,
             action_time < {noon} AS is_before, action_time > {noon} AS is_after,
             cast(date_diff('second', {noon}, action_time) AS int) AS seconds,
@@ -335,4 +370,7 @@ def build(
             regexp_replace(string_split(value, chr(9))[2], '\\|sex=[^|]*', '|sex=unknown')
               AS record
             FROM kv""",
+        "text_scan": f"""{views} SELECT string_split(value, chr(9))[1] AS id,
+            regexp_extract(value, '\\|age=([^|]+)', 1) AS age
+            FROM kv WHERE regexp_matches(value, '\\|age=[^|]')""",
     }

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from trailmetrics import schemas  # noqa: E402
+from trailmetrics.runtime import Scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.01"
 TABLES = (
@@ -34,6 +35,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def scratch(spark):
+    """Intermediate tables, deleted after the test."""
+    tables = Scratch(spark, "test")
+    yield tables
+    tables.close()
+
+
 @pytest.fixture(scope="session")
 def duck():
     connection = duckdb.connect()

@@ -1,6 +1,6 @@
 from conftest import at, rows
 
-from trailmetrics.operators import categories, details
+from trailmetrics.operators import categories
 from trailmetrics.plans import session_job
 
 
@@ -102,10 +102,6 @@ def test_details_repeat_per_list_unless_deduped(spark, actions_of):
     deduped = session_job.top_session_detail(actions, chosen, dedupe=True)
     assert sorted(r["sessionid"] for r in rows(deduped)) == ["s1", "s2"]
     assert rows(repeated)[0]["actionTime"] == "2024-01-05 10:01:05"
-    many = details.session_detail(
-        actions, chosen.withColumnRenamed("sessionid", "session_id"), few=False
-    )
-    assert rows(many) == rows(deduped)
 
 
 def test_equal_sessions_in_any_row_order(actions_of):

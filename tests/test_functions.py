@@ -126,7 +126,6 @@ def test_id_lists_explode_to_numbers(spark):
 
 def test_labels_and_distinct_concatenation(spark, value):
     assert value(strings.concat_long_string(F.lit(7), F.lit("x"))) == "7:x"
-    assert value(strings.pair_label(F.lit(1), F.lit(2))) == "1_2"
     df = spark.createDataFrame([("b",), ("ab",), ("b",), ("a",), (None,)], "v string")
     assert df.agg(strings.group_concat_distinct(df.v)).collect()[0][0] == "a,ab,b"
 

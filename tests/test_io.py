@@ -9,7 +9,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from trailmetrics import schemas, sinks
-from trailmetrics.runtime import materialize, scratch, shared_dir
+from trailmetrics.runtime import scratch
 from trailmetrics.sources import kafka, tables, text
 
 START, END = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
@@ -142,40 +142,51 @@ def test_file_and_table_writes_append(spark, tmp_path):
     assert spark.table("numbers_table").count() == 4
 
 
-def test_materialized_rows_are_in_the_shared_folder(spark):
-    kept = materialize(spark.range(5), "numbers")
-    assert f"{shared_dir(spark)}/numbers-" in kept.inputFiles()[0]
-    assert kept.count() == 5
+def test_scratch_is_in_the_shared_folder(spark):
+    with scratch(spark, "numbers") as tables:
+        kept = tables.write(spark.range(5), "five")
+        shared = spark.conf.get("spark.checkpoint.dir")
+        assert kept.inputFiles()[0].removeprefix("file://").startswith(shared)
+        assert tables.folder.removeprefix("file:").startswith(shared)
+        more = tables.write(spark.range(6), "five")
+        assert (kept.count(), more.count()) == (5, 6)
 
 
 def test_scratch_is_deleted_also_after_an_error(spark):
-    with pytest.raises(KeyError), scratch(spark, "job") as keep:
-        kept = keep(spark.range(5), "numbers")
-        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
-        assert kept.count() == 5
+    with pytest.raises(KeyError), scratch(spark, "job") as tables:
+        folder = tables.folder.removeprefix("file:")
+        tables.write(spark.range(5), "numbers")
         assert os.path.isdir(folder)
         raise KeyError
     assert not os.path.exists(folder)
 
 
-class Session:
-    """A session with nothing but settings."""
+def test_scratch_without_a_shared_folder_is_in_the_warehouse(spark, monkeypatch):
+    get = type(spark.conf).get
+    unset = lambda conf, key, *rest: None if key == "spark.checkpoint.dir" else get(conf, key, *rest)
+    monkeypatch.setattr(type(spark.conf), "get", unset)
+    with scratch(spark, "job") as tables:
+        assert spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:") in tables.folder
 
-    def __init__(self, **settings):
-        self.conf = settings
 
+def test_bucketed_scratch_is_joined_without_moving_it(spark):
+    with scratch(spark, "job") as tables:
+        kept = tables.write(spark.range(1000), "numbers", buckets=["id"])
+        joined = kept.join(spark.range(0, 1000, 2).hint("merge"), "id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 500
+        assert plan.count("Exchange hashpartitioning") == 1
 
-def test_a_cluster_needs_a_shared_folder():
-    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
-        shared_dir(Session(**{"spark.master": "yarn"}))
 
-
-def test_a_local_session_has_a_folder_of_its_own():
-    session = Session(**{"spark.master": "local[2]", "spark.app.id": "app-1"})
-    assert shared_dir(session) == shared_dir(session)
-    assert os.path.isdir(shared_dir(session))
-
-
-def test_the_set_folder_is_used():
-    session = Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"})
-    assert shared_dir(session) == "hdfs:///shared"
+@pytest.mark.parametrize("kind", ["date", "string", "timestamp", "timestamp_ntz"])
+def test_the_last_day_counts_to_its_end(spark, actions_of, tmp_path, kind):
+    times = [dt.datetime(2024, 1, d, 23, 59, 59) for d in (1, 2, 3, 4)]
+    actions = actions_of([{"action_time": time} for time in times])
+    day = F.col("action_time") if "time" in kind else F.col("date")
+    path = str(tmp_path / kind)
+    actions.withColumn("date", day.cast(kind)).write.parquet(path)
+    found = tables.read_actions(spark, path, START, END)
+    assert [r["action_time"] for r in rows(found)] == times[1:3]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(date" in pushed

@@ -1,5 +1,7 @@
 """The jobs end to end, and the shape of the plans."""
 
+import os
+
 import pytest
 from conftest import SF_DIR, rows
 
@@ -36,7 +38,7 @@ def test_session_job(spark, written):
     session_job.run_session_job(
         actions, star.user_info(spark, SF_DIR), PARAMS, "t1", sink, seed=entry_point.SEED
     )
-    queries = {name: query(spark, SF_DIR) for name, query in entry_point.queries().items()
+    queries = {name: query(spark, SF_DIR) for name, query in entry_point.shop_queries().items()
                if name.startswith(("session_aggr_stat", "session_random", "top10"))}
     for name in ("session_aggr_stat", "session_random_extract", "top10_category", "top10_session"):
         check(read(name), name, queries[name])
@@ -92,9 +94,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry_point.queries() if not n.startswith("ad_")])
+@pytest.mark.parametrize("name", [n for n in entry_point.shop_queries() if not n.startswith("ad_")])
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(entry_point.queries()[name](spark, SF_DIR))
+    text = plan(entry_point.shop_queries()[name](spark, SF_DIR))
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
         assert node not in text
 
@@ -105,20 +107,22 @@ def test_no_python_and_no_cross_join(spark, name):
         ("area_top3_product", ["WindowGroupLimit", "BroadcastHashJoin [city_id"]),
         ("top10_session", ["WindowGroupLimit", "BroadcastHashJoin [click_category_id"]),
         ("top10_category", ["TakeOrderedAndProject"]),
-        ("session_random_extract", ["WindowGroupLimit", "BroadcastHashJoin [date"]),
+        ("session_extract_quota", ["Window"]),
         ("click_product_basic", ["BroadcastHashJoin [city_id"]),
         ("action_scan", ["PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-05"]),
     ],
 )
 def test_plan_shapes(spark, name, nodes):
-    text = plan(entry_point.queries()[name](spark, SF_DIR))
+    text = plan(entry_point.shop_queries()[name](spark, SF_DIR))
     for node in nodes:
         assert node in text
 
 
-def test_details_do_not_shuffle_the_actions(spark):
+def test_details_do_not_shuffle_the_actions(spark, scratch):
     actions = star.actions_between(spark, SF_DIR, PARAMS.start_date, PARAMS.end_date)
-    chosen = spark.createDataFrame([("1-20240105",)], "sessionid string")
+    chosen = scratch.write(
+        spark.createDataFrame([("1-20240105",)], "sessionid string"), "chosen"
+    )
     assert "hashpartitioning" not in plan(session_job.sample_detail(actions, chosen))
 
 
@@ -174,3 +178,25 @@ def test_busy_user_is_split_in_the_user_join(spark, users_of, tiny_skew):
     stat = sessions.session_aggr_stat(sessions.filtered_sessions(actions, users, PARAMS))
     assert stat.collect()[0].session_count == 200_000
     assert "SortMergeJoin(skew=true)" in executed(stat)
+
+
+def shared_folders(spark):
+    return set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+
+
+def test_jobs_leave_nothing_in_the_shared_folder(spark, written):
+    sink, _ = written
+    before = shared_folders(spark)
+    actions = star.actions_between(spark, SF_DIR, PARAMS.start_date, PARAMS.end_date)
+    session_job.run_session_job(actions, star.user_info(spark, SF_DIR), PARAMS, "t2", sink)
+    page_job.run_page_job(actions, PARAMS, "t2", sink)
+    assert shared_folders(spark) == before
+
+
+def test_joined_counts_write_counts_only(spark):
+    before = shared_folders(spark)
+    entry_point.category_counts_joined(spark, SF_DIR)
+    (new,) = shared_folders(spark) - before
+    kept = spark.read.parquet(f"{spark.conf.get('spark.checkpoint.dir')}/{new}/counts_1")
+    assert kept.columns == ["category_id", "kind", "times"]
+    assert kept.count() <= 3 * 20

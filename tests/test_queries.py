@@ -1,5 +1,7 @@
 """Each registered query against DuckDB on the same tables."""
 
+from dataclasses import replace
+
 import pytest
 from conftest import SF_DIR, rows, same
 from pyspark.sql import functions as F
@@ -11,8 +13,8 @@ from trailmetrics.params import TaskParams
 from trailmetrics.plans import session_job
 from trailmetrics.sources import star
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = entry_point.shop_queries()
+ORACLES = entry_point.shop_oracles()
 
 
 def test_every_query_has_an_oracle():
@@ -56,13 +58,13 @@ def _found(spark, params):
 
 
 @pytest.mark.parametrize(("start", "end"), [("2024-01-10", "2024-01-11"), ("2024-01-12",) * 2])
-def test_sample_of_few_days_has_larger_quotas(spark, duck, start, end):
+def test_sample_of_few_days_has_larger_quotas(spark, duck, scratch, start, end):
     oracle = _oracle(start, end)
     actions, found = _found(spark, _range(start, end))
     quotas = sampling.session_extract_quota(sampling.session_hour_count(found))
     same(quotas, duck, oracle["session_extract_quota"])
     assert max(row["quota"] for row in rows(quotas)) > 2
-    sample = session_job.session_sample(found, actions, seed=3)
+    sample = session_job.session_sample(found, actions, scratch, seed=3)
     same(sample, duck, oracle["session_random_extract"])
     detail = session_job.sample_detail(actions, sample)
     same(detail, duck, oracle["session_random_extract_detail"])
@@ -106,3 +108,17 @@ def test_lean_and_full_filters_agree(spark):
     columns = ["session_id", "user_id", "start_time", "visit_length", "step_length"]
     assert rows(lean.select(columns)) == rows(full.select(columns))
     assert lean.count() > 0
+
+
+def test_the_large_sample_has_different_quotas(spark):
+    quotas = entry_point.session_extract_quota_large(spark, SF_DIR)
+    found = {row["quota"] for row in rows(quotas)}
+    assert min(found) == 1 and max(found) >= 5
+
+
+def test_each_of_the_six_filters_leaves_sessions_out(spark):
+    kept = entry_point.filtered_sessions_all(spark, SF_DIR).count()
+    for name in ("start_age", "professionals", "cities", "sex", "keywords", "category_ids"):
+        without = replace(entry_point.ALL_FILTERS, **{name: None if name in ("start_age", "sex") else ()})
+        _, found = _found(spark, without)
+        assert found.count() > kept > 0, name

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from conftest import at, rows
+from pyspark.sql import functions as F
 
 from trailmetrics.operators import sampling, sessions
 from trailmetrics.params import TaskParams
@@ -188,7 +189,7 @@ def starts(spark, counts):
 
 def sample_of(found, seed=0, **sizes):
     quotas = sampling.session_extract_quota(sampling.session_hour_count(found), **sizes)
-    return quotas, sampling.session_random_extract(found, quotas, seed, **sizes)
+    return quotas, sampling.session_random_extract(found, seed, **sizes)
 
 
 @pytest.mark.parametrize(
@@ -198,6 +199,7 @@ def sample_of(found, seed=0, **sizes):
         ({(0, 1): 1, (0, 2): 299}, {"extra": 0}, {1: 0, 2: 99}),
         ({(0, 5): 250}, {}, {5: 101}),
         ({(0, 5): 40}, {}, {5: 40}),
+        ({(0, 5): 500}, {"sample_size": 300}, {5: 301}),
         ({(0, 1): 30, (0, 2): 10, (1, 3): 90}, {}, {1: 30, 2: 10, 3: 51}),
         ({(0, 1): 30, (0, 2): 10, (1, 3): 90}, {"sample_size": 20}, {1: 8, 2: 3, 3: 11}),
     ],
@@ -221,7 +223,7 @@ def test_sample_is_repeatable_and_depends_on_the_seed(spark):
     assert rows(sample_of(found, seed=2)[1]) != first
 
 
-def test_sample_columns(actions_of, users_of):
+def test_sample_columns(actions_of, users_of, scratch):
     items = [
         {"search_keyword": "b", "action_time": at(5)},
         {"search_keyword": "a", "click_category_id": 10, "action_time": at(1)},
@@ -230,9 +232,65 @@ def test_sample_columns(actions_of, users_of):
     ]
     actions = actions_of(items)
     found = sessions.filtered_sessions(actions, users_of([{}]), params())
-    sample = {r["sessionid"]: r for r in rows(session_job.session_sample(found, actions))}
+    sample = {r["sessionid"]: r for r in rows(session_job.session_sample(found, actions, scratch))}
     assert sample["s1"]["startTime"] == "2024-01-05 10:00:01"
     assert sample["s1"]["searchKeywords"] == "a,b"
     assert sample["s1"]["clickCategoryIds"] == "9,10"
     assert sample["s2"]["searchKeywords"] is None
     assert sample["s2"]["clickCategoryIds"] is None
+
+
+def test_no_broadcast_is_forced_for_a_large_sample(spark, actions_of, users_of, scratch):
+    actions = actions_of([{"session_id": f"s{i}"} for i in range(200)])
+    found = sessions.filtered_sessions(actions, users_of([{}]), params())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sample = session_job.session_sample(found, actions, scratch, sample_size=10, extra=10**7)
+        detail = session_job.sample_detail(actions, sample)
+        for result in (sample, detail):
+            assert "Broadcast" not in result._jdf.queryExecution().executedPlan().toString()
+            assert result.count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_actions_without_a_session_id_are_one_session_everywhere(actions_of, users_of, scratch):
+    items = [
+        {"session_id": session, "click_category_id": 7, "search_keyword": "a"}
+        for session in (None, None, "s2")
+    ]
+    actions, users = actions_of(items), users_of([{}])
+    found = sessions.filtered_sessions(actions, users, params())
+    assert {r["session_id"] for r in rows(found)} == {None, "s2"}
+    for records in (
+        sessions.session_aggregate(actions, users),
+        sessions.filtered_records(actions, users, params()),
+    ):
+        assert [r["search_keywords"] for r in rows(records)] == [["a"], ["a"]]
+    quota = sampling.session_extract_quota(sampling.session_hour_count(found))
+    sample = scratch.write(session_job.session_sample(found, actions, scratch), "sample")
+    assert sample.count() == sum(r["quota"] for r in rows(quota)) == 2
+    assert {r["searchKeywords"] for r in rows(sample)} == {"a"}
+    assert session_job.sample_detail(actions, sample).count() == 3
+    counts = session_job.matched_counts(actions, found)
+    top = session_job.top_sessions(actions, found, session_job.top_categories(counts))
+    assert sum(r["clickCount"] for r in rows(top)) == rows(counts)[0]["click_count"] == 3
+    assert session_job.top_session_detail(actions, top).count() == 3
+
+
+def test_a_session_with_a_third_of_the_rows_and_many_keywords(spark, users_of):
+    actions = spark.range(0, 300_000, 1, 8).selectExpr(
+        "1L AS user_id",
+        "if(id % 3 = 0, 'hot', concat('s', id % 5000)) AS session_id",
+        "timestamp_ntz'2024-01-05 10:00:00' AS action_time",
+        "concat('kw', id) AS search_keyword",
+        "-1L AS click_category_id",
+    )
+    records = sessions.session_aggregate(actions, users_of([{}]))
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    # Only distinct values are gathered into lists.
+    objects = [line for line in plan.splitlines() if "ObjectHashAggregate" in line]
+    assert objects and all("collect_list" in line for line in objects)
+    found = records.select("session_id", F.size("search_keywords").alias("n"))
+    assert found.agg(F.max("n")).first()[0] == 100_000

@@ -26,10 +26,6 @@ def pad_two(text: Column) -> Column:
     return F.when(F.length(text) == 2, text).otherwise(F.concat(F.lit("0"), text))
 
 
-def pair_label(first: Column, second: Column) -> Column:
-    return F.concat_ws("_", first.cast("string"), second.cast("string"))
-
-
 def concat_long_string(number: Column, text: Column, separator: str = ":") -> Column:
     return F.concat(number.cast("string"), F.lit(separator), text)
 

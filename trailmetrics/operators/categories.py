@@ -64,6 +64,22 @@ def active_categories(actions: DataFrame, keep_sentinel: bool = False) -> DataFr
     return _activities(actions, keep_sentinel=keep_sentinel).select("category_id").distinct()
 
 
+def kind_counts(actions: DataFrame, keep_sentinel: bool = False) -> DataFrame:
+    """Clicks, orders and payments per category, a row for each kind that occurs."""
+    return (
+        _activities(actions, keep_sentinel=keep_sentinel)
+        .groupBy("category_id", "kind")
+        .agg(F.count("*").alias("times"))
+    )
+
+
+def of_kind(counts: DataFrame, kind: str) -> DataFrame:
+    """The counts of one kind, as `category_click_count` and its like return them."""
+    return counts.where(F.col("kind") == kind).select(
+        "category_id", F.col("times").alias(f"{kind}_count")
+    )
+
+
 def category_counts_joined(
     categories: DataFrame, clicks: DataFrame, orders: DataFrame, pays: DataFrame
 ) -> DataFrame:
@@ -142,7 +158,9 @@ def top_category_clicks(
         wanted, "click_category_id", "left_semi"
     )
     counts = category_session_click_count(clicks, keep_sentinel)
-    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
+    given = sessions.select(F.col("session_id").alias("given_id"))
+    # Clicks without a session id are a session like any other.
+    return counts.join(given, F.col("session_id").eqNullSafe(F.col("given_id")), "left_semi")
 
 
 def top10_session(session_clicks: DataFrame, n: int = TOP_SESSIONS) -> DataFrame:

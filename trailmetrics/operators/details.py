@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from trailmetrics.functions import dates
 
 
-def session_detail(
-    actions: DataFrame, chosen: DataFrame, dedupe: bool = True, few: bool = True
-) -> DataFrame:
-    """The actions of the chosen sessions.
+def session_detail(actions: DataFrame, chosen: DataFrame, dedupe: bool = True) -> DataFrame:
+    """The actions of the chosen sessions; actions without a session id are one session.
 
-    ``few`` says that ``chosen`` is a top list (at most 10 x 10 rows) or the sample
-    (its size plus one row per hour): it is broadcast and the actions are not
-    shuffled. For any larger choice pass ``few=False``; Spark then picks the join
-    by size. With ``dedupe=False`` a session that is chosen k times gives its
-    actions k times.
+    Pass sessions that are written down, so that Spark knows their size: few are
+    then broadcast, and the actions are not shuffled. With ``dedupe=False`` a
+    session that is chosen k times gives its actions k times.
     """
-    sessions = chosen.select("session_id")
-    if few:
-        sessions = F.broadcast(sessions)
-    matched = actions.join(sessions, "session_id", "left_semi" if dedupe else "inner")
+    sessions = chosen.select(F.col("session_id").alias("chosen_id"))
+    matched = actions.join(
+        sessions,
+        F.col("session_id").eqNullSafe(F.col("chosen_id")),
+        "left_semi" if dedupe else "inner",
+    )
     return matched.select(
         F.col("user_id").alias("userid"),
         F.col("session_id").alias("sessionid"),

@@ -46,17 +46,18 @@ def session_extract_quota(
 
 def session_random_extract(
     sessions: DataFrame,
-    quotas: DataFrame,
     seed: int = 0,
     sample_size: int = SAMPLE_SIZE,
     extra: int = 1,
 ) -> DataFrame:
     """Draw each hour's quota of sessions, in the order of a seeded hash.
 
-    No quota exceeds ``sample_size + extra``. That constant bound cuts every hour
-    in each task before the shuffle, so a crowded hour is never gathered whole;
-    the hour's own quota then cuts exactly.
+    The quotas are made here, so none exceeds ``sample_size + extra``. That
+    constant bound cuts every hour in each task before the shuffle, so a crowded
+    hour is never gathered whole; the hour's own quota then cuts exactly.
+    ``quotas`` has at most 24 rows per day, so it is broadcast.
     """
+    quotas = session_extract_quota(session_hour_count(sessions), sample_size, extra)
     order = F.md5(F.concat_ws("|", F.col("session_id"), F.lit(str(seed))))
     drawn = Window.partitionBy("date", "hour").orderBy(order, F.col("session_id"))
     return (

@@ -35,18 +35,6 @@ STEP_LENGTH_CLASSES = [
 ]
 
 
-def _keywords() -> Column:
-    """Distinct non-empty search words of a group, in binary order."""
-    word = F.col("search_keyword")
-    return F.array_sort(F.collect_set(F.when(word != "", word)))
-
-
-def _categories() -> Column:
-    """Distinct clicked categories of a group, in numeric order."""
-    category = F.col("click_category_id")
-    return F.array_sort(F.collect_set(F.when(ids.is_click(category), category)))
-
-
 def _roll_up(actions: DataFrame, *extra: Column) -> DataFrame:
     """One row per session; every measure combines on the map side."""
     user = F.col("user_id")
@@ -72,26 +60,70 @@ def _with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
-    """The full session record, with its keyword and category lists."""
-    sessions = _roll_up(
-        actions, _keywords().alias("search_keywords"), _categories().alias("click_category_ids")
+def _lists(actions: DataFrame) -> DataFrame:
+    """Distinct search words and clicked categories per session, both sorted.
+
+    Values are made distinct first, by hash aggregates that combine in each task;
+    only distinct values are gathered into lists.
+    """
+    word, category = F.col("search_keyword"), F.col("click_category_id")
+    values = actions.select(
+        F.col("session_id").alias("list_id"),
+        F.stack(
+            F.lit(2),
+            F.when(word != "", word),
+            F.lit(None).cast("bigint"),
+            F.lit(None).cast("string"),
+            F.when(ids.is_click(category), category),
+        ).alias("word", "category"),
+    )
+    return (
+        values.where(F.col("word").isNotNull() | F.col("category").isNotNull())
+        .distinct()
+        .groupBy("list_id")
+        .agg(
+            F.array_sort(F.collect_list("word")).alias("search_keywords"),
+            F.array_sort(F.collect_list("category")).alias("click_category_ids"),
+        )
     )
-    return _with_user(sessions, users).select(
-        "session_id",
-        "user_id",
-        "search_keywords",
-        "click_category_ids",
-        "visit_length",
-        "step_length",
-        "start_time",
-        "age",
-        "professional",
-        "city",
-        "sex",
+
+
+def with_lists(sessions: DataFrame, actions: DataFrame) -> DataFrame:
+    """Add the keyword and category lists to the actions' sessions.
+
+    Actions without a session id are one session.
+    """
+    same = F.col("session_id").eqNullSafe(F.col("list_id"))
+    nothing = {"search_keywords": "array<string>", "click_category_ids": "array<bigint>"}
+    return sessions.join(_lists(actions), same, "left").select(
+        *sessions.columns,
+        *[
+            F.coalesce(F.col(name), F.array().cast(kind)).alias(name)
+            for name, kind in nothing.items()
+        ],
     )
 
 
+RECORD = [
+    "session_id",
+    "user_id",
+    "search_keywords",
+    "click_category_ids",
+    "visit_length",
+    "step_length",
+    "start_time",
+    "age",
+    "professional",
+    "city",
+    "sex",
+]
+
+
+def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
+    """The full session record, with its keyword and category lists."""
+    return with_lists(_with_user(_roll_up(actions), users), actions).select(*RECORD)
+
+
 def _user_predicates(params: TaskParams) -> list[Column]:
     predicates = []
     if params.start_age is not None and params.end_age is not None:
@@ -121,8 +153,8 @@ def session_filter(sessions: DataFrame, params: TaskParams) -> DataFrame:
     return sessions.where(_all_of(predicates))
 
 
-def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
-    """The sessions that `session_filter` keeps, without their lists.
+def _filtered(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """The sessions that meet every parameter, with their users' traits.
 
     Whether a session searched or clicked a wanted value is one flag, so each
     session is a fixed-size record in a hash aggregate however long it is.
@@ -140,11 +172,25 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
         flags.append(F.max(hit & ids.is_click(F.col("click_category_id"))).alias("category_hit"))
     wanted = [F.col(name) for name in _flag_names(params)]
     sessions = _with_user(_roll_up(actions, *flags).where(_all_of(wanted)), users)
-    return sessions.where(_all_of(_user_predicates(params))).select(
+    return sessions.where(_all_of(_user_predicates(params)))
+
+
+def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """The sessions that `session_filter` keeps, without their lists."""
+    return _filtered(actions, users, params).select(
         "session_id", "user_id", "start_time", "visit_length", "step_length"
     )
 
 
+def filtered_records(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """What `session_filter` keeps of all records.
+
+    Lists are gathered only from the actions of the sessions that remain.
+    """
+    found = _filtered(actions, users, params)
+    return with_lists(found, filtered_actions(actions, found)).select(*RECORD)
+
+
 def _flag_names(params: TaskParams) -> list[str]:
     names = []
     if params.keywords:
@@ -154,23 +200,6 @@ def _flag_names(params: TaskParams) -> list[str]:
     return names
 
 
-def with_lists(sessions: DataFrame, actions: DataFrame, few: bool = True) -> DataFrame:
-    """Add the keyword and category lists to a choice of the actions' sessions.
-
-    ``few`` says that it is the sample (its size plus one row per hour): it is
-    broadcast, so the actions are reduced to the sample's before anything is
-    shuffled. For any larger choice pass ``few=False``; Spark then picks the join
-    by size.
-    """
-    chosen = F.broadcast(sessions) if few else sessions
-    return (
-        actions.select("session_id", "search_keyword", "click_category_id")
-        .join(chosen, "session_id")
-        .groupBy(*sessions.columns)
-        .agg(_keywords().alias("search_keywords"), _categories().alias("click_category_ids"))
-    )
-
-
 def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """The actions of the given sessions; actions without a session id are one session.
 

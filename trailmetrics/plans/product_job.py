@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from trailmetrics.functions.register import register_functions
 from trailmetrics.operators import products
 from trailmetrics.params import TaskParams
 from trailmetrics.sinks import Sink, register_view, result_table
@@ -26,7 +27,11 @@ def area_top3(
 def register_views(
     actions: DataFrame, cities: DataFrame, product_info: DataFrame, params: TaskParams
 ) -> None:
-    """The job's steps as temporary views; nothing runs until one is queried."""
+    """The job's steps as temporary views, and the SQL functions to query them with.
+
+    Nothing runs until a view is queried.
+    """
+    register_functions(actions.sparkSession)
     clicks = click_scan(actions, params.start_date, params.end_date)
     counts = products.area_product_click_count(clicks, cities)
     register_view(products.click_product_basic(clicks, cities), CLICK_VIEW)

@@ -8,27 +8,28 @@ from pyspark.sql import functions as F
 from trailmetrics.functions import dates, strings
 from trailmetrics.operators import categories, details, sampling, sessions
 from trailmetrics.params import TaskParams
-from trailmetrics.runtime import scratch
+from trailmetrics.runtime import Scratch, scratch
 from trailmetrics.sinks import Sink, result_table
 
 
-# A sample of up to this size is broadcast to find its actions.
-FEW = 100_000
-
-
 def session_sample(
     found: DataFrame,
     actions: DataFrame,
+    tables: Scratch,
     seed: int = 0,
     sample_size: int = sampling.SAMPLE_SIZE,
     extra: int = 1,
 ) -> DataFrame:
-    """The sampled sessions with start time, keywords and categories."""
-    hours = sampling.session_hour_count(found)
-    quotas = sampling.session_extract_quota(hours, sample_size, extra)
-    sample = sampling.session_random_extract(found, quotas, seed, sample_size, extra)
-    chosen = sample.select("session_id", "start_time")
-    return _extract_columns(sessions.with_lists(chosen, actions, sample_size <= FEW))
+    """The sampled sessions with start time, keywords and categories.
+
+    The chosen sessions are written down first: Spark then knows how many there
+    are when it joins them with the actions.
+    """
+    sample = sampling.session_random_extract(found, seed, sample_size, extra)
+    chosen = tables.write(sample.select("session_id", "start_time"), "chosen")
+    return _extract_columns(
+        sessions.with_lists(chosen, sessions.filtered_actions(actions, chosen))
+    )
 
 
 def _extract_columns(sample: DataFrame) -> DataFrame:
@@ -103,27 +104,27 @@ def run_session_job(
 
     The sessions, one short row each, are written once to the shared folder and
     read by all results, as are the sample and the two top lists. The actions are
-    scanned for each result with the columns that it needs: the roll-up and the
-    click counts combine them in each task, and the category counts shuffle those
-    with a category. Their details, all columns wide, are read in one scan for the
-    sample and the top sessions together, and take the sessions by broadcast.
+    scanned five times, each time with the columns that are needed: the roll-up
+    and the click counts combine them in each task, the category counts shuffle
+    those with a category, the sample's lists and the details shuffle none as long
+    as the chosen sessions are few enough for Spark to broadcast them.
     """
-    with scratch(actions.sparkSession, "session-job") as keep:
+    with scratch(actions.sparkSession, "session_job") as tables:
 
         def write(df: DataFrame, name: str) -> None:
             sink(result_table(df, name, task_id), name)
 
-        found = keep(sessions.filtered_sessions(actions, users, params), "sessions")
+        found = tables.write(sessions.filtered_sessions(actions, users, params), "sessions")
         write(sessions.session_aggr_stat(found), "session_aggr_stat")
 
-        sample = keep(session_sample(found, actions, seed), "sample")
+        sample = tables.write(session_sample(found, actions, tables, seed), "sample")
         write(sample, "session_random_extract")
 
-        top = keep(top_categories(matched_counts(actions, found)), "top-categories")
+        top = tables.write(top_categories(matched_counts(actions, found)), "top_categories")
         write(top, "top10_category")
 
-        top_list = keep(top_sessions(actions, found, top), "top-sessions")
+        top_list = tables.write(top_sessions(actions, found, top), "top_sessions")
         write(top_list, "top10_session")
 
         chosen = sample.select("sessionid").unionAll(top_list.select("sessionid"))
-        write(top_session_detail(actions, chosen), "session_detail")
+        write(top_session_detail(actions, tables.write(chosen, "detailed")), "session_detail")

@@ -3,61 +3,14 @@
 from __future__ import annotations
 
 import atexit
-import functools
-import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_folder(app_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"trailmetrics-{app_id}-")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own: on a
-    cluster a machine-local folder would be lost with its machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder(spark.conf.get("spark.app.id"))
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Write the rows to the shared folder and read them back.
-
-    Later steps start from files that outlive any executor, see their true size
-    when a join is planned, and read only the columns they need.
-    """
-    path = new_folder(df.sparkSession, name) if folder is None else f"{folder}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """`materialize` into a folder of its own, which is deleted at the end."""
-    folder = new_folder(spark, name)
-    try:
-        yield lambda df, part: materialize(df, part, folder)
-    finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 class Scratch:
     """Intermediate tables of one run, in a database of their own.
 
@@ -84,11 +37,23 @@ class Scratch:
         """The folder of the database, for a stream's files."""
         return self._spark.catalog.getDatabase(self._name).locationUri
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write the rows as a table of its own and read them back."""
+    def table(self, name: str) -> str:
+        """The full name of a table that a caller writes by itself."""
+        return f"{self._name}.{name}"
+
+    def write(self, df: DataFrame, name: str, buckets: list[str] | None = None) -> DataFrame:
+        """Write the rows as a table of its own and read them back.
+
+        With `buckets`, the rows lie in as many buckets of these columns as
+        shuffles have partitions, and joins on them need not move the table.
+        """
         self._written += 1
         table = f"{self._name}.{name}_{self._written}"
-        df.write.saveAsTable(table)
+        writer = df.write
+        if buckets:
+            count = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+            writer = writer.bucketBy(count, *buckets)
+        writer.saveAsTable(table)
         self._tables[name] = table
         return self._spark.table(table)
 
@@ -105,3 +70,13 @@ class Scratch:
         except (PySparkException, OSError, AttributeError):
             # The session has ended, and its catalog with it.
             return
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[Scratch]:
+    """Intermediate tables that are deleted at the end of the block."""
+    tables = Scratch(spark, name)
+    try:
+        yield tables
+    finally:
+        tables.close()

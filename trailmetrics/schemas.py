@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Action times have whole seconds. The id lists stay comma separated text, as
-# stored; `functions.ids.id_list` turns them into arrays.
+# stored; `functions.ids.explode_ids` gives a row per id.
 USER_VISIT_ACTION = T.StructType(
     [
         T.StructField("date", T.DateType()),

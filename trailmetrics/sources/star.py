@@ -86,8 +86,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "events")
+
+
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_ACTIONS, events=_read(spark, sf_dir, "events"))
+    return spark.sql(_ACTIONS, events=events(spark, sf_dir))
 
 
 def actions_between(
@@ -133,9 +137,9 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file, read as a stream, as ad log lines."""
-    events = spark.readStream.schema(_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
-    return ad_lines(spark, events.parquet(sf_dir))
+    stream = spark.readStream.schema(_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
+    return ad_lines(spark, stream.parquet(sf_dir))
 
 
-def ad_lines(spark: SparkSession, events: DataFrame) -> DataFrame:
-    return spark.sql(_AD_LINES, events=events)
+def ad_lines(spark: SparkSession, given: DataFrame) -> DataFrame:
+    return spark.sql(_AD_LINES, events=given)
