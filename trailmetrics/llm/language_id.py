@@ -18,6 +18,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trailmetrics.llm.words import mix
 from trailmetrics.runtime import Scratch
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -35,46 +36,94 @@ def load_pieces(path: str) -> dict[str, int]:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters in lower case, each with the sign of a word's start."""
-    found = _LETTERS.findall((text or "").lower())
-    return [
-        f"{_WORD_START}{word}"[start : start + _PART]
-        for word in found
-        if any(map(str.isalpha, word))
-        for start in range(0, len(word) + 1, _PART)
-    ]
+    """Runs of letters, in lower case."""
+    return _LETTERS.findall(text.lower()) if text else []
+
+
+def parts_of(word: str) -> list[str]:
+    """A word as the vocabulary spells it, in parts; numerals without a letter have none."""
+    if not any(map(str.isalpha, word)):
+        return []
+    marked = _WORD_START + word
+    return [marked[start : start + _PART] for start in range(0, len(marked), _PART)]
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Pieces:
+    """The vocabulary as a hash table that finds many pieces at once.
+
+    A piece is known by 64 bits of hash of its characters.
+    """
+
+    def __init__(self, pieces: dict[str, int]) -> None:
+        self.count = len(pieces)
+        self.bytes = [pieces[f"<0x{byte:02X}>"] for byte in range(256)]
+        self.longest = max(map(len, pieces))
+        bits = max(4, self.count.bit_length() + 3)
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.ids = np.full(1 << bits, -1, np.int64)
+        self.probes = 1
+        for piece, number in pieces.items():
+            key = np.zeros(1, np.uint64)
+            for char in piece:
+                key = key * _BASE + np.uint64(ord(char) + 1)
+            key = mix(key)
+            at, probe = int(key[0] >> self.shift), 0
+            while self.ids[(at + probe) & self.mask] >= 0:
+                probe += 1
+            self.keys[(at + probe) & self.mask] = key[0]
+            self.ids[(at + probe) & self.mask] = number
+            self.probes = max(self.probes, probe + 1)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 where there is none."""
+        keys = mix(hashes)
+        at = (keys >> self.shift).astype(np.int64)
+        found = np.full(len(keys), -1)
+        for probe in range(self.probes):
+            here = (at + probe) & self.mask
+            found = np.where(self.keys[here] == keys, self.ids[here], found)
+        return found
 
 
 class Lattice:
     """All pieces of words of one length, as arcs from one character to another."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int], longest: int) -> None:
-        self.length = len(words[0])
+    def __init__(self, words: list[str], pieces: Pieces) -> None:
+        self.length, self.count = len(words[0]), len(words)
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        known, grid = np.unique(codes, return_inverse=True)
+        self.grid = grid.reshape(self.count, self.length)
+        by_place = (codes.reshape(self.count, self.length).T + 1).astype(np.uint64)
         self.arcs: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-        for end in range(1, self.length + 1):
-            for start in range(max(0, end - longest), end):
-                ids = [pieces.get(word[start:end], -1) for word in words]
-                rows = [row for row, piece in enumerate(ids) if piece >= 0]
-                if rows:
-                    self.arcs.append((start, end, np.array(rows), np.array(ids)[rows]))
-        # One arc per character that spells its bytes.
-        self.bytes = [
-            [[pieces[f"<0x{byte:02X}>"] for byte in word[at].encode("utf-8", "replace")] for word in words]
-            for at in range(self.length)
-        ]
-        self.count = len(words)
-
-    def spelled(self, log_p: np.ndarray, at: int) -> np.ndarray:
-        return np.array([log_p[ids].sum(axis=0) for ids in self.bytes[at]])
+        for start in range(self.length):
+            hashes = np.zeros(self.count, np.uint64)
+            for end in range(start + 1, min(self.length, start + pieces.longest) + 1):
+                hashes = hashes * _BASE + by_place[end - 1]
+                ids = pieces.find(hashes)
+                rows = np.flatnonzero(ids >= 0)
+                if len(rows):
+                    self.arcs.append((start, end, rows, ids[rows]))
+        self.arcs.sort(key=lambda arc: arc[1])
+        # Each character can also be spelled by its bytes.
+        self.bytes = [[pieces.bytes[byte] for byte in chr(code).encode()] for code in known]
+
+    def spelled(self, log_p: np.ndarray) -> np.ndarray:
+        """Log probability of each known character, spelled by bytes."""
+        return np.array([log_p[ids].sum(axis=0) for ids in self.bytes])
 
     def forward(self, log_p: np.ndarray) -> np.ndarray:
         """Log of the summed probability up to each character; [position, word, language]."""
         total = np.full((self.length + 1, self.count, log_p.shape[1]), -np.inf)
         total[0] = 0
+        spelled = self.spelled(log_p)
         arcs = iter(self.arcs)
         arc = next(arcs, None)
         for end in range(1, self.length + 1):
-            total[end] = total[end - 1] + self.spelled(log_p, end - 1)
+            total[end] = total[end - 1] + spelled[self.grid[:, end - 1]]
             while arc is not None and arc[1] == end:
                 start, _, rows, ids = arc
                 total[end, rows] = np.logaddexp(total[end, rows], total[start, rows] + log_p[ids])
@@ -84,21 +133,25 @@ class Lattice:
     def expected(self, log_p: np.ndarray, counts: np.ndarray, into: np.ndarray) -> None:
         """Add the expected uses of each piece to `into`, weighted by the words' counts."""
         before = self.forward(log_p)
+        spelled = self.spelled(log_p)
         after = np.full_like(before, -np.inf)
         after[self.length] = 0
         for end in range(self.length, 0, -1):
             at = end - 1
-            after[at] = np.logaddexp(after[at], after[end] + self.spelled(log_p, at))
+            after[at] = np.logaddexp(after[at], after[end] + spelled[self.grid[:, at]])
             for start, _, rows, ids in (arc for arc in self.arcs if arc[1] == end):
                 after[start, rows] = np.logaddexp(after[start, rows], after[end, rows] + log_p[ids])
         whole = before[self.length]
         for start, end, rows, ids in self.arcs:
             use = np.exp(before[start, rows] + log_p[ids] + after[end, rows] - whole[rows])
             np.add.at(into, ids, use * counts[rows])
+        uses = np.zeros_like(spelled)
         for at in range(self.length):
-            use = np.exp(before[at] + self.spelled(log_p, at) + after[at + 1] - whole) * counts
-            for row, ids in enumerate(self.bytes[at]):
-                np.add.at(into, ids, use[row])
+            chars = self.grid[:, at]
+            use = np.exp(before[at] + spelled[chars] + after[at + 1] - whole)
+            np.add.at(uses, chars, use * counts)
+        for ids, use in zip(self.bytes, uses):
+            np.add.at(into, ids, use)
 
 
 def _by_length(words: Iterable[str], most: int = 20_000) -> Iterator[list[str]]:
@@ -114,7 +167,7 @@ def _expected_counts(pieces, log_p, languages):
     """Expected piece counts of (lang, word, n) rows; one row per piece and language."""
 
     def run(batches):
-        longest = max(map(len, pieces.value))
+        known = Pieces(pieces.value)
         into = np.zeros_like(log_p.value)
         for batch in batches:
             counts: dict[str, np.ndarray] = {}
@@ -122,7 +175,7 @@ def _expected_counts(pieces, log_p, languages):
                 counts.setdefault(word, np.zeros(len(languages)))[languages.index(lang)] += n
             for words in _by_length(counts):
                 rows = np.array([counts[word] for word in words])
-                Lattice(words, pieces.value, longest).expected(log_p.value, rows, into)
+                Lattice(words, known).expected(log_p.value, rows, into)
         ids, columns = np.nonzero(into)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int32()), pa.array(columns, pa.int32()), pa.array(into[ids, columns])],
@@ -172,7 +225,7 @@ def fit(
         for batch in batches:
             langs, words = [], []
             for lang, text in zip(*(column.to_pylist() for column in batch.columns)):
-                found = words_of(text)
+                found = [part for word in words_of(text) for part in parts_of(word)]
                 words += found
                 langs += [lang] * len(found)
             yield pa.RecordBatch.from_arrays(
@@ -211,26 +264,35 @@ def fit(
 
 
 class _Words(dict):
-    """The row of each word in a table of log probabilities, filled when asked."""
+    """The row of each word in a table of log probabilities, filled when asked.
 
-    LIMIT = 300_000
+    Row 0 is for words without a letter.
+    """
+
+    LIMIT = 400_000
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
-        self.longest = max(map(len, model.pieces))
-        self.table = np.zeros((0, len(model.languages)))
+        self.pieces = Pieces(model.pieces)
+        self.table = np.zeros((1, len(model.languages)))
 
     def learn(self, words: set[str]) -> None:
         if len(self) + len(words) > self.LIMIT:
             self.clear()
-            self.table = self.table[:0]
-        new = [word for word in words if word not in self]
-        rows = [self.table]
-        for group in _by_length(new):
-            lattice = Lattice(group, self.model.pieces, self.longest)
-            self.update(zip(group, range(len(self), len(self) + len(group))))
-            rows.append(lattice.forward(self.model.log_p)[-1])
-        self.table = np.concatenate(rows)
+            self.table = self.table[:1]
+        new = words.difference(self)
+        parts = {word: parts_of(word) for word in new}
+        log_p = {}
+        for group in _by_length({part for found in parts.values() for part in found}):
+            lattice = Lattice(group, self.pieces)
+            log_p.update(zip(group, lattice.forward(self.model.log_p)[-1]))
+        rows = []
+        for word, found in parts.items():
+            self[word] = len(self.table) + len(rows) if found else 0
+            if found:
+                rows.append(log_p[found[0]] if len(found) == 1 else sum(log_p[p] for p in found))
+        if rows:
+            self.table = np.concatenate([self.table, rows])
 
 
 _JUDGED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -247,11 +309,11 @@ def _judge(model):
                 known.learn({word for words in texts for word in words})
                 langs, scores = [], []
                 for words in texts:
-                    if not words or not languages:
+                    rows = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                    if not rows.any() or not languages:
                         langs.append("und")
                         scores.append(0.0)
                         continue
-                    rows = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
                     total = known.table[rows].sum(axis=0)
                     best = int(total.argmax())
                     langs.append(languages[best])
