@@ -78,40 +78,18 @@ def _scan(window: int, anchor: int):
     return lambda batches: per_row(_SCANNED, _scan_row(window, anchor))(batches)
 
 
-def _phrase_rows(window: int, anchor: int):
-    """The words of the recurring anchors of a document that holds them first."""
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("text", "wanted", "shard")]
-            for text, wanted, shard in zip(*columns):
-                words = text.split()
-                run_hashes = signed(runs(hashes.of(words), anchor))
-                _, first = np.unique(run_hashes, return_index=True)
-                at = first[np.isin(run_hashes[first], wanted)]
-                phrases = [b" ".join(words[i : i + anchor]) for i in at]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([shard] * len(at), pa.int64()),
-                        pa.array(phrases, pa.binary()),
-                    ],
-                    schema=_PHRASE,
-                )
-
-    return run
-
-
-_PHRASE = pa.schema([("shard", pa.int64()), ("phrase", pa.binary())])
-_WINDOW = pa.schema(
+_LOCATED = pa.schema(
     [
-        ("h1", pa.int64()),
-        ("h2", pa.int64()),
         ("doc_id", pa.int64()),
         ("text_key", pa.int64()),
-        ("start", pa.int32()),
+        ("starts", pa.list_(pa.int32())),
+        ("h1", pa.list_(pa.int64())),
+        ("h2", pa.list_(pa.int64())),
     ]
 )
+_LOCATED_TYPES = (
+    "doc_id long, text_key long, starts array<int>, h1 array<long>, h2 array<long>"
+)
 
 
 def _latin(value: bytes) -> str:
@@ -119,58 +97,93 @@ def _latin(value: bytes) -> str:
     return value.decode("latin-1")
 
 
+def _automaton(phrases: set[bytes]) -> ahocorasick.Automaton:
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for phrase in phrases:
+        automaton.add_word(f" {_latin(phrase)} ")
+    automaton.make_automaton()
+    return automaton
+
+
+def _occurrences(automaton: ahocorasick.Automaton, words: list[bytes]) -> np.ndarray:
+    """For each word, whether a phrase begins there."""
+    located = np.zeros(len(words), bool)
+    # A phrase begins with the space before its first word.
+    ends = automaton.iter(f" {_latin(b' '.join(words))} ")
+    at = [end - length + 1 for end, length in ends]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    spaces = np.cumsum(np.concatenate([[0], lengths[:-1] + 1]))
+    located[np.searchsorted(spaces, at)] = True
+    return located
+
+
 def _locate(window: int, anchor: int):
-    """Compile a shard's phrases and stream its documents through the automaton."""
-
-    def group(phrases: pa.Table, documents: pa.Table) -> pa.Table:
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for phrase in phrases["phrase"].to_pylist():
-            automaton.add_word(f" {_latin(phrase)} ")
-        automaton.make_automaton()
-        hashes = WordHashes()
-        found: list[list[np.ndarray]] = [[] for _ in _WINDOW]
-        rows = zip(*(documents[name].to_pylist() for name in ("doc_id", "text_key", "text")))
-        for doc_id, text_key, text in rows if len(phrases) else ():
+    """Compile a shard's phrases, stream its documents, and compare the windows found.
+
+    A window that starts in a smaller document of the same place is settled here;
+    only where a shard has several places, one of each set of equal windows goes
+    on, with its hashes.
+    """
+
+    def group(table: pa.Table) -> pa.Table:
+        names = ("doc_id", "text_key", "text", "anchors")
+        ids, keys, texts, anchors = (table[name].to_pylist() for name in names)
+        several = table["places"][0].as_py() > 1
+        hashes, phrases = WordHashes(), set()
+        for text, wanted in zip(texts, anchors):
+            words = text.split()
+            at = np.flatnonzero(np.isin(signed(runs(hashes.of(words), anchor)), wanted))
+            phrases |= {b" ".join(words[i : i + anchor]) for i in at}
+        automaton = _automaton(phrases)
+        found: list[list[np.ndarray]] = [[], [], [], []]
+        for number, text in enumerate(texts):
             words = text.split()
-            stream = f" {_latin(b' '.join(words))} "
-            ends = [end - length + 1 for end, length in automaton.iter(stream)]
-            if not ends:
-                continue
-            # A phrase begins with the space before its first word.
-            lengths = np.fromiter(map(len, words), np.int64, len(words))
-            spaces = np.cumsum(np.concatenate([[0], lengths[:-1] + 1]))
-            located = np.zeros(len(words), bool)
-            located[np.searchsorted(spaces, ends)] = True
             word_hashes = hashes.of(words)
             places = _anchor_starts(runs(word_hashes, anchor), window, anchor)
-            starts = np.flatnonzero(located[places])
+            starts = np.flatnonzero(_occurrences(automaton, words)[places])
             h1, h2 = _window_hashes(word_hashes, window)
-            whose = [np.full(len(starts), value) for value in (doc_id, text_key)]
-            for column, values in zip(found, (signed(h1[starts]), signed(h2[starts]), *whose, starts)):
+            rows = np.full(len(starts), number)
+            for column, values in zip(found, (h1[starts], h2[starts], rows, starts)):
                 column.append(values)
-        arrays = [
-            pa.array(np.concatenate(column) if column else [], field.type)
-            for column, field in zip(found, _WINDOW)
-        ]
-        return pa.table(arrays, schema=_WINDOW)
+        h1, h2, rows, starts = map(np.concatenate, found)
+        docs = np.array(ids)[rows]
+        order = np.lexsort((docs, h2, h1))
+        h1, h2, rows, starts, docs = (x[order] for x in (h1, h2, rows, starts, docs))
+        fresh = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])[: len(h1)]
+        first = docs[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(docs) else docs
+        settled = docs > first
+        out: list[tuple] = []
+        for mask, with_hashes in ((settled, False), (~settled & several, True)):
+            chosen = np.flatnonzero(mask)
+            chosen = chosen[np.argsort(rows[chosen], kind="stable")]
+            for part in np.split(chosen, np.flatnonzero(np.diff(rows[chosen])) + 1):
+                if len(part):
+                    number = rows[part[0]]
+                    both = (signed(h1[part]), signed(h2[part])) if with_hashes else (None, None)
+                    out.append((ids[number], keys[number], starts[part], *both))
+        columns = zip(*out) if out else [[]] * len(_LOCATED)
+        arrays = [pa.array(list(c), field.type) for c, field in zip(columns, _LOCATED)]
+        return pa.table(arrays, schema=_LOCATED)
 
     return group
 
 
 def repeated_windows(
     documents: DataFrame,
-    scanned: DataFrame,
+    standing: DataFrame,
     scratch: Scratch,
     window: int,
     anchor: int,
     shard_phrases: int,
     shard_words: int,
-) -> DataFrame:
-    """(doc_id, text_key, starts) of the windows that also start in a smaller doc_id.
+) -> tuple[DataFrame, DataFrame]:
+    """Texts that hold recurring anchors, and their windows that a smaller doc_id starts too.
 
-    `scanned` holds the documents to compare, each text once.
+    Returns (doc_id, text_key, text) and (doc_id, text_key, starts). `standing`
+    has the anchors of the documents to compare.
     """
-    placed = scanned.select("doc_id", "n_words", F.explode("anchors").alias("anchor"))
+    row = ["doc_id", "text_key"]
+    placed = standing.select(*row, "n_words", F.explode("anchors").alias("anchor"))
     recurring = scratch.write(
         placed.groupBy("anchor")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -178,53 +191,51 @@ def repeated_windows(
         .select("anchor", "first"),
         "recurring",
     )
-    # Phrases that begin in the same document share a shard, so a document that
+    # Anchors that the same document holds first share a shard, so a document that
     # repeats one other document visits few shards.
     shards = max(1, -(-recurring.count() // shard_phrases))
-    shard = F.pmod(F.xxhash64("first"), F.lit(shards))
-    visits = (
+    visits = scratch.write(
         placed.join(recurring, "anchor")
-        .select("doc_id", "n_words", shard.alias("shard"))
-        .distinct()
+        .groupBy(*row, F.pmod(F.xxhash64("first"), F.lit(shards)).alias("shard"))
+        .agg(F.first("n_words").alias("n_words"), F.collect_list("anchor").alias("anchors")),
+        "visits",
     )
-    visits = scratch.write(visits, "visits")
+    # Both sides grow with the corpus: a merge at every size. The texts are kept
+    # in buckets of a row's key, so that later joins move only what they add.
+    wanted = visits.select(*row).distinct()
     texts = scratch.write(
-        documents.join(visits.select("doc_id").distinct(), "doc_id", "left_semi"), "repeating_texts"
-    )
-    wanted = recurring.groupBy("first").agg(F.collect_list("anchor").alias("wanted"))
-    phrases = (
-        texts.join(wanted.withColumn("shard", shard), texts["doc_id"] == F.col("first"))
-        .select("text", "wanted", "shard")
-        .mapInArrow(_phrase_rows(window, anchor), "shard long, phrase binary")
+        documents.join(wanted.hint("merge"), row, "left_semi"), "repeating_texts", buckets=row
     )
     # A shard that many documents visit is compiled in several places.
-    loads = visits.groupBy("shard").agg(
-        F.ceil(F.sum("n_words") / shard_words).alias("places")
+    loads = visits.groupBy("shard").agg(F.ceil(F.sum("n_words") / shard_words).alias("places"))
+    routes = visits.join(loads, "shard").select(
+        *row,
+        "shard",
+        "places",
+        F.pmod(F.xxhash64("doc_id"), F.col("places")).alias("place"),
+        "anchors",
     )
-    loads = scratch.write(loads, "shard_loads")
-    place = F.pmod(F.xxhash64("doc_id"), F.col("places"))
-    routed = texts.join(visits.join(loads, "shard").select("doc_id", "shard", place.alias("place")), "doc_id")
-    copies = phrases.join(loads, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), "phrase"
+    located = scratch.write(
+        texts.join(routes.hint("merge"), row)
+        .groupBy("shard", "place")
+        .applyInArrow(_locate(window, anchor), _LOCATED_TYPES),
+        "located",
     )
-    windows = scratch.write(
-        copies.groupBy("shard", "place")
-        .cogroup(routed.groupBy("shard", "place"))
-        .applyInArrow(_locate(window, anchor), "h1 long, h2 long, doc_id long, text_key long, start int"),
-        "windows",
+    settled = located.where("h1 IS NULL").select(*row, F.explode("starts").alias("start"))
+    open_windows = located.where("h1 IS NOT NULL").select(
+        *row, F.inline(F.arrays_zip("starts", "h1", "h2")).alias("start", "h1", "h2")
     )
     first = (
-        windows.groupBy("h1", "h2")
+        open_windows.groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last")
         .select("h1", "h2", "first")
     )
-    return (
-        windows.join(first, ["h1", "h2"])
-        .where("doc_id > first")
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set("start").alias("starts"))
+    across = open_windows.join(first, ["h1", "h2"]).where("doc_id > first").select(*row, "start")
+    starts = (
+        settled.unionAll(across).groupBy(*row).agg(F.collect_set("start").alias("starts"))
     )
+    return texts, starts
 
 
 _KEPT = pa.schema(
@@ -261,7 +272,7 @@ def dedup_passages(
     scratch: Scratch,
     window: int = 50,
     anchor: int = 8,
-    shard_phrases: int = 20_000,
+    shard_phrases: int = 5_000,
     shard_words: int = 2_000_000,
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, kept_sha256) for each row of `documents`.
@@ -276,8 +287,9 @@ def dedup_passages(
        each document streams through the shards that hold its anchors. A shard
        with much more than `shard_words` words of visitors is compiled in
        several places.
-    4. The windows around the located phrases are compared by 128 bits of hash;
-       what starts in a smaller doc_id too is cut out.
+    4. The windows around the located phrases are compared by 128 bits of hash,
+       within a place first and then between the places of a shard; what starts
+       in a smaller doc_id too is cut out.
 
     Null or empty texts have no words. Rows that share a doc_id never remove
     words of each other, and each loses what smaller documents repeat. A row
@@ -303,12 +315,12 @@ def dedup_passages(
     standing = usable.join(
         classes.withColumnRenamed("first_same", "doc_id"), ["sha256", "doc_id"], "left_semi"
     )
-    starts = repeated_windows(
+    texts, starts = repeated_windows(
         read.where("doc_id IS NOT NULL"), standing, scratch, window, anchor, shard_phrases, shard_words
     )
     row = ["doc_id", "text_key"]
     cut = scratch.write(
-        read.join(starts, row)
+        texts.join(starts.hint("merge"), row)
         .select(*row, "text", "starts")
         .mapInArrow(_cut(window), "doc_id long, text_key long, n_removed long, kept binary")
         .dropDuplicates(row),
