@@ -188,9 +188,7 @@ def near_duplicates(
         ["name1", "name2", "n_shingles", "doc_id"],
         "left_semi",
     )
-    banded = scratch.write(
-        standing.select("doc_id", F.explode("bands").alias("band")).distinct(), "bands"
-    )
+    banded = scratch.write(standing.select("doc_id", F.explode("bands").alias("band")), "bands")
     shared = banded.groupBy("band").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     ties = (
         banded.join(shared.where("n > 1"), "band")
@@ -256,8 +254,9 @@ def _confirmed(
     confirm = _confirm(shingle, percent)
 
     def links_of(rows: DataFrame) -> DataFrame:
+        # Both sides grow with the corpus: a merge at every size.
         return (
-            texts.join(rows, "doc_id")
+            texts.join(rows.hint("merge"), "doc_id")
             .select("place", "block", "cluster", "doc_id", "text")
             .groupBy("place", "block")
             .applyInArrow(confirm, "u long, v long")

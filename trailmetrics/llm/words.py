@@ -15,7 +15,7 @@ class WordHashes(dict):
     changes no hash.
     """
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
