@@ -213,7 +213,8 @@ def score(
     size = vocabulary + 2
     targets = target_ids.select(F.col("doc_id").cast("long"), F.lit(True).alias("is_target")).distinct()
     parts = (
-        texts.join(targets, "doc_id", "left")
+        # Both sides grow with the corpus: a merge at every size.
+        texts.join(targets.hint("merge"), "doc_id", "left")
         .select("text", "is_target")
         .mapInArrow(_model_counts(words, size, bits), "kind int, start int, counts binary")
         .groupBy("kind", "start")
