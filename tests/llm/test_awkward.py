@@ -199,14 +199,14 @@ def test_language(documents, keep):
     assert {r["lang_pred"] for r in language_id.predict(documents, untaught).collect()} == {"und"}
 
 
-def test_language_model_scores(spark, documents):
+def test_language_model_scores(spark, documents, keep):
     good = spark.createDataFrame([(6,), (6,), (None,), (77,)], "doc_id long")
-    found = rows(lm_score.score(documents, good), "doc_id", "n_words", "score")
+    found = rows(lm_score.score(documents, good, keep), "doc_id", "n_words", "score")
     assert len(found) == len(DOCUMENTS)
     by_id = {row[0]: row for row in found}
     assert by_id[1][1:] == (0, None) and by_id[3][1:] == (0, None)
     assert by_id[7][2] < 0 < by_id[12][2]
-    none = lm_score.score(documents, good.where("false"))
+    none = lm_score.score(documents, good.where("false"), keep)
     assert none.where("score IS NOT NULL").count() == len([d for d in DOCUMENTS if brute.spaced(d[1])])
 
 
@@ -289,7 +289,7 @@ def test_empty_tables(spark, documents, keep):
         toxicity.score(none, toxicity.fit(none, labels, keep)),
         toxicity.drop_toxic(none, labels, keep),
         language_id.predict(none, language_id.fit(none, keep)),
-        lm_score.score(none, labels.select("doc_id")),
+        lm_score.score(none, labels.select("doc_id"), keep),
         url_filter.filter_urls(pages, rules, keep),
         embeddings.near_duplicates(vectors, keep),
     ):

@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmetrics.llm.words import mix
+from trailmetrics.runtime import Scratch
 
 _OTHER, _START = 0, 1
 _CHUNK = 1 << 14
+# Classes of frequency for each doubling of a count.
+_CLASSES = 64
 
 
 class Vocabulary(dict):
@@ -176,9 +179,22 @@ def _scores(words, counts, size: int, bits: int, weight: float):
     return run
 
 
+def _least_class(counts: DataFrame, most: int) -> int:
+    """The lowest class of frequency down to which there are at most `most` words."""
+    sizes = counts.groupBy("class").agg(F.count("*").alias("words")).collect()
+    total, least = 0, 1 << 20
+    for row in sorted(sizes, reverse=True):
+        total += row["words"]
+        if total > most:
+            break
+        least = row["class"]
+    return least
+
+
 def score(
     documents: DataFrame,
     target_ids: DataFrame,
+    scratch: Scratch,
     vocabulary: int = 30_000,
     bits: int = 20,
     weight: float = 200.0,
@@ -187,9 +203,10 @@ def score(
     """(doc_id, n_words, target_loss, background_loss, score) of each row of `documents`.
 
     The background is all documents, the target those whose doc_id is in
-    `target_ids`. Words (A-Z lower-cased) are counted over all documents; the
-    `vocabulary` most frequent ones, ties by their bytes, are known to both
-    models, and all others are one word. Pairs are counted in 2 ** `bits` slots.
+    `target_ids`. Words (A-Z lower-cased) are counted over all documents. The most
+    frequent ones are known to both models, and all others are one word: words
+    fall into classes of about equal counts (within 1 %), and the classes are
+    taken from the top as long as at most `vocabulary` words are known. Pairs are counted in 2 ** `bits` slots.
     Each task sums its own counts before they are shuffled; the two models have
     a size fixed by these parameters, and reach the tasks by broadcast.
 
@@ -200,16 +217,16 @@ def score(
     """
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    known = (
+    counts = scratch.write(
         texts.select("text")
         .mapInArrow(_word_counts(words_at_once), "word binary, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(vocabulary)
-        .collect()
+        .withColumn("class", F.floor(F.log2("n") * _CLASSES)),
+        "word_counts",
     )
-    words = spark.sparkContext.broadcast([bytes(row["word"]) for row in known])
+    known = counts.where(F.col("class") >= _least_class(counts, vocabulary)).collect()
+    words = spark.sparkContext.broadcast(sorted(bytes(row["word"]) for row in known))
     size = vocabulary + 2
     targets = target_ids.select(F.col("doc_id").cast("long"), F.lit(True).alias("is_target")).distinct()
     parts = (

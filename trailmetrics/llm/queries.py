@@ -114,7 +114,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How near each document is to those that are labelled good."""
     labels = _table(spark, sf_dir, "labels")
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
-    return lm_score.score(_table(spark, sf_dir, "documents"), good)
+    return lm_score.score(_table(spark, sf_dir, "documents"), good, Scratch(spark, "lm_score"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
