@@ -174,15 +174,18 @@ def test_the_forward_sum_covers_all_segmentations():
 
 def test_gradient_of_the_ordinal_loss():
     rng = np.random.default_rng(4)
-    rows = [(np.unique(rng.integers(0, 9, 4)), None) for _ in range(30)]
-    rows = [(numbers, rng.random(len(numbers))) for numbers, _ in rows]
+    owner = np.sort(rng.integers(0, 30, 120))
+    numbers, rates = rng.integers(0, 9, 120), rng.random(120)
     grades = rng.integers(0, 3, 30)
     x = np.concatenate([rng.standard_normal(9), [-0.3, 0.2]])
 
+    def both(x):
+        return loss_and_gradient(owner, numbers, rates, grades, x[:9], x[9:])
+
     def loss(x):
-        return loss_and_gradient(rows, grades, x[:9], x[9:])[0]
+        return both(x)[0]
 
-    _, by_weight, by_free = loss_and_gradient(rows, grades, x[:9], x[9:])
+    _, by_weight, by_free = both(x)
     for i, slope in enumerate([*by_weight, *by_free]):
         step = np.zeros(11)
         step[i] = 1e-5
@@ -191,15 +194,15 @@ def test_gradient_of_the_ordinal_loss():
     assert odds.sum(axis=1) == pytest.approx(1) and (odds >= 0).all()
 
 
-def test_models_are_matched_and_words_are_known_by_count(spark):
+def test_models_are_matched_and_words_are_known_by_count(spark, keep):
     rows = [(i, "the cat sat on the mat " * 3) for i in range(20)]
     rows += [(100 + i, f"zz{i} qq{i} the " * 4) for i in range(60)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     target = spark.range(20).withColumnRenamed("id", "doc_id")
-    scores = {r["doc_id"]: r for r in lm_score.score(frame, target, vocabulary=50).collect()}
+    scores = {r["doc_id"]: r for r in lm_score.score(frame, target, keep, vocabulary=50).collect()}
     assert scores[0]["score"] < -0.3 and scores[120]["score"] > 0
     assert scores[0]["n_words"] == 18
-    again = lm_score.score(frame.repartition(5), target, vocabulary=50, words_at_once=3).collect()
+    again = lm_score.score(frame.repartition(5), target, keep, vocabulary=50, words_at_once=3).collect()
     for row in again:
         assert row["score"] == pytest.approx(scores[row["doc_id"]]["score"])
     assert frame.where(F.col("doc_id") < 0).count() == 0

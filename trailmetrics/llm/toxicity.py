@@ -30,22 +30,31 @@ _PER, _SHORT, _MOST = 100.0, 20.0, 3.0
 
 
 class Features(dict):
-    """The feature numbers of each word."""
+    """The row of each word in a table of feature numbers, filled when asked."""
 
-    LIMIT = 300_000
+    LIMIT = 200_000
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= self.LIMIT:
-            self.clear()
+    def __init__(self) -> None:
+        self.table = np.full((1024, 1 + len(_PREFIXES)), -1, np.int32)
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = len(self)
+        if row == len(self.table):
+            self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
         names = [f"={word}"] + [f"^{word[:n]}" for n in _PREFIXES if len(word) > n]
-        found = self[word] = tuple(xxhash.xxh64_intdigest(name) >> (64 - _BITS) for name in names)
-        return found
+        numbers = [xxhash.xxh64_intdigest(name) >> (64 - _BITS) for name in names]
+        self.table[row, : len(numbers)] = numbers
+        self.table[row, len(numbers) :] = -1
+        return row
 
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Feature numbers of a text and their rates."""
+        if len(self) > self.LIMIT:
+            self.clear()
         words = _WORD.findall((text or "").lower())
-        flat = [number for word in words for number in self[word]]
-        numbers, counts = np.unique(np.array(flat, np.int64), return_counts=True)
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        flat = self.table[rows].ravel()
+        numbers, counts = np.unique(flat[flat >= 0], return_counts=True)
         return numbers, np.minimum(counts * (_PER / (len(words) + _SHORT)), _MOST)
 
 
@@ -66,23 +75,26 @@ def grade_odds(score: np.ndarray, limits: np.ndarray) -> np.ndarray:
 
 
 def loss_and_gradient(
-    rows: list[tuple[np.ndarray, np.ndarray]],
+    owner: np.ndarray,
+    numbers: np.ndarray,
+    rates: np.ndarray,
     grades: np.ndarray,
     weights: np.ndarray,
     free: np.ndarray,
 ) -> tuple[float, np.ndarray, np.ndarray]:
-    """Summed loss, its gradient by weights and by the free threshold numbers."""
+    """Summed loss, its gradient by weights and by the free threshold numbers.
+
+    `owner` says which row each feature number and rate belongs to.
+    """
     limits = thresholds(free)
-    score = np.array([weights[numbers] @ rates for numbers, rates in rows])
+    score = np.bincount(owner, weights[numbers] * rates, len(grades))
     edges = np.concatenate([[-np.inf], limits, [np.inf]])
     high, low = edges[grades + 1] - score, edges[grades] - score
     upper, lower = _sigmoid(high), _sigmoid(low)
     inside = np.maximum(upper - lower, 1e-12)
     d_upper, d_lower = upper * (1 - upper) / inside, lower * (1 - lower) / inside
     by_score = d_upper - d_lower
-    by_weight = np.zeros_like(weights)
-    for (numbers, rates), slope in zip(rows, by_score):
-        by_weight[numbers] += slope * rates
+    by_weight = np.bincount(numbers, by_score[owner] * rates, len(weights))
     by_limit = np.zeros(len(limits))
     np.add.at(by_limit, grades[grades < len(limits)], -d_upper[grades < len(limits)])
     np.add.at(by_limit, grades[grades > 0] - 1, d_lower[grades > 0])
@@ -173,18 +185,21 @@ def _feature_rows(known):
 
 
 def _gradients(model):
-    """The summed loss and gradient of a task's rows, as one row."""
+    """The summed loss and gradient of each batch of rows, as one row."""
 
     def run(batches):
         weights, free = model.value
-        rows, grades = [], []
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("numbers", "rates", "grade")]
-            for numbers, rates, grade in zip(*columns):
-                rows.append((np.asarray(numbers, np.int64), np.asarray(rates, np.float64)))
-                grades.append(grade)
-        if rows:
-            loss, by_weight, by_free = loss_and_gradient(rows, np.array(grades), weights, free)
+            lists = batch.column("numbers")
+            sizes = np.diff(lists.offsets.to_numpy())
+            loss, by_weight, by_free = loss_and_gradient(
+                np.repeat(np.arange(len(sizes)), sizes),
+                lists.flatten().to_numpy(),
+                batch.column("rates").flatten().to_numpy(),
+                batch.column("grade").to_numpy(),
+                weights,
+                free,
+            )
             packed = np.concatenate([[loss], by_weight, by_free]).astype("<f8").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["sums"])
 
