@@ -77,8 +77,10 @@ def dedup_lines(
     dropped. An empty table stays empty.
     """
     keys = scratch.write(line_keys(documents, min_length), "line_keys")
+    # Written down, so that adaptive execution can split the lines of one key.
+    repeated = scratch.write(repeated_keys(keys, min_documents), "repeated_keys")
     dropped = (
-        keys.join(repeated_keys(keys, min_documents), PAIR)
+        keys.join(repeated, PAIR)
         .where(F.col(ID) < F.col("__llm_last"))
         .groupBy(ID, TEXT_HASH)
         .agg(F.collect_set(_POSITION).alias(_DROPPED))
