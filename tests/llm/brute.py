@@ -166,3 +166,32 @@ def url_rule(host, path, rules):
         if (host == h or host.endswith(f".{h}")) and path.startswith(p)
     ]
     return min(fitting)[1:] if fitting else (None, None)
+
+
+def bigram_losses(rows, targets, weight=200.0):
+    """rows: (doc_id, text); gives (doc_id, words, target loss, background loss)."""
+    texts = [(doc_id, spaced(lower(text))) for doc_id, text in rows]
+    models = []
+    for chosen in (set(targets), None):
+        pairs, before, words = Counter(), Counter(), Counter()
+        for doc_id, text in texts:
+            if chosen is None or doc_id in chosen:
+                pairs.update(zip(["", *text], text))
+                before.update(["", *text][: len(text)])
+                words.update(text)
+        models.append((pairs, before, words))
+    (*_, target), (*_, background) = models
+    total, size = sum(target.values()), len(background)
+    scales = (1.0, total / max(1, sum(background.values())))
+    result = []
+    for doc_id, text in texts:
+        losses = []
+        for (pairs, before, words), scale in zip(models, scales):
+            loss = 0.0
+            for pair in zip(["", *text], text):
+                unigram = (words[pair[1]] * scale + 1) / (total + size)
+                odds = (pairs[pair] * scale + weight * unigram) / (before[pair[0]] * scale + weight)
+                loss -= np.log(odds)
+            losses.append(loss / len(text) if text else None)
+        result.append((doc_id, len(text), *losses))
+    return result

@@ -3,36 +3,43 @@
 A target and a background bigram model share one vocabulary, order and smoothing.
 A document's score is its loss per word under the target model minus that under
 the background model: low scores are near the target.
+
+A loss is a sum over terms: one for each pair of words, one for each history. The
+counts and values of all terms are tables, which grow with the corpus.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmetrics.llm.words import mix
+from trailmetrics.llm.words import WordHashes, mix, signed
 from trailmetrics.runtime import Scratch
 
-_OTHER, _START = 0, 1
-_CHUNK = 1 << 14
+_OTHER, _START = np.uint64(0), np.uint64(1)
+# Fixed values that keep the names of histories and of pairs apart.
+_HISTORY, _PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # Classes of frequency for each doubling of a count.
 _CLASSES = 64
+_ROWS = 100_000
 
 
-class Vocabulary(dict):
-    """Word by number; words that are not in it share the number 0."""
+class Words:
+    """Words as 64-bit hashes; those outside a given vocabulary share one value."""
 
-    def __missing__(self, word: bytes) -> int:
-        return _OTHER
+    def __init__(self, known) -> None:
+        self.hashes, self.known = WordHashes(), known and known.value
 
-    def numbers(self, text: bytes | None) -> np.ndarray:
-        words = (text or b"").lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+    def of(self, text: bytes | None) -> np.ndarray:
+        words = self.hashes.of((text or b"").lower().split())
+        if self.known is None:
+            return words
+        return np.where(np.isin(words, self.known), words, _OTHER)
 
 
 def _word_counts(most: int):
@@ -40,15 +47,16 @@ def _word_counts(most: int):
 
     def out(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())],
+            [pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())],
             names=["word", "n"],
         )
 
     def run(batches):
         counts: Counter = Counter()
+        words = Words(None)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                counts.update((text or b"").lower().split())
+                counts.update(signed(words.of(text)).tolist())
                 if len(counts) >= most:
                     yield out(counts)
                     counts.clear()
@@ -57,193 +65,256 @@ def _word_counts(most: int):
     return run
 
 
-def slots(numbers: np.ndarray, size: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each word with its history, and the slot that counts the pair."""
-    before = np.concatenate([[_START], numbers[:-1]])
-    pairs = (before * size + numbers).astype(np.uint64)
-    return before, numbers, (mix(pairs) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _model_counts(words, size: int, bits: int):
-    """Counts of histories, words and pairs, as rows of many counts each.
-
-    Kinds 0 to 2 are the background, 3 to 5 the target.
-    """
+def terms(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of some texts one after another, and the names of their pairs and histories."""
+    words = np.concatenate(texts)
+    before = np.roll(words, 1)
+    starts = np.cumsum([0, *(len(text) for text in texts[:-1])])
+    # Empty texts at the end start after the last word.
+    before[starts[starts < len(words)]] = _START
+    return words, mix(mix(before ^ _PAIR) + words), mix(before ^ _HISTORY)
+
+
+def _term_counts(known, at_once: int):
+    """(term, word, n, in_target) of a task's documents; histories have no word."""
+
+    def out(texts: list[np.ndarray], targets: list[bool]):
+        words, pairs, histories = terms(texts)
+        target = np.repeat(targets, [len(text) for text in texts]).astype(np.int64)
+        for names, of_pairs in ((pairs, True), (histories, False)):
+            order = np.argsort(names)
+            named = names[order]
+            starts = np.flatnonzero(np.concatenate([[True], named[1:] != named[:-1]]))
+            n = np.diff(np.concatenate([starts, [len(named)]]))
+            of_target = np.add.reduceat(target[order], starts)
+            word = signed(words[order[starts]])
+            for at in range(0, len(starts), _ROWS):
+                part = slice(at, at + _ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(signed(named[starts[part]])),
+                        pa.array(word[part]) if of_pairs else pa.nulls(len(n[part]), pa.int64()),
+                        pa.array(n[part]),
+                        pa.array(of_target[part]),
+                    ],
+                    names=["term", "word", "n", "in_target"],
+                )
 
     def run(batches):
-        vocabulary = Vocabulary((word, i + 2) for i, word in enumerate(words.value))
-        tables = [np.zeros(n, np.int64) for n in (size, size, 1 << bits) * 2]
+        words = Words(known)
+        texts, targets, held = [], [], 0
         for batch in batches:
-            texts, targets = batch.column("text").to_pylist(), batch.column("is_target").to_pylist()
-            for text, target in zip(texts, targets):
-                numbers = vocabulary.numbers(text)
-                if not len(numbers):
-                    continue
-                for kind, at in enumerate(slots(numbers, size, bits)):
-                    np.add.at(tables[kind], at, 1)
-                    if target:
-                        np.add.at(tables[kind + 3], at, 1)
-        for kind, table in enumerate(tables):
-            for start in range(0, len(table), _CHUNK):
-                part = table[start : start + _CHUNK]
-                if part.any():
-                    yield _counted(kind, start, part)
+            for text, target in zip(*(batch.column(name).to_pylist() for name in ("text", "is_target"))):
+                found = words.of(text)
+                if len(found):
+                    texts.append(found)
+                    targets.append(bool(target))
+                    held += len(found)
+                if held >= at_once:
+                    yield from out(texts, targets)
+                    texts, targets, held = [], [], 0
+        if held:
+            yield from out(texts, targets)
 
     return run
 
 
-def _counted(kind: int, start: int, values: np.ndarray) -> pa.RecordBatch:
-    """A part of a table as one row; zeros make up most of it and pack well."""
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([kind], pa.int32()),
-            pa.array([start], pa.int32()),
-            pa.array([values.astype("<i8").tobytes()], pa.binary()),
-        ],
-        names=["kind", "start", "counts"],
-    )
-
-
-def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the rows of one part of one table, a batch at a time."""
-    total, kind, start = np.zeros(0, np.int64), 0, 0
-    for batch in batches:
-        for kind, start, counts in zip(*(column.to_pylist() for column in batch.columns)):
-            values = np.frombuffer(counts, "<i8")
-            total = total + values if len(total) else values
-    yield _counted(kind, start, total)
-
-
-class BigramModel:
-    """Probability of a word after another, with Dirichlet smoothing.
-
-    Pairs are counted in hashed slots, so a count may be too large; it is never
-    more than the count of either word, and both models share the slots.
-    """
-
-    def __init__(self, before: np.ndarray, words: np.ndarray, pairs: np.ndarray, weight: float) -> None:
-        self.before, self.words, self.pairs, self.weight = before, words, pairs, weight
-        self.unigram = (words + 1.0) / (words.sum() + len(words))
-
-    def loss(self, before: np.ndarray, words: np.ndarray, at: np.ndarray) -> np.ndarray:
-        seen = self.before[before]
-        both = np.minimum(np.minimum(self.pairs[at], seen), self.words[words])
-        return -np.log((both + self.weight * self.unigram[words]) / (seen + self.weight))
-
-
-def matched_models(tables: list[np.ndarray], weight: float) -> tuple[BigramModel, BigramModel]:
-    """Target and background; background counts are scaled to the target's size.
-
-    With equal sizes, the smoothing weighs equally in both.
-    """
-    background, target = tables[:3], tables[3:]
-    scale = target[1].sum() / max(1, background[1].sum())
-    return (
-        BigramModel(*(table.astype(np.float64) for table in target), weight),
-        BigramModel(*(table * scale for table in background), weight),
-    )
-
-
-_SCORED = pa.schema(
+_SUMMED = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("name", pa.int64()),
         ("n_words", pa.int64()),
-        ("target_loss", pa.float64()),
-        ("background_loss", pa.float64()),
-        ("score", pa.float64()),
+        ("target_sum", pa.float64()),
+        ("background_sum", pa.float64()),
+        ("n_rest", pa.int64()),
     ]
 )
+_REST = pa.schema([("name", pa.int64()), ("term", pa.int64()), ("n", pa.int64())])
+
 
+def _split(known, frequent, rest: bool):
+    """Each document's sums over frequent terms; or its other terms, with their counts.
+
+    A text is named by its hash, as equal texts have equal losses.
+    """
 
-def _scores(words, counts, size: int, bits: int, weight: float):
     def run(batches):
-        vocabulary = Vocabulary((word, i + 2) for i, word in enumerate(words.value))
-        models = matched_models(counts.value, weight)
+        words = Words(known)
+        names, *values = frequent.value
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                rows = []
-                for text in part.column("text").to_pylist():
-                    numbers = vocabulary.numbers(text)
-                    if len(numbers):
-                        at = slots(numbers, size, bits)
-                        target, background = (float(model.loss(*at).mean()) for model in models)
-                        rows.append((len(numbers), target, background, target - background))
-                    else:
-                        rows.append((0, None, None, None))
+                found = part.column("text").to_pylist()
+                texts = [words.of(text) for text in found]
+                sizes = np.array([len(text) for text in texts])
+                of_text = signed(np.array([xxhash.xxh64_intdigest(text or b"") for text in found], np.uint64))
+                _, pairs, histories = terms(texts)
+                term = signed(np.concatenate([pairs, histories]))
+                owner = np.tile(np.repeat(np.arange(len(texts)), sizes), 2)
+                at = np.minimum(np.searchsorted(names, term), max(0, len(names) - 1))
+                known_term = names[at] == term if len(names) else np.zeros(len(term), bool)
+                if rest:
+                    yield _rest(of_text, owner[~known_term], term[~known_term])
+                    continue
+                sums = [
+                    np.bincount(owner[known_term], value[at[known_term]], len(texts)) for value in values
+                ]
+                left = np.bincount(owner[~known_term], minlength=len(texts))
+                columns = (of_text, sizes, *sums, left)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(_SCORED)[1:]))],
-                    schema=_SCORED,
+                    [part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(_SUMMED)[1:]))],
+                    schema=_SUMMED,
                 )
 
     return run
 
 
+def _rest(of_text: np.ndarray, owner: np.ndarray, term: np.ndarray) -> pa.RecordBatch:
+    order = np.lexsort((term, owner))
+    owner, term = owner[order], term[order]
+    changes = (owner[1:] != owner[:-1]) | (term[1:] != term[:-1])
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(term)), bool), changes]))
+    n = np.diff(np.concatenate([starts, [len(term)]]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(of_text[owner[starts]]), pa.array(term[starts]), pa.array(n, pa.int64())], schema=_REST
+    )
+
+
 def _least_class(counts: DataFrame, most: int) -> int:
-    """The lowest class of frequency down to which there are at most `most` words."""
-    sizes = counts.groupBy("class").agg(F.count("*").alias("words")).collect()
+    """The lowest class of frequency down to which there are at most `most` rows."""
+    sizes = counts.groupBy("class").agg(F.count("*").alias("held")).collect()
     total, least = 0, 1 << 20
     for row in sorted(sizes, reverse=True):
-        total += row["words"]
+        total += row["held"]
         if total > most:
             break
         least = row["class"]
     return least
 
 
+def _class():
+    return F.floor(F.log2("n") * _CLASSES)
+
+
+def _term_values(counts: DataFrame, scratch: Scratch, weight: float) -> DataFrame:
+    """(term, class, target, background): what each term adds to the two losses.
+
+    Background counts are scaled to the target's size. With equal sizes, the
+    smoothing weighs equally in both. A pair's loss is the value of its history
+    plus its own.
+    """
+    words = scratch.write(
+        counts.where("word IS NOT NULL")
+        .groupBy("word")
+        .agg(F.sum("n").alias("word_n"), F.sum("in_target").alias("word_in_target")),
+        "words",
+    )
+    sums = words.agg(F.sum("word_n"), F.sum("word_in_target"), F.count("*")).first()
+    total, of_target, size = (value or 0 for value in sums)
+    scale = of_target / max(1, total)
+    share = float(weight) / max(1, of_target + size)
+    shares = words.select(
+        "word",
+        ((F.col("word_in_target") + 1) * F.lit(share)).alias("target_share"),
+        ((F.col("word_n") * F.lit(scale) + 1) * F.lit(share)).alias("background_share"),
+    )
+    target, background = F.col("in_target"), F.col("n") * F.lit(scale)
+    pairs = counts.join(shares, "word").select(
+        "term",
+        _class().alias("class"),
+        (-F.log(target + F.col("target_share"))).alias("target"),
+        (-F.log(background + F.col("background_share"))).alias("background"),
+    )
+    histories = counts.where("word IS NULL").select(
+        "term",
+        _class().alias("class"),
+        F.log(target + F.lit(weight)).alias("target"),
+        F.log(background + F.lit(weight)).alias("background"),
+    )
+    return scratch.write(pairs.unionByName(histories), "term_values")
+
+
 def score(
     documents: DataFrame,
     target_ids: DataFrame,
     scratch: Scratch,
-    vocabulary: int = 30_000,
-    bits: int = 20,
+    vocabulary: int | None = None,
     weight: float = 200.0,
-    words_at_once: int = 400_000,
+    words_at_once: int = 2_000_000,
+    frequent: int = 400_000,
 ) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, score) of each row of `documents`.
 
     The background is all documents, the target those whose doc_id is in
-    `target_ids`. Words (A-Z lower-cased) are counted over all documents. The most
-    frequent ones are known to both models, and all others are one word: words
-    fall into classes of about equal counts (within 1 %), and the classes are
-    taken from the top as long as at most `vocabulary` words are known. Pairs are counted in 2 ** `bits` slots.
-    Each task sums its own counts before they are shuffled; the two models have
-    a size fixed by these parameters, and reach the tasks by broadcast.
+    `target_ids`. Every word (A-Z lower-cased) that occurs is known to both models,
+    and every pair of words has a count of its own; words, pairs and texts are
+    compared by 64 bits of hash. Only if `vocabulary` is given, at most so many of
+    the most frequent words are known and all others are one word: words fall into
+    classes of about equal counts (within 1 %), taken from the top.
+
+    Each task sums the counts of `words_at_once` words before they are shuffled.
+    The values of at most `frequent` of the most frequent terms reach the tasks by
+    broadcast, so no common term is joined; each document's other terms are joined
+    with the table of values. That number changes the cost, not the result.
 
     Losses are in nats per word. A text without words has no losses and no
-    score. Without target documents, the target model is uniform. Repeated rows
+    score. Without target documents, both models are uniform. Repeated rows
     count as often as they occur; a null doc_id is never a target. Other columns
     are ignored; an empty table gives no rows.
     """
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    counts = scratch.write(
-        texts.select("text")
-        .mapInArrow(_word_counts(words_at_once), "word binary, n long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("class", F.floor(F.log2("n") * _CLASSES)),
-        "word_counts",
-    )
-    known = counts.where(F.col("class") >= _least_class(counts, vocabulary)).collect()
-    words = spark.sparkContext.broadcast(sorted(bytes(row["word"]) for row in known))
-    size = vocabulary + 2
+    known = None
+    if vocabulary is not None:
+        word_counts = scratch.write(
+            texts.select("text")
+            .mapInArrow(_word_counts(words_at_once), "word long, n long")
+            .groupBy("word")
+            .agg(F.sum("n").alias("n"))
+            .withColumn("class", _class()),
+            "word_counts",
+        )
+        chosen = word_counts.where(F.col("class") >= _least_class(word_counts, vocabulary)).collect()
+        words = np.array(sorted(row["word"] for row in chosen), np.int64)
+        known = spark.sparkContext.broadcast(words.view(np.uint64))
     targets = target_ids.select(F.col("doc_id").cast("long"), F.lit(True).alias("is_target")).distinct()
-    parts = (
+    counts = scratch.write(
         # Both sides grow with the corpus: a merge at every size.
         texts.join(targets.hint("merge"), "doc_id", "left")
         .select("text", "is_target")
-        .mapInArrow(_model_counts(words, size, bits), "kind int, start int, counts binary")
-        .groupBy("kind", "start")
-        .applyInArrow(_sum_counts, "kind int, start int, counts binary")
-        .toArrow()
+        .mapInArrow(_term_counts(known, words_at_once), "term long, word long, n long, in_target long")
+        .groupBy("term")
+        .agg(F.max("word").alias("word"), F.sum("n").alias("n"), F.sum("in_target").alias("in_target")),
+        "term_counts",
     )
-    tables = [np.zeros(n, np.int64) for n in (size, size, 1 << bits) * 2]
-    for kind, start, counts in zip(*(parts[name].to_pylist() for name in ("kind", "start", "counts"))):
-        values = np.frombuffer(counts, "<i8")
-        tables[kind][start : start + len(values)] = values
-    sent = spark.sparkContext.broadcast(tables)
-    return texts.mapInArrow(
-        _scores(words, sent, size, bits, weight),
-        "doc_id long, n_words long, target_loss double, background_loss double, score double",
+    values = _term_values(counts, scratch, weight)
+    scratch.drop("term_counts")
+    least = _least_class(values, frequent)
+    top = values.where(F.col("class") >= least).select("term", "target", "background").toArrow()
+    order = np.argsort(top["term"].to_numpy())
+    sent = spark.sparkContext.broadcast([top[name].to_numpy()[order] for name in top.column_names])
+    rest = (
+        texts.select("text")
+        .mapInArrow(_split(known, sent, True), "name long, term long, n long")
+        .join(values.where(F.col("class") < least).drop("class"), "term")
+        .groupBy("name")
+        .agg(
+            # Equal texts share a name, so a mean is what each of them has.
+            (F.sum(F.col("n") * F.col("target")) / F.sum("n")).alias("rest_target"),
+            (F.sum(F.col("n") * F.col("background")) / F.sum("n")).alias("rest_background"),
+        )
+    )
+    summed = texts.mapInArrow(
+        _split(known, sent, False),
+        "doc_id long, name long, n_words long, target_sum double, background_sum double, n_rest long",
+    )
+
+    def loss(model: str):
+        whole = F.col(f"{model}_sum") + F.col("n_rest") * F.coalesce(f"rest_{model}", F.lit(0.0))
+        return F.when(F.col("n_words") > 0, whole / F.col("n_words")).alias(f"{model}_loss")
+
+    return (
+        summed.join(rest, "name", "left")
+        .select("doc_id", "n_words", loss("target"), loss("background"))
+        .withColumn("score", F.col("target_loss") - F.col("background_loss"))
     )
