@@ -227,3 +227,28 @@ def test_every_word_and_pair_has_its_own_count(spark, keep, crowd, frequent):
             assert got[doc_id][4] == pytest.approx(losses[0] - losses[1], abs=1e-9)
         else:
             assert got[doc_id][2:] == (None, None, None)
+
+
+@pytest.mark.parametrize("block", [1024, 100])
+def test_tight_groups_that_are_linked_to_each_other(spark, keep, block):
+    # Lists of 10 are full of a group's own members; groups 0 and 1, and 1 and 2, are linked.
+    rng = np.random.default_rng(6)
+    rows = []
+    for group, size in enumerate((200, 200, 30)):
+        centre = np.zeros(32)
+        centre[:2] = np.cos(0.1735 * group), np.sin(0.1735 * group)
+        rows += [centre + 0.001 * rng.standard_normal(32) for _ in range(size)]
+    rows += list(rng.standard_normal((50, 32)))
+    rows = [(i, [float(x) for x in row], 0) for i, row in enumerate(rows)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(row) for row in embeddings.near_duplicates(frame, keep, block=block).collect())
+    want = [(*row, row[0] == row[2]) for row in brute.cosine_links(rows)]
+    assert got == sorted(want)
+    assert want[0][1] == 399 and want[429][2] == 0
+
+
+def test_an_audit_that_fails_is_an_error(spark, keep, monkeypatch):
+    frame = spark.createDataFrame(vectors()[:20], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(embeddings, "audit", lambda *_: (10, 5))
+    with pytest.raises(RuntimeError, match="5 of 10 links"):
+        embeddings.near_duplicates(frame, keep, attempts=2)

@@ -3,13 +3,16 @@
 A few random-projection trees give each vector some first neighbours. Then, round
 by round, neighbours of a vector are introduced to each other (NN-descent) until
 the lists hardly change. Vectors that are linked through their lists form
-candidate groups; in these, all links are counted exactly, in blocks, which
-enlarges lists that were full of links. A sample of vectors is compared with all
-others, and as long as links are missing there, lists grow and the rounds go on.
+candidate groups. A vector whose whole list is links may have more, also to other
+groups, so it gets a list of its nearest vectors outside its group, until no such
+list links two groups. In the groups, all links are counted exactly, in blocks. A
+sample of vectors is compared with all others, and as long as links are missing
+there, lists grow and the rounds go on.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,12 +106,13 @@ def _edges(v: np.ndarray, u: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
 
 
 def _nearest(size: int):
-    """The nearest `size` vectors of each vector of a block."""
+    """The nearest `size` vectors of each vector of a block, without those of its own group."""
 
     def group(table: pa.Table) -> pa.Table:
         nodes, matrix = table["node"].to_numpy(), _matrix(table["vector"])
+        own = table["own"].to_numpy()
         sims = matrix @ matrix.T
-        sims[nodes[:, None] == nodes[None, :]] = -2
+        sims[own[:, None] == own[None, :]] = -2
         most = min(size, len(nodes) - 1)
         if most < 1:
             return _EDGE.empty_table()
@@ -142,7 +146,7 @@ def _first_graph(nodes: DataFrame, scratch: Scratch, trees: int, block: int, siz
         "node", "kind", "tree", "cell", part.alias("part")
     )
     return (
-        nodes.select("node", "vector")
+        nodes.select("node", "own", "vector")
         .join(placed, "node")
         .groupBy("kind", "tree", "cell", "part")
         .applyInArrow(_nearest(size), _EDGE_TYPES)
@@ -152,10 +156,10 @@ def _first_graph(nodes: DataFrame, scratch: Scratch, trees: int, block: int, siz
 def _introduce():
     """Pairs among the members of a list that improve the list of the first of them."""
 
-    def improved(nodes, matrix, new, worst) -> pa.RecordBatch:
+    def improved(nodes, own, matrix, new, worst) -> pa.RecordBatch:
         sims = matrix @ matrix.T
         better = (sims > worst[:, None]) & (new[:, None] | new[None, :])
-        better &= nodes[:, None] != nodes[None, :]
+        better &= own[:, None] != own[None, :]
         v, u = np.nonzero(better)
         return _edges(nodes[v], nodes[u], sims[v, u])
 
@@ -176,6 +180,7 @@ def _introduce():
         if not table.num_rows:
             return
         via, nodes = table["via"].to_numpy(), table["node"].to_numpy()
+        own = table["own"].to_numpy()
         new, worst = table["new"].to_numpy(), table["worst"].to_numpy()
         lists = table["vector"].combine_chunks()
         ends = np.flatnonzero(np.diff(via)) + 1
@@ -183,7 +188,7 @@ def _introduce():
             part = slice(start, end)
             if end - start > 1 and new[part].any():
                 matrix = _matrix(lists.slice(start, end - start))
-                found = improved(nodes[part], matrix, new[part], worst[part])
+                found = improved(nodes[part], own[part], matrix, new[part], worst[part])
                 if found.num_rows:
                     yield found
 
@@ -203,10 +208,19 @@ def _best(edges: DataFrame, size: int) -> DataFrame:
 
 
 def _refine(
-    nodes: DataFrame, graph: DataFrame, scratch: Scratch, name: str, size: int, rounds: int
+    nodes: DataFrame,
+    graph: DataFrame,
+    scratch: Scratch,
+    name: str,
+    size: int,
+    rounds: int,
+    inside: DataFrame | None = None,
 ) -> DataFrame:
-    """Rounds of introductions until less than one list entry in a thousand changes."""
-    vectors = nodes.select("node", "vector")
+    """Rounds of introductions until less than one list entry in a thousand changes.
+
+    The lists `inside` the groups of `nodes` take part in introductions and stay as they are.
+    """
+    vectors = nodes.select("node", "own", "vector")
     order = Window.partitionBy("via").orderBy(F.xxhash64("via", "node"))
     for number in range(1, rounds + 1):
         new = F.col("round") == number - 1
@@ -225,6 +239,10 @@ def _refine(
         own = graph.select("v").distinct().select(
             F.col("v").alias("via"), F.col("v").alias("node"), F.lit(False).alias("new")
         )
+        if inside is not None:
+            own = own.unionByName(
+                inside.select(F.col("v").alias("via"), F.col("u").alias("node"), F.lit(False).alias("new"))
+            )
         members = (
             forward.unionByName(back)
             .unionByName(own)
@@ -234,7 +252,7 @@ def _refine(
         found = (
             members.join(vectors, "node")
             .join(worst.withColumnRenamed("v", "node"), "node", "left")
-            .select("via", "node", "new", F.coalesce("worst", F.lit(-1.5)).alias("worst"), "vector")
+            .select("via", "node", "own", "new", F.coalesce("worst", F.lit(-1.5)).alias("worst"), "vector")
             .repartition("via")
             .sortWithinPartitions("via")
             .mapInArrow(_introduce(), _EDGE_TYPES)
@@ -249,6 +267,65 @@ def _refine(
     return graph
 
 
+def _saturated(graph: DataFrame, size: int, least: float) -> DataFrame:
+    """The vectors whose lists are full of links, so that they may have more."""
+    return (
+        graph.groupBy("v")
+        .agg(F.count("*").alias("held"), F.min("sim").alias("farthest"))
+        .where((F.col("held") >= size) & (F.col("farthest") >= least))
+        .select(F.col("v").alias("node"))
+    )
+
+
+def _linked_groups(
+    nodes: DataFrame,
+    graph: DataFrame,
+    scratch: Scratch,
+    name: str,
+    size: int,
+    rounds: int,
+    trees: int,
+    block: int,
+    least: float,
+) -> DataFrame:
+    """(node, cluster) of the vectors with links: groups that no list links any more.
+
+    A link between two groups that no list holds has two ends with full lists.
+    These get lists of the nearest vectors outside their groups; groups that such
+    a list links become one, and vectors whose outside lists are full of links
+    are asked again. Every pass but the last merges groups.
+    """
+    near = graph.where(F.col("sim") >= least).select("v", "u")
+    crowded = scratch.write(_saturated(graph, size, least), f"{name}_crowded")
+    number = 0
+    while True:
+        groups = scratch.write(
+            components(near, scratch, f"{name}_near_{number}").withColumnRenamed("component", "cluster"),
+            f"{name}_groups_{number}",
+        )
+        asked = scratch.write(
+            nodes.drop("own").join(crowded, "node").join(groups.withColumnRenamed("cluster", "own"), "node"),
+            f"{name}_asked_{number}",
+        )
+        first = scratch.write(
+            _best(_first_graph(asked, scratch, trees, block, size).withColumn("round", F.lit(0)), size),
+            f"{name}_outside_{number}",
+        )
+        if first.isEmpty():
+            return groups
+        outside = first
+        # Up to a block of a kind, all its vectors have met already.
+        if not asked.groupBy("kind").count().where(F.col("count") > block).isEmpty():
+            inside = near.join(crowded.withColumnRenamed("node", "v"), "v", "left_semi")
+            outside = _refine(asked, first, scratch, f"{name}_outside_{number}", size, rounds, inside)
+        across = outside.where(F.col("sim") >= least).select("v", "u")
+        if across.isEmpty():
+            return groups
+        near = scratch.write(near.unionByName(across), f"{name}_links_{number}")
+        crowded = scratch.write(_saturated(outside, size, least), f"{name}_crowded_{number}")
+        number += 1
+
+
 _COUNTED = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("links", pa.int64())])
 
 
@@ -362,15 +439,23 @@ def _missed(sent, threshold: float):
 def audit(
     nodes: DataFrame, groups: DataFrame, sample: int, threshold: float
 ) -> tuple[int, int]:
-    """Links of `sample` vectors, found by comparing them with all, and those missed.
+    """Links of some vectors, found by comparing them with all, and those missed.
 
-    The sample are the vectors with the least hash; its size is fixed, so it is
-    sent to every task.
+    These are `sample` vectors of groups and as many others, those with the least
+    hash. They are sent to every task.
     """
     grouped = nodes.join(groups, "node", "left").select(
-        "node", "kind", "unit", F.coalesce("cluster", "node").alias("cluster")
+        "node",
+        "kind",
+        "unit",
+        F.coalesce("cluster", "node").alias("cluster"),
+        F.col("cluster").isNotNull().alias("linked"),
     )
-    asked = grouped.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(sample).collect()
+    asked = [
+        row
+        for linked in (F.col("linked"), ~F.col("linked"))
+        for row in grouped.where(linked).orderBy(F.xxhash64("node", F.lit(3)), "node").limit(sample).collect()
+    ]
     if not asked:
         return 0, 0
     sent = nodes.sparkSession.sparkContext.broadcast(
@@ -405,9 +490,11 @@ def near_duplicates(
 
     Vectors are linked if their labels are equal and their cosine, in double
     precision, is at least `threshold`. Equal vectors are compared once; each of
-    them counts as a link of the others. `audited` vectors are compared with all:
-    if less than `recall` of their links lie within the groups found, lists are
-    doubled and the rounds go on, `attempts` times at most.
+    them counts as a link of the others. `audited` vectors of groups and as many
+    others are compared with all, or the square root of their number if that is
+    more: if less than `recall` of their links lie within the groups found, lists
+    are doubled and the rounds go on. After `attempts` audits that fail, a
+    RuntimeError is raised.
 
     A vector that is null, empty, zero, or holds null or non-finite components,
     or whose label is null, is linked with nothing; so is a null vec_id, which
@@ -432,25 +519,27 @@ def near_duplicates(
             F.first("unit").alias("unit"),
             F.first("copies").alias("copies"),
         )
-        .withColumn("vector", F.col("unit").cast("array<float>")),
+        # At first, each vector is its own group.
+        .withColumns({"vector": F.col("unit").cast("array<float>"), "own": F.col("node")}),
         "nodes",
     )
     size = neighbours
+    asked = max(audited, math.isqrt(nodes.count()))
     first = _first_graph(nodes, scratch, trees, block, size).withColumn("round", F.lit(0))
     graph = scratch.write(_best(first, size), "graph_first")
     for attempt in range(attempts):
         graph = _refine(nodes, graph, scratch, f"graph_{attempt}", size, rounds)
-        near = graph.where(F.col("sim") >= threshold - _SLACK).select("v", "u")
-        groups = scratch.write(
-            components(near, scratch, f"near_{attempt}").withColumnRenamed("component", "cluster"),
-            f"groups_{attempt}",
+        groups = _linked_groups(
+            nodes, graph, scratch, f"linked_{attempt}", size, rounds, trees, block, threshold - _SLACK
         )
-        links, missed = audit(nodes, groups, audited, threshold)
+        links, missed = audit(nodes, groups, asked, threshold)
         if missed <= (1 - recall) * links:
             break
         size *= 2
         # All edges count as new for the longer lists.
         graph = scratch.write(graph.withColumn("round", F.lit(0)), f"graph_again_{attempt}")
+    else:
+        raise RuntimeError(f"{missed} of {links} links of the audited vectors lie outside the groups found")
     counted = _confirmed(nodes, groups, scratch, "counted", block, threshold)
     found = components(counted.where("v IS NOT NULL").select("u", "v"), scratch, "linked")
     degrees = counted.where("v IS NULL").groupBy(F.col("u").alias("node")).agg(
