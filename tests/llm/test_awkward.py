@@ -185,6 +185,19 @@ def test_toxicity(spark, documents, keep):
     assert {row[0] for row in rows(toxicity.score(documents, None), "severity")} == {0.0}
 
 
+def test_each_row_is_judged_by_its_own_text(spark, keep, monkeypatch):
+    given = [spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "labels")]
+    model = toxicity.fit(*given, keep)
+    judged = toxicity.score(given[0].withColumn("doc_id", F.monotonically_increasing_id()), model)
+    texts = given[0].withColumn("doc_id", F.monotonically_increasing_id()).join(judged, "doc_id")
+    toxic, clean = (texts.where(kind).orderBy("doc_id").first()["text"] for kind in ("toxic", "not toxic"))
+    monkeypatch.setattr(toxicity, "fit", lambda *_: model)
+    found = [(None, toxic), (None, clean), (1, toxic), (1, clean), (1, clean), (2, toxic)]
+    frame = spark.createDataFrame(found, "doc_id long, text string")
+    kept = toxicity.drop_toxic(frame, given[1], keep)
+    assert rows(kept, "doc_id", "text") == expected([(None, clean), (1, clean), (1, clean)])
+
+
 def test_language(documents, keep):
     model = language_id.fit(documents, keep, rounds=1)
     assert model.languages == ["de", "en", "es", "fr"]

@@ -372,13 +372,12 @@ def score(documents: DataFrame, model: SeverityModel | None, reject_at: float =
 def drop_toxic(documents: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     """`documents` without the rejected ones.
 
-    Rows that share a doc_id go together if one of them is rejected; a null
-    doc_id stays.
+    Each row is judged by its own text, whatever its doc_id; rows are told apart
+    by 64 bits of hash of both.
     """
-    scores = score(documents, fit(documents, labels, scratch))
+    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+    scores = score(documents.select(row.alias("doc_id"), "text"), fit(documents, labels, scratch))
     gone = scratch.write(
-        scores.where("toxic").select(F.col("doc_id").alias("__llm_gone")).distinct(), "toxic_ids"
-    )
-    return documents.join(
-        gone, documents["doc_id"].cast("long") == F.col("__llm_gone"), "left_anti"
+        scores.where("toxic").select(F.col("doc_id").alias("__llm_gone")).distinct(), "toxic_rows"
     )
+    return documents.join(gone, row == F.col("__llm_gone"), "left_anti")
