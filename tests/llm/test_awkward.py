@@ -285,6 +285,17 @@ def test_templates_that_rules_block_are_rejected(spark, keep):
     }
 
 
+def test_segments_of_many_shapes_are_variable(spark, keep):
+    names = [f"{chr(97 + i % 26)}{i}{chr(97 + i // 26)}{'x' * (i % 7)}{i}" for i in range(100)]
+    urls = [f"http://y.net/{kind}/{name}" for kind in ("offer", "news") for name in names]
+    rules = [("y.net", "/offer/a", "block"), ("y.net", "/offer/b", "allow"), ("y.net", "/news/a", "allow")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = spark.createDataFrame(rules, "rule_host string, rule_path string, verdict string")
+    # No later merging of branches whose labels differ.
+    found = url_filter.filter_urls(pages, table, keep, deviation=-1.0).collect()
+    assert {row["template"] for row in found} == {"/offer/*", "/news/*"}
+
+
 def test_empty_tables(spark, documents, keep):
     none = documents.where("false")
     benchmark = spark.createDataFrame([], "item_id long, text string")

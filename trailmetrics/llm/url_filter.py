@@ -56,9 +56,10 @@ def apply_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def _templates(urls: DataFrame, depth: int, fanout: int) -> DataFrame:
     """`urls` with `pieces`, the segments of the path with the variable ones as wildcards.
 
-    Segments that differ only in their digits are variable if there are two or
-    more of them under the same parent; others are, if a parent has at least
-    `fanout` of them. What lies deeper than `depth` counts as one segment.
+    Segments that differ only in their digits are of one shape, and variable if
+    there are two or more of them under the same parent. All segments of a parent
+    are variable if they have at least `fanout` shapes. What lies deeper than
+    `depth` counts as one segment.
     """
     segments = F.slice(F.split("path", "/", -1), 2, 1 << 20)
     urls = urls.withColumns({"segments": segments, "pieces": F.array().cast("array<string>")})
@@ -75,11 +76,10 @@ def _templates(urls: DataFrame, depth: int, fanout: int) -> DataFrame:
             .groupBy(*parent, "shape")
             .agg(F.count_distinct("segment").alias("alike"))
         )
-        steady = F.when(~F.contains("shape", F.lit("*")), F.col("alike")).otherwise(0)
-        parents = shapes.groupBy(*parent).agg(F.sum(steady).alias("children"))
+        parents = shapes.groupBy(*parent).agg(F.count("*").alias("children"))
         piece = (
-            F.when(F.contains("shape", F.lit("*")) & (F.col("alike") > 1), F.col("shape"))
-            .when(~F.contains("shape", F.lit("*")) & (F.col("children") >= fanout), F.lit("*"))
+            F.when(F.col("children") >= fanout, F.lit("*"))
+            .when(F.contains("shape", F.lit("*")) & (F.col("alike") > 1), F.col("shape"))
             .otherwise(F.col("segment"))
         )
         urls = (
