@@ -104,6 +104,13 @@ def test_near_duplicates(documents, keep):
     assert gone == {5, 7, 11}
 
 
+def test_near_duplicates_of_ids_with_empty_rows(spark, keep):
+    rows_ = [(1, PASSAGE), (1, None), (1, " "), (2, PASSAGE + " and an end"), (3, None), (3, "")]
+    frame = spark.createDataFrame(rows_, "doc_id long, text string")
+    found = rows(minhash.near_duplicates(frame, keep), "doc_id", "component_id", "kept")
+    assert found == [(1, 1, True)] * 3 + [(2, 1, False)] + [(3, 3, True)] * 2
+
+
 def test_passages(documents, keep):
     found = rows(
         substrings.dedup_passages(documents, keep), "doc_id", "n_words", "n_removed", "kept_sha256"

@@ -131,8 +131,12 @@ def _confirm(size: int, percent: int):
             by_cluster.setdefault(cluster, []).append((doc_id, text))
         links = []
         for members in by_cluster.values():
-            sets = [shingles(text, size, hashes) for _, text in members]
-            links += [(members[a][0], members[b][0]) for a, b in linked_sets(sets, percent)]
+            found = [(doc_id, shingles(text, size, hashes)) for doc_id, text in members]
+            # Rows without words come along where they share a doc_id with others.
+            found = [(doc_id, values) for doc_id, values in found if len(values)]
+            if len(found) > 1:
+                sets = [values for _, values in found]
+                links += [(found[a][0], found[b][0]) for a, b in linked_sets(sets, percent)]
         columns = zip(*links) if links else ([], [])
         return pa.table([pa.array(c, pa.int64()) for c in columns], schema=_LINK)
 
