@@ -3,11 +3,10 @@
 from dataclasses import replace
 
 import pytest
-from conftest import SF_DIR, rows, same
+from conftest import SF_DIR, oracle_of, rows, same
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-import oracle_queries
 from trailmetrics.operators import sampling, sessions
 from trailmetrics.params import TaskParams
 from trailmetrics.plans import session_job
@@ -17,7 +16,7 @@ QUERIES = entry_point.shop_queries()
 ORACLES = entry_point.shop_oracles()
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_anoracle_of():
     assert QUERIES.keys() == ORACLES.keys()
 
 
@@ -32,20 +31,6 @@ def test_entry(spark):
     assert {row["productStatus"] for row in result} <= {"Self", "Third Party"}
 
 
-def _oracle(start, end, **changes):
-    values = {
-        "start": start,
-        "end": end,
-        "scan": (start, end),
-        "ages": (20, 50),
-        "keywords": ["kw1"],
-        "flow": [1, 2, 3],
-        "seed": 3,
-        **changes,
-    }
-    return oracle_queries.build(**values)
-
-
 def _range(start, end, **values):
     return TaskParams.from_dict(
         {"startDate": start, "endDate": end, "startAge": 20, "endAge": 50, **values}
@@ -59,7 +44,7 @@ def _found(spark, params):
 
 @pytest.mark.parametrize(("start", "end"), [("2024-01-10", "2024-01-11"), ("2024-01-12",) * 2])
 def test_sample_of_few_days_has_larger_quotas(spark, duck, scratch, start, end):
-    oracle = _oracle(start, end)
+    oracle = oracle_of(start, end)
     actions, found = _found(spark, _range(start, end))
     quotas = sampling.session_extract_quota(sampling.session_hour_count(found))
     same(quotas, duck, oracle["session_extract_quota"])
@@ -83,7 +68,7 @@ def test_page_flows(spark, duck, flow):
         assert rows(page_job.convert_rates(actions, flow)) == []
         assert rows(page_job.convert_rates_text(actions, flow)) == [{"convertRate": ""}]
         return
-    oracle = _oracle("2024-01-01", "2024-01-31", flow=flow)
+    oracle = oracle_of("2024-01-01", "2024-01-31", flow=flow)
     by_step = pages.page_split_pairs(actions, flow).groupBy(
         "session_id", "action_time", "page_split"
     )

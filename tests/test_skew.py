@@ -4,7 +4,7 @@ import shutil
 
 import duckdb
 import pytest
-from conftest import SF_DIR, same
+from conftest import SF_DIR, oracle_of, same
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
@@ -56,9 +56,7 @@ def test_query(name, spark, skewed):
 
 @pytest.mark.parametrize("flow", [[1, 1, 2], [7, 7, 7, 8], list(range(10))])
 def test_flows(spark, skewed, flow):
-    from test_queries import _oracle
-
     folder, connection = skewed
     actions = star.user_visit_action(spark, folder)
-    oracle = _oracle("2024-01-01", "2024-01-31", flow=flow)
+    oracle = oracle_of("2024-01-01", "2024-01-31", flow=flow)
     same(page_job.convert_rates(actions, flow), connection, oracle["page_convert_rate"])
