@@ -72,3 +72,75 @@ FROM texts t
 LEFT JOIN covered c ON t.doc_id = c.doc_id
 LEFT JOIN found f ON t.doc_id = f.doc_id
 """
+
+
+def _host_quality() -> str:
+    """Measures and base rules in plain SQL; each host rule with its own shrinkage."""
+    rules = {
+        "few_words": "n_words < 10",
+        "repeated_words": "100 * n_repeat_words > 20 * n_words",
+        "many_symbols": "10 * n_symbols > n_words",
+        "dup_lines": "10 * n_dup_lines > 3 * n_lines",
+        "word_length": "NOT word_chars BETWEEN 3 * n_words AND 12 * n_words",
+    }
+    counted = ", ".join(f"count(*) FILTER ({rule}) AS {k}" for k, rule in rules.items())
+    sums = ", ".join(
+        f"sum({k}) / sum(n) AS mean_{k}, sum({k}::DOUBLE * {k} / n) AS spread_{k}" for k in rules
+    )
+    alike = (
+        "coalesce((spread_{0} - total * mean_{0} * mean_{0} - (hosts - 1) * mean_{0} * (1 - mean_{0}))"
+        " / nullif(total - squares / total, 0) / nullif(mean_{0} * (1 - mean_{0}), 0), 0)"
+    )
+    strengths = ", ".join(
+        f"1 / least(greatest({alike.format(k)}, 1 / (total + 1)), 0.5) - 1 AS strength_{k}"
+        for k in rules
+    )
+    rates = ", ".join(
+        f"({k} + mean_{k} * strength_{k}) / (n + strength_{k})" for k in rules
+    )
+    return rf"""
+WITH texts AS (
+    SELECT doc_id, source, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)),
+            lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, s, array_to_string(words[s : s + 4], ' ') AS phrase
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS s FROM texts)
+), repeated AS (
+    SELECT doc_id, s
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, phrase) AS times FROM windows)
+    WHERE times > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+    FROM (SELECT doc_id, unnest(range(s, s + 5)) AS place FROM repeated)
+    GROUP BY doc_id
+), sizes AS (
+    SELECT t.doc_id, source, len(words)::BIGINT AS n_words,
+        length(array_to_string(words, ''))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        len(lines)::BIGINT AS n_lines,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM texts t LEFT JOIN covered c ON t.doc_id = c.doc_id
+), hosts AS (
+    SELECT source, count(*) AS n, {counted}
+    FROM sizes WHERE source IS NOT NULL GROUP BY source
+), sums AS (
+    SELECT count(*) AS hosts, sum(n)::DOUBLE AS total, sum(n::DOUBLE * n) AS squares, {sums}
+    FROM hosts
+), prior AS (
+    SELECT *, {strengths} FROM sums
+), failed AS (
+    SELECT source FROM hosts, prior WHERE greatest({rates}) > 0.5
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    f.source IS NOT NULL AS host_failed,
+    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND f.source IS NULL AS kept
+FROM sizes s LEFT JOIN failed f ON s.source = f.source
+"""
+
+
+HOST_QUALITY = _host_quality()

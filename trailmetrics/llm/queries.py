@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trailmetrics.llm import (
     decontaminate,
     embeddings,
+    host_quality,
     language_id,
     line_dedup,
     lm_score,
@@ -127,6 +128,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures of each document, and whether it and its source pass the rules."""
+    judged = host_quality.judge(_table(spark, sf_dir, "documents"), Scratch(spark, "host_quality"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    flags = ("base_failed", "host_failed", "kept")
+    return judged.select("doc_id", *[F.col(f"__llm_{name}").alias(name) for name in names + flags])
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -138,9 +147,11 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
+    "op13_host_quality": op13_host_quality,
 }
 
 ORACLE_SQL = {
     "op2_line_dedup": oracle.LINE_DEDUP,
     "op7_decontamination": oracle.DECONTAMINATION,
+    "op13_host_quality": oracle.HOST_QUALITY,
 }
