@@ -144,3 +144,62 @@ FROM sizes s LEFT JOIN failed f ON s.source = f.source
 
 
 HOST_QUALITY = _host_quality()
+
+
+def _centroids(k: int = 16, rounds: int = 3, width: int = 64) -> str:
+    """Each round written out: all distances, the least one, the means."""
+    order = "sha256('1:' || vec_id), v"
+    steps = [
+        f"""
+kept AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width}
+        AND len(embedding) = {width}
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY {order}) - 1 AS c, v AS m
+    FROM (SELECT vec_id, v FROM kept ORDER BY {order} LIMIT {k})
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""
+a{r} AS MATERIALIZED (
+    SELECT vec_id, v, min({{'d': d, 'c': c}}) AS best
+    FROM (
+        SELECT vec_id, v, c, list_sum(list_transform(list_zip(v, m),
+            lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM kept, c{r}
+    )
+    GROUP BY vec_id, v
+)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""
+m{r} AS (
+    SELECT c, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY place) AS m
+    FROM (
+        SELECT best.c AS c, place, sum(v[place]) AS s, count(*) AS n
+        FROM a{r}, range(1, {width + 1}) places(place)
+        GROUP BY ALL
+    )
+    GROUP BY c
+), c{r + 1} AS MATERIALIZED (
+    SELECT o.c, coalesce(n.m, o.m) AS m FROM c{r} o LEFT JOIN m{r} n ON o.c = n.c
+)"""
+            )
+    return (
+        "WITH"
+        + ",".join(steps)
+        + f"""
+SELECT vec_id, c.c::INTEGER AS cluster, best.d AS distance,
+    (sum(best.d) OVER (PARTITION BY c.c))::BIGINT AS cluster_inertia,
+    (sum(best.d) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.best.c = c.c
+"""
+    )
+
+
+CENTROIDS = _centroids()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmetrics.llm import (
+    centroids,
     decontaminate,
     embeddings,
     host_quality,
@@ -128,6 +129,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of each embedding after three rounds around 16 centroids."""
+    found = centroids.cluster(_table(spark, sf_dir, "embeddings"), Scratch(spark, "centroids"))
+    numbers = F.array_join(F.col("__llm_centroid").cast("array<string>"), ",")
+    return found.select(
+        "vec_id",
+        F.col("__llm_cluster").alias("cluster"),
+        F.col("__llm_distance").alias("distance"),
+        F.col("__llm_cluster_inertia").alias("cluster_inertia"),
+        F.col("__llm_inertia").alias("inertia"),
+        F.sha2(numbers, 256).alias("centroid_sha256"),
+    )
+
+
 def op13_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures of each document, and whether it and its source pass the rules."""
     judged = host_quality.judge(_table(spark, sf_dir, "documents"), Scratch(spark, "host_quality"))
@@ -147,11 +162,13 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
+    "op11_centroids": op11_centroids,
     "op13_host_quality": op13_host_quality,
 }
 
 ORACLE_SQL = {
     "op2_line_dedup": oracle.LINE_DEDUP,
     "op7_decontamination": oracle.DECONTAMINATION,
+    "op11_centroids": oracle.CENTROIDS,
     "op13_host_quality": oracle.HOST_QUALITY,
 }
