@@ -203,3 +203,56 @@ FROM a{rounds} a JOIN c{rounds} c ON a.best.c = c.c
 
 
 CENTROIDS = _centroids()
+
+PREFIX_TRIE = """
+WITH own AS (
+    SELECT conv_id, list(
+        {'k': sha256(coalesce(role, '') || chr(0) || coalesce(text, '')),
+         'b': strlen(coalesce(text, ''))}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS t
+    FROM conversations
+    WHERE conv_id IS NOT NULL
+    GROUP BY conv_id
+), heads AS (
+    -- CRC-32 of the decimal id, bit by bit.
+    SELECT conv_id, t, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT,
+            list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+        lambda c, b: list_reduce(
+            list_prepend(xor(c, b), range(8)),
+            lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+        )) % 9 AS h
+    FROM own
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.t, [])[1 : h], c.t[h + 1 :]) AS t
+    FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), prefixes AS MATERIALIZED (
+    SELECT conv_id, d, d = len(t) AS ends, coalesce(t[d].b, 0) AS bytes,
+        sha256(array_to_string(list_transform(t[1 : d], lambda x: x.k), ',')) AS node,
+        CASE WHEN d > 0
+            THEN sha256(array_to_string(list_transform(t[1 : d - 1], lambda x: x.k), ','))
+        END AS parent
+    FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), nodes AS MATERIALIZED (
+    SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+        any_value(bytes) AS bytes,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+    FROM prefixes
+    GROUP BY node, d
+), children AS (
+    SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY 1
+), below AS (
+    SELECT p.node, p.d, count(*) FILTER (c.node IS NULL) AS n_leaves,
+        sum((n.n_convs - 1) * n.bytes)::BIGINT AS saved_tokens
+    FROM nodes n
+    LEFT JOIN children c ON c.node = n.node
+    JOIN prefixes p ON p.conv_id = n.conv_id AND p.d <= n.d
+    GROUP BY p.node, p.d
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs,
+    coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, sha256(n.ids) AS ends_sha256
+FROM nodes n
+JOIN below b ON b.node = n.node AND b.d = n.d
+LEFT JOIN children c ON c.node = n.node
+LEFT JOIN nodes u ON u.node = n.parent
+"""

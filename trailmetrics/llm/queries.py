@@ -16,6 +16,7 @@ from trailmetrics.llm import (
     minhash,
     mixing,
     oracle,
+    prefix_trie,
     substrings,
     toxicity,
     url_filter,
@@ -143,6 +144,14 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefixes that conversations share, once begun with turns of their family."""
+    scratch = Scratch(spark, "prefix_trie")
+    own = prefix_trie.sequences(_table(spark, sf_dir, "conversations"), scratch)
+    nodes = prefix_trie.prefix_trie(prefix_trie.with_common_heads(own), scratch)
+    return nodes.withColumnRenamed("saved", "saved_tokens")
+
+
 def op13_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures of each document, and whether it and its source pass the rules."""
     judged = host_quality.judge(_table(spark, sf_dir, "documents"), Scratch(spark, "host_quality"))
@@ -163,6 +172,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
     "op11_centroids": op11_centroids,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_host_quality": op13_host_quality,
 }
 
@@ -170,5 +180,6 @@ ORACLE_SQL = {
     "op2_line_dedup": oracle.LINE_DEDUP,
     "op7_decontamination": oracle.DECONTAMINATION,
     "op11_centroids": oracle.CENTROIDS,
+    "op12_prefix_trie": oracle.PREFIX_TRIE,
     "op13_host_quality": oracle.HOST_QUALITY,
 }
