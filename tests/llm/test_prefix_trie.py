@@ -1,0 +1,181 @@
+"""The prefix tree against a plain one, on shards of every size."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from conftest import SF_DIR, TABLES
+
+from trailmetrics.llm import oracle, prefix_trie, queries
+
+SCHEMA = "conv_id long, turn int, role string, text string"
+COLUMNS = (
+    "conv_id depth parent_conv_id n_convs n_children n_leaves saved ends_sha256"
+).split()
+
+
+def sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def own_turns(rows):
+    """The turns of each conversation, in order."""
+    turns = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            place = (turn is not None, turn or 0, role or "", sha256(text or ""))
+            turns[conv_id].append((place, (role or "", text or "")))
+    return {c: [turn for _, turn in sorted(found)] for c, found in turns.items()}
+
+
+def rebuilt(turns):
+    found = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        found[c] = turns.get(c - c % 5, [])[:h] + own[h:]
+    return found
+
+
+def plain_trie(turns):
+    """Every prefix with its members; subtrees by looking at all longer prefixes."""
+    members = defaultdict(list)
+    for c, own in turns.items():
+        for d in range(len(own) + 1):
+            members[tuple(own[:d])].append(c)
+    found = []
+    for path, convs in members.items():
+        below = [other for other in members if other[: len(path)] == path]
+        childless = [
+            other
+            for other in below
+            if not any(len(o) == len(other) + 1 and o[: len(other)] == other for o in below)
+        ]
+        saved = sum((len(members[o]) - 1) * len(o[-1][1].encode()) for o in below if o)
+        ends = sorted(c for c in convs if len(turns[c]) == len(path))
+        found.append(
+            (
+                min(convs),
+                len(path),
+                min(members[path[:-1]]) if path else None,
+                len(convs),
+                sum(len(o) == len(path) + 1 for o in below),
+                len(childless),
+                saved,
+                sha256(",".join(map(str, ends))),
+            )
+        )
+    return sorted(found, key=repr)
+
+
+def trie(spark, scratch, rows, heads=True, **bounds):
+    own = prefix_trie.sequences(spark.createDataFrame(rows, SCHEMA), scratch)
+    nodes = prefix_trie.prefix_trie(
+        prefix_trie.with_common_heads(own) if heads else own, scratch, **bounds
+    )
+    return sorted((tuple(row) for row in nodes.select(*COLUMNS).collect()), key=repr)
+
+
+def conversations(seed, count, longest, words):
+    """Many shared beginnings, copies, and ids that are far apart."""
+    random.seed(seed)
+    rows = []
+    for _ in range(count):
+        c = random.choice([random.randrange(40), random.randrange(10**15)])
+        rows += [
+            (c, turn, random.choice(["user", "user", None]), random.choice(words))
+            for turn in range(random.randrange(1, longest + 1))
+        ]
+    return rows
+
+
+@pytest.mark.parametrize("heads", [True, False])
+@pytest.mark.parametrize("shard_turns", [1, 7, 1000])
+def test_against_a_plain_tree(spark, scratch, heads, shard_turns):
+    rows = conversations(shard_turns, 70, 6, ["a", "b", "ä€", None, ""])
+    turns = own_turns(rows)
+    want = plain_trie(rebuilt(turns) if heads else turns)
+    assert trie(spark, scratch, rows, heads, shard_turns=shard_turns) == want
+
+
+def test_merges_of_more_shards_than_one_task_takes(spark, scratch, monkeypatch):
+    """With three shards to a merge, the ends of some 30 shards meet in four rounds."""
+    monkeypatch.setattr(prefix_trie, "_FAN", 3)
+    rows = conversations(5, 120, 5, ["a", "b"])
+    assert trie(spark, scratch, rows, False, shard_turns=4) == plain_trie(own_turns(rows))
+
+
+def test_a_long_conversation_and_its_copies(spark, scratch, monkeypatch):
+    """Ids of copies are hashed in runs; the tree is as deep as the conversation is long."""
+    monkeypatch.setattr(prefix_trie, "_CHUNK", 4)
+    long = [(turn, "user", f"turn {turn % 7}") for turn in range(1500)]
+    rows = [(0, *turn) for turn in long] + [(1, *turn) for turn in long[:-1]]
+    rows += [(c, 0, "user", "turn 0") for c in range(-30, 0)]
+    found = trie(spark, scratch, rows, False, shard_turns=100)
+    assert len(found) == 1501
+    by_depth = {row[1]: row for row in found}
+    assert by_depth[0][:7] == (-30, 0, None, 32, 1, 1, 31 * 6 + 1498 * 6)
+    ids = ",".join(str(c) for c in range(-30, 0))
+    assert by_depth[1] == (-30, 1, -30, 32, 1, 1, 31 * 6 + 1498 * 6, sha256(ids))
+    assert by_depth[1500] == (0, 1500, 0, 1, 0, 1, 0, sha256("0"))
+
+
+def test_nulls_ties_and_repeated_rows(spark, scratch):
+    rows = [
+        (10, None, None, None),
+        (10, 2, "user", "b"),
+        (10, 2, "user", "a"),
+        (10, 2, "user", "a"),
+        (None, 0, "user", "nobody's"),
+        (11, 0, "user", None),
+        (12, 0, "", ""),
+        (13, None, "", "only turn"),
+    ]
+    for heads in (True, False):
+        turns = own_turns(rows)
+        assert trie(spark, scratch, rows, heads) == plain_trie(rebuilt(turns) if heads else turns)
+
+
+def test_conversations_without_turns(spark, scratch):
+    """Ids whose own turns all give way to those of an absent conversation end at the root."""
+    rows = [(c, 0, "user", "hello") for c in range(21, 25)]
+    found = trie(spark, scratch, rows)
+    assert found == plain_trie(rebuilt(own_turns(rows)))
+    assert found[0][1] == 0 and found[0][3] == 4
+    assert any(not own for own in rebuilt(own_turns(rows)).values())
+
+
+def test_empty_table_and_clashing_columns(spark, scratch):
+    empty = spark.createDataFrame([], SCHEMA)
+    own = prefix_trie.sequences(empty, scratch)
+    assert prefix_trie.prefix_trie(prefix_trie.with_common_heads(own), scratch).count() == 0
+    names = ("tokens", "sizes", "token", "size", "depth", "edge", "ends", "key", "shard")
+    rows = conversations(3, 10, 3, ["a", "b"])
+    frame = spark.createDataFrame([(*row, *names) for row in rows], SCHEMA + "".join(f", {n} string" for n in names))
+    nodes = prefix_trie.prefix_trie(prefix_trie.sequences(frame, scratch), scratch)
+    found = sorted((tuple(row) for row in nodes.select(*COLUMNS).collect()), key=repr)
+    assert found == plain_trie(own_turns(rows))
+
+
+def test_the_tree_is_balanced():
+    """Median insertion keeps the links between siblings short."""
+    tree = prefix_trie.TernaryTree()
+    for place in prefix_trie._medians_first(1000):
+        tree.insert(place, 1, [place], [1], None)
+
+    def height(node):
+        return 1 + max(height(tree.low[node]), height(tree.high[node])) if node else 0
+
+    assert height(tree.below[0]) == 10
+
+
+def test_small_shards_against_sql(spark, scratch, duck):
+    assert "conversations" in TABLES
+    table = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+    own = prefix_trie.with_common_heads(prefix_trie.sequences(table, scratch))
+    nodes = prefix_trie.prefix_trie(own, scratch, shard_turns=20)
+    from conftest import same
+
+    assert same(nodes.withColumnRenamed("saved", "saved_tokens"), duck, oracle.PREFIX_TRIE) > 100
+    assert "op12_prefix_trie" in queries.QUERIES
