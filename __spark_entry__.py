@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
@@ -13,11 +14,24 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
 from trailmetrics.functions import dates, numbers, strings  # noqa: E402
-from trailmetrics.operators import categories, pages, products, sampling, sessions  # noqa: E402
+from trailmetrics.operators import (  # noqa: E402
+    categories,
+    pages,
+    products,
+    sampling,
+    session_days,
+    sessions,
+)
 from trailmetrics.params import TaskParams  # noqa: E402
 from trailmetrics.plans import page_job, product_job, session_job  # noqa: E402
 from trailmetrics.runtime import Scratch  # noqa: E402
-from trailmetrics.sinks import replace_table  # noqa: E402
+from trailmetrics.sinks import (  # noqa: E402
+    publish_table,
+    read_results,
+    replace_partitions,
+    replace_table,
+    result_sink,
+)
 from trailmetrics.sources import star, tables, text  # noqa: E402
 from trailmetrics.streaming import ad_clicks  # noqa: E402
 
@@ -67,6 +81,7 @@ ALL_FILTERS = TaskParams.from_dict(
 LARGE_SAMPLE = 2000
 # The scans are about their date filter, so they leave days out at both ends.
 SCAN_PARAMS = TaskParams.from_dict({"startDate": "2024-01-05", "endDate": "2024-01-24"})
+REPLACED_DAYS = (dt.date(2024, 1, 10), dt.date(2024, 1, 12))
 FLOW = PARAMS.target_page_flow
 
 
@@ -142,6 +157,38 @@ def session_aggr_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_aggr_stat(_sessions(spark, sf_dir))
 
 
+def session_aggr_stat_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics from counts that are taken while the sessions are written."""
+    found, counts = sessions.observed(_sessions(spark, sf_dir))
+    Scratch(spark, "observed").write(found, "sessions")
+    return sessions.observed_stat(spark, counts)
+
+
+def _long_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions in sessions of three days, which cross midnight."""
+    three_days = F.expr("concat_ws('-', user_id, dayofyear(date) div 3)")
+    return _actions(spark, sf_dir).withColumn("session_id", three_days)
+
+
+def _stored_days(spark: SparkSession, actions: DataFrame, name: str) -> DataFrame:
+    """Parts of all days, of which the last was added to those before."""
+    table = Scratch(spark, name).table("session_days")
+    last = F.col("date") == F.lit(PARAMS.end_date)
+    session_days.store_days(actions.where(~last), table)
+    session_days.store_days(actions.where(last), table)
+    return session_days.stored_parts(spark, table, PARAMS.start_date, PARAMS.end_date)
+
+
+def session_days_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _stored_days(spark, _long_actions(spark, sf_dir), "session_days_added")
+    return _as_text(sessions.aggregate_of(parts, star.user_info(spark, sf_dir)))
+
+
+def session_days_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _stored_days(spark, _actions(spark, sf_dir), "session_days_filter")
+    return sessions.filtered_of(parts, star.user_info(spark, sf_dir), ALL_FILTERS)
+
+
 def session_hour_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.session_hour_count(_sessions(spark, sf_dir))
 
@@ -405,6 +452,44 @@ def replaced_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_actions(spark, name, SCAN_PARAMS.start_date, SCAN_PARAMS.end_date)
 
 
+def replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of which three days were replaced; the others stay."""
+    name = Scratch(spark, "replaced_days").table("user_visit_action")
+    actions = star.user_visit_action(spark, sf_dir)
+    replace_partitions(actions, name, "date")
+    three_days = F.col("date").between(*[F.lit(day) for day in REPLACED_DAYS])
+    fewer = actions.where(three_days & (F.col("page_id") < 5)).withColumn(
+        "city_id", F.lit(0).cast("bigint")
+    )
+    replace_partitions(fewer, name, "date")
+    return tables.read_actions(spark, name, SCAN_PARAMS.start_date, SCAN_PARAMS.end_date)
+
+
+def published_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of a table that was replaced at one stroke."""
+    name = Scratch(spark, "published_actions").table("user_visit_action")
+    actions = star.user_visit_action(spark, sf_dir)
+    publish_table(actions.where("page_id < 3"), name, "date")
+    publish_table(actions, name, "date")
+    return tables.read_actions(spark, name, SCAN_PARAMS.start_date, SCAN_PARAMS.end_date)
+
+
+def product_job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two tasks wrote, one of which was run again."""
+    name = Scratch(spark, "product_job_rerun").table("results")
+    for task_id in ("first", "second", "first"):
+        sink = result_sink({}, "table", task_id)
+        product_job.run_product_job(
+            star.user_visit_action(spark, sf_dir),
+            tables.city_info(spark),
+            star.product_info(spark, sf_dir),
+            PARAMS,
+            task_id,
+            lambda df, _: sink(df, name),
+        )
+    return read_results(spark, name, {}, "table")
+
+
 def product_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The products of each area, from the job's views by SQL."""
     product_job.register_views(
@@ -437,6 +522,9 @@ def shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_filter_all": session_filter_all,
         "filtered_sessions_all": filtered_sessions_all,
         "session_aggr_stat": session_aggr_stat,
+        "session_aggr_stat_observed": session_aggr_stat_observed,
+        "session_days_added": session_days_added,
+        "session_days_filter": session_days_filter,
         "session_filtered_actions": _matched,
         "session_hour_count": session_hour_count,
         "session_extract_quota": session_extract_quota,
@@ -467,6 +555,9 @@ def shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ad_click_parse": ad_click_parse,
         "product_views": product_views,
         "replaced_actions": replaced_actions,
+        "replaced_days": replaced_days,
+        "published_actions": published_actions,
+        "product_job_rerun": product_job_rerun,
         "ad_click_blacklist_filter": ad_click_blacklist_filter,
         "ad_click_restarted": ad_click_restarted,
         "scalar_dates": scalar_dates,
@@ -498,6 +589,7 @@ def shop_oracles() -> dict[str, str]:
         seed=SEED,
         large_sample=LARGE_SAMPLE,
         filters=ALL_FILTERS,
+        replaced=tuple(day.isoformat() for day in REPLACED_DAYS),
     )
 
 

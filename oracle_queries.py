@@ -69,9 +69,11 @@ def _half_up(part: str, whole: str) -> str:
     return f"(((200 * {part} + {whole}) // (2 * nullif({whole}, 0))) / 100.0)"
 
 
-def _sessions(start: str, end: str, ages: tuple[int, int]) -> str:
+def _sessions(start: str, end: str, ages: tuple[int, int], days: int = 1) -> str:
+    """Sessions, of one day or of several."""
+    session = f"REPLACE (concat_ws('-', user_id, dayofyear(date) // {days}) AS session_id)"
     return f"""
-act AS (SELECT * FROM uva WHERE date BETWEEN DATE '{start}' AND DATE '{end}'),
+act AS (SELECT * {session if days > 1 else ""} FROM uva WHERE date BETWEEN DATE '{start}' AND DATE '{end}'),
 agg AS (
   SELECT a.session_id, a.user_id, search_keywords, click_category_ids, kws,
          visit_length, step_length, start_time, age, professional, city, sex
@@ -252,6 +254,7 @@ def build(
     seed: int,
     large_sample: int = 100,
     filters: TaskParams | None = None,
+    replaced: tuple[str, str] = ("2024-01-10", "2024-01-12"),
 ) -> dict[str, str]:
     """The SQL per query, for a date range, filters, a page flow and a sample seed."""
     views = f"WITH {_VIEWS}"
@@ -267,8 +270,19 @@ def build(
     words = ", ".join(f"'{word}'" for word in keywords)
     large = f"{sessions},{_sample(seed, large_sample)}"
     all_filters = "true" if filters is None else _all_filters(filters)
+    long_sessions = f"{views},{_sessions(start, end, ages, days=3)}"
+    replaced_days = f"date BETWEEN DATE '{replaced[0]}' AND DATE '{replaced[1]}'"
     filtered_ads = """SELECT * FROM ad
             WHERE userid NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"""
+    top3 = """SELECT area,
+            CASE WHEN area IN ('华东', '华北') THEN 'A Level'
+                 WHEN area IN ('华南', '华中') THEN 'B Level'
+                 WHEN area IN ('西北', '西南') THEN 'C Level' ELSE 'D Level' END AS areaLevel,
+            product_id AS productid, city_infos AS cityInfos, click_count AS clickCount,
+            product_name AS productName, product_status AS productStatus
+            FROM (SELECT *, row_number() OVER (PARTITION BY area
+                    ORDER BY click_count DESC, product_id) AS rn FROM full_counts)
+            WHERE rn <= 3"""
     noon = "(cast(date AS timestamp) + INTERVAL 12 HOUR)"
     midnight_seconds = "date_diff('second', cast(date AS timestamp), action_time)"
     return {
@@ -283,6 +297,10 @@ def build(
             visit_length, step_length FROM agg WHERE {all_filters}""",
         "session_aggr_stat": f"{sessions} {_stat()}",
         "session_filtered_actions": f"{sessions} SELECT * FROM det",
+        "session_aggr_stat_observed": f"{sessions} {_stat()}",
+        "session_days_added": f"{long_sessions} SELECT {record} FROM agg",
+        "session_days_filter": f"""{sessions} SELECT session_id, user_id, start_time,
+            visit_length, step_length FROM agg WHERE {all_filters}""",
         "session_hour_count": f"{sample} SELECT date, hour, session_count FROM hours",
         "session_extract_quota": f"""{sample}
             SELECT date, hour, session_count, day_count, quota FROM quotas""",
@@ -323,20 +341,18 @@ def build(
         "click_product_basic": f"{areas} SELECT * FROM basic",
         "area_product_click_count": f"{areas} SELECT * FROM counts",
         "area_full_product_click_count": f"{areas} SELECT * FROM full_counts",
-        "area_top3_product": f"""{areas} SELECT area,
-            CASE WHEN area IN ('华东', '华北') THEN 'A Level'
-                 WHEN area IN ('华南', '华中') THEN 'B Level'
-                 WHEN area IN ('西北', '西南') THEN 'C Level' ELSE 'D Level' END AS areaLevel,
-            product_id AS productid, city_infos AS cityInfos, click_count AS clickCount,
-            product_name AS productName, product_status AS productStatus
-            FROM (SELECT *, row_number() OVER (PARTITION BY area
-                    ORDER BY click_count DESC, product_id) AS rn FROM full_counts)
-            WHERE rn <= 3""",
+        "area_top3_product": f"{areas} {top3}",
+        "product_job_rerun": f"""{areas} SELECT taskid, t.*
+            FROM ({top3}) t, (VALUES ('first'), ('second')) tasks(taskid)""",
         "ad_click_parse": f"{views} SELECT * FROM ad",
         "product_views": f"""{areas} SELECT area,
             concat(product_id, ':', product_name) AS product, click_count, product_status
             FROM full_counts""",
         "replaced_actions": f"{views} SELECT * FROM uva WHERE {scanned}",
+        "published_actions": f"{views} SELECT * FROM uva WHERE {scanned}",
+        "replaced_days": f"""{views}
+            SELECT * REPLACE (CASE WHEN {replaced_days} THEN 0 ELSE city_id END AS city_id)
+            FROM uva WHERE {scanned} AND NOT ({replaced_days} AND page_id >= 5)""",
         "ad_click_blacklist_filter": f"{views} {filtered_ads}",
         "ad_click_restarted": f"{views} {filtered_ads}",
         "scalar_dates": f"""{views} SELECT session_id, page_id,

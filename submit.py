@@ -3,10 +3,15 @@
     spark-submit submit.py session --params '{"startDate": "2024-01-05", "endDate": "2024-01-24"}' \\
         --sink jdbc --option url=jdbc:mysql://host/db --option user=u --option password=p
 
+    spark-submit submit.py days --params '{"startDate": "2024-01-25", "endDate": "2024-01-25"}' \\
+        --session-days session_days
+
     spark-submit submit.py ads --brokers host:9092 --topics ad_log \\
         --blacklist ad_blacklist --output /shared/ads --checkpoint /shared/ads-checkpoint
 
-Tables are catalog names, or parquet paths if they hold a ``/``.
+Tables are catalog names, or parquet paths if they hold a ``/``. ``days`` stores the
+daily parts of sessions, which ``session`` then reads with ``--session-days``. With
+``--replace`` a job that is run again under its task id replaces what it wrote.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from trailmetrics.operators import session_days
 from trailmetrics.params import TaskParams
 from trailmetrics.plans import page_job, product_job, session_job
 from trailmetrics.sinks import result_sink
@@ -37,6 +43,12 @@ def arguments(values=None) -> argparse.Namespace:
         job.add_argument("--seed", type=int, default=0)
         job.add_argument("--sink", default="jdbc", help="jdbc, table, or a file format")
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+        job.add_argument("--replace", action="store_true", help="the task's earlier rows")
+        job.add_argument("--session-days", default=None, help="table of daily parts")
+    days = jobs.add_parser("days")
+    days.add_argument("--params", type=json.loads, required=True, help="JSON object")
+    days.add_argument("--actions", default="user_visit_action")
+    days.add_argument("--session-days", default="session_days", help="table of daily parts")
     ads = jobs.add_parser("ads")
     ads.add_argument("--brokers", required=True)
     ads.add_argument("--topics", required=True)
@@ -50,11 +62,15 @@ def arguments(values=None) -> argparse.Namespace:
 def run_batch(spark: SparkSession, args: argparse.Namespace) -> str:
     params = TaskParams.from_dict(args.params)
     task_id = args.task_id or str(uuid.uuid4())
-    sink = result_sink(dict(option.split("=", 1) for option in args.option), args.sink)
+    options = dict(option.split("=", 1) for option in args.option)
+    sink = result_sink(options, args.sink, task_id if args.replace else None)
     actions = tables.read_actions(spark, args.actions, params.start_date, params.end_date)
     if args.job == "session":
         users = tables.read_users(spark, args.users)
-        session_job.run_session_job(actions, users, params, task_id, sink, args.seed)
+        parts = args.session_days and session_days.stored_parts(
+            spark, args.session_days, params.start_date, params.end_date
+        )
+        session_job.run_session_job(actions, users, params, task_id, sink, args.seed, parts)
     elif args.job == "page":
         page_job.run_page_job(actions, params, task_id, sink)
     else:
@@ -65,6 +81,12 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> str:
     return task_id
 
 
+def run_days(spark: SparkSession, args: argparse.Namespace) -> None:
+    params = TaskParams.from_dict(args.params)
+    actions = tables.read_actions(spark, args.actions, params.start_date, params.end_date)
+    session_days.store_days(actions, args.session_days)
+
+
 def run_ads(spark: SparkSession, args: argparse.Namespace) -> None:
     ad_clicks.write_filtered_stream(
         kafka.read_kafka(spark, args.brokers, args.topics),
@@ -83,5 +105,5 @@ if __name__ == "__main__":
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128MB")
         .getOrCreate()
     )
-    (run_ads if parsed.job == "ads" else run_batch)(session, parsed)
+    {"ads": run_ads, "days": run_days}.get(parsed.job, run_batch)(session, parsed)
     session.stop()

@@ -190,3 +190,110 @@ def test_the_last_day_counts_to_its_end(spark, actions_of, tmp_path, kind):
     plan = found._jdf.queryExecution().executedPlan().toString()
     pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
     assert "GreaterThanOrEqual(date" in pushed
+
+
+def by_day(spark, days, offset=0):
+    """Ten rows for each day of January."""
+    return spark.range(10 * len(days)).selectExpr(
+        f"id + {offset} AS id",
+        f"date_add(date'2024-01-01', array({','.join(map(str, days))})[cast(id div 10 AS int)] - 1)"
+        " AS date",
+    )
+
+
+def sums(df):
+    return {r["date"].day: r["n"] for r in df.groupBy("date").agg(F.sum("id").alias("n")).collect()}
+
+
+@pytest.fixture
+def table(scratch):
+    return scratch.table("days")
+
+
+def test_replace_days_leaves_the_others(spark, table):
+    assert sinks.replace_partitions(by_day(spark, [1, 2, 3]), table, "date") == []
+    before = sums(spark.table(table))
+    folders = sinks.replace_partitions(by_day(spark, [2, 5], 1000), table, "date")
+    assert sums(spark.table(table)) == before | {2: 10045, 5: 10145}
+    (folder,) = folders
+    sinks.delete_folders(spark, folders)
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert sums(spark.table(table)) == before | {2: 10045, 5: 10145}
+
+
+def test_a_reader_keeps_the_days_that_it_began_with(spark, table):
+    sinks.replace_partitions(by_day(spark, [1, 2]), table, "date")
+    begun = spark.table(table).select("id").toLocalIterator()
+    ids = [next(begun).id]
+    folders = sinks.replace_partitions(by_day(spark, [2], 1000), table, "date")
+    ids += [row.id for row in begun]
+    assert sorted(ids) == list(range(20))
+    assert sums(spark.table(table)) == {1: 45, 2: 10045}
+    assert [os.path.exists(f.removeprefix("file:")) for f in folders] == [True]
+
+
+def test_a_day_that_fails_changes_nothing(spark, table):
+    sinks.replace_partitions(by_day(spark, [1, 2]), table, "date")
+    before = sums(spark.table(table))
+    failing = by_day(spark, [2], 1000).withColumn(
+        "id", F.when(F.col("id") < 1009, F.col("id")).otherwise(F.raise_error(F.lit("stop")))
+    )
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_partitions(failing, table, "date")
+    with pytest.raises(ValueError, match="rows without date"):
+        no_day = by_day(spark, [1]).withColumn("date", F.lit(None).cast("date"))
+        sinks.replace_partitions(no_day, table, "date")
+    assert sums(spark.table(table)) == before
+
+
+def test_a_day_without_rows_can_be_replaced(spark, table):
+    sinks.replace_partitions(by_day(spark, [1, 2]), table, "date")
+    nothing = by_day(spark, [1]).limit(0)
+    sinks.replace_partitions(nothing, table, "date", [dt.date(2024, 1, 2), dt.date(2024, 1, 7)])
+    assert sums(spark.table(table)) == {1: 45}
+
+
+def test_only_the_days_of_a_range_are_read_after_a_replacement(spark, table):
+    sinks.replace_partitions(by_day(spark, [1, 2, 3]), table, "date")
+    sinks.replace_partitions(by_day(spark, [2], 1000), table, "date")
+    found = spark.table(table).where("date = date'2024-01-02'")
+    assert len({os.path.dirname(f) for f in found.inputFiles()}) == 1
+    assert found.count() == 10
+
+
+def test_a_published_table_is_replaced_at_one_stroke(spark, scratch):
+    name = scratch.table("published")
+    assert sinks.publish_table(by_day(spark, [1, 2]), name, "date") is None
+    begun = spark.table(name)
+    old = sinks.publish_table(by_day(spark, [3]), name, "date")
+    assert sums(spark.table(name)) == {3: 45}
+    assert sums(begun) == {1: 45, 2: 145} == sums(spark.table(old))
+    spark.sql(f"DROP TABLE {old}")
+    assert sums(spark.table(name)) == {3: 45}
+    plain = scratch.write(spark.range(1), "plain")
+    with pytest.raises(ValueError, match="not a published table"):
+        sinks.publish_table(plain, scratch.table("plain_1"))
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "table"])
+def test_a_task_that_runs_again_leaves_one_set_of_rows(spark, scratch, tmp_path, fmt):
+    table = scratch.table("counts") if fmt == "table" else "counts"
+    options = {"path": str(tmp_path)} if fmt == "parquet" else {}
+
+    def run(task_id, *counts):
+        rows = [(task_id, i, count) for i, count in enumerate(counts)]
+        frame = spark.createDataFrame(rows, "taskid string, category long, n long")
+        sinks.result_sink(options, fmt, task_id)(frame, table)
+        found = sinks.read_results(spark, table, options, fmt)
+        assert found.columns == ["taskid", "category", "n"]
+        return sorted((r["taskid"], r["n"]) for r in found.collect())
+
+    assert run("007", 1, 2, 3) == [("007", 1), ("007", 2), ("007", 3)]
+    assert run("a/b='%41", 9) == [("007", 1), ("007", 2), ("007", 3), ("a/b='%41", 9)]
+    assert run("007", 5) == [("007", 5), ("a/b='%41", 9)]
+    assert run("007") == [("a/b='%41", 9)]
+
+
+def test_a_database_table_is_only_appended_to(spark):
+    with pytest.raises(ValueError, match="appended"):
+        sinks.result_sink({}, "jdbc", "t1")(spark.range(1), "numbers")

@@ -1,10 +1,13 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
-from trailmetrics.operators import sampling, sessions
+from trailmetrics.operators import sampling, session_days, sessions
 from trailmetrics.params import TaskParams
 from trailmetrics.plans import session_job
 
@@ -294,3 +297,97 @@ def test_a_session_with_a_third_of_the_rows_and_many_keywords(spark, users_of):
     assert objects and all("collect_list" in line for line in objects)
     found = records.select("session_id", F.size("search_keywords").alias("n"))
     assert found.agg(F.max("n")).first()[0] == 100_000
+
+
+def test_days_that_are_stored_again_or_added(spark, actions_of, users_of, scratch):
+    """Sessions that cross midnight, a corrected day, null ids and a day without actions."""
+    midnight = dt.datetime(2024, 1, 6)
+    late = [
+        {"action_time": midnight - dt.timedelta(seconds=9), "search_keyword": "b", "user_id": 2},
+        {"action_time": midnight - dt.timedelta(seconds=5), "click_category_id": 7, "user_id": -1},
+        {"action_time": midnight - dt.timedelta(seconds=5), "session_id": None},
+    ]
+    early = [
+        {"action_time": midnight, "search_keyword": "a", "user_id": 1},
+        {"action_time": midnight + dt.timedelta(seconds=30), "search_keyword": "b"},
+        {"action_time": midnight, "session_id": None, "click_category_id": -1},
+    ]
+    wrong = [{"action_time": midnight, "search_keyword": "wrong", "click_category_id": 99}] * 3
+    users = users_of([{"user_id": u} for u in (1, 2)])
+    name = scratch.table("session_days")
+    assert session_days.store_days(actions_of(late + wrong), name) == []
+    (old,) = session_days.store_days(actions_of(early), name)
+    assert "session_days" in old
+    first, last = dt.date(2024, 1, 5), dt.date(2024, 1, 6)
+    parts = session_days.stored_parts(spark, name, first, last)
+    want = sessions.session_aggregate(actions_of(late + early), users)
+    assert rows(sessions.aggregate_of(parts, users)) == rows(want)
+    (crossing, nameless) = sorted(rows(want), key=lambda r: r["session_id"] is None)
+    assert (crossing["user_id"], crossing["visit_length"], crossing["step_length"]) == (1, 39, 4)
+    assert crossing["search_keywords"] == ["a", "b"] and nameless["visit_length"] == 5
+    one_day = session_days.stored_parts(spark, name, last, last)
+    assert rows(sessions.aggregate_of(one_day, users)) == rows(
+        sessions.session_aggregate(actions_of(early), users)
+    )
+
+
+def test_stored_days_are_read_without_the_others(spark, actions_of, scratch):
+    name = scratch.table("session_days")
+    items = [{"action_time": dt.datetime(2024, 1, day, 9)} for day in range(1, 9)]
+    session_days.store_days(actions_of(items * 50), name)
+    day = dt.date(2024, 1, 4)
+    parts = session_days.stored_parts(spark, name, day, day)
+    assert len({f.rsplit("/", 1)[0] for f in parts.inputFiles()}) == 1
+    # Equal actions are one part.
+    assert [r["step_length"] for r in rows(parts)] == [50]
+
+
+def test_observed_counts_are_those_of_the_written_sessions(spark, scratch):
+    found = spark.createDataFrame([(i % 90, i % 70) for i in range(5000)], "visit_length long, step_length long")
+    seen, counts = sessions.observed(found)
+    scratch.write(seen, "sessions")
+    assert rows(sessions.observed_stat(spark, counts)) == rows(sessions.session_aggr_stat(found))
+    seen, counts = sessions.observed(found.where("step_length > 99"))
+    scratch.write(seen, "none")
+    assert rows(sessions.observed_stat(spark, counts)) == rows(
+        sessions.session_aggr_stat(found.limit(0))
+    )
+
+
+REPEATED = """
+import sys
+sys.path[:0] = [{root!r}]
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from trailmetrics.operators import session_days, sessions
+
+spark = (
+    SparkSession.builder.master("local[2,3]")
+    .config("spark.ui.enabled", "false")
+    .config("spark.sql.warehouse.dir", {folder!r})
+    .getOrCreate()
+)
+found = spark.range(0, 1000, 1, 4).selectExpr("id AS visit_length", "id AS step_length")
+seen, counts = sessions.observed(found)
+
+def fail_once(batches):
+    # Each task fails after it has counted all its rows, at its first attempt.
+    for batch in batches:
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise ValueError("lost")
+
+seen.mapInArrow(fail_once, seen.schema).write.saveAsTable("found")
+print("COUNT", sessions.observed_stat(spark, counts).first().session_count, spark.table("found").count())
+"""
+
+
+def test_a_repeated_task_counts_once(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = REPEATED.format(root=root, folder=str(tmp_path))
+    done = subprocess.run(
+        [sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=tmp_path
+    )
+    assert "lost" in done.stderr
+    assert "COUNT 1000 1000" in done.stdout

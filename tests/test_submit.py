@@ -5,6 +5,7 @@ from conftest import SF_DIR
 
 import __spark_entry__ as entry_point
 import submit
+from trailmetrics import sinks
 from trailmetrics.schemas import RESULT_COLUMNS
 from trailmetrics.sources import star
 
@@ -70,3 +71,29 @@ def test_stream_arguments():
         " --partitions 400".split()
     )
     assert (args.job, args.partitions) == ("ads", 400)
+
+
+def test_sessions_from_stored_days_replace_those_of_an_earlier_run(
+    spark, stored, scratch, tmp_path, monkeypatch
+):
+    """Both runs have one task id, so one set of rows is left; the second reads daily parts."""
+    days = scratch.table("session_days")
+    submit.run_days(
+        spark, submit.arguments(["days", "--params", PARAMS, *stored[:2], "--session-days", days])
+    )
+    options = ["--sink", "parquet", "--option", f"path={tmp_path}", "--task-id", "t1", "--replace"]
+    given = ["session", "--params", PARAMS, *stored, *options]
+    tables = ["session_aggr_stat", "session_random_extract", "session_detail", "top10_session"]
+
+    def run(*more):
+        assert submit.run_batch(spark, submit.arguments([*given, *more])) == "t1"
+        return {
+            name: sorted(
+                map(str, sinks.read_results(spark, name, {"path": str(tmp_path)}, "parquet").collect())
+            )
+            for name in tables
+        }
+
+    from_actions = run()
+    assert all(from_actions.values())
+    assert run("--session-days", days) == from_actions

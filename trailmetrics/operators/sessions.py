@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trailmetrics.functions import dates, ids, numbers
@@ -35,18 +35,55 @@ STEP_LENGTH_CLASSES = [
 ]
 
 
-def _roll_up(actions: DataFrame, *extra: Column) -> DataFrame:
-    """One row per session; every measure combines on the map side."""
+# One row for some actions of a session that have one search word and one clicked
+# category in common. Rows combine: two of them give the least user, the first start,
+# the last end and the sum of the steps.
+PART = [
+    "session_id",
+    "user_id",
+    "start_time",
+    "end_time",
+    "step_length",
+    "search_keyword",
+    "click_category_id",
+]
+
+
+def action_parts(actions: DataFrame, *keep: str) -> DataFrame:
+    """Each action as a part by itself."""
     user = F.col("user_id")
+    return actions.select(
+        *keep,
+        "session_id",
+        F.when(user != NO_CLICK, user).alias("user_id"),
+        F.col("action_time").alias("start_time"),
+        F.col("action_time").alias("end_time"),
+        F.lit(1).cast("bigint").alias("step_length"),
+        "search_keyword",
+        "click_category_id",
+    )
+
+
+def _measures() -> list[Column]:
+    return [
+        F.min("user_id").alias("user_id"),
+        F.min("start_time").alias("start_time"),
+        F.max("end_time").alias("end_time"),
+        F.sum("step_length").alias("step_length"),
+    ]
+
+
+def combined(parts: DataFrame, *keep: str) -> DataFrame:
+    """As few parts as there are distinct words and categories in each session."""
+    keys = [*keep, "session_id", "search_keyword", "click_category_id"]
+    return parts.groupBy(*keys).agg(*_measures()).select(*keep, *PART)
+
+
+def _roll_up(parts: DataFrame, *extra: Column) -> DataFrame:
+    """One row per session; every measure combines on the map side."""
     return (
-        actions.groupBy("session_id")
-        .agg(
-            F.min(F.when(user != NO_CLICK, user)).alias("user_id"),
-            F.min("action_time").alias("start_time"),
-            F.max("action_time").alias("end_time"),
-            F.count("*").alias("step_length"),
-            *extra,
-        )
+        parts.groupBy("session_id")
+        .agg(*_measures(), *extra)
         .withColumn(
             "visit_length", dates.minus(F.col("end_time"), F.col("start_time")).cast("bigint")
         )
@@ -60,14 +97,14 @@ def _with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def _lists(actions: DataFrame) -> DataFrame:
+def _lists(parts: DataFrame) -> DataFrame:
     """Distinct search words and clicked categories per session, both sorted.
 
     Values are made distinct first, by hash aggregates that combine in each task;
     only distinct values are gathered into lists.
     """
     word, category = F.col("search_keyword"), F.col("click_category_id")
-    values = actions.select(
+    values = parts.select(
         F.col("session_id").alias("list_id"),
         F.stack(
             F.lit(2),
@@ -89,7 +126,7 @@ def _lists(actions: DataFrame) -> DataFrame:
 
 
 def with_lists(sessions: DataFrame, actions: DataFrame) -> DataFrame:
-    """Add the keyword and category lists to the actions' sessions.
+    """Add the keyword and category lists to the sessions of the actions, or of parts.
 
     Actions without a session id are one session.
     """
@@ -119,9 +156,14 @@ RECORD = [
 ]
 
 
+def aggregate_of(parts: DataFrame, users: DataFrame) -> DataFrame:
+    """The full session record from parts, with its keyword and category lists."""
+    return with_lists(_with_user(_roll_up(parts), users), parts).select(*RECORD)
+
+
 def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
     """The full session record, with its keyword and category lists."""
-    return with_lists(_with_user(_roll_up(actions), users), actions).select(*RECORD)
+    return aggregate_of(action_parts(actions), users)
 
 
 def _user_predicates(params: TaskParams) -> list[Column]:
@@ -153,7 +195,7 @@ def session_filter(sessions: DataFrame, params: TaskParams) -> DataFrame:
     return sessions.where(_all_of(predicates))
 
 
-def _filtered(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+def _filtered(parts: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
     """The sessions that meet every parameter, with their users' traits.
 
     Whether a session searched or clicked a wanted value is one flag, so each
@@ -171,23 +213,28 @@ def _filtered(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataF
         hit = F.coalesce(F.col("click_category_id").isin(*params.category_ids), F.lit(False))
         flags.append(F.max(hit & ids.is_click(F.col("click_category_id"))).alias("category_hit"))
     wanted = [F.col(name) for name in _flag_names(params)]
-    sessions = _with_user(_roll_up(actions, *flags).where(_all_of(wanted)), users)
+    sessions = _with_user(_roll_up(parts, *flags).where(_all_of(wanted)), users)
     return sessions.where(_all_of(_user_predicates(params)))
 
 
-def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
-    """The sessions that `session_filter` keeps, without their lists."""
-    return _filtered(actions, users, params).select(
+def filtered_of(parts: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """The sessions that `session_filter` keeps, without their lists, from parts."""
+    return _filtered(parts, users, params).select(
         "session_id", "user_id", "start_time", "visit_length", "step_length"
     )
 
 
+def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """The sessions that `session_filter` keeps, without their lists."""
+    return filtered_of(action_parts(actions), users, params)
+
+
 def filtered_records(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
     """What `session_filter` keeps of all records.
 
     Lists are gathered only from the actions of the sessions that remain.
     """
-    found = _filtered(actions, users, params)
+    found = _filtered(action_parts(actions), users, params)
     return with_lists(found, filtered_actions(actions, found)).select(*RECORD)
 
 
@@ -217,26 +264,49 @@ def _class_count(measure: str, low: int, high: int | None) -> Column:
     return F.count_if(value >= low if high is None else value.between(low, high))
 
 
-def session_aggr_stat(sessions: DataFrame) -> DataFrame:
-    """Number of sessions and the share of each duration and depth class: one row."""
-    classes = [
-        (measure, label, _class_count(measure, low, high))
+def _class_counts() -> list[tuple[str, Column]]:
+    """The columns of one row that counts the sessions, all and of each class."""
+    return [("session_count", F.count("*"))] + [
+        (f"{measure}_{label}", _class_count(measure, low, high))
         for measure, table in (
             ("visit_length", VISIT_LENGTH_CLASSES),
             ("step_length", STEP_LENGTH_CLASSES),
         )
         for label, low, high in table
     ]
-    counts = sessions.agg(
-        F.count("*").alias("session_count"),
-        *[count.alias(f"{measure}_{label}") for measure, label, count in classes],
-    )
+
+
+def _ratios(counts: DataFrame) -> DataFrame:
     return counts.select(
         "session_count",
         *[
-            numbers.ratio(F.col(f"{measure}_{label}"), F.col("session_count")).alias(
-                f"{measure}_{label}_ratio"
-            )
-            for measure, label, _ in classes
+            numbers.ratio(F.col(name), F.col("session_count")).alias(f"{name}_ratio")
+            for name, _ in _class_counts()[1:]
         ],
     )
+
+
+def session_aggr_stat(sessions: DataFrame) -> DataFrame:
+    """Number of sessions and the share of each duration and depth class: one row."""
+    return _ratios(sessions.agg(*[count.alias(name) for name, count in _class_counts()]))
+
+
+def observed(sessions: DataFrame) -> tuple[DataFrame, Observation]:
+    """The sessions, and their counts once the first action on them has ended.
+
+    Write the sessions as they are returned: each task then counts what it writes.
+    The counts of a task come with its result, so a task that is repeated, or runs
+    twice, counts once. An operation in between that shuffles would lose that.
+    """
+    counts = Observation("session counts")
+    return sessions.observe(counts, *[n.alias(name) for name, n in _class_counts()]), counts
+
+
+def observed_stat(spark: SparkSession, counts: Observation) -> DataFrame:
+    """`session_aggr_stat` from the counts that were observed, without another scan."""
+    found = counts.get
+    return _ratios(
+        spark.range(1).select(
+            *[F.lit(found.get(name, 0)).cast("bigint").alias(name) for name, _ in _class_counts()]
+        )
+    )

@@ -23,7 +23,7 @@ def session_sample(
     """The sampled sessions with start time, keywords and categories.
 
     The chosen sessions are written down first: Spark then knows how many there
-    are when it joins them with the actions.
+    are when it joins them with the actions, or with stored parts of them.
     """
     sample = sampling.session_random_extract(found, seed, sample_size, extra)
     chosen = tables.write(sample.select("session_id", "start_time"), "chosen")
@@ -99,25 +99,31 @@ def run_session_job(
     task_id: str,
     sink: Sink,
     seed: int = 0,
+    parts: DataFrame | None = None,
 ) -> None:
     """Write the five result tables.
 
     The sessions, one short row each, are written once to the shared folder and
-    read by all results, as are the sample and the two top lists. The actions are
-    scanned five times, each time with the columns that are needed: the roll-up
-    and the click counts combine them in each task, the category counts shuffle
-    those with a category, the sample's lists and the details shuffle none as long
-    as the chosen sessions are few enough for Spark to broadcast them.
+    counted as they are written; all results read them, as they do the sample and
+    the two top lists. With stored `parts` of the same days (`session_days`), the
+    sessions and the sample's lists come from those. The actions are then scanned
+    three times, otherwise five times, each time with the columns that are needed:
+    the roll-up and the click counts combine them in each task, the category counts
+    shuffle those with a category, the sample's lists and the details shuffle none
+    as long as the chosen sessions are few enough for Spark to broadcast them.
     """
-    with scratch(actions.sparkSession, "session_job") as tables:
+    spark = actions.sparkSession
+    with scratch(spark, "session_job") as tables:
 
         def write(df: DataFrame, name: str) -> None:
             sink(result_table(df, name, task_id), name)
 
-        found = tables.write(sessions.filtered_sessions(actions, users, params), "sessions")
-        write(sessions.session_aggr_stat(found), "session_aggr_stat")
+        rolled_up = sessions.action_parts(actions) if parts is None else parts
+        found, counts = sessions.observed(sessions.filtered_of(rolled_up, users, params))
+        found = tables.write(found, "sessions")
+        write(sessions.observed_stat(spark, counts), "session_aggr_stat")
 
-        sample = tables.write(session_sample(found, actions, tables, seed), "sample")
+        sample = tables.write(session_sample(found, rolled_up, tables, seed), "sample")
         write(sample, "session_random_extract")
 
         top = tables.write(top_categories(matched_counts(actions, found)), "top_categories")
