@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from trailmetrics.functions import dates, numbers, strings  # noqa: E402
 from trailmetrics.operators import (  # noqa: E402
+    bloom,
     categories,
     pages,
     products,
@@ -26,6 +27,7 @@ from trailmetrics.params import TaskParams  # noqa: E402
 from trailmetrics.plans import page_job, product_job, session_job  # noqa: E402
 from trailmetrics.runtime import Scratch  # noqa: E402
 from trailmetrics.sinks import (  # noqa: E402
+    bucket_table,
     publish_table,
     read_results,
     replace_partitions,
@@ -272,6 +274,26 @@ def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_job.matched_counts(_actions(spark, sf_dir), _sessions(spark, sf_dir))
 
 
+def session_filtered_actions_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions of few sessions, most others dropped before the join shuffles them."""
+    found = sessions.filtered_sessions(
+        _actions(spark, sf_dir), star.user_info(spark, sf_dir), ALL_FILTERS
+    )
+    chosen = Scratch(spark, "bloom").write(found.select("session_id"), "chosen")
+    wanted = bloom.prefiltered(_actions(spark, sf_dir), chosen, "session_id", chosen.count())
+    return sessions.filtered_actions(wanted, chosen)
+
+
+def category_counts_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts from actions that are stored in buckets by session."""
+    name = Scratch(spark, "in_buckets").table("user_visit_action")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket_table(star.user_visit_action(spark, sf_dir), name, buckets)
+    actions = tables.read_actions(spark, name, PARAMS.start_date, PARAMS.end_date)
+    found = sessions.filtered_sessions(actions, star.user_info(spark, sf_dir), PARAMS)
+    return session_job.matched_counts(actions, found, in_buckets=True)
+
+
 def category_session_click_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return categories.category_session_click_count(_matched(spark, sf_dir))
 
@@ -526,6 +548,7 @@ def shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_days_added": session_days_added,
         "session_days_filter": session_days_filter,
         "session_filtered_actions": _matched,
+        "session_filtered_actions_bloom": session_filtered_actions_bloom,
         "session_hour_count": session_hour_count,
         "session_extract_quota": session_extract_quota,
         "session_extract_quota_large": session_extract_quota_large,
@@ -539,6 +562,7 @@ def shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "active_categories": active_categories,
         "category_counts_joined": category_counts_joined,
         "category_counts": category_counts,
+        "category_counts_in_buckets": category_counts_in_buckets,
         "category_session_click_count": category_session_click_count,
         "top10_category": top10_category,
         "top10_session": top10_session,

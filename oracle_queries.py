@@ -297,6 +297,8 @@ def build(
             visit_length, step_length FROM agg WHERE {all_filters}""",
         "session_aggr_stat": f"{sessions} {_stat()}",
         "session_filtered_actions": f"{sessions} SELECT * FROM det",
+        "session_filtered_actions_bloom": f"""{sessions} SELECT * FROM act
+            WHERE session_id IN (SELECT session_id FROM agg WHERE {all_filters})""",
         "session_aggr_stat_observed": f"{sessions} {_stat()}",
         "session_days_added": f"{long_sessions} SELECT {record} FROM agg",
         "session_days_filter": f"""{sessions} SELECT session_id, user_id, start_time,
@@ -321,6 +323,7 @@ def build(
         "active_categories": f"{category} SELECT DISTINCT category_id FROM ids",
         "category_counts_joined": f"{category} SELECT * FROM cat",
         "category_counts": f"{category} SELECT * FROM cat",
+        "category_counts_in_buckets": f"{category} SELECT * FROM cat",
         "category_session_click_count": f"{category} SELECT * FROM catses",
         "top10_category": f"""{category} SELECT category_id AS categoryid,
             click_count AS clickCount, order_count AS orderCount, pay_count AS payCount

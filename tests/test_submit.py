@@ -74,7 +74,7 @@ def test_stream_arguments():
 
 
 def test_sessions_from_stored_days_replace_those_of_an_earlier_run(
-    spark, stored, scratch, tmp_path, monkeypatch
+    spark, stored, scratch, tmp_path
 ):
     """Both runs have one task id, so one set of rows is left; the second reads daily parts."""
     days = scratch.table("session_days")

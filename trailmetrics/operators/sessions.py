@@ -259,6 +259,20 @@ def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(given, F.col("session_id").eqNullSafe(F.col("given_id")), "left_semi")
 
 
+def bucketed_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+    """`filtered_actions` of a table that is stored in buckets by session.
+
+    The key is the plain column, so the actions stay in their buckets. Actions
+    without a session id, which no plain join matches, are asked for by themselves.
+    """
+    given = sessions.select(F.col("session_id").alias("given_id"))
+    nameless = given.where("given_id IS NULL").agg(F.count("*") > 0).scalar()
+    same = F.col("session_id") == F.col("given_id")
+    return actions.join(given, same, "left_semi").unionAll(
+        actions.where(F.col("session_id").isNull() & nameless)
+    )
+
+
 def _class_count(measure: str, low: int, high: int | None) -> Column:
     value = F.col(measure)
     return F.count_if(value >= low if high is None else value.between(low, high))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmetrics.functions import dates, strings
-from trailmetrics.operators import categories, details, sampling, sessions
+from trailmetrics.operators import bloom, categories, details, sampling, sessions
 from trailmetrics.params import TaskParams
 from trailmetrics.runtime import Scratch, scratch
 from trailmetrics.sinks import Sink, result_table
@@ -52,17 +52,34 @@ def top_categories(counts: DataFrame) -> DataFrame:
     )
 
 
+# Fewer sessions than these are broadcast.
+FEW_SESSIONS = 100_000
+
+
 def matched_counts(
-    actions: DataFrame, found: DataFrame, keep_sentinel: bool = False
+    actions: DataFrame,
+    found: DataFrame,
+    keep_sentinel: bool = False,
+    session_count: int = 0,
+    in_buckets: bool = False,
 ) -> DataFrame:
     """Click, order and payment counts per category, of the given sessions.
 
     Only actions with a category are shuffled to meet their session, and only the
-    columns that are counted. A session with a large part of them is a skewed
-    partition of that join, which adaptive execution splits.
+    columns that are counted. If there are `session_count` sessions, too many to
+    broadcast, a Bloom filter of their ids drops other actions before that. A
+    session with a large part of the actions is a skewed partition of the join,
+    which adaptive execution splits. Actions that are stored in buckets by session
+    are not shuffled.
     """
     active = categories.with_activity(actions, keep_sentinel)
-    return categories.category_counts(sessions.filtered_actions(active, found), keep_sentinel)
+    if in_buckets:
+        matched = sessions.bucketed_actions(active, found)
+    else:
+        if session_count > FEW_SESSIONS:
+            active = bloom.prefiltered(active, found, "session_id", session_count)
+        matched = sessions.filtered_actions(active, found)
+    return categories.category_counts(matched, keep_sentinel)
 
 
 def top_sessions(
@@ -100,6 +117,7 @@ def run_session_job(
     sink: Sink,
     seed: int = 0,
     parts: DataFrame | None = None,
+    in_buckets: bool = False,
 ) -> None:
     """Write the five result tables.
 
@@ -111,6 +129,8 @@ def run_session_job(
     the roll-up and the click counts combine them in each task, the category counts
     shuffle those with a category, the sample's lists and the details shuffle none
     as long as the chosen sessions are few enough for Spark to broadcast them.
+    `in_buckets` says that the actions are a table of `sinks.bucket_table`: then
+    neither the roll-up nor the category counts shuffle them.
     """
     spark = actions.sparkSession
     with scratch(spark, "session_job") as tables:
@@ -126,7 +146,13 @@ def run_session_job(
         sample = tables.write(session_sample(found, rolled_up, tables, seed), "sample")
         write(sample, "session_random_extract")
 
-        top = tables.write(top_categories(matched_counts(actions, found)), "top_categories")
+        matched = matched_counts(
+            actions,
+            found,
+            session_count=counts.get.get("session_count", 0),
+            in_buckets=in_buckets,
+        )
+        top = tables.write(top_categories(matched), "top_categories")
         write(top, "top10_category")
 
         top_list = tables.write(top_sessions(actions, found, top), "top_sessions")

@@ -100,6 +100,19 @@ def replace_table(df: DataFrame, name: str, *partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
 
 
+def bucket_table(df: DataFrame, name: str, buckets: int, by: str = "session_id") -> None:
+    """Store a table in buckets, so that grouping and joining by a column move no row.
+
+    Each bucket is one file, sorted by the column. Take at least as many buckets as
+    shuffles have partitions; Spark shuffles a table of fewer. A bucket is read by
+    one task: where one value holds a large part of the rows, read the table with
+    `tables.read_split` instead, which gives up the buckets and splits the files.
+    """
+    df.repartition(buckets, by).write.mode("overwrite").bucketBy(buckets, by).sortBy(
+        by
+    ).saveAsTable(name)
+
+
 def _described(spark: SparkSession, what: str, trait: str) -> str | None:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {what}").where(F.col("col_name") == trait)
     found = rows.collect()

@@ -31,6 +31,12 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
+def read_split(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a bucketed table as plain files, of which several tasks read one."""
+    stored = spark.table(name)
+    return spark.read.schema(stored.schema).parquet(*stored.inputFiles())
+
+
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns, casting where the stored type differs."""
     stored = {field.name: field.dataType for field in df.schema.fields}
