@@ -390,6 +390,21 @@ def ad_click_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(kept.schema).parquet(f"{path}/rows")
 
 
+def ad_click_changing_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in two runs; between them lines arrive and the blacklist grows."""
+    path = Scratch(spark, "ad_click_changing_list").folder
+    versions = [star.blacklist(spark, sf_dir), star.longer_blacklist(spark, sf_dir)]
+    for part, users in enumerate(versions):
+        ad_clicks.publish_version(users, f"{path}/blacklist", part)
+        events = star.events(spark, sf_dir).where(F.col("event_id") % 2 == part)
+        star.ad_lines(spark, events).write.mode("append").text(f"{path}/lines")
+        arriving = spark.readStream.schema("value string").text(f"{path}/lines")
+        ad_clicks.write_versioned_stream(
+            arriving, f"{path}/blacklist", f"{path}/rows", f"{path}/checkpoint", available_now=True
+        ).awaitTermination()
+    return ad_clicks.read_written(spark, f"{path}/rows")
+
+
 def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     time = F.col("action_time")
     noon = F.expr("cast(date AS timestamp_ntz) + INTERVAL 12 HOUR")
@@ -584,6 +599,7 @@ def shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "product_job_rerun": product_job_rerun,
         "ad_click_blacklist_filter": ad_click_blacklist_filter,
         "ad_click_restarted": ad_click_restarted,
+        "ad_click_changing_list": ad_click_changing_list,
         "scalar_dates": scalar_dates,
         "scalar_strings": scalar_strings,
         "scalar_math": scalar_math,

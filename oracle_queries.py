@@ -57,12 +57,13 @@ kv AS (
                 '|city=', city, '|sex=', sex) AS value
   FROM ui
 ),
-ad AS (
-  SELECT epoch_us(ts) // 1000 AS timestamp, concat('P', user_id % 5) AS province,
+ad_events AS (
+  SELECT event_id, epoch_us(ts) // 1000 AS timestamp, concat('P', user_id % 5) AS province,
          concat('C', event_id % 10) AS city, user_id AS userid,
          cast(json_extract_string(props, '$.k') AS bigint) % 20 AS adid
   FROM events
-)"""
+),
+ad AS (SELECT * EXCLUDE (event_id) FROM ad_events)"""
 
 
 def _half_up(part: str, whole: str) -> str:
@@ -358,6 +359,10 @@ def build(
             FROM uva WHERE {scanned} AND NOT ({replaced_days} AND page_id >= 5)""",
         "ad_click_blacklist_filter": f"{views} {filtered_ads}",
         "ad_click_restarted": f"{views} {filtered_ads}",
+        "ad_click_changing_list": f"""{views} SELECT * EXCLUDE (event_id) FROM ad_events
+            WHERE userid NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+            AND NOT (event_id % 2 = 1 AND userid IN
+              (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0))""",
         "scalar_dates": f"""{views} SELECT session_id, page_id,
             action_time < {noon} AS is_before, action_time > {noon} AS is_after,
             cast(date_diff('second', {noon}, action_time) AS int) AS seconds,

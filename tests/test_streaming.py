@@ -168,3 +168,57 @@ def test_whole_events_table_as_a_stream(spark, folder):
         clicks, str(folder / "out"), str(folder / "checkpoint"), available_now=True
     ).awaitTermination()
     assert rows(spark.read.parquet(str(folder / "out"))) == rows(expected)
+
+
+def versioned(spark, folder, lines=None, name="a.txt"):
+    if lines:
+        add_file(folder, name, lines)
+    query = ad_clicks.write_versioned_stream(
+        stream(spark, folder),
+        str(folder / "blacklist"),
+        str(folder / "out"),
+        str(folder / "checkpoint"),
+        available_now=True,
+    )
+    query.awaitTermination()
+    found = ad_clicks.read_written(spark, str(folder / "out"))
+    return [user for _, user in keys(found)]
+
+
+def test_a_user_passes_one_batch_and_is_dropped_in_the_next(spark, folder):
+    lists = str(folder / "blacklist")
+    assert versioned(spark, folder, LINES[:2], "a.txt") == [5, 6]
+    ad_clicks.publish_version(blacklist(spark, 5), lists, 1)
+    assert versioned(spark, folder, LINES[:2], "b.txt") == [5, 6, 6]
+    ad_clicks.publish_version(blacklist(spark), lists, 2)
+    assert versioned(spark, folder, LINES[:2], "c.txt") == [5, 5, 6, 6, 6]
+    assert ad_clicks.latest_version(spark, lists) == 2
+    with pytest.raises(ValueError, match="published already"):
+        ad_clicks.publish_version(blacklist(spark, 9), lists, 2)
+
+
+def test_a_repeated_batch_sees_the_version_that_it_began_with(spark, folder, monkeypatch):
+    """The first attempt ends after the version is chosen; then a longer list is published."""
+    lists = str(folder / "blacklist")
+    ad_clicks.publish_version(blacklist(spark, 5), lists, 1)
+    real = ad_clicks.ad_click_filter
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ad_clicks, "ad_click_filter", lost)
+    with pytest.raises(Exception, match="lost"):
+        versioned(spark, folder, LINES[:2], "a.txt")
+    monkeypatch.setattr(ad_clicks, "ad_click_filter", real)
+    ad_clicks.publish_version(blacklist(spark, 5, 6), lists, 2)
+    assert versioned(spark, folder) == [6]
+    # The next batch has the longer list.
+    assert versioned(spark, folder, LINES[:2], "b.txt") == [6]
+
+
+def test_a_version_that_is_not_complete_does_not_count(spark, folder):
+    lists = str(folder / "blacklist")
+    ad_clicks.publish_version(blacklist(spark, 5), lists, 1)
+    blacklist(spark, 5, 6).write.parquet(f"{lists}/users/2")
+    assert ad_clicks.latest_version(spark, lists) == 1
+    assert versioned(spark, folder, LINES[:2], "a.txt") == [6]

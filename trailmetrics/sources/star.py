@@ -120,6 +120,15 @@ def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def longer_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blacklist with every third customer added."""
+    return (
+        _read(spark, sf_dir, "customer")
+        .where((F.col("c_acctbal") < 0) | (F.col("c_custkey") % 3 == 0))
+        .select(F.col("c_custkey").alias("userid"))
+    )
+
+
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users as ``id<TAB>k=v|k=v`` lines; every tenth has an empty age."""
     age = F.when(F.col("user_id") % 10 == 0, "").otherwise(F.col("age").cast("string"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -120,6 +121,26 @@ def fresh_table(spark: SparkSession, name: str) -> DataFrame:
     return tables.read_table(spark, name)
 
 
+def _write_batches(
+    lines: DataFrame,
+    blacklist_of: Callable[[int], DataFrame],
+    path: str,
+    checkpoint: str,
+    partitions: int | None,
+    available_now: bool,
+) -> StreamingQuery:
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        kept = ad_click_filter(batch, blacklist_of(batch_id), partitions)
+        kept.write.mode("overwrite").parquet(f"{block_path(path, batch_id // BLOCK)}/{batch_id}")
+
+    return (
+        lines.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(available_now))
+        .start()
+    )
+
+
 def write_filtered_stream(
     lines: DataFrame,
     load_blacklist: Callable[[], DataFrame],
@@ -132,16 +153,83 @@ def write_filtered_stream(
 
     Each batch has a folder of its own, which a repeated batch replaces, so rows
     are neither lost nor doubled after a restart. Folders lie in blocks of `BLOCK`
-    batches; `merge_block` makes one folder of a block that is done.
+    batches; `merge_block` makes one folder of a block that is done. A repeated
+    batch may see another list; see `write_versioned_stream`.
     """
+    return _write_batches(
+        lines, lambda _: load_blacklist(), path, checkpoint, partitions, available_now
+    )
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        kept = ad_click_filter(batch, load_blacklist(), partitions)
-        kept.write.mode("overwrite").parquet(f"{block_path(path, batch_id // BLOCK)}/{batch_id}")
 
-    return (
-        lines.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(available_now))
-        .start()
+def latest_version(spark: SparkSession, blacklist: str) -> int | None:
+    """The last version that was published, or None."""
+    try:
+        complete = spark.read.schema("version long").parquet(f"{blacklist}/complete/*")
+    except AnalysisException:
+        # There is no such folder yet.
+        return None
+    return complete.agg(F.max("version")).first()[0]
+
+
+def publish_version(users: DataFrame, blacklist: str, version: int) -> None:
+    """Add a version of the blacklist: all users that are on it from now on.
+
+    A version counts once its users are written as a whole, and never changes.
+    """
+    spark = users.sparkSession
+    latest = latest_version(spark, blacklist)
+    if latest is not None and version <= latest:
+        raise ValueError(f"version {latest} is published already")
+    users.select(F.col("userid").cast("bigint")).write.mode("overwrite").parquet(
+        f"{blacklist}/users/{version}"
     )
+    mark = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+    mark.write.mode("overwrite").parquet(f"{blacklist}/complete/{version}")
+
+
+def _version_of(spark: SparkSession, blacklist: str, chosen: str, batch_id: int) -> int | None:
+    """The version that a batch is filtered by, the same one if the batch is repeated.
+
+    It is written down before the batch is. Only the last batch can be repeated, so
+    two folders are used in turn.
+    """
+    place = f"{chosen}/{batch_id % 2}"
+    try:
+        before = spark.read.schema("batch_id long, version long").parquet(place)
+        found = before.where(F.col("batch_id") == batch_id).first()
+    except AnalysisException:
+        found = None
+    if found:
+        return found.version
+    version = latest_version(spark, blacklist)
+    spark.range(1).select(
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+        F.lit(version).cast("bigint").alias("version"),
+    ).write.mode("overwrite").parquet(place)
+    return version
+
+
+def write_versioned_stream(
+    lines: DataFrame,
+    blacklist: str,
+    path: str,
+    checkpoint: str,
+    partitions: int | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Filter each micro-batch by the version of the blacklist that is the last at its start.
+
+    `blacklist` is a folder that `publish_version` writes to while the stream runs.
+    A batch that is repeated, also after a restart, is filtered by the version that
+    it began with. Before the first version nobody is on the list. Batches are
+    written as by `write_filtered_stream`.
+    """
+    spark = lines.sparkSession
+
+    def blacklist_of(batch_id: int) -> DataFrame:
+        version = _version_of(spark, blacklist, f"{checkpoint}-versions", batch_id)
+        if version is None:
+            return spark.createDataFrame([], "userid long")
+        return spark.read.schema("userid long").parquet(f"{blacklist}/users/{version}")
+
+    return _write_batches(lines, blacklist_of, path, checkpoint, partitions, available_now)
