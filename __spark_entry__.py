@@ -336,6 +336,34 @@ def page_convert_rate_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_job.convert_rates_text(_actions(spark, sf_dir), FLOW)
 
 
+def _crowded_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times with microseconds; every third user's views are of one session in one hour."""
+    micros = (
+        "(user_id * 7919 + dayofyear(date) * 104729 + page_id * 1299709 + city_id * 15485863)"
+        " * 17 % 3600000000"
+    )
+    actions = _actions(spark, sf_dir).withColumn("micros", F.expr(micros))
+    after = "make_dt_interval(0, 0, 0, cast({} AS decimal(18, 6)) / 1000000)"
+    return actions.withColumns(
+        {
+            "session_id": F.expr("if(user_id % 3 = 0, 'crowded', session_id)"),
+            "action_time": F.expr(
+                "if(user_id % 3 = 0,"
+                f" timestamp_ntz'2024-01-10 10:00:00' + {after.format('micros')},"
+                f" action_time + {after.format('micros % 1000000')})"
+            ),
+        }
+    ).drop("micros")
+
+
+def page_rates_crowded_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_job.convert_rates(_crowded_hour(spark, sf_dir), FLOW, most_in_hour=500)
+
+
+def page_pairs_crowded_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_split_pairs(_crowded_hour(spark, sf_dir), FLOW, most_in_hour=500)
+
+
 def click_product_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.click_product_basic(_clicks(spark, sf_dir), tables.city_info(spark))
 
@@ -586,6 +614,8 @@ def shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_split_pv": page_split_pv,
         "start_page_pv": start_page_pv,
         "page_convert_rate": page_convert_rate,
+        "page_rates_crowded_hour": page_rates_crowded_hour,
+        "page_pairs_crowded_hour": page_pairs_crowded_hour,
         "page_convert_rate_string": page_convert_rate_string,
         "click_product_basic": click_product_basic,
         "area_product_click_count": _area_counts,

@@ -93,6 +93,20 @@ ses AS (SELECT * FROM agg WHERE age BETWEEN {ages[0]} AND {ages[1]}),
 det AS (SELECT * FROM act WHERE session_id IN (SELECT session_id FROM ses))"""
 
 
+# Times with microseconds; every third user's views are of one session in one hour.
+_MICROS = """(user_id * 7919 + dayofyear(date) * 104729 + page_id * 1299709
+    + city_id * 15485863) * 17 % 3600000000"""
+_CROWDED = f"""
+act AS (
+  SELECT * REPLACE (
+    CASE WHEN user_id % 3 = 0 THEN 'crowded' ELSE session_id END AS session_id,
+    CASE WHEN user_id % 3 = 0
+         THEN TIMESTAMP '2024-01-10 10:00:00' + to_microseconds({_MICROS})
+         ELSE action_time + to_microseconds({_MICROS} % 1000000) END AS action_time
+  ) FROM days
+)"""
+
+
 _ID_EVENTS = """
 ids AS (
   SELECT session_id, click_category_id AS category_id, 'click' AS kind
@@ -271,6 +285,8 @@ def build(
     words = ", ".join(f"'{word}'" for word in keywords)
     large = f"{sessions},{_sample(seed, large_sample)}"
     all_filters = "true" if filters is None else _all_filters(filters)
+    days = f"days AS (SELECT * FROM uva WHERE date BETWEEN DATE '{start}' AND DATE '{end}')"
+    crowded = f"{views}, {days}, {_CROWDED}, {_pages(flow)}"
     long_sessions = f"{views},{_sessions(start, end, ages, days=3)}"
     replaced_days = f"date BETWEEN DATE '{replaced[0]}' AND DATE '{replaced[1]}'"
     filtered_ads = """SELECT * FROM ad
@@ -339,6 +355,10 @@ def build(
         "start_page_pv": f"{pages} SELECT pv FROM start_pv",
         "page_convert_rate": f"""{pages}
             SELECT step, page_split, pv, convert_rate FROM rates""",
+        "page_rates_crowded_hour": f"""{crowded}
+            SELECT step, page_split, pv, convert_rate FROM rates""",
+        "page_pairs_crowded_hour": f"""{crowded} SELECT session_id, action_time, page_split,
+            count(*) AS pairs FROM pairs GROUP BY ALL""",
         "page_convert_rate_string": f"""{pages} SELECT string_agg(page_split || '=' ||
             coalesce(cast(convert_rate AS varchar), ''), '|' ORDER BY step) AS convertRate
             FROM rates""",

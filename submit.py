@@ -44,6 +44,7 @@ def arguments(values=None) -> argparse.Namespace:
         job.add_argument("--sink", default="jdbc", help="jdbc, table, or a file format")
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
         job.add_argument("--replace", action="store_true", help="the task's earlier rows")
+        job.add_argument("--most-in-hour", type=int, default=None, help="views, before cutting")
         job.add_argument("--session-days", default=None, help="table of daily parts")
     days = jobs.add_parser("days")
     days.add_argument("--params", type=json.loads, required=True, help="JSON object")
@@ -72,7 +73,7 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> str:
         )
         session_job.run_session_job(actions, users, params, task_id, sink, args.seed, parts)
     elif args.job == "page":
-        page_job.run_page_job(actions, params, task_id, sink)
+        page_job.run_page_job(actions, params, task_id, sink, args.most_in_hour)
     else:
         products = tables.read_products(spark, args.products)
         product_job.run_product_job(

@@ -256,3 +256,78 @@ def test_steps_and_start_page_share_one_scan(crowd):
     result.collect()
     text = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert text.count("Range (") == 1
+
+
+FLOW = [1, 2, 3, 3, 7]
+
+
+@pytest.fixture(scope="module")
+def crowded_hour(spark):
+    """One session of 40,000 views in one hour, half of them in one second; others around it."""
+    hot = F.col("id") % 3 > 0
+    micros = F.expr(
+        "CASE WHEN id % 3 = 1 THEN id * 2903 % 3600000000"
+        " WHEN id % 3 = 2 THEN id * 7 % 999983 + 1800000000"
+        " ELSE id * 59999999 % 7200000000 - 1800000000 END"
+    )
+    seconds = (micros / 1_000_000).cast("decimal(18,6)")
+    return spark.range(0, 60_000, 1, 8).select(
+        F.when(hot, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 11)).alias("session_id"),
+        (F.col("id") * 7 % 13).alias("page_id"),
+        (
+            F.expr("timestamp_ntz'2024-01-05 10:00:00'")
+            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+        ).alias("action_time"),
+    )
+
+
+@pytest.mark.parametrize("most_in_hour", [1, 1000, 30_000, 10**9])
+def test_hours_that_are_cut_give_the_same_steps(crowded_hour, most_in_hour):
+    in_time = Window.partitionBy("session_id").orderBy("action_time", "page_id")
+    moves = crowded_hour.withColumn("following", F.lead("page_id").over(in_time))
+    labels = [pages.step_label(step) for step in pages.flow_steps(FLOW)]
+    keys = ("session_id", "action_time", "page_split")
+    wanted = (
+        moves.withColumn("page_split", F.concat_ws("_", "page_id", "following"))
+        .where(F.col("page_split").isin(labels))
+        .groupBy(*keys)
+        .agg(F.count("*").alias("pairs"))
+    )
+    found = pages.page_split_pairs(crowded_hour, FLOW, most_in_hour)
+    assert rows(found.groupBy(*keys).agg(F.sum("pairs").alias("pairs"))) == rows(wanted)
+    assert rows(page_job.convert_rates(crowded_hour, FLOW, most_in_hour)) == rows(
+        page_job.convert_rates(crowded_hour, FLOW)
+    )
+
+
+def test_no_window_sees_most_visits_of_a_crowded_hour(crowded_hour):
+    def largest(frame, keys):
+        return frame.groupBy(*keys).count().agg(F.max("count")).first()[0]
+
+    seen, levels = pages._seen_and_levels(crowded_hour, FLOW, 1000)
+    assert largest(seen, pages._HOUR) > 15_000
+    # Hours of up to 1000 views stay whole; the crowded one is cut into milliseconds.
+    assert largest(seen, levels[0][0]) <= 1000
+    assert largest(seen.where("milli IS NOT NULL"), levels[0][0]) < 100
+    for (inner, _), (outer, _) in zip(levels, levels[1:]):
+        assert largest(seen.select(*inner).distinct(), outer) <= 3600
+    rates = page_job.convert_rates(crowded_hour, FLOW, 1000)
+    text = rates._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in text.splitlines() if " Window [" in line]
+    assert len(windows) == 5
+    assert all("milli" in line for line in windows if "action_time" in line)
+
+
+def test_views_without_a_time_or_a_session_in_cut_hours(actions_of):
+    items = clicks((at(0), 1), (at(0), 5), (at(1), 2))
+    items += clicks((at(0), 1), (at(0.5), 2), session=None)
+    actions = actions_of(items).withColumn(
+        "action_time", F.when(F.col("page_id") != 5, F.col("action_time"))
+    )
+    for most in (None, 0, 1, 100):
+        found = pages.page_split_pairs(actions, [5, 1, 2], most).collect()
+        assert sorted((r.session_id or "", r.page_split) for r in found) == [
+            ("", "1_2"),
+            ("s1", "1_2"),
+            ("s1", "5_1"),
+        ]

@@ -11,6 +11,11 @@ A session may hold a large part of all actions, so none is sorted as a whole:
    a window over (session, hour); steps from one hour to the next, and from one day
    to the next, come from the first and last visit of each hour and day, which are
    a row each.
+4. Whole seconds bound an hour to 3600 * (2K + 1) visits. Times with fractions of a
+   second do not: with `most_in_hour`, an hour of more views than that is cut
+   further, into seconds and those into milliseconds, so that no window sees more
+   than 1000 * (2K + 1) visits, 1000 milliseconds or 3600 seconds. Other hours stay
+   whole and cost one more count of the views per hour.
 
 Times are taken as they stand, without a time zone. Actions without a time come
 before all others of their session, as an hour of their own.
@@ -19,7 +24,9 @@ before all others of their session, as an hour of their own.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from itertools import pairwise
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +34,15 @@ from pyspark.sql import functions as F
 from trailmetrics.functions import numbers
 
 _HOUR = ["session_id", "day", "hour"]
+_IN_ORDER = ["action_time", "page_class"]
+# The windows, from the inside out: what each is over, and what its rows are in order of.
+_LEVELS = [(_HOUR, _IN_ORDER), (["session_id", "day"], ["hour"]), (["session_id"], ["day"])]
+_CUT_LEVELS = [
+    ([*_HOUR, "second", "milli"], _IN_ORDER),
+    ([*_HOUR, "second"], ["milli"]),
+    (_HOUR, ["second"]),
+    *_LEVELS[1:],
+]
 
 
 def flow_steps(flow: Sequence[int]) -> list[tuple[int, int]]:
@@ -71,6 +87,39 @@ def visits(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     )
 
 
+def _with_cuts(seen: DataFrame, actions: DataFrame, most_in_hour: int) -> DataFrame:
+    """Add the second and the millisecond of visits in crowded hours, null for all others."""
+    time = F.col("action_time")
+    crowded = (
+        actions.groupBy(
+            F.col("session_id").alias("of_session"),
+            time.cast("date").alias("of_day"),
+            F.hour(time).alias("of_hour"),
+        )
+        .agg(F.count("*").alias("views_in_hour"))
+        .where(F.col("views_in_hour") > most_in_hour)
+    )
+    same = reduce(
+        and_, [F.col(key).eqNullSafe(F.col(f"of_{key.removesuffix('_id')}")) for key in _HOUR]
+    )
+    is_crowded = F.col("views_in_hour").isNotNull()
+    millis = F.expr("cast(extract(SECOND FROM action_time) * 1000 AS int)")
+    return seen.join(crowded, same, "left").select(
+        *seen.columns,
+        F.when(is_crowded, F.minute(time) * 60 + F.second(time)).alias("second"),
+        F.when(is_crowded, millis % 1000).alias("milli"),
+    )
+
+
+def _seen_and_levels(
+    actions: DataFrame, flow: Sequence[int], most_in_hour: int | None
+) -> tuple[DataFrame, list[tuple[list[str], list[str]]]]:
+    seen = visits(actions, flow)
+    if most_in_hour is None:
+        return seen, _LEVELS
+    return _with_cuts(seen, actions, most_in_hour), _CUT_LEVELS
+
+
 def _label(steps: Sequence[tuple[int, int]], is_step: Callable[[int, int], Column]) -> Column:
     """The label of the step that a row is, or null."""
     label = F.when(F.lit(False), "")
@@ -96,33 +145,22 @@ def _ends(df: DataFrame, keys: list[str], opens: str, closes: str, *more: Column
     )
 
 
-def _by_hour(seen: DataFrame) -> DataFrame:
-    return _neighbours(seen, _HOUR, ["action_time", "page_class"], "page_class")
-
-
-def _next_hour(hours: DataFrame) -> DataFrame:
-    return _neighbours(hours, ["session_id", "day"], ["hour"], "first_class")
-
-
-def _next_day(days: DataFrame) -> DataFrame:
-    return _neighbours(days, ["session_id"], ["day"], "first_class")
-
-
-def _moves(seen: DataFrame) -> DataFrame:
+def _moves(seen: DataFrame, levels: list[tuple[list[str], list[str]]]) -> DataFrame:
     """Each visit that has a following one in its session, with that one's class."""
     last_time = F.max("action_time").alias("action_time")
-    by_hour = _by_hour(seen)
-    hours = _next_hour(_ends(by_hour, _HOUR, "page_class", "page_class", last_time))
-    days = _next_day(_ends(hours, ["session_id", "day"], "first_class", "last_class", last_time))
-    edges = [
-        part.select(
-            "session_id", "action_time", F.col("last_class").alias("page_class"), "following"
+    part, opens, closes = seen, "page_class", "page_class"
+    moves = []
+    for level, (keys, order) in enumerate(levels):
+        part = _neighbours(part, keys, order, opens)
+        moves.append(
+            part.select(
+                "session_id", "action_time", F.col(closes).alias("page_class"), "following"
+            )
         )
-        for part in (hours, days)
-    ]
-    inside = by_hour.select("session_id", "action_time", "page_class", "following")
-    moves = inside.unionAll(edges[0]).unionAll(edges[1])
-    return moves.where(F.col("following").isNotNull())
+        if level < len(levels) - 1:
+            part = _ends(part, keys, opens, closes, last_time)
+            opens, closes = "first_class", "last_class"
+    return reduce(DataFrame.unionAll, moves).where(F.col("following").isNotNull())
 
 
 def _repeats(seen: DataFrame, flow: Sequence[int]) -> DataFrame:
@@ -137,10 +175,17 @@ def _repeats(seen: DataFrame, flow: Sequence[int]) -> DataFrame:
     )
 
 
-def split_pairs(seen: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """The steps of the flow among visits."""
+def page_split_pairs(
+    actions: DataFrame, flow: Sequence[int], most_in_hour: int | None = None
+) -> DataFrame:
+    """Consecutive page views of a session that are a step of the target flow.
+
+    ``pairs`` says for how many such views a row stands. Views at the same time
+    count in the order of their page id.
+    """
+    seen, levels = _seen_and_levels(actions, flow, most_in_hour)
     steps = flow_steps(flow)
-    moves = _moves(seen).withColumn("pairs", F.lit(1).cast("bigint"))
+    moves = _moves(seen, levels).withColumn("pairs", F.lit(1).cast("bigint"))
     if any(a == b for a, b in steps):
         moves = moves.unionAll(_repeats(seen, flow))
     label = _label(
@@ -153,15 +198,6 @@ def split_pairs(seen: DataFrame, flow: Sequence[int]) -> DataFrame:
     ).where(F.col("page_split").isNotNull())
 
 
-def page_split_pairs(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """Consecutive page views of a session that are a step of the target flow.
-
-    ``pairs`` says for how many such views a row stands. Views at the same time
-    count in the order of their page id.
-    """
-    return split_pairs(visits(actions, flow), flow)
-
-
 def page_split_pv(pairs: DataFrame) -> DataFrame:
     """How often each step was taken."""
     return pairs.groupBy("page_split").agg(F.sum("pairs").alias("pv"))
@@ -176,7 +212,9 @@ def _distinct_steps(flow: Sequence[int]) -> list[tuple[int, int]]:
     return list(dict.fromkeys(flow_steps(flow)))
 
 
-def flow_views(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
+def flow_views(
+    actions: DataFrame, flow: Sequence[int], most_in_hour: int | None = None
+) -> DataFrame:
     """One row: views of the start page and of each step of the flow.
 
     What `page_split_pv` and `start_page_pv` count, from one scan: each hour, then
@@ -206,11 +244,14 @@ def flow_views(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
             for name, step in zip(names[1:], steps)
         ],
     ]
-    hours = _ends(_by_hour(visits(actions, flow)), _HOUR, "page_class", "page_class", *inside)
-    days = _ends(
-        _next_hour(hours), ["session_id", "day"], "first_class", "last_class", *between
-    )
-    return _next_day(days).agg(*between).na.fill(0)
+    part, levels = _seen_and_levels(actions, flow, most_in_hour)
+    keys, order = levels[0]
+    part = _neighbours(part, keys, order, "page_class")
+    part = _ends(part, keys, "page_class", "page_class", *inside)
+    for keys, order in levels[1:-1]:
+        part = _neighbours(part, keys, order, "first_class")
+        part = _ends(part, keys, "first_class", "last_class", *between)
+    return _neighbours(part, *levels[-1], "first_class").agg(*between).na.fill(0)
 
 
 def _row_of(split_pv: DataFrame, start_pv: DataFrame, flow: Sequence[int]) -> DataFrame:
