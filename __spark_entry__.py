@@ -119,6 +119,28 @@ def click_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clicks(spark, sf_dir, SCAN_PARAMS)
 
 
+def _checked(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    stored = star.text_actions(spark, sf_dir)
+    days = SCAN_PARAMS.start_date, SCAN_PARAMS.end_date
+    return tables.checked_scan(stored, *days, Scratch(spark, name))
+
+
+def checked_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a malformed table that can be read."""
+    return _checked(spark, sf_dir, "checked_actions")[0]
+
+
+def rejected_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The others, with the reason; some of their fields as they are stored."""
+    rejects = _checked(spark, sf_dir, "rejected_actions")[1]
+    fields = ("date", "user_id", "session_id", "action_time")
+    return rejects.select(
+        *[F.get_json_object("raw", f"$.{name}").alias(name) for name in fields],
+        F.get_json_object("raw", "$.page_id").cast("bigint").alias("page_id"),
+        "reason",
+    )
+
+
 def _as_text(records: DataFrame) -> DataFrame:
     return records.withColumns(
         {
@@ -582,6 +604,8 @@ def shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "action_scan": action_scan,
         "click_scan": click_scan,
+        "checked_actions": checked_actions,
+        "rejected_actions": rejected_actions,
         "session_aggregate": session_aggregate,
         "session_filter": session_filter,
         "session_filter_all": session_filter_all,

@@ -300,12 +300,28 @@ def build(
             FROM (SELECT *, row_number() OVER (PARTITION BY area
                     ORDER BY click_count DESC, product_id) AS rn FROM full_counts)
             WHERE rn <= 3"""
+    # What text files hold: every 17th, 19th or 23rd row has a malformed field.
+    bad_time, bad_date, bad_user = (f"((user_id + page_id) % {n} = 0)" for n in (17, 19, 23))
     noon = "(cast(date AS timestamp) + INTERVAL 12 HOUR)"
     midnight_seconds = "date_diff('second', cast(date AS timestamp), action_time)"
     return {
         "action_scan": f"{views} SELECT * FROM uva WHERE {scanned}",
         "click_scan": f"""{views} SELECT city_id, click_product_id FROM uva
             WHERE {scanned} AND click_product_id IS NOT NULL AND click_product_id <> -1""",
+        "checked_actions": f"""{views} SELECT * FROM uva
+            WHERE {scanned} AND NOT ({bad_time} OR {bad_date} OR {bad_user})""",
+        "rejected_actions": f"""{views} SELECT
+            concat(date, CASE WHEN {bad_date} THEN 'x' ELSE '' END) AS date,
+            concat(CASE WHEN {bad_user} THEN 'u' ELSE '' END, user_id) AS user_id,
+            session_id,
+            CASE WHEN {bad_time} THEN concat(date, ' 10:00:61')
+                 ELSE concat(date, ' ', hour(action_time), strftime(action_time, ':%M:%S'))
+                 END AS action_time,
+            page_id,
+            CASE WHEN {bad_date} THEN 'date is not a date'
+                 WHEN {bad_user} THEN 'user_id is not a bigint'
+                 ELSE 'action_time is not a timestamp_ntz' END AS reason
+            FROM uva WHERE {bad_date} OR {scanned} AND ({bad_time} OR {bad_user})""",
         "session_aggregate": f"{sessions} SELECT {record} FROM agg",
         "session_filter": f"""{sessions} SELECT {record} FROM ses
             WHERE list_has_any(kws, [{words}])""",

@@ -11,7 +11,8 @@
 
 Tables are catalog names, or parquet paths if they hold a ``/``. ``days`` stores the
 daily parts of sessions, which ``session`` then reads with ``--session-days``. With
-``--replace`` a job that is run again under its task id replaces what it wrote.
+``--replace`` a job that is run again under its task id replaces what it wrote, with
+``--rejects`` malformed actions go to a table instead of stopping the job.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ import argparse
 import json
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trailmetrics.operators import session_days
 from trailmetrics.params import TaskParams
 from trailmetrics.plans import page_job, product_job, session_job
-from trailmetrics.sinks import result_sink
+from trailmetrics.runtime import scratch
+from trailmetrics.sinks import Sink, result_sink
 from trailmetrics.sources import kafka, tables
 from trailmetrics.streaming import ad_clicks
 
@@ -43,6 +46,7 @@ def arguments(values=None) -> argparse.Namespace:
         job.add_argument("--seed", type=int, default=0)
         job.add_argument("--sink", default="jdbc", help="jdbc, table, or a file format")
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+        job.add_argument("--rejects", default=None, help="result table of malformed actions")
         job.add_argument("--replace", action="store_true", help="the task's earlier rows")
         job.add_argument("--most-in-hour", type=int, default=None, help="views, before cutting")
         job.add_argument("--session-days", default=None, help="table of daily parts")
@@ -65,7 +69,27 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> str:
     task_id = args.task_id or str(uuid.uuid4())
     options = dict(option.split("=", 1) for option in args.option)
     sink = result_sink(options, args.sink, task_id if args.replace else None)
-    actions = tables.read_actions(spark, args.actions, params.start_date, params.end_date)
+    days = params.start_date, params.end_date
+    if args.rejects:
+        with scratch(spark, "checked") as kept:
+            stored = tables.read_table(spark, args.actions)
+            actions, rejects = tables.checked_scan(stored, *days, kept)
+            sink(rejects.select(F.lit(task_id).alias("taskid"), "raw", "reason"), args.rejects)
+            run_job(spark, args, params, actions, task_id, sink)
+    else:
+        actions = tables.read_actions(spark, args.actions, *days)
+        run_job(spark, args, params, actions, task_id, sink)
+    return task_id
+
+
+def run_job(
+    spark: SparkSession,
+    args: argparse.Namespace,
+    params: TaskParams,
+    actions: DataFrame,
+    task_id: str,
+    sink: Sink,
+) -> None:
     if args.job == "session":
         users = tables.read_users(spark, args.users)
         parts = args.session_days and session_days.stored_parts(
@@ -79,7 +103,6 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> str:
         product_job.run_product_job(
             actions, tables.city_info(spark), products, params, task_id, sink
         )
-    return task_id
 
 
 def run_days(spark: SparkSession, args: argparse.Namespace) -> None:

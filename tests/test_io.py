@@ -297,3 +297,58 @@ def test_a_task_that_runs_again_leaves_one_set_of_rows(spark, scratch, tmp_path,
 def test_a_database_table_is_only_appended_to(spark):
     with pytest.raises(ValueError, match="appended"):
         sinks.result_sink({}, "jdbc", "t1")(spark.range(1), "numbers")
+
+
+def test_malformed_rows_are_a_second_output(spark, actions_of, scratch):
+    good = [{"action_time": dt.datetime(2024, 1, day, 9, 5)} for day in (1, 2, 3, 4)]
+    stored = stored_as_text(actions_of(good)).withColumns(
+        {
+            "user_id": F.col("user_id").cast("string"),
+            # Another column, whose name needs quotes.
+            "more x.y": F.lit("kept in raw"),
+        }
+    )
+    day = F.col("date") == "2024-01-02"
+    changes = [
+        {"action_time": "noon"},
+        {"action_time": "2024-01-02 24:00:00"},
+        {"action_time": "2024-01-02T09:05:00"},
+        {"action_time": None},
+        {"date": "2024-01-32"},
+        {"date": None},
+        {"user_id": "one"},
+        {"user_id": "", "action_time": "noon"},
+    ]
+    bad = [
+        stored.where(day).withColumns({k: F.lit(v).cast("string") for k, v in change.items()})
+        for change in changes
+    ]
+    # Malformed, but of a day that is not asked for.
+    bad.append(stored.where("date = '2024-01-04'").withColumn("user_id", F.lit("one")))
+    for frame in bad:
+        stored = stored.unionByName(frame)
+    found, rejects = tables.checked_scan(stored, START, END, scratch)
+    assert found.schema == tables.action_scan(stored, START, END).schema
+    times = [dt.datetime(2024, 1, 2, 9, 5), dt.datetime(2024, 1, 3, 9, 5), None]
+    assert sorted((r["action_time"] for r in rows(found)), key=str) == sorted(times, key=str)
+    assert sorted(r["reason"] for r in rows(rejects)) == [
+        *["action_time is not a timestamp_ntz"] * 3,
+        "date is not a date",
+        *["user_id is not a bigint"] * 2,
+    ]
+    assert all('"more x.y":"kept in raw"' in r["raw"] for r in rows(rejects))
+    # Stopping stays the default.
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|CAST_INVALID_INPUT"):
+        tables.action_scan(stored, START, END).collect()
+
+
+def test_well_formed_rows_are_read_alike(spark, actions_of, scratch):
+    for kind in ("date", "string", "timestamp_ntz"):
+        times = [dt.datetime(2024, 1, d, h, 59, 59) for d in (1, 2, 3, 4) for h in (0, 9, 23)]
+        actions = actions_of([{"action_time": time} for time in times])
+        actions = actions.withColumn("date", F.col("date").cast(kind))
+        if kind == "string":
+            actions = stored_as_text(actions)
+        found, rejects = tables.checked_scan(actions, START, END, scratch)
+        assert rows(found) == rows(tables.action_scan(actions, START, END))
+        assert found.count() == 6 and rejects.count() == 0

@@ -97,3 +97,14 @@ def test_sessions_from_stored_days_replace_those_of_an_earlier_run(
     from_actions = run()
     assert all(from_actions.values())
     assert run("--session-days", days) == from_actions
+
+
+def test_malformed_actions_go_to_a_table(spark, stored, tmp_path):
+    star.text_actions(spark, SF_DIR).write.parquet(f"{tmp_path}/text")
+    options = ["--sink", "parquet", "--option", f"path={tmp_path}", "--rejects", "rejects"]
+    given = ["product", "--params", PARAMS, *stored, "--actions", f"{tmp_path}/text", *options]
+    submit.run_batch(spark, submit.arguments(given))
+    rejects = spark.read.parquet(f"{tmp_path}/rejects")
+    assert rejects.columns == ["taskid", "raw", "reason"]
+    assert rejects.select("reason").distinct().count() == 3
+    assert spark.read.parquet(f"{tmp_path}/area_top3_product").count() > 0

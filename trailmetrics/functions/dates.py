@@ -52,6 +52,12 @@ def parse_time(text: Column) -> Column:
     return F.to_timestamp_ntz(text, F.lit(TIME_INPUT))
 
 
+def try_parse_time(text: Column) -> Column:
+    """As `parse_time`; null for text of another form or a time that does not exist."""
+    is_time = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{1,2}:\d{2}:\d{2}$")
+    return F.when(is_time, text.try_cast("timestamp_ntz"))
+
+
 def format_date_key(time: Column) -> Column:
     return F.date_format(time, DATE_KEY_FORMAT)
 

@@ -41,11 +41,18 @@ class Scratch:
         """The full name of a table that a caller writes by itself."""
         return f"{self._name}.{name}"
 
-    def write(self, df: DataFrame, name: str, buckets: list[str] | None = None) -> DataFrame:
+    def write(
+        self,
+        df: DataFrame,
+        name: str,
+        buckets: list[str] | None = None,
+        partition_by: list[str] | None = None,
+    ) -> DataFrame:
         """Write the rows as a table of its own and read them back.
 
         With `buckets`, the rows lie in as many buckets of these columns as
-        shuffles have partitions, and joins on them need not move the table.
+        shuffles have partitions, and joins on them need not move the table. With
+        `partition_by`, a filter on these columns reads only what it needs.
         """
         self._written += 1
         table = f"{self._name}.{name}_{self._written}"
@@ -53,6 +60,8 @@ class Scratch:
         if buckets:
             count = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
             writer = writer.bucketBy(count, *buckets)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)
         self._tables[name] = table
         return self._spark.table(table)

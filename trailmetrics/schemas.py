@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Action times usually have whole seconds; `operators.pages` says what fractions of a
-# second need. The id lists stay comma separated text, as stored; `functions.ids.explode_ids` gives a row per id.
+# second need. The id lists stay comma separated text, as stored;
+# `functions.ids.explode_ids` gives a row per id.
 USER_VISIT_ACTION = T.StructType(
     [
         T.StructField("date", T.DateType()),

@@ -94,6 +94,27 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_ACTIONS, events=events(spark, sf_dir))
 
 
+def text_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions as text files have them, some days, users and times malformed."""
+    number = "(user_id + page_id)"
+    return user_visit_action(spark, sf_dir).selectExpr(
+        f"if({number} % 19 = 0, concat(date, 'x'), cast(date AS string)) AS date",
+        f"if({number} % 23 = 0, concat('u', user_id), cast(user_id AS string)) AS user_id",
+        "session_id",
+        "page_id",
+        f"if({number} % 17 = 0, concat(date, ' 10:00:61'),"
+        " date_format(action_time, 'yyyy-MM-dd H:mm:ss')) AS action_time",
+        "search_keyword",
+        "click_category_id",
+        "click_product_id",
+        "order_category_ids",
+        "order_product_ids",
+        "pay_category_ids",
+        "pay_product_ids",
+        "city_id",
+    )
+
+
 def actions_between(
     spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from trailmetrics import schemas
 from trailmetrics.functions import dates, ids
+from trailmetrics.runtime import Scratch
 
 # The shop's cities with their sales areas.
 CITIES = [
@@ -77,6 +78,58 @@ def action_scan(actions: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return _conform(actions.where(_in_range(actions, start, end)), schemas.USER_VISIT_ACTION)
 
 
+def _tried(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """The schema's columns, null where a stored value has another form."""
+    stored = {field.name: field.dataType for field in df.schema.fields}
+
+    def column(field: T.StructField) -> Column:
+        source = F.col(field.name)
+        if isinstance(field.dataType, T.TimestampNTZType) and isinstance(
+            stored[field.name], T.StringType
+        ):
+            return dates.try_parse_time(source)
+        return source if stored[field.name] == field.dataType else source.try_cast(field.dataType)
+
+    return {field.name: column(field) for field in schema.fields}
+
+
+def checked_scan(
+    actions: DataFrame, start: dt.date, end: dt.date, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """What `action_scan` returns, without rows that it would stop at, and those rows.
+
+    The second table has the row as it is stored, as JSON (`raw`), and the first
+    column that is not what it should be (`reason`). Rows of other days are in
+    neither; a row whose day is malformed is of no day and always rejected. Both
+    come from one scan, which writes them down; each is read by itself.
+    """
+    typed = _tried(actions, schemas.USER_VISIT_ACTION)
+    reason = F.coalesce(
+        *[
+            F.when(
+                F.col(name).isNotNull() & value.isNull(),
+                f"{name} is not a {schemas.USER_VISIT_ACTION[name].dataType.simpleString()}",
+            )
+            for name, value in typed.items()
+        ]
+    )
+    wanted = _in_range(actions, start, end)
+    if isinstance(actions.schema["date"].dataType, T.StringType):
+        wanted = wanted | (F.col("date").isNotNull() & typed["date"].isNull())
+    raw = F.to_json(F.struct("*"))
+    checked = actions.where(wanted).select(
+        *[value.alias(name) for name, value in typed.items()],
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), raw).alias("raw"),
+        reason.isNotNull().alias("rejected"),
+    )
+    written = scratch.write(checked, "checked_actions", partition_by=["rejected"])
+    return (
+        written.where(~F.col("rejected")).select(*schemas.USER_VISIT_ACTION.names),
+        written.where("rejected").select("raw", "reason"),
+    )
+
+
 def read_actions(spark: SparkSession, name: str, start: dt.date, end: dt.date) -> DataFrame:
     return action_scan(read_table(spark, name), start, end)
 
