@@ -1,6 +1,7 @@
 """Plain versions of the corpus operators, for small inputs."""
 
 import hashlib
+import math
 import re
 import string
 from collections import Counter, defaultdict
@@ -168,6 +169,80 @@ def url_rule(host, path, rules):
     return min(fitting)[1:] if fitting else (None, None)
 
 
+def url_templates(urls, fanout):
+    """urls: distinct (host, path); the pieces of each, level by level."""
+    rest = {url: url[1].split("/")[1:] for url in urls}
+    pieces = {url: () for url in urls}
+    for level in range(max(map(len, rest.values()), default=0)):
+        alike = defaultdict(lambda: defaultdict(set))
+        for url in urls:
+            if len(rest[url]) > level:
+                segment = rest[url][level]
+                alike[url[0], pieces[url]][re.sub("[0-9]+", "*", segment)].add(segment)
+        for url in urls:
+            if len(rest[url]) > level:
+                segment = rest[url][level]
+                shape = re.sub("[0-9]+", "*", segment)
+                shapes = alike[url[0], pieces[url]]
+                if len(shapes) >= fanout:
+                    segment = "*"
+                elif "*" in shape and len(shapes[shape]) > 1:
+                    segment = shape
+                rest[url][level] = segment
+        for url in urls:
+            pieces[url] += tuple(rest[url][level : level + 1])
+    return pieces
+
+
+def url_verdicts(urls, rules, fanout=30, deviation=2.0, strength=5.0, reject_at=0.8):
+    """urls: (host, path) of each page; gives {(host, path): (rule, verdict, template, purity)}."""
+    counts = Counter(urls)
+    ruled = {url: url_rule(*url, rules) for url in counts}
+    pieces = url_templates(list(counts), fanout)
+    n, blocked = Counter(), Counter()
+    for url, count in counts.items():
+        key = url[0], pieces[url]
+        n[key] += count if ruled[url][1] else 0
+        blocked[key] += count if ruled[url][1] == "block" else 0
+    merged = {key: key for key in n}
+    for at in reversed(range(max((len(key[1]) for key in n), default=0))):
+        branch = defaultdict(lambda: [0, 0])
+        for key, to in merged.items():
+            branch[to][0] += n[key]
+            branch[to][1] += blocked[key]
+        groups = defaultdict(list)
+        for host, own in branch:
+            if len(own) > at:
+                groups[host, (*own[:at], "*", *own[at + 1 :])].append((host, own))
+        moves = {}
+        for together, members in groups.items():
+            total = sum(branch[m][0] for m in members)
+            rate = sum(branch[m][1] for m in members) / total if total else 0.0
+            for m in members:
+                size, bad = branch[m]
+                room = deviation * math.sqrt(size * rate * (1 - rate)) + 1e-9
+                if len(members) > 1 and abs(bad - size * rate) <= room:
+                    moves[m] = together
+        merged = {key: moves.get(to, to) for key, to in merged.items()}
+    all_share = (sum(blocked.values()) + 1) / (sum(n.values()) + 2)
+    host_n, host_blocked, total_n, total_blocked = (Counter() for _ in range(4))
+    for key in n:
+        host_n[key[0]] += n[key]
+        host_blocked[key[0]] += blocked[key]
+        total_n[merged[key]] += n[key]
+        total_blocked[merged[key]] += blocked[key]
+    found = {}
+    for url in counts:
+        host = url[0]
+        template = merged[host, pieces[url]]
+        share = (host_blocked[host] + strength * all_share) / (host_n[host] + strength)
+        purity = (total_blocked[template] + strength * share) / (total_n[template] + strength)
+        rule, verdict = ruled[url]
+        verdict = verdict or ("block" if purity >= reject_at else "allow")
+        found[url] = rule, verdict, "/" + "/".join(template[1]), purity
+    return found
+
+
 def bigram_losses(rows, targets, weight=200.0):
     """rows: (doc_id, text); gives (doc_id, words, target loss, background loss)."""
     texts = [(doc_id, spaced(lower(text))) for doc_id, text in rows]

@@ -84,14 +84,16 @@ def test_op6(spark, table):
 
 
 def test_op8(spark, table):
-    result = found(spark, "op8_url_filter", "page_id", "host", "path", "rule", "verdict")
-    urls = dict(table("pages", "page_id", "url"))
-    assert len(result) == len(urls)
-    for page_id, host, path, rule, verdict in result:
-        assert (host, path) == brute.url_parts(urls[page_id])
-        wanted, ruled = brute.url_rule(host, path, queries.URL_RULES)
-        assert rule == wanted
-        assert verdict == ruled if ruled else verdict in ("allow", "block")
+    result = found(
+        spark, "op8_url_filter", "page_id", "host", "path", "rule", "verdict", "template", "purity"
+    )
+    parts = {page_id: brute.url_parts(url) for page_id, url in table("pages", "page_id", "url")}
+    want = brute.url_verdicts(list(parts.values()), queries.URL_RULES)
+    assert len(result) == len(parts)
+    for page_id, host, path, *judged in result:
+        assert (host, path) == parts[page_id]
+        *wanted, purity = want[host, path]
+        assert judged[:3] == wanted and judged[3] == pytest.approx(purity)
 
 
 def test_op4_finds_toxic_documents_that_it_was_not_fitted_on(spark):

@@ -7,6 +7,8 @@ the host's templates. A URL that no rule fits is blocked if its template is.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,58 +55,89 @@ def apply_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return urls.join(best, _KEY, "left")
 
 
-def _templates(urls: DataFrame, depth: int, fanout: int) -> DataFrame:
+def _agreeing(first: Column, last: Column) -> Column:
+    """How many leading segments two lists have in common."""
+    same = F.zip_with(first, last, lambda a, b: a.eqNullSafe(b))
+    differs = F.array_position(same, False)
+    return F.when(differs == 0, F.size(first)).otherwise(differs.cast("int") - 1)
+
+
+def _templates(urls: DataFrame, scratch: Scratch, fanout: int) -> DataFrame:
     """`urls` with `pieces`, the segments of the path with the variable ones as wildcards.
 
     Segments that differ only in their digits are of one shape, and variable if
     there are two or more of them under the same parent. All segments of a parent
-    are variable if they have at least `fanout` shapes. What lies deeper than
-    `depth` counts as one segment.
+    are variable if they have at least `fanout` shapes.
+
+    Each round takes the segments that all URLs of a parent have in common as they
+    are (the least and the greatest rest tell how many), and then those at which
+    they part. So there are as many rounds as a path has places where URLs part,
+    however long it is, and each starts from a table that the one before wrote.
     """
-    segments = F.slice(F.split("path", "/", -1), 2, 1 << 20)
-    urls = urls.withColumns({"segments": segments, "pieces": F.array().cast("array<string>")})
-    for level in range(depth):
-        here = F.get("segments", F.lit(level))
-        if level == depth - 1:
-            rest = F.array_join(F.slice("segments", depth, 1 << 20), "/")
-            here = F.when(F.size("segments") >= depth, rest)
+    segments = F.slice(F.split("path", "/", -1), 2, 1 << 30)
+    nothing = F.array().cast("array<string>")
+    left = scratch.write(urls.withColumns({"rest": segments, "pieces": nothing}), "level_0")
+    parent, done, number = ["host", "pieces"], [], 0
+    while True:
+        done.append(left.where(F.size("rest") == 0).drop("rest"))
+        active = left.where(F.size("rest") > 0)
+        if active.isEmpty():
+            return reduce(DataFrame.unionAll, done)
+        together = active.groupBy(*parent).agg(
+            _agreeing(F.min("rest"), F.max("rest")).alias("agreeing")
+        )
         shape = F.regexp_replace("segment", "[0-9]+", "*")
-        urls = urls.withColumn("segment", here).withColumn("shape", shape)
-        parent = ["host", "pieces"]
+        parting = (
+            active.join(together, parent)
+            .withColumn("segment", F.get("rest", F.col("agreeing")))
+            .withColumn("shape", shape)
+        )
         shapes = (
-            urls.where("segment IS NOT NULL")
+            parting.where("segment IS NOT NULL")
             .groupBy(*parent, "shape")
             .agg(F.count_distinct("segment").alias("alike"))
         )
         parents = shapes.groupBy(*parent).agg(F.count("*").alias("children"))
         piece = (
-            F.when(F.col("children") >= fanout, F.lit("*"))
-            .when(F.contains("shape", F.lit("*")) & (F.col("alike") > 1), F.col("shape"))
-            .otherwise(F.col("segment"))
+            F.when(F.col("segment").isNull(), nothing)
+            .when(F.col("children") >= fanout, F.array(F.lit("*")))
+            .when(
+                F.contains("shape", F.lit("*")) & (F.col("alike") > 1), F.array(F.col("shape"))
+            )
+            .otherwise(F.array("segment"))
         )
-        urls = (
-            urls.join(shapes, [*parent, "shape"], "left")
+        begun = F.slice("rest", F.lit(1), F.col("agreeing"))
+        number += 1
+        left = scratch.write(
+            parting.join(shapes, [*parent, "shape"], "left")
             .join(parents, parent, "left")
-            .withColumn(
-                "pieces",
-                F.when(F.col("segment").isNull(), F.col("pieces")).otherwise(
-                    F.concat("pieces", F.array(piece))
-                ),
-            )
-            .drop("segment", "shape", "alike", "children")
+            .select(
+                *urls.columns,
+                F.slice("rest", F.col("agreeing") + 2, F.size("rest")).alias("rest"),
+                F.concat("pieces", begun, piece).alias("pieces"),
+            ),
+            f"level_{number}",
         )
-    return urls.drop("segments")
 
 
-def _merged(templates: DataFrame, scratch: Scratch, depth: int, deviation: float) -> DataFrame:
+def _merged(templates: DataFrame, scratch: Scratch, deviation: float) -> DataFrame:
     """`templates` (host, pieces, n, blocked) with `merged`, the pieces after merging.
 
     From the deepest segment up, siblings whose count of blocked URLs lies within
     `deviation` standard deviations of what their common rate gives are merged;
-    siblings without labelled URLs join them.
+    siblings without labelled URLs join them. Only segments are looked at in which
+    templates of one host differ; the driver gets the list of these depths.
     """
-    templates = templates.withColumn("merged", F.col("pieces"))
-    for at in reversed(range(depth)):
+    templates = scratch.write(templates.withColumn("merged", F.col("pieces")), "templates")
+    levels = (
+        templates.select("host", F.size("pieces").alias("size"), F.posexplode("pieces"))
+        .groupBy("host", "size", "pos")
+        .agg((F.min("col") != F.max("col")).alias("differs"))
+        .where("differs")
+        .select("pos")
+        .distinct()
+    )
+    for at in sorted((row["pos"] for row in levels.collect()), reverse=True):
         siblings = F.transform(
             "merged", lambda piece, i: F.when(i == at, F.lit("*")).otherwise(piece)
         )
@@ -139,7 +172,6 @@ def filter_urls(
     pages: DataFrame,
     rules: DataFrame,
     scratch: Scratch,
-    depth: int = 4,
     fanout: int = 30,
     deviation: float = 2.0,
     strength: float = 5.0,
@@ -155,15 +187,16 @@ def filter_urls(
 
     Everything is counted over distinct (host, path), so a URL that many pages
     repeat is one row with a count. A null URL, or one without `://`, has an empty
-    host and path and is judged like any other. Repeated rows each get their
-    verdict; other columns are ignored; an empty table gives no rows.
+    host and path and is judged like any other. A path of any length is taken
+    whole. Of rules equally long the first by name wins. Repeated rows each get
+    their verdict; other columns are ignored; an empty table gives no rows.
     """
     host, path = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     urls = parsed.groupBy(*_KEY).agg(F.count("*").alias("all"))
     ruled = apply_rules(scratch.write(urls, "urls"), rules)
     labelled = scratch.write(
-        _templates(ruled, depth, fanout)
+        _templates(ruled, scratch, fanout)
         .withColumn("n", F.when(F.col("ruled").isNotNull(), F.col("all")).otherwise(0))
         .withColumn("blocked", F.when(F.col("ruled") == BLOCK, F.col("all")).otherwise(0)),
         "labelled_urls",
@@ -171,7 +204,7 @@ def filter_urls(
     templates = labelled.groupBy("host", "pieces").agg(
         F.sum("n").alias("n"), F.sum("blocked").alias("blocked")
     )
-    merged = _merged(templates, scratch, depth, deviation)
+    merged = _merged(templates, scratch, deviation)
     sums = [F.sum("n").alias("n"), F.sum("blocked").alias("blocked")]
     everywhere = merged.agg(
         ((F.coalesce(F.sum("blocked"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias(
