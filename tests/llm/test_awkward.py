@@ -97,11 +97,34 @@ def test_near_duplicates(documents, keep):
         else:
             assert (doc_id, size, component) == want[doc_id]
             assert kept == (doc_id == component)
+    assert {row[0] for row in found if not row[3]} == {5, 7, 11}
+
+
+def test_near_duplicates_are_dropped_row_by_row(spark, documents, keep):
     left = minhash.drop_near_duplicates(documents, keep)
     assert left.columns == documents.columns
-    gone = {row[0] for row in found if not row[3]}
-    assert rows(left, "doc_id") == expected((d[0],) for d in DOCUMENTS if d[0] not in gone)
-    assert gone == {5, 7, 11}
+    # Without an id, a text is judged like any other; it is a copy of document 6.
+    gone = [(5, LONG + " and an end"), (7, DOCUMENTS[7][1]), (11, "a TIE of equals")]
+    gone.append((None, "A text without an id.\n" + PASSAGE))
+    want = expected(d[:2] for d in DOCUMENTS if d[:2] not in gone)
+    assert rows(left, "doc_id", "text") == want
+    end = " and two more"
+    rows_ = [
+        *[(None, PASSAGE)] * 2,
+        (None, PASSAGE + end),
+        (2, PASSAGE + " and an end"),
+        # A clean text with the id of a copy.
+        (2, ITEM),
+        (1, PASSAGE.upper()),
+        (None, None),
+        (None, None),
+        (3, ""),
+    ]
+    frame = spark.createDataFrame(rows_, "doc_id long, text string")
+    want = [(2, ITEM), (1, PASSAGE.upper()), (None, None), (None, None), (3, "")]
+    assert rows(minhash.drop_near_duplicates(frame, keep), "doc_id", "text") == expected(want)
+    nameless = spark.createDataFrame([(None, PASSAGE), (None, PASSAGE + end)], frame.schema)
+    assert minhash.drop_near_duplicates(nameless, keep).count() == 1
 
 
 def test_near_duplicates_of_ids_with_empty_rows(spark, keep):
@@ -146,7 +169,7 @@ def test_contamination(spark, documents, keep):
     assert rows(kept, "doc_id") == expected(clean)
 
 
-def test_mixing(documents, keep):
+def test_mixing(spark, documents, keep):
     mix = mixing.mix(documents, keep)
     assert mix.columns[: len(documents.columns)] == documents.columns
     found = mix.select("source", "text", "__llm_size", "__llm_source_size", "__llm_target", "__llm_copies").collect()
@@ -164,6 +187,13 @@ def test_mixing(documents, keep):
         largest[source] = max(size, largest.get(source, 0))
     for source, words in taken.items():
         assert abs(words - targets[source]) <= largest[source] / 2 + 1
+    # Rows of one size without ids, in any order.
+    alike = spark.createDataFrame([(None, f"text {i}", "s") for i in range(200)], "doc_id long, text string, source string")
+    taken = [
+        rows(mixing.mix(alike.repartition(n).sortWithinPartitions(F.rand(n)), keep), "text", "__llm_copies")
+        for n in (1, 5)
+    ]
+    assert taken[0] == taken[1]
     again = rows(mixing.mix(documents, keep), "doc_id", "__llm_copies")
     assert rows(mix, "doc_id", "__llm_copies") == again
     mixed = mixing.mixed(documents.withColumn("copy", F.lit(0)), keep)
@@ -171,6 +201,18 @@ def test_mixing(documents, keep):
     assert mixed.count() == sum(row["__llm_copies"] for row in found)
 
 
+def test_a_mix_that_misses_its_targets_is_an_error(spark, keep):
+    rows_ = [(i % 40 + 1, "a" * (1 + i % 2), 1) for i in range(400)]
+    histogram = spark.createDataFrame(rows_, "__llm_size long, __llm_source string, __llm_n long")
+    sizes = histogram.groupBy("__llm_source").agg(
+        F.sum(F.col("__llm_n") * F.col("__llm_size")).alias("__llm_source_size")
+    )
+    targets = mixing.source_targets(sizes).drop("weight")
+    assert mixing.balanced(histogram, targets, keep).count() == 2
+    with pytest.raises(RuntimeError, match="misses a target"):
+        mixing.balanced(histogram, targets, keep, tolerance=-1.0)
+
+
 def labels_of(spark):
     found = [(doc_id, 1, int(doc_id in (8, 9))) for doc_id in range(1, 13)]
     return spark.createDataFrame(

@@ -1,5 +1,6 @@
 """Each stage of the corpus pipeline against a plain version, on the small tables."""
 
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -112,4 +113,12 @@ def test_the_run_is_the_chain_of_stages(stages, spark):
     chain = [tuple(row) for row in stages[-1][2].select(*names).collect()]
     assert sorted(tuple(row) for row in result.select(*names).collect()) == sorted(chain)
     assert corpus_pipeline.ORACLE_SQL is None
-    assert len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13
+
+
+def test_a_run_leaves_its_result_only(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    corpus_pipeline.run(spark, SMALL)
+    (new,) = set(os.listdir(shared)) - before
+    assert os.listdir(f"{shared}/{new}") == ["stage_4_5"]

@@ -171,7 +171,8 @@ def near_duplicates(
 
     Null or empty texts have no shingles and are linked with nothing. Rows that
     share a doc_id are one document, linked if any of them is; a null doc_id
-    is linked with nothing and kept. Other columns are ignored.
+    is linked with nothing and kept. A very long text is taken whole, one row at a
+    time. Other columns are ignored; an empty table gives no rows.
     """
     signed_docs = scratch.write(
         documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
@@ -296,12 +297,26 @@ def _confirmed(
 
 
 def drop_near_duplicates(documents: DataFrame, scratch: Scratch) -> DataFrame:
-    """`documents` without those that have a kept near-duplicate.
+    """`documents` with one document of each group of near-duplicates.
 
-    Rows that share a doc_id stay or go together.
+    Each row is judged by its own text, whatever its doc_id: a document is a doc_id
+    with a text, told apart by 64 bits of hash of both. Of a group, the one with
+    the smallest doc_id stays, a null doc_id after all others; rows that repeat a
+    document stay or go together. Rows without words stay. Other columns pass
+    unchanged; an empty table stays empty.
     """
-    found = near_duplicates(documents, scratch)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("__llm_gone")).distinct()
-    return documents.join(
-        gone, documents["doc_id"].cast("long") == F.col("__llm_gone"), "left_anti"
+    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+    rows = documents.select(row.alias("doc_id"), "text")
+    found = near_duplicates(rows, scratch).where("n_shingles > 0")
+    ids = documents.select(row.alias("row"), F.col("doc_id").cast("long").alias("id")).distinct()
+    place = F.struct(F.col("id").isNull().alias("nameless"), "id", "row")
+    grouped = scratch.write(
+        found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+        .distinct()
+        .join(ids, "row")
+        .select("row", "group", place.alias("place")),
+        "grouped",
     )
+    first = grouped.groupBy("group").agg(F.min("place")["row"].alias("first"))
+    gone = grouped.join(first, "group").where("row <> first").select(F.col("row").alias("__llm_gone"))
+    return documents.join(scratch.write(gone, "gone"), row == F.col("__llm_gone"), "left_anti")

@@ -23,7 +23,9 @@ _TILT, _TARGET, _SOURCE_SIZE, _MEAN = (
     "__llm_source_size",
     "__llm_mean",
 )
-_SALTS = 64
+# Rows of a cell, about; a source's documents of one size are dealt into more cells
+# the more rows there are.
+_LEAST_SALTS, _ROWS_PER_SALT = 64, 2**20
 _UNIT = 1_000_000
 MOST = 2
 
@@ -33,10 +35,10 @@ def size(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(SPACED_WORD)), F.lit(0)).cast("long")
 
 
-def _sized(documents: DataFrame) -> DataFrame:
+def _sized(documents: DataFrame, salts: int) -> DataFrame:
     # Null is a source of its own; the first character tells it from a name.
     key = F.coalesce(F.concat(F.lit("a"), F.col("source").cast("string")), F.lit("b"))
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS))
+    salt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(salts))
     return documents.withColumns({_KEY: key, _SIZE: size(F.col("text")), _SALT: salt})
 
 
@@ -102,15 +104,16 @@ def _newton_step(state: DataFrame, histogram: DataFrame) -> DataFrame:
     """
     rate, words = _rate(), F.col(_N) * F.col(_SIZE)
     slope = words * F.col(_SIZE) / F.col(_MEAN) * rate * (MOST - rate) / MOST
+    # Every source of the state has sizes, so grouping by its columns uses it once.
     sums = (
         histogram.join(state, _KEY)
-        .groupBy(_KEY)
+        .groupBy(_KEY, _SOURCE_SIZE, _TARGET, _MEAN, _TILT)
         .agg(F.sum(words * rate).alias("__llm_words"), F.sum(slope).alias("__llm_slope"))
     )
     error = F.col(_TARGET) - F.col("__llm_words")
     step = F.coalesce(F.try_divide(error, F.col("__llm_slope")), F.lit(0.0))
     open_ = F.col(_TARGET) < MOST * F.col(_SOURCE_SIZE)
-    return state.join(sums, _KEY).select(
+    return sums.select(
         _KEY,
         _SOURCE_SIZE,
         _TARGET,
@@ -126,13 +129,13 @@ def balanced(
     scratch: Scratch,
     tolerance: float = 1e-6,
     steps_per_round: int = 4,
-    rounds: int = 8,
 ) -> DataFrame:
     """The tilt of each source, from its counts of documents by size.
 
     Every round runs some Newton steps and writes its result, one row per
     source; the rounds end when each source's words are within `tolerance` of
-    its target.
+    its target. As the steps come nearer from one side, a round that comes no
+    nearer has met the limits of floating point, which is an error.
     """
     means = histogram.groupBy(_KEY).agg(
         (F.sum(F.col(_N) * F.col(_SIZE)) / F.sum(_N)).alias(_MEAN)
@@ -144,15 +147,19 @@ def balanced(
         F.when(F.col(_MEAN) > 0, F.col(_MEAN)).otherwise(1.0).alias(_MEAN),
         F.lit(0.0).alias(_TILT),
     )
-    for number in range(rounds):
+    number, before = 0, None
+    while True:
         for _ in range(steps_per_round):
             state = _newton_step(state, histogram)
         state = scratch.write(state, f"tilts_{number}")
         if number:
             scratch.drop(f"tilts_{number - 1}")
-        if (state.agg(F.max("__llm_error")).first()[0] or 0.0) <= tolerance:
-            break
-    return state.drop("__llm_error")
+        error = state.agg(F.max("__llm_error")).first()[0] or 0.0
+        if error <= tolerance:
+            return state.drop("__llm_error")
+        if before is not None and error >= before:
+            raise RuntimeError(f"the mix misses a target by a share of {error}")
+        number, before = number + 1, error
 
 
 def rounded(cells: DataFrame, tilts: DataFrame) -> DataFrame:
@@ -211,13 +218,15 @@ def mix(
     Returns the columns `carry` (all, if not given) and, with names that begin
     with ``__llm_``: size, source_size, target, rate and copies (0, 1 or 2).
     Within a cell of equal source and size, copies go to documents in the order
-    of a hash of doc_id, so reruns agree.
+    of a hash of doc_id and text, so reruns agree, also where ids are null or
+    repeated.
 
     A null or empty text has size 0 and rate 1; null sources are one source,
-    the last. Repeated rows count and are taken one by one. Other columns pass
-    unchanged. An empty table stays empty.
+    the last. A text of any length is counted whole, and is one row in its cell.
+    Repeated rows count and are taken one by one. Other columns pass unchanged.
+    An empty table stays empty.
     """
-    sized = _sized(documents)
+    sized = _sized(documents, max(_LEAST_SALTS, documents.count() // _ROWS_PER_SALT))
     cells = scratch.write(
         sized.groupBy(_KEY, _SIZE, _SALT).agg(F.count("*").alias(_N)), "mix_cells"
     )
@@ -229,12 +238,28 @@ def mix(
     tilts = balanced(histogram, targets.drop("weight"), scratch)
     copies = scratch.write(rounded(cells, tilts), "mix_copies")
     carried = documents.columns if carry is None else list(carry)
-    order = Window.partitionBy(_KEY, _SIZE, _SALT).orderBy("__llm_order", "__llm_doc")
+    order = Window.partitionBy(_KEY, _SIZE, _SALT).orderBy(
+        "__llm_order", "__llm_doc", "__llm_text"
+    )
     every = F.floor(F.col("__llm_copies") / F.col(_N))
     more = F.col("__llm_copies") - every * F.col(_N)
     return (
-        sized.withColumns({"__llm_order": F.xxhash64("doc_id", F.lit(1)), "__llm_doc": F.col("doc_id")})
-        .select(*[f"`{c}`" for c in carried], _KEY, _SIZE, _SALT, "__llm_order", "__llm_doc")
+        sized.withColumns(
+            {
+                "__llm_order": F.xxhash64("doc_id", F.lit(1)),
+                "__llm_doc": F.col("doc_id"),
+                "__llm_text": F.xxhash64("text"),
+            }
+        )
+        .select(
+            *[f"`{c}`" for c in carried],
+            _KEY,
+            _SIZE,
+            _SALT,
+            "__llm_order",
+            "__llm_doc",
+            "__llm_text",
+        )
         .withColumn("__llm_rank", F.row_number().over(order))
         .join(copies, [_KEY, _SIZE, _SALT])
         .withColumn("__llm_taken", (every + (F.col("__llm_rank") <= more).cast("long")).cast("int"))
