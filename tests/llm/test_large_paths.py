@@ -252,3 +252,34 @@ def test_an_audit_that_fails_is_an_error(spark, keep, monkeypatch):
     monkeypatch.setattr(embeddings, "audit", lambda *_: (10, 5))
     with pytest.raises(RuntimeError, match="5 of 10 links"):
         embeddings.near_duplicates(frame, keep, attempts=2)
+
+
+def test_windows_with_one_common_word(spark, scratch):
+    """Windows are looked up by the hash of all their words, so a word that all share costs
+    nothing: each place of a text meets the windows that stand there and no others."""
+    common = "internationalisation"
+    items = [
+        (i, " ".join([f"w{i}", common, *(f"x{i}y{j}" for j in range(3, 13)), f"z{i % 7}"]))
+        for i in range(400)
+    ]
+    items += [(400, common), (401, f"{common} of three"), (402, None), (403, "w0 " + common)]
+    texts = [
+        (i, " ".join([f"{common} a{i}", items[i][1], common, f"{common} of three or w0", items[-i - 5][1]]))
+        for i in range(60)
+    ]
+    texts += [(60, common), (61, None), (62, "w0"), (63, items[5][1][:-1])]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = brute.contamination(texts, items)
+    for broadcast_rows in (10**6, 1):
+        judged = decontaminate.contamination(
+            documents, benchmark, scratch, broadcast_rows=broadcast_rows
+        )
+        names = ("doc_id", "__llm_n_words", "__llm_n_hit", "__llm_items")
+        assert sorted(tuple(r) for r in judged.select(*names).collect()) == sorted(want)
+    lookup = decontaminate.named_windows(decontaminate.item_windows(benchmark, 13))
+    hits = decontaminate.occurrences(documents, scratch.write(lookup, "lookup"), 10**6)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    # The texts are read once, also for windows of several lengths.
+    assert plan.count("Scan ExistingRDD") == 1
+    assert lookup.count() == 403

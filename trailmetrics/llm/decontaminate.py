@@ -13,9 +13,10 @@ from trailmetrics.llm.common import (
     lower_ascii,
     with_row_key,
 )
+from trailmetrics.operators import bloom
 from trailmetrics.runtime import Scratch
 
-_WORDS, _ANCHOR, _OFFSET, _LENGTH = "__llm_words", "__llm_anchor", "__llm_offset", "__llm_length"
+_WORDS, _NAME, _LENGTH = "__llm_words", "__llm_name", "__llm_length"
 _WINDOW, _START, _ITEM = "__llm_window", "__llm_start", "__llm_item"
 
 
@@ -40,48 +41,65 @@ def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
     )
 
 
-def anchored(windows: DataFrame) -> DataFrame:
-    """Each distinct window with its longest word, by which it is looked up."""
-    longest = F.array_max(
-        F.transform(_WINDOW, lambda w, i: F.struct(F.length(w).alias("n"), w.alias("w"), i.alias("i")))
-    )
+def _name(hashes: Column) -> Column:
+    """The hash of a run of words, from the hashes of its words."""
+    return F.xxhash64(hashes)
+
+
+def _hashes(run: Column) -> Column:
+    return F.transform(run, lambda word: F.xxhash64(word))
+
+
+def named_windows(windows: DataFrame) -> DataFrame:
+    """Each distinct window with its hash and its number of words."""
     return (
         windows.select(_WINDOW)
         .distinct()
-        .withColumn("__llm_longest", longest)
-        .select(
-            _WINDOW,
-            F.col("__llm_longest.w").alias(_ANCHOR),
-            F.col("__llm_longest.i").alias(_OFFSET),
-            F.size(_WINDOW).alias(_LENGTH),
-        )
+        .select(_WINDOW, _name(_hashes(F.col(_WINDOW))).alias(_NAME), F.size(_WINDOW).alias(_LENGTH))
     )
 
 
 def occurrences(documents: DataFrame, lookup: DataFrame, broadcast_rows: int) -> DataFrame:
     """(row key, start, length, window) wherever a window stands in a document.
 
-    Each word of a document is looked up among the windows' longest words; only
-    where one is met, the words around it are compared. The lookup is sent to
-    every executor in parts of about `broadcast_rows` windows, dealt by hash, so
-    a larger benchmark takes more passes and no more memory.
+    From each word of a document on, the hash of as many words as a window has is
+    looked up, once for each length that windows have (most have the full one, and
+    none has more); where it is met, the words are compared. Up to
+    `broadcast_rows` windows are sent to every executor. More are not: a Bloom
+    filter of their hashes drops most places, and the rest are joined. Either way
+    the texts are read once.
     """
-    scanned = with_row_key(documents.select("doc_id", "text")).select(
-        ID, TEXT_HASH, words(F.col("text")).alias(_WORDS)
+    count = lookup.count()
+    lengths = sorted(row[0] for row in lookup.select(_LENGTH).distinct().collect()) or [1]
+    placed = (
+        with_row_key(documents.select("doc_id", "text"))
+        .select(ID, TEXT_HASH, words(F.col("text")).alias(_WORDS))
+        .withColumn("__llm_hashes", _hashes(F.col(_WORDS)))
+        .select(
+            ID,
+            TEXT_HASH,
+            _WORDS,
+            "__llm_hashes",
+            F.posexplode("__llm_hashes").alias(_START, "__llm_first"),
+        )
+        .withColumn(
+            _LENGTH,
+            F.explode(F.array(*map(F.lit, lengths))) if len(lengths) > 1 else F.lit(lengths[0]),
+        )
+        .where(F.col(_START) + F.col(_LENGTH) <= F.size(_WORDS))
+        .withColumn(_NAME, _name(F.slice("__llm_hashes", F.col(_START) + 1, F.col(_LENGTH))))
     )
-    placed = scanned.select(ID, TEXT_HASH, _WORDS, F.posexplode(_WORDS).alias("__llm_at", "__llm_word"))
-    start = F.col("__llm_at") - F.col(_OFFSET)
-    around = F.slice(_WORDS, F.greatest(start + 1, F.lit(1)), F.col(_LENGTH))
-    parts = -(-lookup.count() // broadcast_rows) or 1
-    found = None
-    for part in range(parts):
-        held = lookup.where(F.pmod(F.xxhash64(_WINDOW), F.lit(parts)) == part)
-        hits = placed.join(
-            F.broadcast(held),
-            (F.col("__llm_word") == F.col(_ANCHOR)) & (start >= 0) & (around == F.col(_WINDOW)),
-        ).select(ID, TEXT_HASH, start.alias(_START), _LENGTH, _WINDOW)
-        found = hits if found is None else found.unionAll(hits)
-    return found
+    run = F.slice(_WORDS, F.col(_START) + 1, F.col(_LENGTH))
+    if count <= broadcast_rows:
+        met = placed.select(ID, TEXT_HASH, _START, _WORDS, _LENGTH, _NAME)
+        held = F.broadcast(lookup.withColumnRenamed(_LENGTH, "__llm_own_length"))
+        same = (met[_NAME] == held[_NAME]) & (F.col(_LENGTH) == F.col("__llm_own_length"))
+        found = met.join(held, same & (run == F.col(_WINDOW)))
+    else:
+        near = bloom.prefiltered(placed, lookup, _NAME, count)
+        met = near.select(ID, TEXT_HASH, _START, _LENGTH, _NAME, run.alias("__llm_run"))
+        found = met.join(lookup, [_NAME, _LENGTH]).where(F.col("__llm_run") == F.col(_WINDOW))
+    return found.select(ID, TEXT_HASH, _START, _LENGTH, _WINDOW)
 
 
 def contamination(
@@ -101,10 +119,11 @@ def contamination(
 
     A null or empty text has no words and is clean. Items without words match
     nothing; a null item_id is not listed but its windows count. Rows that share
-    a doc_id are judged one by one. Empty tables give no rows or no hits.
+    a doc_id are judged one by one. A very long text is one row, of 8 bytes a word
+    beside its words. Empty tables give no rows or no hits.
     """
     windows = scratch.write(item_windows(benchmark, size), "item_windows")
-    lookup = scratch.write(anchored(windows), "anchored_windows")
+    lookup = scratch.write(named_windows(windows), "named_windows")
     hits = scratch.write(occurrences(documents, lookup, broadcast_rows), "benchmark_hits")
     row = [ID, TEXT_HASH]
     covered = (
