@@ -25,8 +25,12 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 _LETTERS = re.compile(r"[^\W\d_]+")
 # What the vocabulary puts before the first piece of a word.
 _WORD_START = "▁"
-# Longer words are taken in parts of this many characters.
+# Words of the sample that are longer teach in parts of this many characters. Words
+# that are judged are summed over as a whole; those longer go one at a time.
 _PART = 64
+# Characters of a long word that are looked up at once.
+_STRETCH = 4096
+_SALTS = 64
 
 
 def load_pieces(path: str) -> dict[str, int]:
@@ -40,11 +44,14 @@ def words_of(text: str | None) -> list[str]:
     return _LETTERS.findall(text.lower()) if text else []
 
 
+def spelled(word: str) -> str | None:
+    """A word as the vocabulary spells it; numerals without a letter have no spelling."""
+    return _WORD_START + word if any(map(str.isalpha, word)) else None
+
+
 def parts_of(word: str) -> list[str]:
-    """A word as the vocabulary spells it, in parts; numerals without a letter have none."""
-    if not any(map(str.isalpha, word)):
-        return []
-    marked = _WORD_START + word
+    """A word's spelling in parts, to learn from."""
+    marked = spelled(word) or ""
     return [marked[start : start + _PART] for start in range(0, len(marked), _PART)]
 
 
@@ -154,6 +161,43 @@ class Lattice:
             np.add.at(into, ids, use)
 
 
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    most = terms.max(axis=0)
+    return most + np.log(np.exp(terms - most).sum(axis=0))
+
+
+def long_word(word: str, pieces: Pieces, log_p: np.ndarray) -> np.ndarray:
+    """Log of a word's probability, summed over all segmentations, however long it is.
+
+    Pieces are looked up for a stretch of characters at a time, and only the sums of
+    the last characters that a piece can start from are kept.
+    """
+    longest = pieces.longest
+    # Row i is the sum up to the character i places before the next one.
+    last = np.full((longest, log_p.shape[1]), -np.inf)
+    last[0] = 0
+    by_byte: dict[str, np.ndarray] = {}
+    for start in range(0, len(word), _STRETCH):
+        text = word[max(0, start - longest + 1) : start + _STRETCH]
+        before = min(start, longest - 1)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        hashes = np.zeros(len(codes), np.uint64)
+        found = np.full((longest, len(codes)), -1)
+        for size in range(1, min(longest, len(codes)) + 1):
+            # Of the pieces of this size, by where they start.
+            hashes = hashes[: len(codes) - size + 1] * _BASE + codes[size - 1 :]
+            found[size - 1, size - 1 :] = pieces.find(hashes)
+        for at in range(before, len(text)):
+            char = text[at]
+            if char not in by_byte:
+                by_byte[char] = log_p[[pieces.bytes[b] for b in char.encode()]].sum(axis=0)
+            sizes = np.flatnonzero(found[:, at] >= 0)
+            terms = last[sizes] + log_p[found[sizes, at]]
+            total = _log_sum(np.concatenate([[last[0] + by_byte[char]], terms]))
+            last = np.concatenate([[total], last[:-1]])
+    return last[0]
+
+
 def _by_length(words: Iterable[str], most: int = 20_000) -> Iterator[list[str]]:
     groups: dict[int, list[str]] = {}
     for word in words:
@@ -204,17 +248,28 @@ def fit(
 
     `labelled` has doc_id, text and lang. Each language learns from at most
     `sample` documents, those with the least hash of doc_id; rows without a
-    language or a text teach nothing. Word counts and expected piece counts are
-    summed by Spark; what reaches the driver is one number per piece and
-    language.
+    language or a text teach nothing, and rows that repeat a document teach with
+    it. Without any labelled text no language is learned. Word counts and expected
+    piece counts are summed by Spark; what reaches the driver is one number per
+    piece and language.
     """
     spark = labelled.sparkSession
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = scratch.write(
+    # Cut in `_SALTS` parts of a language first, so that the last cut sees that many
+    # times `sample` rows at most, however many tasks and documents there are.
+    salt = F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(_SALTS))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+
+    def first(rows: DataFrame, *keys: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return rows.withColumn("rank", rank).where(F.col("rank") <= sample)
+
+    candidates = (
         labelled.where("lang IS NOT NULL AND text IS NOT NULL")
         .select("doc_id", "lang")
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= sample)
+        .withColumn("salt", salt)
+    )
+    chosen = scratch.write(
+        first(first(candidates, "lang", "salt"), "lang")
         .select("doc_id", "lang")
         .distinct(),
         "language_sample",
@@ -280,17 +335,20 @@ class _Words(dict):
         if len(self) + len(words) > self.LIMIT:
             self.clear()
             self.table = self.table[:1]
-        new = words.difference(self)
-        parts = {word: parts_of(word) for word in new}
+        new = {word: spelled(word) for word in words.difference(self)}
         log_p = {}
-        for group in _by_length({part for found in parts.values() for part in found}):
+        short = {marked for marked in new.values() if marked and len(marked) <= _PART}
+        for group in _by_length(short):
             lattice = Lattice(group, self.pieces)
             log_p.update(zip(group, lattice.forward(self.model.log_p)[-1]))
         rows = []
-        for word, found in parts.items():
-            self[word] = len(self.table) + len(rows) if found else 0
-            if found:
-                rows.append(log_p[found[0]] if len(found) == 1 else sum(log_p[p] for p in found))
+        for word, marked in new.items():
+            self[word] = len(self.table) + len(rows) if marked else 0
+            if not marked:
+                continue
+            if marked not in log_p:
+                log_p[marked] = long_word(marked, self.pieces, self.model.log_p)
+            rows.append(log_p[marked])
         if rows:
             self.table = np.concatenate([self.table, rows])
 
@@ -332,7 +390,9 @@ def predict(documents: DataFrame, model: PieceModel) -> DataFrame:
     `score` is the probability of the predicted language among the learned ones,
     all equally likely beforehand; of equal ones the first by name wins. A null
     text, or one without a letter, is `und` with score 0, as is every text if no
-    language was learned. Other columns are ignored.
+    language was learned. Texts and words of any length are summed over whole; a
+    word of more than 64 characters takes time by its length. Other columns are
+    ignored; an empty table gives no rows.
     """
     sent = documents.sparkSession.sparkContext.broadcast((model.languages, model.pieces, model.log_p))
     ids = documents.select(F.col("doc_id").cast("long"), "text")
