@@ -244,29 +244,43 @@ def url_verdicts(urls, rules, fanout=30, deviation=2.0, strength=5.0, reject_at=
 
 
 def bigram_losses(rows, targets, weight=200.0):
-    """rows: (doc_id, text); gives (doc_id, words, target loss, background loss)."""
+    """rows: (doc_id, text); gives (doc_id, words, target loss, background loss).
+
+    Each row is judged by models of all the others.
+    """
     texts = [(doc_id, spaced(lower(text))) for doc_id, text in rows]
+
+    def counts(text):
+        return Counter(zip(["", *text], text)), Counter(["", *text][: len(text)]), Counter(text)
+
     models = []
     for chosen in (set(targets), None):
-        pairs, before, words = Counter(), Counter(), Counter()
+        model = tuple(Counter() for _ in range(3))
         for doc_id, text in texts:
             if chosen is None or doc_id in chosen:
-                pairs.update(zip(["", *text], text))
-                before.update(["", *text][: len(text)])
-                words.update(text)
-        models.append((pairs, before, words))
-    (*_, target), (*_, background) = models
-    total, size = sum(target.values()), len(background)
-    scales = (1.0, total / max(1, sum(background.values())))
+                for sums, own in zip(model, counts(text)):
+                    sums.update(own)
+        models.append(model)
+    of_target, total = (sum(model[2].values()) for model in models)
+    size = len(models[1][2])
     result = []
     for doc_id, text in texts:
+        own = counts(text)
+        left_of_target = of_target - (len(text) if doc_id in targets else 0)
+        left = total - len(text)
         losses = []
-        for (pairs, before, words), scale in zip(models, scales):
+        for model, is_in, scale in (
+            (models[0], doc_id in targets, 1.0),
+            (models[1], True, left_of_target / max(1, left)),
+        ):
             loss = 0.0
             for pair in zip(["", *text], text):
-                unigram = (words[pair[1]] * scale + 1) / (total + size)
-                odds = (pairs[pair] * scale + weight * unigram) / (before[pair[0]] * scale + weight)
-                loss -= np.log(odds)
+                n, before, word = (
+                    (sums[key] - (mine[key] if is_in else 0)) * scale
+                    for sums, mine, key in zip(model, own, (pair, pair[0], pair[1]))
+                )
+                unigram = (word + 1) / (left_of_target + size)
+                loss -= np.log((n + weight * unigram) / (before + weight))
             losses.append(loss / len(text) if text else None)
         result.append((doc_id, len(text), *losses))
     return result

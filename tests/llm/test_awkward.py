@@ -267,7 +267,12 @@ def test_language_model_scores(spark, documents, keep):
     assert len(found) == len(DOCUMENTS)
     by_id = {row[0]: row for row in found}
     assert by_id[1][1:] == (0, None) and by_id[3][1:] == (0, None)
-    assert by_id[7][2] < 0 < by_id[12][2]
+    # Document 7 is a copy of 6, the target; nothing else is nearer.
+    assert by_id[7][2] < min(row[2] for row in found if row[0] not in (6, 7, None) and row[1])
+    want = brute.bigram_losses([d[:2] for d in DOCUMENTS], [6, 77])
+    scores = [(d, n, target - background if n else None) for d, n, target, background in want]
+    for got, wanted in zip(found, expected(scores)):
+        assert got[:2] == wanted[:2] and got[2] == pytest.approx(wanted[2], abs=1e-9)
     none = lm_score.score(documents, good.where("false"), keep)
     assert none.where("score IS NOT NULL").count() == len([d for d in DOCUMENTS if brute.spaced(d[1])])
 

@@ -8,7 +8,8 @@ from conftest import SF_DIR, same
 
 import __spark_entry__ as entry_point
 import brute
-from trailmetrics.llm import queries
+from trailmetrics.llm import lm_score, queries
+from trailmetrics.runtime import Scratch
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -100,7 +101,6 @@ def test_op4_finds_toxic_documents_that_it_was_not_fitted_on(spark):
     documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     from trailmetrics.llm import toxicity
-    from trailmetrics.runtime import Scratch
 
     known = labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 4 <> 0")
     tables = Scratch(spark, "held_out")
@@ -126,6 +126,19 @@ def test_op9_tells_good_documents_from_bad(spark, table):
     assert ranked > 0.95
 
 
+def test_op9_does_not_tell_who_was_a_target(spark):
+    """Of documents that are targets by chance, half rank below the others."""
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    chosen = documents.where("pmod(xxhash64(doc_id, 5), 10) = 0").select("doc_id")
+    tables = Scratch(spark, "by_chance")
+    found = lm_score.score(documents, chosen, tables).where("n_words > 20").collect()
+    targets = {row["doc_id"] for row in chosen.collect()}
+    tables.close()
+    inside = np.array([row["score"] for row in found if row["doc_id"] in targets])
+    others = np.array([row["score"] for row in found if row["doc_id"] not in targets])
+    assert abs(np.mean(inside[:, None] < others[None, :]) - 0.5) < 0.05
+
+
 def test_op10_predicts_held_out_languages(spark, table):
     langs = dict(table("documents", "doc_id", "lang"))
     result = found(spark, "op10_language_id", "doc_id", "held_out", "lang_pred", "score")

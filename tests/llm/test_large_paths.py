@@ -208,15 +208,17 @@ def test_models_are_matched_and_words_are_known_by_count(spark, keep):
     assert frame.where(F.col("doc_id") < 0).count() == 0
 
 
-@pytest.mark.parametrize("frequent", [0, 300, 10**6])
-def test_every_word_and_pair_has_its_own_count(spark, keep, crowd, frequent):
+@pytest.mark.parametrize(("frequent", "slices"), [(0, 3), (300, 1), (10**6, 2)])
+def test_every_word_and_pair_has_its_own_count(spark, keep, crowd, frequent, slices):
     # More words than a fixed vocabulary of 30,000 knew, each seen twice.
     rare = [" ".join(f"rare{i}x{k % 350}" for k in range(700)) for i in range(100)]
     rows = crowd + [(1000 + i, text) for i, text in enumerate(rare)] + [(2000, rare[0]), (2001, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     good = [*range(0, 100, 2), *range(1000, 1010)]
     target = spark.createDataFrame([(i,) for i in good], "doc_id long")
-    found = lm_score.score(frame, target, keep, words_at_once=5000, frequent=frequent).collect()
+    found = lm_score.score(
+        frame, target, keep, words_at_once=5000, frequent=frequent, slices=slices
+    ).collect()
     got = {row["doc_id"]: tuple(row) for row in found}
     want = brute.bigram_losses(rows, good)
     assert len(found) == len(want)

@@ -2,20 +2,24 @@
 
 A target and a background bigram model share one vocabulary, order and smoothing.
 A document's score is its loss per word under the target model minus that under
-the background model: low scores are near the target.
+the background model: low scores are near the target. Each document is left out of
+the models that judge it, so its score does not tell whether it was a target.
 
 A loss is a sum over terms: one for each pair of words, one for each history. The
-counts and values of all terms are tables, which grow with the corpus.
+counts of all terms are tables, which grow with the corpus. They are made and used
+one range of hashes after another, so only a share of them lies on disk at a time.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmetrics.llm.words import WordHashes, mix, signed
@@ -27,6 +31,18 @@ _HISTORY, _PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # Classes of frequency for each doubling of a count.
 _CLASSES = 64
 _ROWS = 100_000
+# Spark's setting by which a query's shuffle files are deleted when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 class Words:
@@ -65,121 +81,259 @@ def _word_counts(most: int):
     return run
 
 
-def terms(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of some texts one after another, and the names of their pairs and histories."""
-    words = np.concatenate(texts)
-    before = np.roll(words, 1)
-    starts = np.cumsum([0, *(len(text) for text in texts[:-1])])
-    # Empty texts at the end start after the last word.
-    before[starts[starts < len(words)]] = _START
-    return words, mix(mix(before ^ _PAIR) + words), mix(before ^ _HISTORY)
-
-
-def _term_counts(known, at_once: int):
-    """(term, word, n, in_target) of a task's documents; histories have no word."""
-
-    def out(texts: list[np.ndarray], targets: list[bool]):
-        words, pairs, histories = terms(texts)
-        target = np.repeat(targets, [len(text) for text in texts]).astype(np.int64)
-        for names, of_pairs in ((pairs, True), (histories, False)):
-            order = np.argsort(names)
-            named = names[order]
-            starts = np.flatnonzero(np.concatenate([[True], named[1:] != named[:-1]]))
-            n = np.diff(np.concatenate([starts, [len(named)]]))
-            of_target = np.add.reduceat(target[order], starts)
-            word = signed(words[order[starts]])
-            for at in range(0, len(starts), _ROWS):
+_WORDED = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("name", pa.int64()),
+        ("is_target", pa.bool_()),
+        ("words", pa.list_(pa.int64())),
+        ("uses", pa.list_(pa.int32())),
+    ]
+)
+
+
+def _worded(known):
+    """Each text as the hashes of its words, with the number of uses of each in the text.
+
+    A text is named by its hash and whether it is a target, as equal texts have
+    equal losses.
+    """
+
+    def run(batches):
+        words = Words(known)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                targets = [bool(t) for t in part.column("is_target").to_pylist()]
+                names, found, uses = [], [], []
+                for text, target in zip(part.column("text").to_pylist(), targets):
+                    own = words.of(text)
+                    _, which, counts = np.unique(own, return_inverse=True, return_counts=True)
+                    found.append(own)
+                    uses.append(counts[which].astype(np.int32))
+                    names.append(xxhash.xxh64_intdigest(text or b"", seed=int(target)))
+                ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array(signed(np.array(names, np.uint64))),
+                        pa.array(targets),
+                        pa.ListArray.from_arrays(ends, pa.array(signed(np.concatenate(found)))),
+                        pa.ListArray.from_arrays(ends, pa.array(np.concatenate(uses))),
+                    ],
+                    schema=_WORDED,
+                )
+
+    return run
+
+
+class _Texts:
+    """Some texts with words, one after another."""
+
+    def __init__(self, columns: dict[str, np.ndarray]) -> None:
+        kept = columns["sizes"] > 0
+        self.sizes = columns["sizes"][kept]
+        self.names, self.targets = columns["name"][kept], columns["is_target"][kept]
+        self.words, self.uses = columns["words"].view(np.uint64), columns["uses"]
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def terms(self) -> tuple[np.ndarray, np.ndarray]:
+        """The names of each word's pair with the word before it, and of that history."""
+        before = np.roll(self.words, 1)
+        before[np.cumsum([0, *self.sizes[:-1]])] = _START
+        return mix(mix(before ^ _PAIR) + self.words), mix(before ^ _HISTORY)
+
+    def of_slice(self, number: int, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The terms in a range of hashes, the word that each belongs to, and whether it is a pair."""
+        found = self.terms()
+        parts = [np.flatnonzero(names % np.uint64(slices) == number) for names in found]
+        terms = np.concatenate([names[at] for names, at in zip(found, parts)])
+        is_pair = np.repeat([True, False], [len(at) for at in parts])
+        return terms, np.concatenate(parts), is_pair
+
+
+def _texts(batches: Iterable[pa.RecordBatch], at_once: int) -> Iterator[_Texts]:
+    """The texts of a task, about `at_once` words at a time."""
+    held: list[dict[str, np.ndarray]] = []
+
+    def together() -> _Texts:
+        return _Texts({key: np.concatenate([part[key] for part in held]) for key in held[0]})
+
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            part = batch.slice(start, 500)
+            lists = part.column("words")
+            columns = {
+                name: part.column(name).to_numpy(zero_copy_only=False)
+                for name in ("name", "is_target")
+            }
+            columns["sizes"] = lists.value_lengths().to_numpy(zero_copy_only=False)
+            columns["words"] = lists.flatten().to_numpy()
+            columns["uses"] = part.column("uses").flatten().to_numpy()
+            held.append(columns)
+            if sum(len(columns["words"]) for columns in held) >= at_once:
+                yield together()
+                held = []
+    if any(len(columns["words"]) for columns in held):
+        yield together()
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value begins in a sorted array."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+
+
+def _sums(names: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of the first of each name, how many there are, and how many in targets."""
+    order = np.argsort(names)
+    starts = _starts(names[order])
+    n = np.diff(np.concatenate([starts, [len(names)]]))
+    in_target = np.add.reduceat(target[order], starts) if len(starts) else n
+    return order[starts], n, in_target
+
+
+def _counted_words(at_once: int):
+    """(word, n, in_target) of a task's texts."""
+
+    def run(batches):
+        for texts in _texts(batches, at_once):
+            target = texts.targets[texts.owner].astype(np.int64)
+            first, n, in_target = _sums(texts.words, target)
+            for at in range(0, len(first), _ROWS):
+                part = slice(at, at + _ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(texts.words[first[part]])), pa.array(n[part]), pa.array(in_target[part])],
+                    names=["word", "n", "in_target"],
+                )
+
+    return run
+
+
+def _counted_terms(number: int, slices: int, at_once: int):
+    """(term, word, n, in_target) of a task's texts; histories have no word."""
+
+    def run(batches):
+        for texts in _texts(batches, at_once):
+            terms, at_word, is_pair = texts.of_slice(number, slices)
+            target = texts.targets[texts.owner[at_word]].astype(np.int64)
+            first, n, in_target = _sums(terms, target)
+            word = signed(texts.words[at_word[first]])
+            for at in range(0, len(first), _ROWS):
                 part = slice(at, at + _ROWS)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(signed(named[starts[part]])),
-                        pa.array(word[part]) if of_pairs else pa.nulls(len(n[part]), pa.int64()),
+                        pa.array(signed(terms[first[part]])),
+                        pa.array(word[part], mask=~is_pair[first[part]]),
                         pa.array(n[part]),
-                        pa.array(of_target[part]),
+                        pa.array(in_target[part]),
                     ],
                     names=["term", "word", "n", "in_target"],
                 )
 
-    def run(batches):
-        words = Words(known)
-        texts, targets, held = [], [], 0
-        for batch in batches:
-            for text, target in zip(*(batch.column(name).to_pylist() for name in ("text", "is_target"))):
-                found = words.of(text)
-                if len(found):
-                    texts.append(found)
-                    targets.append(bool(target))
-                    held += len(found)
-                if held >= at_once:
-                    yield from out(texts, targets)
-                    texts, targets, held = [], [], 0
-        if held:
-            yield from out(texts, targets)
-
     return run
 
 
-_SUMMED = pa.schema(
+def _losses(log, own, totals, counts) -> tuple:
+    """The two losses that a use of a term adds, and those of a history.
+
+    `own` is the document's uses of the term and of its word, its words and whether
+    it is a target (1 or 0); `totals` all words, the target's words, the vocabulary
+    and the smoothing weight; `counts` the term's and the word's counts, all and in
+    the target. What the document itself adds to the counts is taken off, in the
+    background always, in the target if it is one of it. Background counts are
+    scaled to the target's size. The same formula serves numpy and Spark.
+    """
+    uses, word_uses, scale, target_words, is_target = own
+    vocabulary, weight = totals
+    n, in_target, word_n, word_in_target = counts
+    share = weight / (target_words + vocabulary)
+    target = in_target - uses * is_target
+    background = (n - uses) * scale
+    pair = (
+        -log(target + (word_in_target - word_uses * is_target + 1) * share),
+        -log(background + ((word_n - word_uses) * scale + 1) * share),
+    )
+    return pair, (log(target + weight), log(background + weight))
+
+
+_ROW = pa.schema(
     [
-        ("doc_id", pa.int64()),
         ("name", pa.int64()),
-        ("n_words", pa.int64()),
-        ("target_sum", pa.float64()),
-        ("background_sum", pa.float64()),
-        ("n_rest", pa.int64()),
+        ("term", pa.int64()),
+        ("uses", pa.int32()),
+        ("word_uses", pa.int32()),
+        ("size", pa.int64()),
+        ("is_target", pa.bool_()),
+        ("target", pa.float64()),
+        ("background", pa.float64()),
     ]
 )
-_REST = pa.schema([("name", pa.int64()), ("term", pa.int64()), ("n", pa.int64())])
+_ROW_TYPES = (
+    "name long, term long, uses int, word_uses int, size long, is_target boolean, "
+    "target double, background double"
+)
 
 
-def _split(known, frequent, rest: bool):
-    """Each document's sums over frequent terms; or its other terms, with their counts.
+def _scored(number: int, slices: int, at_once: int, frequent, total: int, of_target: int, rest: tuple):
+    """A row per text with its losses from frequent terms, and one for each other term.
 
-    A text is named by its hash, as equal texts have equal losses.
+    The row of a text has no uses, and its own name in place of a term.
     """
 
+    def batches_of(columns: tuple) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(columns[0]), _ROWS):
+            arrays = [
+                pa.nulls(len(columns[0][at : at + _ROWS]), f.type)
+                if c is None
+                else pa.array(c[at : at + _ROWS], f.type)
+                for c, f in zip(columns, _ROW)
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_ROW)
+
     def run(batches):
-        words = Words(known)
-        names, *values = frequent.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                found = part.column("text").to_pylist()
-                texts = [words.of(text) for text in found]
-                sizes = np.array([len(text) for text in texts])
-                of_text = signed(np.array([xxhash.xxh64_intdigest(text or b"") for text in found], np.uint64))
-                _, pairs, histories = terms(texts)
-                term = signed(np.concatenate([pairs, histories]))
-                owner = np.tile(np.repeat(np.arange(len(texts)), sizes), 2)
-                at = np.minimum(np.searchsorted(names, term), max(0, len(names) - 1))
-                known_term = names[at] == term if len(names) else np.zeros(len(term), bool)
-                if rest:
-                    yield _rest(of_text, owner[~known_term], term[~known_term])
-                    continue
-                sums = [
-                    np.bincount(owner[known_term], value[at[known_term]], len(texts)) for value in values
-                ]
-                left = np.bincount(owner[~known_term], minlength=len(texts))
-                columns = (of_text, sizes, *sums, left)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(_SUMMED)[1:]))],
-                    schema=_SUMMED,
+        known, *counts = frequent.value
+        for texts in _texts(batches, at_once):
+            terms, at_word, is_pair = texts.of_slice(number, slices)
+            owner = texts.owner[at_word]
+            # A text's uses of a term are one row.
+            key = mix(terms + owner.astype(np.uint64) * _HISTORY)
+            first, uses, _ = _sums(key, np.zeros(len(key), np.int64))
+            owner, is_pair = owner[first], is_pair[first]
+            term = signed(terms[first])
+            word_uses = np.where(is_pair, texts.uses[at_word[first]], 0)
+            at = np.minimum(np.searchsorted(known, term), max(0, len(known) - 1))
+            is_known = known[at] == term if len(known) else np.zeros(len(term), bool)
+            is_target = texts.targets.astype(np.int64)
+            target_words = of_target - texts.sizes * is_target
+            scale = target_words / np.maximum(1, total - texts.sizes)
+            of = owner[is_known]
+            own = (uses[is_known], word_uses[is_known], scale[of], target_words[of], is_target[of])
+            pair, history = _losses(np.log, own, rest, [c[at[is_known]] for c in counts])
+            sums = [
+                np.bincount(of, uses[is_known] * np.where(is_pair[is_known], p, h), len(texts.sizes))
+                for p, h in zip(pair, history)
+            ]
+            none = np.zeros(len(texts.sizes), np.int32)
+            yield from batches_of(
+                (texts.names, texts.names, none, none, texts.sizes, texts.targets, *sums)
+            )
+            of = owner[~is_known]
+            yield from batches_of(
+                (
+                    texts.names[of],
+                    term[~is_known],
+                    uses[~is_known],
+                    word_uses[~is_known],
+                    texts.sizes[of],
+                    texts.targets[of],
+                    None,
+                    None,
                 )
+            )
 
     return run
 
 
-def _rest(of_text: np.ndarray, owner: np.ndarray, term: np.ndarray) -> pa.RecordBatch:
-    order = np.lexsort((term, owner))
-    owner, term = owner[order], term[order]
-    changes = (owner[1:] != owner[:-1]) | (term[1:] != term[:-1])
-    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(term)), bool), changes]))
-    n = np.diff(np.concatenate([starts, [len(term)]]))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(of_text[owner[starts]]), pa.array(term[starts]), pa.array(n, pa.int64())], schema=_REST
-    )
-
-
 def _least_class(counts: DataFrame, most: int) -> int:
     """The lowest class of frequency down to which there are at most `most` rows."""
     sizes = counts.groupBy("class").agg(F.count("*").alias("held")).collect()
@@ -196,42 +350,85 @@ def _class():
     return F.floor(F.log2("n") * _CLASSES)
 
 
-def _term_values(counts: DataFrame, scratch: Scratch, weight: float) -> DataFrame:
-    """(term, class, target, background): what each term adds to the two losses.
-
-    Background counts are scaled to the target's size. With equal sizes, the
-    smoothing weighs equally in both. A pair's loss is the value of its history
-    plus its own.
-    """
-    words = scratch.write(
-        counts.where("word IS NOT NULL")
-        .groupBy("word")
-        .agg(F.sum("n").alias("word_n"), F.sum("in_target").alias("word_in_target")),
-        "words",
+def _slice_losses(
+    worded: DataFrame,
+    words: DataFrame,
+    totals: tuple[int, int, int, float],
+    number: int,
+    slices: int,
+    words_at_once: int,
+    frequent: int,
+    scratch: Scratch,
+) -> DataFrame:
+    """(name, target, background): each text's losses from the terms of a slice."""
+    total, of_target, vocabulary, weight = totals
+    counts = scratch.write(
+        worded.select("name", "is_target", "words", "uses")
+        .mapInArrow(
+            _counted_terms(number, slices, words_at_once),
+            "term long, word long, n long, in_target long",
+        )
+        .groupBy("term")
+        .agg(F.max("word").alias("word"), F.sum("n").alias("n"), F.sum("in_target").alias("in_target")),
+        "term_counts",
+    )
+    of_words = words.select(
+        "word", F.col("n").alias("word_n"), F.col("in_target").alias("word_in_target")
     )
-    sums = words.agg(F.sum("word_n"), F.sum("word_in_target"), F.count("*")).first()
-    total, of_target, size = (value or 0 for value in sums)
-    scale = of_target / max(1, total)
-    share = float(weight) / max(1, of_target + size)
-    shares = words.select(
-        "word",
-        ((F.col("word_in_target") + 1) * F.lit(share)).alias("target_share"),
-        ((F.col("word_n") * F.lit(scale) + 1) * F.lit(share)).alias("background_share"),
+    columns = ["term", "n", "in_target", "word_n", "word_in_target"]
+    histories = counts.where("word IS NULL").withColumns(
+        {name: F.lit(None).cast("long") for name in columns[3:]}
     )
-    target, background = F.col("in_target"), F.col("n") * F.lit(scale)
-    pairs = counts.join(shares, "word").select(
-        "term",
-        _class().alias("class"),
-        (-F.log(target + F.col("target_share"))).alias("target"),
-        (-F.log(background + F.col("background_share"))).alias("background"),
+    values = scratch.write(
+        counts.join(of_words, "word")
+        .select(*columns)
+        .unionAll(histories.select(*columns))
+        .withColumn("class", _class()),
+        "term_values",
     )
-    histories = counts.where("word IS NULL").select(
-        "term",
-        _class().alias("class"),
-        F.log(target + F.lit(weight)).alias("target"),
-        F.log(background + F.lit(weight)).alias("background"),
+    scratch.drop("term_counts")
+    least = _least_class(values, max(1, frequent // slices) if frequent else 0)
+    top = values.where(F.col("class") >= least).select(*columns).toArrow()
+    order = np.argsort(top["term"].to_numpy())
+    sent = worded.sparkSession.sparkContext.broadcast(
+        [top[name].fill_null(0).to_numpy()[order] for name in columns]
+    )
+    rows = worded.select("name", "is_target", "words", "uses").mapInArrow(
+        _scored(number, slices, words_at_once, sent, total, of_target, (vocabulary, weight)),
+        _ROW_TYPES,
+    )
+    others = values.where(F.col("class") < least).drop("class")
+    size, is_target = F.col("size"), F.col("is_target").cast("long")
+    target_words = F.lit(of_target) - size * is_target
+    scale = target_words / F.greatest(F.lit(1), F.lit(total) - size)
+    own = (F.col("uses"), F.col("word_uses"), scale, target_words, is_target)
+    pair, history = _losses(
+        F.log, own, (vocabulary, weight), [F.col(name) for name in columns[1:]]
     )
-    return scratch.write(pairs.unionByName(histories), "term_values")
+
+    def loss(model: str, of_pair: Column, of_history: Column) -> Column:
+        added = F.col("uses") * F.when(F.col("word_n").isNull(), of_history).otherwise(of_pair)
+        return F.sum(F.when(F.col("uses") == 0, F.col(model)).otherwise(added)).alias(model)
+
+    found = scratch.write(
+        rows.join(others, "term", "left")
+        .groupBy("name")
+        .agg(
+            loss("target", pair[0], history[0]),
+            loss("background", pair[1], history[1]),
+            # Equal texts share a name, so a mean is what each of them has.
+            F.count_if(F.col("uses") == 0).alias("copies"),
+        )
+        .select(
+            "name",
+            (F.col("target") / F.col("copies")).alias("target"),
+            (F.col("background") / F.col("copies")).alias("background"),
+        ),
+        f"losses_{number}",
+    )
+    sent.destroy()
+    scratch.drop("term_values")
+    return found
 
 
 def score(
@@ -242,79 +439,95 @@ def score(
     weight: float = 200.0,
     words_at_once: int = 2_000_000,
     frequent: int = 400_000,
+    slices: int = 8,
 ) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, score) of each row of `documents`.
 
     The background is all documents, the target those whose doc_id is in
-    `target_ids`. Every word (A-Z lower-cased) that occurs is known to both models,
-    and every pair of words has a count of its own; words, pairs and texts are
-    compared by 64 bits of hash. Only if `vocabulary` is given, at most so many of
-    the most frequent words are known and all others are one word: words fall into
-    classes of about equal counts (within 1 %), taken from the top.
-
-    Each task sums the counts of `words_at_once` words before they are shuffled.
-    The values of at most `frequent` of the most frequent terms reach the tasks by
-    broadcast, so no common term is joined; each document's other terms are joined
-    with the table of values. That number changes the cost, not the result.
+    `target_ids`; the row that is judged is in neither. Every word (A-Z
+    lower-cased) that occurs is known to both models, and every pair of words has a
+    count of its own; words, pairs and texts are compared by 64 bits of hash. Only
+    if `vocabulary` is given, at most so many of the most frequent words are known
+    and all others are one word: words fall into classes of about equal counts
+    (within 1 %), taken from the top.
+
+    Texts are moved once, to learn which are targets, and written as hashes of
+    words. Terms fall into `slices` by hash, and what one slice needs is deleted
+    before the next one: its counts, and the shuffles, of which Spark deletes the
+    files when a query has ended. Each task sums the counts of `words_at_once`
+    words before they are shuffled. The counts of at most `frequent` of the most
+    frequent terms, an equal part in each slice, reach the tasks by broadcast, so no
+    common term is joined; each text's other terms are joined with the table of
+    counts. These numbers change the cost, not the result.
 
     Losses are in nats per word. A text without words has no losses and no
-    score. Without target documents, both models are uniform. Repeated rows
-    count as often as they occur; a null doc_id is never a target. Other columns
-    are ignored; an empty table gives no rows.
+    score. Without other target documents, both models are uniform. Repeated rows
+    count as often as they occur, and each is judged with the others in the models;
+    a null doc_id is never a target. A very long text is taken whole, with 12 bytes
+    a word in its task. Other columns are ignored; an empty table gives no rows.
     """
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    known = None
-    if vocabulary is not None:
-        word_counts = scratch.write(
-            texts.select("text")
-            .mapInArrow(_word_counts(words_at_once), "word long, n long")
+    with _shuffles_deleted(spark):
+        known = None
+        if vocabulary is not None:
+            word_counts = scratch.write(
+                texts.select("text")
+                .mapInArrow(_word_counts(words_at_once), "word long, n long")
+                .groupBy("word")
+                .agg(F.sum("n").alias("n"))
+                .withColumn("class", _class()),
+                "word_counts",
+            )
+            least = _least_class(word_counts, vocabulary)
+            chosen = word_counts.where(F.col("class") >= least).collect()
+            known = np.array(sorted(row["word"] for row in chosen), np.int64).view(np.uint64)
+            known = spark.sparkContext.broadcast(known)
+        targets = target_ids.select(
+            F.col("doc_id").cast("long"), F.lit(True).alias("is_target")
+        ).distinct()
+        worded = scratch.write(
+            # Both sides grow with the corpus: a merge at every size.
+            texts.join(targets.hint("merge"), "doc_id", "left")
+            .select("doc_id", "text", "is_target")
+            .mapInArrow(
+                _worded(known),
+                "doc_id long, name long, is_target boolean, words array<long>, uses array<int>",
+            ),
+            "worded",
+        )
+        words = scratch.write(
+            worded.select("name", "is_target", "words", "uses")
+            .mapInArrow(_counted_words(words_at_once), "word long, n long, in_target long")
             .groupBy("word")
-            .agg(F.sum("n").alias("n"))
-            .withColumn("class", _class()),
-            "word_counts",
+            .agg(F.sum("n").alias("n"), F.sum("in_target").alias("in_target")),
+            "words",
         )
-        chosen = word_counts.where(F.col("class") >= _least_class(word_counts, vocabulary)).collect()
-        words = np.array(sorted(row["word"] for row in chosen), np.int64)
-        known = spark.sparkContext.broadcast(words.view(np.uint64))
-    targets = target_ids.select(F.col("doc_id").cast("long"), F.lit(True).alias("is_target")).distinct()
-    counts = scratch.write(
-        # Both sides grow with the corpus: a merge at every size.
-        texts.join(targets.hint("merge"), "doc_id", "left")
-        .select("text", "is_target")
-        .mapInArrow(_term_counts(known, words_at_once), "term long, word long, n long, in_target long")
-        .groupBy("term")
-        .agg(F.max("word").alias("word"), F.sum("n").alias("n"), F.sum("in_target").alias("in_target")),
-        "term_counts",
-    )
-    values = _term_values(counts, scratch, weight)
-    scratch.drop("term_counts")
-    least = _least_class(values, frequent)
-    top = values.where(F.col("class") >= least).select("term", "target", "background").toArrow()
-    order = np.argsort(top["term"].to_numpy())
-    sent = spark.sparkContext.broadcast([top[name].to_numpy()[order] for name in top.column_names])
-    rest = (
-        texts.select("text")
-        .mapInArrow(_split(known, sent, True), "name long, term long, n long")
-        .join(values.where(F.col("class") < least).drop("class"), "term")
-        .groupBy("name")
-        .agg(
-            # Equal texts share a name, so a mean is what each of them has.
-            (F.sum(F.col("n") * F.col("target")) / F.sum("n")).alias("rest_target"),
-            (F.sum(F.col("n") * F.col("background")) / F.sum("n")).alias("rest_background"),
+        sums = words.agg(F.sum("n"), F.sum("in_target"), F.count("*")).first()
+        total, of_target, size = (value or 0 for value in sums)
+        totals = (total, of_target, max(1, size), float(weight))
+        losses = None
+        for number in range(slices):
+            found = _slice_losses(
+                worded, words, totals, number, slices, words_at_once, frequent, scratch
+            )
+            losses = found if losses is None else losses.unionAll(found)
+        summed = losses.groupBy("name").agg(
+            F.sum("target").alias("target"), F.sum("background").alias("background")
         )
-    )
-    summed = texts.mapInArrow(
-        _split(known, sent, False),
-        "doc_id long, name long, n_words long, target_sum double, background_sum double, n_rest long",
-    )
-
-    def loss(model: str):
-        whole = F.col(f"{model}_sum") + F.col("n_rest") * F.coalesce(f"rest_{model}", F.lit(0.0))
-        return F.when(F.col("n_words") > 0, whole / F.col("n_words")).alias(f"{model}_loss")
-
-    return (
-        summed.join(rest, "name", "left")
-        .select("doc_id", "n_words", loss("target"), loss("background"))
-        .withColumn("score", F.col("target_loss") - F.col("background_loss"))
-    )
+        n_words = F.size("words").cast("long")
+        judged = (
+            worded.select("doc_id", "name", n_words.alias("n_words"))
+            .join(summed, "name", "left")
+            .select(
+                "doc_id",
+                "n_words",
+                (F.col("target") / F.col("n_words")).alias("target_loss"),
+                (F.col("background") / F.col("n_words")).alias("background_loss"),
+            )
+            .withColumn("score", F.col("target_loss") - F.col("background_loss"))
+        )
+        scores = scratch.write(judged, "scores")
+    for name in ("worded", "words", "word_counts", *(f"losses_{i}" for i in range(slices))):
+        scratch.drop(name)
+    return scores
