@@ -246,7 +246,7 @@ def url_verdicts(urls, rules, fanout=30, deviation=2.0, strength=5.0, reject_at=
 def bigram_losses(rows, targets, weight=200.0):
     """rows: (doc_id, text); gives (doc_id, words, target loss, background loss).
 
-    Each row is judged by models of all the others.
+    The target model of a row is made from the other target rows.
     """
     texts = [(doc_id, spaced(lower(text))) for doc_id, text in rows]
 
@@ -267,11 +267,10 @@ def bigram_losses(rows, targets, weight=200.0):
     for doc_id, text in texts:
         own = counts(text)
         left_of_target = of_target - (len(text) if doc_id in targets else 0)
-        left = total - len(text)
         losses = []
         for model, is_in, scale in (
             (models[0], doc_id in targets, 1.0),
-            (models[1], True, left_of_target / max(1, left)),
+            (models[1], False, left_of_target / max(1, total)),
         ):
             loss = 0.0
             for pair in zip(["", *text], text):

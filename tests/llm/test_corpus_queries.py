@@ -126,12 +126,33 @@ def test_op9_tells_good_documents_from_bad(spark, table):
     assert ranked > 0.95
 
 
+def test_op9_ranks_documents_that_taught_it_nothing(spark):
+    """Half of the good documents are the target; the others rank like them, and below bad ones."""
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    quality = {r["doc_id"]: r["quality"] for r in labels.select("doc_id", "quality").collect()}
+    good = sorted(i for i, label in quality.items() if label == 1)
+    target = spark.createDataFrame([(i,) for i in good[::2]], "doc_id long")
+    tables = Scratch(spark, "left_out")
+    found = lm_score.score(documents, target, tables, slices=2).where("n_words > 0").collect()
+    tables.close()
+    scores = {row["doc_id"]: row["score"] for row in found}
+
+    def below(some, others):
+        some, others = (np.array([scores[i] for i in ids if i in scores]) for ids in (some, others))
+        return np.mean(some[:, None] < others[None, :])
+
+    bad = [i for i, label in quality.items() if label == 0]
+    assert below(good[1::2], bad) > 0.95
+    assert abs(below(good[::2], good[1::2]) - 0.5) < 0.05
+
+
 def test_op9_does_not_tell_who_was_a_target(spark):
     """Of documents that are targets by chance, half rank below the others."""
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     chosen = documents.where("pmod(xxhash64(doc_id, 5), 10) = 0").select("doc_id")
     tables = Scratch(spark, "by_chance")
-    found = lm_score.score(documents, chosen, tables).where("n_words > 20").collect()
+    found = lm_score.score(documents, chosen, tables, slices=2).where("n_words > 20").collect()
     targets = {row["doc_id"] for row in chosen.collect()}
     tables.close()
     inside = np.array([row["score"] for row in found if row["doc_id"] in targets])

@@ -2,8 +2,10 @@
 
 A target and a background bigram model share one vocabulary, order and smoothing.
 A document's score is its loss per word under the target model minus that under
-the background model: low scores are near the target. Each document is left out of
-the models that judge it, so its score does not tell whether it was a target.
+the background model: low scores are near the target. A target document is judged
+by the other targets: its own counts are left out of the target model, as those of
+all other documents are, so a score does not tell whether a document was a target.
+The background holds every document, the judged one too.
 
 A loss is a sum over terms: one for each pair of words, one for each history. The
 counts of all terms are tables, which grow with the corpus. They are made and used
@@ -239,19 +241,19 @@ def _losses(log, own, totals, counts) -> tuple:
     `own` is the document's uses of the term and of its word, its words and whether
     it is a target (1 or 0); `totals` all words, the target's words, the vocabulary
     and the smoothing weight; `counts` the term's and the word's counts, all and in
-    the target. What the document itself adds to the counts is taken off, in the
-    background always, in the target if it is one of it. Background counts are
-    scaled to the target's size. The same formula serves numpy and Spark.
+    the target. What a target document adds to the target's counts is taken off
+    them. Background counts are scaled to the size of the target without it. The
+    same formula serves numpy and Spark.
     """
     uses, word_uses, scale, target_words, is_target = own
     vocabulary, weight = totals
     n, in_target, word_n, word_in_target = counts
     share = weight / (target_words + vocabulary)
     target = in_target - uses * is_target
-    background = (n - uses) * scale
+    background = n * scale
     pair = (
         -log(target + (word_in_target - word_uses * is_target + 1) * share),
-        -log(background + ((word_n - word_uses) * scale + 1) * share),
+        -log(background + (word_n * scale + 1) * share),
     )
     return pair, (log(target + weight), log(background + weight))
 
@@ -305,7 +307,7 @@ def _scored(number: int, slices: int, at_once: int, frequent, total: int, of_tar
             is_known = known[at] == term if len(known) else np.zeros(len(term), bool)
             is_target = texts.targets.astype(np.int64)
             target_words = of_target - texts.sizes * is_target
-            scale = target_words / np.maximum(1, total - texts.sizes)
+            scale = target_words / max(1, total)
             of = owner[is_known]
             own = (uses[is_known], word_uses[is_known], scale[of], target_words[of], is_target[of])
             pair, history = _losses(np.log, own, rest, [c[at[is_known]] for c in counts])
@@ -400,7 +402,7 @@ def _slice_losses(
     others = values.where(F.col("class") < least).drop("class")
     size, is_target = F.col("size"), F.col("is_target").cast("long")
     target_words = F.lit(of_target) - size * is_target
-    scale = target_words / F.greatest(F.lit(1), F.lit(total) - size)
+    scale = target_words / F.lit(max(1, total))
     own = (F.col("uses"), F.col("word_uses"), scale, target_words, is_target)
     pair, history = _losses(
         F.log, own, (vocabulary, weight), [F.col(name) for name in columns[1:]]
@@ -444,9 +446,9 @@ def score(
     """(doc_id, n_words, target_loss, background_loss, score) of each row of `documents`.
 
     The background is all documents, the target those whose doc_id is in
-    `target_ids`; the row that is judged is in neither. Every word (A-Z
-    lower-cased) that occurs is known to both models, and every pair of words has a
-    count of its own; words, pairs and texts are compared by 64 bits of hash. Only
+    `target_ids`, without the row that is judged. Every word (A-Z lower-cased) that
+    occurs is known to both models, and every pair of words has a count of its own;
+    words, pairs and texts are compared by 64 bits of hash. Only
     if `vocabulary` is given, at most so many of the most frequent words are known
     and all others are one word: words fall into classes of about equal counts
     (within 1 %), taken from the top.
@@ -462,8 +464,8 @@ def score(
 
     Losses are in nats per word. A text without words has no losses and no
     score. Without other target documents, both models are uniform. Repeated rows
-    count as often as they occur, and each is judged with the others in the models;
-    a null doc_id is never a target. A very long text is taken whole, with 12 bytes
+    count as often as they occur, and each is judged with the others in the target; a
+    null doc_id is never a target. A very long text is taken whole, with 12 bytes
     a word in its task. Other columns are ignored; an empty table gives no rows.
     """
     spark = documents.sparkSession
