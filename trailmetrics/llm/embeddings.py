@@ -8,6 +8,12 @@ groups, so it gets a list of its nearest vectors outside its group, until no suc
 list links two groups. In the groups, all links are counted exactly, in blocks. A
 sample of vectors is compared with all others, and as long as links are missing
 there, lists grow and the rounds go on.
+
+Two departures from plain NN-descent: full lists are not made longer one by one
+(a second graph of neighbours outside the group does that work, as a list of any
+length may be full of a group's own members), and links are not the graph's edges
+but all pairs of a group that an exact comparison confirms. If no audited vector
+has a link, nothing is measured, and the audit passes.
 """
 
 from __future__ import annotations
