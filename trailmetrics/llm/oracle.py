@@ -256,3 +256,79 @@ JOIN below b ON b.node = n.node AND b.d = n.d
 LEFT JOIN children c ON c.node = n.node
 LEFT JOIN nodes u ON u.node = n.parent
 """
+
+_SPACED = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+_COMPONENTS = """
+reached(id, node) AS (
+    SELECT id, id FROM ids
+    UNION
+    SELECT r.id, l.v FROM reached r JOIN links l ON r.node = l.u
+), components AS (
+    SELECT id, min(node) AS component_id FROM reached GROUP BY id
+)"""
+
+# Each pair of documents with a common shingle, judged by full sets.
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE ids AS (SELECT doc_id AS id FROM documents),
+texts AS (
+    SELECT doc_id, coalesce({_SPACED.format(_LOWER.format("text"))}, []) AS words FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(words[s : s + 4], ' ') AS shingle
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS s FROM texts WHERE len(words) > 0)
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS MATERIALIZED (
+    SELECT a.doc_id AS u, b.doc_id AS v
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY u, v
+    HAVING 100 * count(*) >= 75 * (any_value(x.n) + any_value(y.n) - count(*))
+), {_COMPONENTS}
+SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept
+FROM components LEFT JOIN sizes ON id = doc_id
+"""
+
+# All pairs of a label.
+EMBEDDINGS = f"""
+WITH RECURSIVE ids AS (SELECT vec_id AS id FROM embeddings),
+vectors AS MATERIALIZED (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_dot_product(e, e)) AS norm
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS MATERIALIZED (
+    SELECT a.vec_id AS u, b.vec_id AS v
+    FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+        AND len(a.e) = len(b.e) AND a.norm > 0 AND b.norm > 0
+    WHERE list_dot_product(a.e, b.e) >= 0.98 * a.norm * b.norm
+), {_COMPONENTS}
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept
+FROM components LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY u) ON id = u
+"""
+
+# Every window of 50 words, and the first document that holds it.
+PASSAGES = f"""
+WITH texts AS (
+    SELECT doc_id, coalesce({_SPACED.format("text")}, []) AS words FROM documents
+), windows AS MATERIALIZED (
+    SELECT doc_id, s, sha256(array_to_string(words[s : s + 49], ' ')) AS passage
+    FROM (SELECT *, unnest(range(1, len(words) - 48)) AS s FROM texts)
+), firsts AS (
+    SELECT passage, min(doc_id) AS first FROM windows GROUP BY passage HAVING count(*) > 1
+), covered AS MATERIALIZED (
+    SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS place
+    FROM windows JOIN firsts USING (passage) WHERE doc_id > first
+), placed AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text
+    FROM placed ANTI JOIN covered USING (doc_id, place)
+    GROUP BY doc_id
+), removed AS (
+    SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id
+)
+SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0) AS n_removed,
+    sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id LEFT JOIN removed r ON r.doc_id = t.doc_id
+"""

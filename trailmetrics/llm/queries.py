@@ -178,6 +178,9 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_line_dedup": oracle.LINE_DEDUP,
+    "op3_minhash": oracle.NEAR_DUPLICATES,
+    "op5_embeddings": oracle.EMBEDDINGS,
+    "op6_substring_dedup": oracle.PASSAGES,
     "op7_decontamination": oracle.DECONTAMINATION,
     "op11_centroids": oracle.CENTROIDS,
     "op12_prefix_trie": oracle.PREFIX_TRIE,
