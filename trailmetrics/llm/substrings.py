@@ -293,8 +293,9 @@ def dedup_passages(
 
     Null or empty texts have no words. Rows that share a doc_id never remove
     words of each other, and each loses what smaller documents repeat. A row
-    with a null doc_id neither removes nor loses words. Other columns are
-    ignored; an empty table gives no rows.
+    with a null doc_id neither removes nor loses words. A very long text is read
+    whole, one row at a time, with some 24 bytes a word in its task. Other columns
+    are ignored; an empty table gives no rows.
     """
     read = documents.select(
         F.col("doc_id").cast("long"),

@@ -357,8 +357,9 @@ def score(documents: DataFrame, model: SeverityModel | None, reject_at: float =
     `severity` is the expected grade, `grade` the likeliest one, and `toxic` says
     whether the odds of any grade above 0 reach `reject_at`. A null or empty
     text has no features, so it gets what the thresholds alone say; without a
-    model, every row gets grade 0. Repeated rows are scored one by one; other
-    columns are ignored; an empty table gives no rows.
+    model, every row gets grade 0. A very long text is read whole, one row at a
+    time. Repeated rows are scored one by one; other columns are ignored; an empty
+    table gives no rows.
     """
     ids = documents.select(F.col("doc_id").cast("long"), "text")
     weights = np.zeros(1 << _BITS) if model is None else model.weights
