@@ -285,3 +285,19 @@ def test_windows_with_one_common_word(spark, scratch):
     # The texts are read once, also for windows of several lengths.
     assert plan.count("Scan ExistingRDD") == 1
     assert lookup.count() == 403
+
+
+def test_the_audit_in_blocks_counts_the_same(spark, keep, monkeypatch):
+    """Groups that lack some links: all of them are found missing, whatever the blocks hold."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((4, 16))
+    rows = [(i, (centres[i % 4] + 0.02 * rng.standard_normal(16)).tolist(), 0) for i in range(80)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    nodes = keep.write(embeddings.usable(frame).withColumnRenamed("vec_id", "node"), "audited")
+    # Every group is cut in two.
+    groups = nodes.select("node", (F.col("node") % 8).alias("cluster"))
+    whole = embeddings.audit(nodes, groups, keep, 100, 0.98)
+    assert whole == (80 * 19, 80 * 10)
+    monkeypatch.setattr(embeddings, "_BLOCK_BYTES", 16 * 8 * 7)
+    assert embeddings.audit(nodes, groups, keep, 100, 0.98) == whole
+    assert embeddings.audit(nodes.limit(0), groups, keep, 100, 0.98) == (0, 0)

@@ -33,6 +33,8 @@ from trailmetrics.runtime import Scratch
 _BITS = 16
 # Single precision finds candidates; they are judged in double precision.
 _SLACK = 1e-4
+# Audited vectors that are sent to the tasks at once.
+_BLOCK_BYTES = 2**25
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -443,12 +445,15 @@ def _missed(sent, threshold: float):
 
 
 def audit(
-    nodes: DataFrame, groups: DataFrame, sample: int, threshold: float
+    nodes: DataFrame, groups: DataFrame, scratch: Scratch, sample: int, threshold: float
 ) -> tuple[int, int]:
     """Links of some vectors, found by comparing them with all, and those missed.
 
-    These are `sample` vectors of groups and as many others, those with the least
-    hash. They are sent to every task.
+    These are every k-th vector of groups by hash, and every l-th of the others, so
+    that there are `sample` of each or a few more, up to twice as many. They are
+    written down in blocks of about `_BLOCK_BYTES`, and all vectors are compared
+    with one block after another, so what is sent to the tasks has the same bound at
+    any number of vectors.
     """
     grouped = nodes.join(groups, "node", "left").select(
         "node",
@@ -457,27 +462,35 @@ def audit(
         F.coalesce("cluster", "node").alias("cluster"),
         F.col("cluster").isNotNull().alias("linked"),
     )
-    asked = [
-        row
-        for linked in (F.col("linked"), ~F.col("linked"))
-        for row in grouped.where(linked).orderBy(F.xxhash64("node", F.lit(3)), "node").limit(sample).collect()
-    ]
-    if not asked:
-        return 0, 0
-    sent = nodes.sparkSession.sparkContext.broadcast(
-        (
-            np.array([row["kind"] for row in asked], object),
-            np.array([row["node"] for row in asked]),
-            np.array([row["cluster"] for row in asked]),
-            [np.array(row["unit"]) for row in asked],
-        )
-    )
-    sums = (
-        grouped.mapInArrow(_missed(sent, threshold), "links long, missed long")
-        .agg(F.sum("links"), F.sum("missed"))
-        .first()
+    counts = dict(grouped.groupBy("linked").count().collect())
+    every = {linked: max(1, counts.get(linked, 0) // sample) for linked in (True, False)}
+    chosen = F.pmod(
+        F.xxhash64("node", F.lit(3)), F.when(F.col("linked"), every[True]).otherwise(every[False])
     )
-    return sums[0] or 0, sums[1] or 0
+    asked = scratch.write(grouped.where(chosen == 0), "asked")
+    size = asked.agg(F.sum(8 * F.size("unit"))).first()[0] or 0
+    blocks = -(-size // _BLOCK_BYTES)
+    links = missed = 0
+    for number in range(blocks):
+        block = asked.where(F.pmod(F.xxhash64("node", F.lit(4)), F.lit(blocks)) == number).collect()
+        if not block:
+            continue
+        sent = nodes.sparkSession.sparkContext.broadcast(
+            (
+                np.array([row["kind"] for row in block], object),
+                np.array([row["node"] for row in block]),
+                np.array([row["cluster"] for row in block]),
+                [np.array(row["unit"]) for row in block],
+            )
+        )
+        sums = (
+            grouped.mapInArrow(_missed(sent, threshold), "links long, missed long")
+            .agg(F.sum("links"), F.sum("missed"))
+            .first()
+        )
+        links, missed = links + (sums[0] or 0), missed + (sums[1] or 0)
+        sent.destroy()
+    return links, missed
 
 
 def near_duplicates(
@@ -538,7 +551,7 @@ def near_duplicates(
         groups = _linked_groups(
             nodes, graph, scratch, f"linked_{attempt}", size, rounds, trees, block, threshold - _SLACK
         )
-        links, missed = audit(nodes, groups, asked, threshold)
+        links, missed = audit(nodes, groups, scratch, asked, threshold)
         if missed <= (1 - recall) * links:
             break
         size *= 2

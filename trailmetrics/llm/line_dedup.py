@@ -74,8 +74,9 @@ def dedup_lines(
     share a doc_id are one document for the counts, and each keeps or loses its
     own lines; a null doc_id is a document below all others. A very long text is
     split whole; its lines are rows of their own where keys are counted, and one
-    row where they are put together again. Other columns pass unchanged; `counts` names two more, for the lines before and the lines
-    dropped. An empty table stays empty.
+    row where they are put together again. Other columns pass unchanged; `counts`
+    names two more, for the lines before and the lines dropped. An empty table
+    stays empty.
     """
     keys = scratch.write(line_keys(documents, min_length), "line_keys")
     # Written down, so that adaptive execution can split the lines of one key.
