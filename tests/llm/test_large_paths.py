@@ -231,6 +231,23 @@ def test_every_word_and_pair_has_its_own_count(spark, keep, crowd, frequent, sli
             assert got[doc_id][2:] == (None, None, None)
 
 
+def test_pairs_travel_packed(spark, keep, monkeypatch):
+    """Spark moves some rows for each batch of texts, not one for each word or pair."""
+    texts = [(i, " ".join(f"word{i}x{k}" for k in range(700))) for i in range(50)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    moved, kind = [], type(frame)
+    group_by = kind.groupBy
+
+    def counted(self, *columns):
+        moved.append(self.count())
+        return group_by(self, *columns)
+
+    monkeypatch.setattr(kind, "groupBy", counted)
+    scores = lm_score.score(frame, spark.range(20).toDF("doc_id"), keep, slices=2)
+    assert moved and sum(moved) < 50 * 700 / 20
+    assert scores.where("score IS NOT NULL").count() == 50
+
+
 @pytest.mark.parametrize("block", [1024, 100])
 def test_tight_groups_that_are_linked_to_each_other(spark, keep, block):
     # Lists of 10 are full of a group's own members; groups 0 and 1, and 1 and 2, are linked.
