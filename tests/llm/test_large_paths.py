@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import brute
 from trailmetrics.llm import decontaminate, embeddings, language_id, lm_score, minhash, substrings
 from trailmetrics.llm.graph import components
-from trailmetrics.llm.toxicity import grade_odds, loss_and_gradient, thresholds
+from trailmetrics.llm.toxicity import fit, grade_odds, loss_and_gradient, thresholds
 from trailmetrics.llm.words import WordHashes, runs
 from trailmetrics.runtime import Scratch
 
@@ -194,6 +194,30 @@ def test_gradient_of_the_ordinal_loss():
     assert odds.sum(axis=1) == pytest.approx(1) and (odds >= 0).all()
 
 
+def test_one_gradient_reaches_the_driver(spark, keep, monkeypatch):
+    """Tasks' gradients are added up before the driver gets them, so that more tasks send no more."""
+    rng = random.Random(3)
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    texts = [(i, " ".join(rng.choices(words[(i % 2) * 100 :], k=60))) for i in range(240)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = frame.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    kind, held = type(frame), []
+    collect = kind.collect
+
+    def watched(self):
+        found = collect(self)
+        if "sums" in self.columns:
+            held.append(sum(len(row["sums"]) for row in found))
+        return found
+
+    monkeypatch.setattr(kind, "collect", watched)
+    models = []
+    for parts in (1, 6):
+        models.append(fit(frame, labels, keep, parts=parts, steps=4))
+    assert len(held) > 2 and len(set(held)) == 1
+    assert models[0].weights == pytest.approx(models[1].weights, abs=1e-6)
+
+
 def test_models_are_matched_and_words_are_known_by_count(spark, keep):
     rows = [(i, "the cat sat on the mat " * 3) for i in range(20)]
     rows += [(100 + i, f"zz{i} qq{i} the " * 4) for i in range(60)]

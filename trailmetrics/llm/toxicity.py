@@ -13,6 +13,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ _BITS = 18
 # Rates are per 100 words, of texts taken as 20 words longer, and at most 3: one
 # word of a short text is little proof, and one word repeated no more than another.
 _PER, _SHORT, _MOST = 100.0, 20.0, 3.0
+# Numbers of a gradient that are added up in one group.
+_CHUNK = 8192
 
 
 class Features(dict):
@@ -185,10 +188,11 @@ def _feature_rows(known):
 
 
 def _gradients(model):
-    """The summed loss and gradient of each batch of rows, as one row."""
+    """The summed loss and gradient of a task's rows, cut into chunks."""
 
     def run(batches):
         weights, free = model.value
+        total = None
         for batch in batches:
             lists = batch.column("numbers")
             sizes = np.diff(lists.offsets.to_numpy())
@@ -200,12 +204,30 @@ def _gradients(model):
                 weights,
                 free,
             )
-            packed = np.concatenate([[loss], by_weight, by_free]).astype("<f8").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["sums"])
+            sums = np.concatenate([[loss], by_weight, by_free])
+            total = sums if total is None else total + sums
+        if total is None:
+            return
+        chunks = [total[at : at + _CHUNK].tobytes() for at in range(0, len(total), _CHUNK)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(range(len(chunks)), pa.int32()),
+                pa.array([TaskContext.get().partitionId()] * len(chunks), pa.int32()),
+                pa.array(chunks, pa.binary()),
+            ],
+            names=["chunk", "part", "sums"],
+        )
 
     return run
 
 
+def _added(table: pa.Table) -> pa.Table:
+    """The sum of a chunk over all tasks, in their order, so that reruns agree."""
+    rows = table.sort_by("part")
+    sums = np.sum([np.frombuffer(part) for part in rows["sums"].to_pylist()], axis=0)
+    return pa.table([rows["chunk"][:1], pa.array([sums.tobytes()], pa.binary())], names=["chunk", "sums"])
+
+
 def severity_grades(rows: DataFrame, typical: np.ndarray) -> DataFrame:
     """Grade 0 for rows that are not toxic; 1 or 2 for the milder and severer half.
 
@@ -253,8 +275,9 @@ def fit(
 
     Those are the ones with the least hash of doc_id; a document with several
     labels counts as toxic if one says so. Features of fewer than `least_rows`
-    sample rows are left out. Tasks sum losses and gradients of their rows; the
-    driver holds vectors of a length bounded by the number of hashed features.
+    sample rows are left out. Tasks sum losses and gradients of their rows, and a
+    shuffle by chunks adds them up, so one vector at a time reaches the driver, of a
+    length bounded by the number of hashed features.
     Without both toxic and other rows there is nothing to learn: None.
     """
     spark = documents.sparkSession
@@ -304,9 +327,15 @@ def fit(
     def value_and_gradient(x: np.ndarray) -> tuple[float, np.ndarray]:
         weights, free = x[:-2], x[-2:]
         model = spark.sparkContext.broadcast((weights, free))
-        found = graded.mapInArrow(_gradients(model), "sums binary").collect()
-        sums = np.sum([np.frombuffer(row["sums"], "<f8") for row in found], axis=0)
-        model.unpersist()
+        found = (
+            graded.mapInArrow(_gradients(model), "chunk int, part int, sums binary")
+            .groupBy("chunk")
+            .applyInArrow(_added, "chunk int, sums binary")
+            .collect()
+        )
+        sums = np.concatenate([np.frombuffer(row["sums"]) for row in sorted(found)])
+        # Else the driver keeps the weights of every step until it collects its garbage.
+        model.destroy()
         return (
             float(sums[0] + penalty / 2 * (weights @ weights)),
             sums[1:] + np.concatenate([penalty * weights, [0.0, 0.0]]),
